@@ -266,3 +266,195 @@ SQL: dict[str, str] = {
         "SELECT " + _cols("month_utc", *[d(c) for c in GEN[:-1]]) + " FROM mix ORDER BY month_utc"
     ),
 }
+
+
+# --- ingest ----------------------------------------------------------------------
+
+REGISTRY = """
+registry(indicator_id, slug) AS (VALUES
+  (600, 'spot_market_price'), (2038, 'generation_wind'), (2040, 'generation_coal'),
+  (2041, 'generation_combined_cycle'), (2042, 'generation_hydro'), (2044, 'generation_solar_pv'),
+  (2051, 'generation_cogen_residues'), (10004, 'generation_total'))
+"""
+
+INGEST = """
+items AS (
+  SELECT event_id, indicator_id,
+         CASE WHEN indicator_id = 10004 AND event_id % 101 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS value,
+         CASE WHEN event_id % 6 = 0 THEN strftime(datetime_utc, '%Y-%m-%dT%H:%M:%S.%f') END AS datetime,
+         CASE WHEN indicator_id = 2051 AND event_id % 103 = 0 THEN 'not-a-date'
+              WHEN event_id % 6 = 0 THEN ''
+              WHEN event_id % 6 = 1 THEN strftime(datetime_utc, '%Y-%m-%dT%H:%M:%S.%f+00:00')
+              ELSE strftime(datetime_utc, '%Y-%m-%dT%H:%M:%S.%fZ') END AS datetime_utc,
+         CASE WHEN event_id % 9 <> 0 THEN geo_id END AS geo_id,
+         datetime_utc AS src_ts
+  FROM obs_id
+  UNION ALL
+  SELECT event_id, indicator_id, CAST(value + 1 AS VARCHAR), NULL,
+         strftime(datetime_utc, '%Y-%m-%dT%H:%M:%S.%fZ'),
+         CASE WHEN event_id % 9 <> 0 THEN geo_id END, datetime_utc
+  FROM obs_id WHERE indicator_id = 2040 AND event_id % 89 = 0
+),
+norm AS (
+  SELECT indicator_id,
+         CASE WHEN datetime_utc = 'not-a-date' THEN NULL ELSE src_ts END AS datetime_utc,
+         coalesce(geo_id, 0) AS geo_id,
+         try_cast(value AS DECIMAL(18,6)) AS value,
+         datetime_utc = 'not-a-date' AS bad_time,
+         value IS NOT NULL AND try_cast(value AS DECIMAL(18,6)) IS NULL AS bad_value
+  FROM items
+),
+dups AS (
+  SELECT indicator_id, datetime_utc, geo_id, count(*) AS copies
+  FROM norm WHERE datetime_utc IS NOT NULL
+  GROUP BY 1, 2, 3 HAVING count(*) > 1
+),
+checks AS (
+  SELECT c.indicator_id, c.staged_rows, c.bad_times, c.bad_values,
+         coalesce(d.duplicate_keys, 0) AS duplicate_keys,
+         c.bad_times > 0 OR c.bad_values > 0 OR coalesce(d.duplicate_keys, 0) > 0 AS failed
+  FROM (SELECT indicator_id, count(*) AS staged_rows,
+               count(CASE WHEN bad_time THEN 1 END) AS bad_times,
+               count(CASE WHEN bad_value THEN 1 END) AS bad_values
+        FROM norm GROUP BY 1) c
+  LEFT JOIN (SELECT indicator_id, count(*) AS duplicate_keys FROM dups GROUP BY 1) d USING (indicator_id)
+),
+""" + REGISTRY.strip()
+
+UPSERT = """
+tgt AS (
+  SELECT indicator_id, datetime_utc, geo_id, value,
+         TIMESTAMP '2025-01-02 06:15:00' AS extracted_at, TIMESTAMP '2025-01-02 06:15:00' AS updated_at
+  FROM obs_id WHERE event_id % 3 <> 0
+),
+src AS (
+  SELECT indicator_id, datetime_utc, geo_id,
+         CAST(CASE WHEN event_id % 11 = 0 THEN NULL
+                   WHEN value IS NULL THEN 1.5
+                   WHEN event_id % 7 = 0 THEN value + 1
+                   ELSE value END AS DECIMAL(18,6)) AS value
+  FROM obs_id WHERE event_id % 3 <> 1
+),
+merge_plan AS (
+  SELECT coalesce(t.indicator_id, s.indicator_id) AS indicator_id,
+         coalesce(t.datetime_utc, s.datetime_utc) AS datetime_utc,
+         coalesce(t.geo_id, s.geo_id) AS geo_id,
+         CASE WHEN s.indicator_id IS NOT NULL THEN s.value ELSE t.value END AS value,
+         coalesce(t.extracted_at, TIMESTAMP '2025-01-03 06:15:00') AS extracted_at,
+         CASE WHEN t.indicator_id IS NULL
+                OR (s.indicator_id IS NOT NULL AND t.value IS DISTINCT FROM s.value)
+              THEN TIMESTAMP '2025-01-03 06:15:00' ELSE t.updated_at END AS updated_at,
+         CASE WHEN t.indicator_id IS NULL THEN 'insert'
+              WHEN s.indicator_id IS NOT NULL AND t.value IS DISTINCT FROM s.value THEN 'update'
+              ELSE 'keep' END AS op,
+         s.indicator_id IS NOT NULL AS staged
+  FROM tgt t FULL OUTER JOIN src s
+    ON t.indicator_id = s.indicator_id AND t.datetime_utc = s.datetime_utc AND t.geo_id = s.geo_id
+)
+"""
+
+
+def _with_all(body: str) -> str:
+    return (f"WITH {OBS.strip()},\n{MODELS.strip()},\n{INGEST.strip()},\n{UPSERT.strip()}\n"
+            f"{body.strip()}\n")
+
+
+def _not_null(model: str, rel: str, col: str) -> str:
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, 'not_null' AS test_name, "
+            f"count(CASE WHEN {col} IS NULL THEN 1 END) AS failures FROM {rel}")
+
+
+def _unique(model: str, rel: str, col: str) -> str:
+    return (f"SELECT '{model}', '{col}', 'unique', (SELECT count(*) FROM (SELECT {col} FROM {rel} "
+            f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1))")
+
+
+_CHECKS = [
+    _not_null("esios_indicator_values", "raw_fx", "indicator_id"),
+    _not_null("esios_indicator_values", "raw_fx", "datetime_utc"),
+    _not_null("esios_indicator_values", "raw_fx", "geo_id"),
+    _not_null("esios_indicator_values", "raw_fx", "extracted_at"),
+    _unique("fct_hourly_market", "fct", "hour_utc"),
+    _not_null("fct_hourly_market", "fct", "hour_utc"),
+    _not_null("fct_hourly_market", "fct", "price_eur_mwh"),
+    _not_null("fct_hourly_market", "fct", "renewable_pct"),
+    _unique("mart_daily_summary", "daily", "date_utc"),
+    _not_null("mart_daily_summary", "daily", "date_utc"),
+    _not_null("mart_daily_summary", "daily", "avg_price_eur_mwh"),
+    _not_null("mart_daily_summary", "daily", "renewable_pct"),
+    _unique("mart_renewables_price_impact", "impact", "date_utc"),
+    _not_null("mart_renewables_price_impact", "impact", "date_utc"),
+    _not_null("mart_renewables_price_impact", "impact", "renewable_pct"),
+    _unique("mart_technology_mix", "mix", "month_utc"),
+    _not_null("mart_technology_mix", "mix", "month_utc"),
+]
+
+SQL.update({
+    "payload_explode": _with_all("SELECT indicator_id, value, datetime, datetime_utc, geo_id FROM items"),
+    "normalise": _with_all(
+        "SELECT indicator_id, datetime_utc, geo_id, CAST(value AS DOUBLE) AS value, bad_time, bad_value FROM norm"
+    ),
+    "ingest_rejects": _with_all(
+        "SELECT indicator_id, staged_rows, bad_times, bad_values, duplicate_keys FROM checks WHERE failed"
+    ),
+    "duplicate_keys": _with_all("SELECT indicator_id, datetime_utc, geo_id, copies FROM dups"),
+    "accepted": _with_all(
+        "SELECT indicator_id, datetime_utc, geo_id, CAST(value AS DOUBLE) AS value FROM norm "
+        "WHERE indicator_id NOT IN (SELECT indicator_id FROM checks WHERE failed)"
+    ),
+    "run_status": _with_all(
+        """SELECT r.indicator_id, r.slug,
+                  coalesce(c.staged_rows, 0) AS staged_rows,
+                  CASE WHEN c.failed THEN 0 ELSE coalesce(c.staged_rows, 0) END AS loaded_rows,
+                  coalesce(c.failed, false) AS failed,
+                  (SELECT CAST(coalesce(max(CAST(failed AS INTEGER)), 0) AS INTEGER) FROM checks) AS run_status
+           FROM registry r LEFT JOIN checks c USING (indicator_id)"""
+    ),
+    "window_filter": _with_all(
+        "SELECT indicator_id, datetime_utc, geo_id, CAST(value AS DOUBLE) AS value FROM obs "
+        "WHERE datetime_utc >= TIMESTAMP '2024-03-01 00:00:00' AND datetime_utc < TIMESTAMP '2024-07-01 00:00:00'"
+    ),
+    "registry_coverage": _with_all(
+        """SELECT r.indicator_id, r.slug, coalesce(s.observations, 0) AS observations,
+                  coalesce(s.valued, 0) AS valued, s.first_utc, s.last_utc
+           FROM registry r LEFT JOIN (
+             SELECT indicator_id, count(*) AS observations, count(value) AS valued,
+                    min(datetime_utc) AS first_utc, max(datetime_utc) AS last_utc
+             FROM obs GROUP BY indicator_id) s USING (indicator_id)"""
+    ),
+    "catalogue_search": """
+        SELECT id, name FROM (
+          SELECT event_id AS id,
+                 CASE WHEN event_id % 13 <> 0
+                      THEN concat_ws(' ', event_type, CAST(user_id AS VARCHAR), props) END AS name
+          FROM events)
+        WHERE contains(lower(coalesce(name, '')), 'click')
+        ORDER BY id
+    """,
+    "upsert": _with_all(
+        "SELECT indicator_id, datetime_utc, geo_id, CAST(value AS DOUBLE) AS value, extracted_at, updated_at "
+        "FROM merge_plan"
+    ),
+    "upsert_counts": _with_all(
+        """SELECT indicator_id, count(*) AS staged_rows,
+                  count(CASE WHEN op = 'insert' THEN 1 END) AS inserted,
+                  count(CASE WHEN op = 'update' THEN 1 END) AS updated,
+                  count(CASE WHEN op = 'keep' THEN 1 END) AS unchanged
+           FROM merge_plan WHERE staged GROUP BY indicator_id"""
+    ),
+    "freshness": _with_all(
+        """, agg AS (SELECT max(extracted_at) AS m FROM merge_plan)
+           SELECT m AS max_loaded_at,
+                  TIMESTAMP '2025-01-05 06:15:00' AS snapshotted_at,
+                  CAST((epoch_us(TIMESTAMP '2025-01-05 06:15:00') - epoch_us(m)) / 1000000.0 AS DOUBLE) AS age_seconds,
+                  CASE WHEN m IS NULL THEN 'error'
+                       WHEN epoch_us(TIMESTAMP '2025-01-05 06:15:00') - epoch_us(m) > 72 * 3600000000 THEN 'error'
+                       WHEN epoch_us(TIMESTAMP '2025-01-05 06:15:00') - epoch_us(m) > 36 * 3600000000 THEN 'warn'
+                       ELSE 'pass' END AS status
+           FROM agg"""
+    ),
+    "data_checks": _with_all(
+        ", raw_fx AS (SELECT *, TIMESTAMP '2025-01-02 06:15:00' AS extracted_at FROM obs)\n"
+        + "\nUNION ALL ".join(_CHECKS)
+    ),
+})

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmart.operators import reports
+from gridmart.operators import ingest, quality, reports, upsert
 from gridmart.plans.models import Models, build_models
 from gridmart.session import ensure_utc
-from gridmart.sources import fixtures
+from gridmart.sources import fixtures, payload
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -136,7 +136,118 @@ def q_mix_monthly_mwh(spark, sf_dir):
     return comparable(reports.mix_monthly_mwh(models(spark, sf_dir).technology_mix))
 
 
+# --- ingest -------------------------------------------------------------------
+
+# Manual backfill window used by ``window_filter`` (end day included).
+WINDOW = ("2024-03-01", "2024-06-30")
+CATALOGUE_FILTER = "CLICK"
+
+
+def _items(spark, sf_dir):
+    ensure_utc(spark)
+    docs = fixtures.payload_documents(fixtures.read_events(spark, sf_dir))
+    return payload.explode_payload(payload.parse_payload(docs))
+
+
+def _checks(spark, sf_dir):
+    return ingest.indicator_checks(ingest.normalise(_items(spark, sf_dir)))
+
+
+def q_payload_explode(spark, sf_dir):
+    return _items(spark, sf_dir)
+
+
+def q_normalise(spark, sf_dir):
+    return comparable(ingest.normalise(_items(spark, sf_dir)))
+
+
+def q_ingest_rejects(spark, sf_dir):
+    return ingest.rejected_indicators(_checks(spark, sf_dir))
+
+
+def q_duplicate_keys(spark, sf_dir):
+    return comparable(ingest.duplicate_keys(ingest.normalise(_items(spark, sf_dir))))
+
+
+def q_accepted(spark, sf_dir):
+    norm = ingest.normalise(_items(spark, sf_dir))
+    rejected = ingest.rejected_indicators(ingest.indicator_checks(norm))
+    return comparable(ingest.accepted(norm, rejected))
+
+
+def q_run_status(spark, sf_dir):
+    return ingest.run_status(spark, _checks(spark, sf_dir))
+
+
+def q_window_filter(spark, sf_dir):
+    ensure_utc(spark)
+    start, end = ingest.extraction_window(*WINDOW)
+    return comparable(ingest.window_filter(fixtures.load_observations(spark, sf_dir), start, end))
+
+
+def q_registry_coverage(spark, sf_dir):
+    ensure_utc(spark)
+    return comparable(ingest.registry_coverage(spark, fixtures.load_observations(spark, sf_dir)))
+
+
+def q_catalogue_search(spark, sf_dir):
+    ensure_utc(spark)
+    docs = fixtures.catalogue_documents(fixtures.read_events(spark, sf_dir))
+    entries = payload.explode_catalogue(payload.parse_catalogue(docs))
+    return payload.search_catalogue(entries, CATALOGUE_FILTER)
+
+
+# --- upsert --------------------------------------------------------------------
+
+
+def _merge(spark, sf_dir):
+    ensure_utc(spark)
+    events = fixtures.read_events(spark, sf_dir)
+    return upsert.merge_plan(
+        fixtures.upsert_target(events), fixtures.upsert_source(events), fixtures.REVISION_TS
+    )
+
+
+def q_upsert(spark, sf_dir):
+    return comparable(upsert.merged_table(_merge(spark, sf_dir)))
+
+
+def q_upsert_counts(spark, sf_dir):
+    return upsert.merge_counts(_merge(spark, sf_dir))
+
+
+# --- quality -------------------------------------------------------------------
+
+
+def q_data_checks(spark, sf_dir):
+    m = models(spark, sf_dir)
+    raw = fixtures.raw_table(fixtures.read_events(spark, sf_dir))
+    marts = {
+        "fct_hourly_market": m.fct_hourly_market,
+        "mart_daily_summary": m.daily_summary,
+        "mart_renewables_price_impact": m.price_impact,
+        "mart_technology_mix": m.technology_mix,
+    }
+    return quality.data_checks(raw, marts)
+
+
+def q_freshness(spark, sf_dir):
+    merged = upsert.merged_table(_merge(spark, sf_dir))
+    return comparable(quality.freshness(merged, as_of=fixtures.FRESHNESS_AS_OF))
+
+
 QUERIES: dict[str, Query] = {
+    "payload_explode": q_payload_explode,
+    "normalise": q_normalise,
+    "ingest_rejects": q_ingest_rejects,
+    "duplicate_keys": q_duplicate_keys,
+    "accepted": q_accepted,
+    "run_status": q_run_status,
+    "window_filter": q_window_filter,
+    "registry_coverage": q_registry_coverage,
+    "catalogue_search": q_catalogue_search,
+    "upsert": q_upsert,
+    "upsert_counts": q_upsert_counts,
     "hourly_price": q_hourly_price,
     "generation_long": q_generation_long,
     "hourly_generation": q_hourly_generation,
@@ -156,4 +267,6 @@ QUERIES: dict[str, Query] = {
     "negative_price_days": q_negative_price_days,
     "mix_monthly_pct": q_mix_monthly_pct,
     "mix_monthly_mwh": q_mix_monthly_mwh,
+    "data_checks": q_data_checks,
+    "freshness": q_freshness,
 }

@@ -104,7 +104,7 @@ CATALOGUE = T.StructType(
         T.StructField(
             "indicators",
             T.ArrayType(
-                T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())])
+                T.StructType([T.StructField("id", T.LongType()), T.StructField("name", T.StringType())])
             ),
         )
     ]

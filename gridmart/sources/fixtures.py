@@ -61,3 +61,117 @@ def observations(events: DataFrame) -> DataFrame:
 
 def load_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return observations(read_events(spark, sf_dir))
+
+
+def raw_table(events: DataFrame) -> DataFrame:
+    """The observation fixture as a loaded raw table (audit columns = first load)."""
+    first = F.lit(FIRST_LOAD_TS).cast("timestamp")
+    return observations(events).withColumn("extracted_at", first).withColumn("updated_at", first)
+
+
+# --- ingest fixture: observations rendered as landed payload documents --------
+#
+# Every observation becomes one payload item. Deterministic variations exercise
+# the normalisation rules: one item in six carries only a naive ``datetime``
+# (empty ``datetime_utc``), one in six an explicit "+00:00" offset, one in nine
+# no geo_id. Three indicators are corrupted so they must be rejected whole:
+# 10004 gets non-numeric values, 2051 unparsable times, 2040 duplicated keys.
+
+_ISO_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+_ISO_OFFSET = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
+_ISO_NAIVE = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+DOC_CHUNK = 64  # items per landed document (bounded group size)
+
+
+def payload_items(events: DataFrame) -> DataFrame:
+    """(event_id, indicator_id, value, datetime, datetime_utc, geo_id) as the API would send them."""
+    o = observations_with_id(events)
+    eid, ind, ts = F.col("event_id"), F.col("indicator_id"), F.col("datetime_utc")
+    value = (
+        F.when((ind == 10004) & (eid % 101 == 0), F.lit("n/a")).otherwise(F.col("value").cast("string"))
+    )
+    dt_utc = (
+        F.when((ind == 2051) & (eid % 103 == 0), F.lit("not-a-date"))
+        .when(eid % 6 == 0, F.lit(""))
+        .when(eid % 6 == 1, F.date_format(ts, _ISO_OFFSET))
+        .otherwise(F.date_format(ts, _ISO_Z))
+    )
+    naive = F.when(eid % 6 == 0, F.date_format(ts, _ISO_NAIVE))
+    geo = F.when(eid % 9 != 0, F.col("geo_id"))
+    items = o.select(
+        "event_id",
+        "indicator_id",
+        value.alias("value"),
+        naive.alias("datetime"),
+        dt_utc.alias("datetime_utc"),
+        geo.alias("geo_id"),
+    )
+    dups = o.where((ind == 2040) & (eid % 89 == 0)).select(
+        "event_id",
+        "indicator_id",
+        (F.col("value") + F.lit(1)).cast("string").alias("value"),
+        F.lit(None).cast("string").alias("datetime"),
+        F.date_format(ts, _ISO_Z).alias("datetime_utc"),
+        geo.alias("geo_id"),
+    )
+    return items.unionByName(dups)
+
+
+def payload_documents(events: DataFrame) -> DataFrame:
+    """Items grouped into JSON documents of at most ``DOC_CHUNK`` events per indicator.
+
+    Output: (indicator_id, payload) — ``payload`` is the API's JSON text.
+    """
+    items = payload_items(events)
+    item = F.struct("value", "datetime", "datetime_utc", "geo_id")
+    doc = F.struct(F.struct(F.collect_list(item).alias("values")).alias("indicator"))
+    return items.groupBy("indicator_id", F.expr(f"event_id div {DOC_CHUNK}").alias("chunk")).agg(
+        F.to_json(doc).alias("payload")
+    ).drop("chunk")
+
+
+# --- catalogue fixture ---------------------------------------------------------
+
+
+def catalogue_documents(events: DataFrame) -> DataFrame:
+    """Catalogue JSON documents whose entries come from events (id, "<type> <user> <props>").
+
+    One entry in thirteen has no name. Documents hold at most ``DOC_CHUNK`` entries.
+    """
+    eid = F.col("event_id")
+    name = F.when(eid % 13 != 0, F.concat_ws(" ", "event_type", F.col("user_id").cast("string"), "props"))
+    entries = events.select(eid.alias("id"), name.alias("name"), eid)
+    doc = F.struct(F.collect_list(F.struct("id", "name")).alias("indicators"))
+    return entries.groupBy(F.expr(f"event_id div {DOC_CHUNK}")).agg(F.to_json(doc).alias("payload")).select(
+        "payload"
+    )
+
+
+# --- upsert fixture --------------------------------------------------------------
+#
+# Target = the raw table after a first load (two thirds of the observations);
+# source = a revised batch overlapping it: new keys, untouched target keys,
+# changed values, value -> NULL, NULL -> value and unchanged values.
+
+
+def upsert_target(events: DataFrame) -> DataFrame:
+    first = F.lit(FIRST_LOAD_TS).cast("timestamp")
+    return (
+        observations_with_id(events)
+        .where(F.col("event_id") % 3 != 0)
+        .select("indicator_id", "datetime_utc", "geo_id", "value",
+                first.alias("extracted_at"), first.alias("updated_at"))
+    )
+
+
+def upsert_source(events: DataFrame) -> DataFrame:
+    o = observations_with_id(events).where(F.col("event_id") % 3 != 1)
+    eid, v = F.col("event_id"), F.col("value")
+    revised = (
+        F.when(eid % 11 == 0, F.lit(None).cast(VALUE_TYPE))
+        .when(v.isNull(), F.lit(1.5).cast(VALUE_TYPE))
+        .when(eid % 7 == 0, v + F.lit(1))
+        .otherwise(v)
+        .cast(VALUE_TYPE)
+    )
+    return o.select("indicator_id", "datetime_utc", "geo_id", revised.alias("value"))
