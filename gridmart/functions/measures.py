@@ -12,7 +12,10 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-HUNDRED = F.lit(100.0).cast("decimal(4,1)")
+
+def _hundred() -> Column:
+    """The literal 100.0 as decimal(4,1), like SQL's ``100.0``."""
+    return F.lit(100.0).cast("decimal(4,1)")
 
 
 def _c(x: Column | str) -> Column:
@@ -36,13 +39,13 @@ def coalesced_sum(cols: Iterable[Column | str]) -> Column:
 def share_if_positive(part: Column | str, total: Column | str, digits: int = 1) -> Column:
     """100·part/total rounded, only when total > 0 (else NULL) — the hourly guard."""
     part, total = _c(part), _c(total)
-    return F.when(total > 0, F.round(HUNDRED * part / total, digits))
+    return F.when(total > 0, F.round(_hundred() * part / total, digits))
 
 
 def share_nonzero(part: Column | str, total: Column | str, digits: int = 1) -> Column:
     """100·part/nullif(total, 0) rounded — the daily/monthly guard (negatives pass)."""
     part, total = _c(part), _c(total)
-    return F.round(HUNDRED * part / F.nullif(total, F.lit(0)), digits)
+    return F.round(_hundred() * part / F.nullif(total, F.lit(0)), digits)
 
 
 def bucket(x: Column | str, bounds: Iterable[tuple[float, str]], top: str) -> Column:
