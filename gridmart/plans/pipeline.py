@@ -174,10 +174,11 @@ def run(
     root: str,
     run_ts: dt.datetime | None = None,
     full_refresh: bool = False,
+    multiline: bool = True,
 ) -> RunResult:
     """Daily run: landed payloads -> raw upsert -> marts (incremental unless ``full_refresh``)."""
     layout = Layout(root)
-    items = payload.explode_payload(payload.read_payload_files(spark, landing_path))
+    items = payload.explode_payload(payload.read_payload_files(spark, landing_path, multiline))
     result = ingest_items(spark, items, layout, run_ts)
     refresh_marts(spark, layout, None if full_refresh else result.changed_days)
     return result

@@ -28,8 +28,10 @@ from gridmart.sources import payload
 LANDED = T.StructType(PAYLOAD.fields + [T.StructField("indicator_id", T.IntegerType())])
 
 
-def read_landing_stream(spark: SparkSession, landing_path: str, max_files: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(LANDED).option("multiLine", "true")
+def read_landing_stream(
+    spark: SparkSession, landing_path: str, max_files: int | None = None, multiline: bool = True
+) -> DataFrame:
+    reader = spark.readStream.schema(LANDED).option("multiLine", str(multiline).lower())
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.json(landing_path)
@@ -58,13 +60,14 @@ def start(
     processing_time: str | None = None,
     refresh_marts: bool = True,
     log: list | None = None,
+    multiline: bool = True,
 ) -> StreamingQuery:
     """Start the ingest stream; returns the running query."""
     ensure_utc(spark)
     layout = pipeline.Layout(root)
     checkpoint = checkpoint or f"{checkpoint_dir(spark)}/gridmart-ingest-stream"
     writer = (
-        read_landing_stream(spark, landing_path)
+        read_landing_stream(spark, landing_path, multiline=multiline)
         .writeStream.foreachBatch(_process(layout, refresh_marts, log))
         .option("checkpointLocation", checkpoint)
     )
