@@ -12,9 +12,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.functions.calendar import local_parts, to_local
+from gridmart.functions.calendar import hour_utc, local_parts, to_local
 from gridmart.functions.measures import coalesced_sum, share_if_positive
-from gridmart.schemas import RENEWABLE_COLUMNS
+from gridmart.schemas import GENERATION_COLUMNS, PRICE_INDICATOR, RENEWABLE_COLUMNS, SPAIN_GEO
 
 GENERATION_ORDER = (
     "wind_mwh",
@@ -27,15 +27,9 @@ GENERATION_ORDER = (
 )
 
 
-def hourly_market(prices: DataFrame, generation: DataFrame) -> DataFrame:
-    """Every priced hour with its generation mix and renewable metrics.
-
-    renewable_mwh counts a missing technology as 0; renewable_pct is rounded to
-    one decimal and NULL unless the hour's total is positive.
-    """
+def _market_columns(hours: DataFrame) -> DataFrame:
     renewable = coalesced_sum(RENEWABLE_COLUMNS)
-    joined = prices.join(generation, on="hour_utc", how="left")
-    return joined.select(
+    return hours.select(
         "hour_utc",
         "price_eur_mwh",
         *GENERATION_ORDER,
@@ -44,6 +38,37 @@ def hourly_market(prices: DataFrame, generation: DataFrame) -> DataFrame:
     )
 
 
+def hourly_market(prices: DataFrame, generation: DataFrame) -> DataFrame:
+    """Every priced hour with its generation mix and renewable metrics (join form).
+
+    Left join of the hourly price onto the hourly generation pivot — the form
+    to use when both staging tables are stored. renewable_mwh counts a missing
+    technology as 0; renewable_pct is rounded to one decimal and NULL unless the
+    hour's total is positive.
+    """
+    return _market_columns(prices.join(generation, on="hour_utc", how="left"))
+
+
+def hourly_market_from_raw(raw: DataFrame, geo_id: int = SPAIN_GEO) -> DataFrame:
+    """Same result as ``hourly_market(hourly_price(raw), hourly_generation(raw))`` in one pass.
+
+    Price and generation readings of an hour are aggregated together with
+    filtered aggregates (mean of the non-NULL prices, per-technology sums, the
+    six-technology total): one scan, one shuffle, no join. Keeping only hours
+    with a price reproduces the left join; an hour with price but no generation
+    rows gets NULL generation, exactly as the join does.
+    """
+    ind, value = F.col("indicator_id"), F.col("value")
+    gen_ids = list(GENERATION_COLUMNS)
+    rows = raw.where((F.col("geo_id") == geo_id) & ind.isin([PRICE_INDICATOR, *gen_ids]))
+    hours = rows.groupBy(hour_utc("datetime_utc").alias("hour_utc")).agg(
+        F.avg(F.when(ind == PRICE_INDICATOR, value)).alias("price_eur_mwh"),
+        *[F.sum(F.when(ind == k, value)).alias(name) for k, name in GENERATION_COLUMNS.items()],
+        F.sum(F.when(ind.isin(gen_ids), value)).alias("total_mwh"),
+    )
+    return _market_columns(hours.where(F.col("price_eur_mwh").isNotNull()))
+
+
 def fct_hourly_market(market: DataFrame) -> DataFrame:
     """Hourly fact: hours with both a price and a generation total, plus calendars.
 

@@ -1,44 +1,58 @@
 """The model graph as one composition: raw -> staging -> hourly -> fact -> marts.
 
-``build_models`` returns lazily-planned DataFrames; nothing runs until an
-action. The batch pipeline writes the fact and daily marts and derives the
-rest from the written daily table; queries read them straight from the plan.
+``build_models`` returns a lazy graph: each model DataFrame is built (and
+analysed) only when first asked for, then reused, so a query that needs the
+hourly price does not pay for planning the monthly mart. Nothing executes
+until an action. The batch pipeline writes the fact and daily marts and
+derives the rest from the written daily table; queries use the plan directly.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 
 from gridmart.operators import market, marts, staging
 
 
-@dataclass(frozen=True)
 class Models:
-    hourly_price: DataFrame
-    generation_long: DataFrame
-    hourly_generation: DataFrame
-    hourly_market: DataFrame
-    fct_hourly_market: DataFrame
-    daily_summary: DataFrame
-    price_impact: DataFrame
-    technology_mix: DataFrame
+    def __init__(self, raw: DataFrame):
+        self.raw = raw
+
+    @cached_property
+    def hourly_price(self) -> DataFrame:
+        return staging.hourly_price(self.raw)
+
+    @cached_property
+    def generation_long(self) -> DataFrame:
+        return staging.generation_long(self.raw)
+
+    @cached_property
+    def hourly_generation(self) -> DataFrame:
+        return staging.hourly_generation(self.raw)
+
+    @cached_property
+    def hourly_market(self) -> DataFrame:
+        # One filtered aggregation over raw instead of two aggregations + a join.
+        return market.hourly_market_from_raw(self.raw)
+
+    @cached_property
+    def fct_hourly_market(self) -> DataFrame:
+        return market.fct_hourly_market(self.hourly_market)
+
+    @cached_property
+    def daily_summary(self) -> DataFrame:
+        return marts.daily_summary(self.fct_hourly_market)
+
+    @cached_property
+    def price_impact(self) -> DataFrame:
+        return marts.price_impact(self.daily_summary)
+
+    @cached_property
+    def technology_mix(self) -> DataFrame:
+        return marts.technology_mix(self.daily_summary)
 
 
 def build_models(raw: DataFrame) -> Models:
-    prices = staging.hourly_price(raw)
-    gen = staging.hourly_generation(raw)
-    hm = market.hourly_market(prices, gen)
-    fct = market.fct_hourly_market(hm)
-    daily = marts.daily_summary(fct)
-    return Models(
-        hourly_price=prices,
-        generation_long=staging.generation_long(raw),
-        hourly_generation=gen,
-        hourly_market=hm,
-        fct_hourly_market=fct,
-        daily_summary=daily,
-        price_impact=marts.price_impact(daily),
-        technology_mix=marts.technology_mix(daily),
-    )
+    return Models(raw)

@@ -34,8 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.operators import ingest, marts, quality, upsert
-from gridmart.operators.market import fct_hourly_market, hourly_market
-from gridmart.operators.staging import hourly_generation, hourly_price
+from gridmart.operators.market import fct_hourly_market, hourly_market_from_raw
 from gridmart.schemas import RAW_KEYS, RAW_PARTITION, RAW_TABLE
 from gridmart.session import checkpoint_dir, ensure_utc
 from gridmart.sources import payload, tables
@@ -130,7 +129,7 @@ def refresh_marts(
             return {n: spark.read.parquet(layout.mart(n)) for n in MART_NAMES}
         raw = raw.where(F.col(RAW_PARTITION).isin(days))
     obs = raw.select(*RAW_KEYS, "value")
-    fresh = fct_hourly_market(hourly_market(hourly_price(obs), hourly_generation(obs)))
+    fresh = fct_hourly_market(hourly_market_from_raw(obs))
     if incremental:
         kept = spark.read.parquet(fct_path).where(~F.col("date_utc").isin(days))
         fresh = kept.unionByName(fresh)

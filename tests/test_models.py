@@ -190,3 +190,17 @@ def test_report_window_bounds(spark):
 def test_staging_filters_other_geographies(spark):
     t = T(2024, 1, 3, 10, 0)
     assert staging.hourly_price(obs(spark, [(PRICE, t, 1, 5)])).count() == 0
+
+
+def test_fused_market_equals_join_form(spark):
+    from gridmart.operators import market
+    from gridmart.sources import fixtures
+
+    from conftest import SF01
+
+    raw = fixtures.load_observations(spark, SF01)
+    joined = market.hourly_market(staging.hourly_price(raw), staging.hourly_generation(raw))
+    fused = market.hourly_market_from_raw(raw)
+    assert joined.schema == fused.schema
+    assert joined.exceptAll(fused).count() == 0 and fused.exceptAll(joined).count() == 0
+    assert fused.count() == 973
