@@ -75,8 +75,8 @@ def indicator_checks(normalised: DataFrame) -> DataFrame:
         F.count_if("bad_value").alias("bad_values"),
     )
     dups = duplicate_keys(normalised).groupBy("indicator_id").agg(F.count(F.lit(1)).alias("duplicate_keys"))
-    # Both sides hold at most one row per indicator id.
-    return per_ind.join(F.broadcast(dups), "indicator_id", "left").select(
+    # Both sides hold one row per indicator id; AQE broadcasts from the measured size.
+    return per_ind.join(dups, "indicator_id", "left").select(
         "indicator_id",
         "staged_rows",
         "bad_times",
@@ -94,9 +94,11 @@ def rejected_indicators(checks: DataFrame) -> DataFrame:
 def accepted(normalised: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows of indicators that passed, as clean observations.
 
-    ``rejected`` has at most one row per registry indicator, so it is broadcast.
+    ``rejected`` holds one row per failed indicator; the anti join is planned by
+    AQE from its measured size (a broadcast for any realistic registry, a
+    shuffle join otherwise).
     """
-    return normalised.join(F.broadcast(rejected.select("indicator_id")), "indicator_id", "left_anti").select(
+    return normalised.join(rejected.select("indicator_id"), "indicator_id", "left_anti").select(
         "indicator_id", "datetime_utc", "geo_id", "value"
     )
 
@@ -133,7 +135,7 @@ def run_status(spark: SparkSession, checks: DataFrame) -> DataFrame:
     """
     failed = (F.col("bad_times") > 0) | (F.col("bad_values") > 0) | (F.col("duplicate_keys") > 0)
     any_failed = checks.agg(F.coalesce(F.max(failed.cast("int")), F.lit(0)).alias("s")).scalar()
-    return registry(spark).join(F.broadcast(checks), "indicator_id", "left").select(
+    return registry(spark).join(checks, "indicator_id", "left").select(
         "indicator_id",
         "slug",
         F.coalesce("staged_rows", F.lit(0)).cast("bigint").alias("staged_rows"),

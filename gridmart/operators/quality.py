@@ -64,7 +64,7 @@ def unique_failures(df: DataFrame, model: str, column: str) -> DataFrame:
 
 def data_checks(raw: DataFrame, marts: dict[str, DataFrame]) -> DataFrame:
     """All declared tests: 4 source not_null + 4 unique + 9 not_null on the marts = 17 rows."""
-    parts = [not_null_counts(raw, "esios_indicator_values", SOURCE_NOT_NULL)]
+    parts = [not_null_counts(raw, "indicator_values", SOURCE_NOT_NULL)]
     by_model: dict[str, list[str]] = {}
     for model, column, tests in MART_TESTS:
         if "unique" in tests:

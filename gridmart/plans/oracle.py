@@ -370,10 +370,10 @@ def _unique(model: str, rel: str, col: str) -> str:
 
 
 _CHECKS = [
-    _not_null("esios_indicator_values", "raw_fx", "indicator_id"),
-    _not_null("esios_indicator_values", "raw_fx", "datetime_utc"),
-    _not_null("esios_indicator_values", "raw_fx", "geo_id"),
-    _not_null("esios_indicator_values", "raw_fx", "extracted_at"),
+    _not_null("indicator_values", "raw_fx", "indicator_id"),
+    _not_null("indicator_values", "raw_fx", "datetime_utc"),
+    _not_null("indicator_values", "raw_fx", "geo_id"),
+    _not_null("indicator_values", "raw_fx", "extracted_at"),
     _unique("fct_hourly_market", "fct", "hour_utc"),
     _not_null("fct_hourly_market", "fct", "hour_utc"),
     _not_null("fct_hourly_market", "fct", "price_eur_mwh"),

@@ -26,13 +26,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staging writes.
 
     Read from ``spark.checkpoint.dir`` (what the cluster names). Only when it is
-    unset — local runs and tests — a scratch folder is created and registered.
+    unset on a local master — local runs and tests — a scratch folder is created
+    and registered; on a cluster an unset value is an error, never a
+    machine-local folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     local = tempfile.mkdtemp(prefix="gridmart-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
