@@ -67,12 +67,19 @@ def duplicate_keys(staged: DataFrame) -> DataFrame:
     )
 
 
-def indicator_checks(normalised: DataFrame) -> DataFrame:
-    """Per indicator: staged rows, malformed times/values and duplicated keys."""
+def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFrame:
+    """Per indicator: staged rows, malformed times/values and duplicated keys.
+
+    ``with_days`` adds the sorted UTC days the indicator's rows fall on (a set
+    bounded by the batch's day span), so a loader learns which raw partitions
+    it touches in the same pass.
+    """
+    extra = [F.array_sort(F.collect_set(F.to_date("datetime_utc"))).alias("days")] if with_days else []
     per_ind = normalised.groupBy("indicator_id").agg(
         F.count(F.lit(1)).alias("staged_rows"),
         F.count_if("bad_time").alias("bad_times"),
         F.count_if("bad_value").alias("bad_values"),
+        *extra,
     )
     dups = duplicate_keys(normalised).groupBy("indicator_id").agg(F.count(F.lit(1)).alias("duplicate_keys"))
     # Both sides hold one row per indicator id; AQE broadcasts from the measured size.
@@ -82,6 +89,7 @@ def indicator_checks(normalised: DataFrame) -> DataFrame:
         "bad_times",
         "bad_values",
         F.coalesce("duplicate_keys", F.lit(0)).cast("bigint").alias("duplicate_keys"),
+        *(["days"] if with_days else []),
     )
 
 
