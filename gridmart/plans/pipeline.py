@@ -102,6 +102,11 @@ def upsert_raw(
         return [], []
     target = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(days)).drop(RAW_PARTITION)
     plan = tables.with_partition(upsert.merge_plan(target, batch.drop(RAW_PARTITION), run_ts))
+    # Range-partition the merged rows by (day, indicator, geo, time): every task
+    # holds one contiguous slice, so files stay few and large per day, a hot day
+    # is split over several tasks instead of one, and rows come out sorted for
+    # tight Parquet row-group statistics.
+    plan = plan.repartitionByRange(RAW_PARTITION, "indicator_id", "geo_id", "datetime_utc")
     plan_path = f"{work}/merge_plan"
     plan.write.mode("overwrite").partitionBy(RAW_PARTITION).parquet(plan_path)
     plan = spark.read.parquet(plan_path)
@@ -126,9 +131,9 @@ def upsert_raw(
         for k in ("staged_rows", "inserted", "updated", "unchanged"):
             c[k] += r[k]
     if changed:
-        # Rows sorted within each file by indicator/geo/time keep Parquet
-        # row-group statistics tight, so indicator and geo filters skip row
-        # groups. No repartition by day: a hot day must not land in one task.
+        # The plan files are already one sorted time slice each; reading them
+        # back and writing needs no shuffle (and no per-day repartition that
+        # would put a hot day into one task).
         rows = plan.where(F.col(RAW_PARTITION).isin(changed)).select(*RAW_TABLE.fieldNames(), RAW_PARTITION)
         (
             rows.sortWithinPartitions(RAW_PARTITION, "indicator_id", "geo_id", "datetime_utc")
@@ -156,11 +161,13 @@ def refresh_marts(
     obs = raw.select(*RAW_KEYS, "value")
     fresh = fct_hourly_market(hourly_market_from_raw(obs))
     if incremental:
+        # The old fact is read, so the new one is staged first, then copied over.
         kept = spark.read.parquet(fct_path).where(~F.col("date_utc").isin(days))
-        fresh = kept.unionByName(fresh)
-    staged_fct = f"{work}/fct_hourly_market"
-    fresh.write.mode("overwrite").parquet(staged_fct)
-    spark.read.parquet(staged_fct).write.mode("overwrite").parquet(fct_path)
+        staged_fct = f"{work}/fct_hourly_market"
+        kept.unionByName(fresh).write.mode("overwrite").parquet(staged_fct)
+        spark.read.parquet(staged_fct).write.mode("overwrite").parquet(fct_path)
+    else:
+        fresh.write.mode("overwrite").parquet(fct_path)
 
     fct = spark.read.parquet(fct_path)
     tables.write_table(marts.daily_summary(fct), layout.mart("mart_daily_summary"))
