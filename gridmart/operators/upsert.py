@@ -65,6 +65,20 @@ def merge_plan(target: DataFrame, source: DataFrame, run_ts: dt.datetime | Colum
     )
 
 
+def insert_plan(source: DataFrame, run_ts: dt.datetime | Column) -> DataFrame:
+    """Plan rows for keys known to be absent from the target (e.g. a day with no
+    stored partition yet): every row is an insert, no join needed."""
+    now = _ts(run_ts)
+    return source.select(
+        *RAW_KEYS,
+        "value",
+        now.alias("extracted_at"),
+        now.alias("updated_at"),
+        F.lit(INSERT).alias("op"),
+        F.lit(True).alias("staged"),
+    )
+
+
 def merged_table(plan: DataFrame) -> DataFrame:
     """The raw table after the merge (drops the bookkeeping columns)."""
     return plan.select(*RAW_KEYS, "value", "extracted_at", "updated_at")

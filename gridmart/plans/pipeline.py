@@ -100,8 +100,21 @@ def upsert_raw(
     days = sorted(days)
     if not days:
         return [], []
-    target = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(days)).drop(RAW_PARTITION)
-    plan = tables.with_partition(upsert.merge_plan(target, batch.drop(RAW_PARTITION), run_ts))
+    # Days without a stored partition cannot match anything: their rows are
+    # plain inserts and skip the join (backfills, and the newest day of a run).
+    stored_days = tables.existing_days(spark, raw_path)
+    merge_days = [d for d in days if d in stored_days]
+    new_days = [d for d in days if d not in stored_days]
+    parts = []
+    if merge_days:
+        target = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(merge_days))
+        source = batch.where(F.col(RAW_PARTITION).isin(merge_days))
+        parts.append(upsert.merge_plan(target.drop(RAW_PARTITION), source.drop(RAW_PARTITION), run_ts))
+    if new_days:
+        source = batch.where(F.col(RAW_PARTITION).isin(new_days)) if merge_days else batch
+        parts.append(upsert.insert_plan(source.drop(RAW_PARTITION), run_ts))
+    plan = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    plan = tables.with_partition(plan)
     # Range-partition the merged rows by (day, indicator, geo, time): every task
     # holds one contiguous slice, so files stay few and large per day, a hot day
     # is split over several tasks instead of one, and rows come out sorted for

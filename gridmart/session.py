@@ -49,8 +49,15 @@ def build_session(
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """Session for local runs and tests; on a cluster, pass ``master=None``."""
-    cpus = os.environ.get("BENCH_CPUS", "8")
+    """Session for local runs/tests (``master="local[N]"``) or a cluster (``master=None``).
+
+    Locally the shuffle width follows the core count. On a cluster the width,
+    executor sizing and ``spark.checkpoint.dir`` come from the cluster's own
+    configuration; if the shuffle width is unset there, a wide default is used
+    and AQE coalesces small stages (the hour/day/month marts) down to a few
+    tasks while large stages (the upsert join) keep ~128 MB partitions.
+    """
+    local = master is not None and master.startswith("local")
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
@@ -59,17 +66,25 @@ def build_session(
         "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions or cpus),
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.filterPushdown": "true",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
-        "spark.driver.memory": "8g",
     }
+    if local:
+        cpus = master[len("local["):-1] if master.startswith("local[") else "1"
+        cpus = os.environ.get("BENCH_CPUS", "8") if cpus == "*" else cpus
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
+        conf["spark.driver.memory"] = "8g"
+    elif shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    if not local and spark.conf.get("spark.sql.shuffle.partitions") == "200" and not shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", "4000")
     return ensure_utc(spark)

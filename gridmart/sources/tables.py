@@ -30,6 +30,22 @@ def raw_exists(spark: SparkSession, path: str) -> bool:
     return _hadoop_path_exists(spark, path)
 
 
+def existing_days(spark: SparkSession, path: str) -> set[dt.date]:
+    """Days that already have a raw partition (directory names only, no data read)."""
+    if not raw_exists(spark, path):
+        return set()
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    prefix = f"{RAW_PARTITION}="
+    days = set()
+    for status in fs.listStatus(jpath):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix):
+            days.add(dt.date.fromisoformat(name[len(prefix):]))
+    return days
+
+
 def provision_raw(spark: SparkSession, path: str) -> None:
     """Create the raw table (empty, typed, partitioned) if it does not exist yet."""
     if raw_exists(spark, path):

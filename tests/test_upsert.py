@@ -120,3 +120,16 @@ def test_stored_upsert_equals_pure_merge_on_fixture(spark, scratch):
     assert stored(spark, layout.root) == expected
     want = [r.asDict() for r in upsert.merge_counts(plan).collect()]
     assert sorted(counts, key=lambda c: c["indicator_id"]) == sorted(want, key=lambda c: c["indicator_id"])
+
+
+def test_new_days_skip_the_join(spark, scratch):
+    layout = pipeline.Layout(f"{scratch}/wh")
+    day1, day2 = T(2024, 5, 1, 10), T(2024, 5, 2, 10)
+    pipeline.upsert_raw(spark, layout.raw, source(spark, [(600, day1, 3, 1)]), RUN0, f"{scratch}/w1")
+    assert tables.existing_days(spark, layout.raw) == {day1.date()}
+    counts, changed = pipeline.upsert_raw(
+        spark, layout.raw, source(spark, [(600, day1, 3, 2), (600, day2, 3, 5)]), RUN1, f"{scratch}/w2")
+    assert changed == [day1.date(), day2.date()]
+    assert counts == [{"indicator_id": 600, "staged_rows": 2, "inserted": 1, "updated": 1, "unchanged": 0}]
+    got = stored(spark, layout.root)
+    assert got[(600, day1, 3)] == (D(2), RUN0, RUN1) and got[(600, day2, 3)] == (D(5), RUN1, RUN1)
