@@ -55,3 +55,18 @@ def test_sql_report_matches_dataframe_report(spark, stored, name):
 def test_views_registered(spark, stored):
     assert spark.table("int_hourly_market").count() > 0
     assert spark.sql("SELECT count(*) FROM gm_test_marts.fct_hourly_market").first()[0] > 0
+
+
+def test_serving_extracts_copy_every_mart(spark, stored, tmp_path):
+    from gridmart.sources import tables
+
+    written = tables.export_marts(spark, {n: stored.mart(n) for n in pipeline.MART_NAMES}, str(tmp_path / "extract"))
+    assert set(written) == set(pipeline.MART_NAMES)
+    for name, path in written.items():
+        assert _rows(spark.read.parquet(path)) == _rows(spark.read.parquet(stored.mart(name)))
+
+
+def test_bucket_labels_sort_in_band_order(spark, stored):
+    labels = [r.renewable_bucket for r in catalog.report(spark, "price_by_bucket", db="gm_test_marts").collect()]
+    order = ["0-20%", "20-40%", "40-60%", "60-80%", "> 80%"]
+    assert labels == [b for b in order if b in labels]
