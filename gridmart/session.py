@@ -70,6 +70,7 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
         "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
     }

@@ -61,13 +61,18 @@ def start(
     refresh_marts: bool = True,
     log: list | None = None,
     multiline: bool = True,
+    max_files_per_trigger: int | None = None,
 ) -> StreamingQuery:
-    """Start the ingest stream; returns the running query."""
+    """Start the ingest stream; returns the running query.
+
+    ``max_files_per_trigger`` bounds each micro-batch when a large backlog of
+    landed files is processed (a backfill becomes a sequence of bounded upserts).
+    """
     ensure_utc(spark)
     layout = pipeline.Layout(root)
     checkpoint = checkpoint or f"{checkpoint_dir(spark)}/gridmart-ingest-stream"
     writer = (
-        read_landing_stream(spark, landing_path, multiline=multiline)
+        read_landing_stream(spark, landing_path, max_files=max_files_per_trigger, multiline=multiline)
         .writeStream.foreachBatch(_process(layout, refresh_marts, log))
         .option("checkpointLocation", checkpoint)
     )

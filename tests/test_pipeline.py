@@ -96,10 +96,15 @@ def test_stream_ingests_new_files_only(spark, scratch):
     first = docs.where(F.col("indicator_id").isin(600, 2038))
     land(first, landing)
     log = []
-    q = ingest_stream.start(spark, landing, root, checkpoint=ckpt, log=log, multiline=False)
+    q = ingest_stream.start(spark, landing, root, checkpoint=ckpt, log=log, multiline=False,
+                            max_files_per_trigger=1)
     q.awaitTermination(300)
     raw = tables.read_raw(spark, pipeline.Layout(root).raw)
     n1 = raw.count()
+    import glob
+
+    landed = [f for f in glob.glob(f"{landing}/indicator_id=*/*") if not f.split("/")[-1].startswith((".", "_"))]
+    assert len(log) == len(landed)  # one bounded micro-batch per landed file
     assert n1 == first.select(F.explode(F.from_json("payload", "indicator struct<values: array<string>>")
                                         .getField("indicator").getField("values"))).count()
     assert log and log[0]["status"] == 0
