@@ -41,12 +41,12 @@ generation_long AS (
 ),
 hourly_generation AS (
   SELECT hour_utc,
-         sum(CASE WHEN indicator_id = 2038 THEN value_mwh END) AS wind_mwh,
-         sum(CASE WHEN indicator_id = 2040 THEN value_mwh END) AS coal_mwh,
-         sum(CASE WHEN indicator_id = 2041 THEN value_mwh END) AS combined_cycle_mwh,
-         sum(CASE WHEN indicator_id = 2042 THEN value_mwh END) AS hydro_mwh,
-         sum(CASE WHEN indicator_id = 2044 THEN value_mwh END) AS solar_pv_mwh,
-         sum(CASE WHEN indicator_id = 2051 THEN value_mwh END) AS cogen_residues_mwh,
+         sum(value_mwh) FILTER (WHERE indicator_id = 2038) AS wind_mwh,
+         sum(value_mwh) FILTER (WHERE indicator_id = 2040) AS coal_mwh,
+         sum(value_mwh) FILTER (WHERE indicator_id = 2041) AS combined_cycle_mwh,
+         sum(value_mwh) FILTER (WHERE indicator_id = 2042) AS hydro_mwh,
+         sum(value_mwh) FILTER (WHERE indicator_id = 2044) AS solar_pv_mwh,
+         sum(value_mwh) FILTER (WHERE indicator_id = 2051) AS cogen_residues_mwh,
          sum(value_mwh) AS total_mwh
   FROM generation_long
   GROUP BY hour_utc
@@ -92,7 +92,7 @@ daily AS (
          round(sum(total_mwh), 0) AS total_mwh,
          round(sum(renewable_mwh), 0) AS renewable_mwh,
          round(CAST(100.0 * sum(renewable_mwh) / nullif(sum(total_mwh), 0) AS DECIMAL(28,6)), 1) AS renewable_pct,
-         count(CASE WHEN price_eur_mwh < 0 THEN 1 END) AS negative_price_hours,
+         count(*) FILTER (WHERE price_eur_mwh < 0) AS negative_price_hours,
          round(max(price_eur_mwh) - min(price_eur_mwh), 2) AS price_range_eur_mwh
   FROM fct
   GROUP BY date_utc
@@ -135,7 +135,7 @@ mix AS (
          round(CAST(100.0 * sum(combined_cycle_mwh) / nullif(sum(total_mwh), 0) AS DECIMAL(28,6)), 1) AS combined_cycle_pct,
          round(CAST(100.0 * sum(cogen_residues_mwh) / nullif(sum(total_mwh), 0) AS DECIMAL(28,6)), 1) AS cogen_residues_pct,
          CAST(sum(negative_price_hours) AS BIGINT) AS total_negative_price_hours,
-         count(CASE WHEN negative_price_hours > 0 THEN 1 END) AS negative_price_days
+         count(*) FILTER (WHERE negative_price_hours > 0) AS negative_price_days
   FROM daily
   GROUP BY 1, 2, 3
 ),
@@ -314,8 +314,8 @@ checks AS (
          coalesce(d.duplicate_keys, 0) AS duplicate_keys,
          c.bad_times > 0 OR c.bad_values > 0 OR coalesce(d.duplicate_keys, 0) > 0 AS failed
   FROM (SELECT indicator_id, count(*) AS staged_rows,
-               count(CASE WHEN bad_time THEN 1 END) AS bad_times,
-               count(CASE WHEN bad_value THEN 1 END) AS bad_values
+               count(*) FILTER (WHERE bad_time) AS bad_times,
+               count(*) FILTER (WHERE bad_value) AS bad_values
         FROM norm GROUP BY 1) c
   LEFT JOIN (SELECT indicator_id, count(*) AS duplicate_keys FROM dups GROUP BY 1) d USING (indicator_id)
 ),
@@ -361,7 +361,7 @@ def _with_all(body: str) -> str:
 
 def _not_null(model: str, rel: str, col: str) -> str:
     return (f"SELECT '{model}' AS model, '{col}' AS column_name, 'not_null' AS test_name, "
-            f"count(CASE WHEN {col} IS NULL THEN 1 END) AS failures FROM {rel}")
+            f"count(*) FILTER (WHERE {col} IS NULL) AS failures FROM {rel}")
 
 
 def _unique(model: str, rel: str, col: str) -> str:
@@ -437,9 +437,9 @@ SQL.update({
     ),
     "upsert_counts": _with_all(
         """SELECT indicator_id, count(*) AS staged_rows,
-                  count(CASE WHEN op = 'insert' THEN 1 END) AS inserted,
-                  count(CASE WHEN op = 'update' THEN 1 END) AS updated,
-                  count(CASE WHEN op = 'keep' THEN 1 END) AS unchanged
+                  count(*) FILTER (WHERE op = 'insert') AS inserted,
+                  count(*) FILTER (WHERE op = 'update') AS updated,
+                  count(*) FILTER (WHERE op = 'keep') AS unchanged
            FROM merge_plan WHERE staged GROUP BY indicator_id"""
     ),
     "freshness": _with_all(
