@@ -28,7 +28,7 @@ def _session(args):
 
 def cmd_ingest(args) -> int:
     from gridmart.operators import ingest
-    from gridmart.plans import pipeline
+    from gridmart.plans import warehouse
     from gridmart.sources import payload
 
     spark = _session(args)
@@ -38,10 +38,10 @@ def cmd_ingest(args) -> int:
     # items whose time is unreadable stay, so they still reject their indicator.
     norm_ts = F.coalesce(F.nullif(F.col("datetime_utc"), F.lit("")), F.col("datetime")).try_cast("timestamp")
     items = items.where(norm_ts.isNull() | ((norm_ts >= F.lit(start)) & (norm_ts < F.lit(end))))
-    layout = pipeline.Layout(args.root)
-    result = pipeline.ingest_items(spark, items, layout)
+    layout = warehouse.Layout(args.root)
+    result = warehouse.ingest_items(spark, items, layout)
     if not args.no_build:
-        pipeline.refresh_marts(spark, layout, result.changed_days)
+        warehouse.refresh_marts(spark, layout, result.changed_days)
     print(json.dumps({"window": [str(start), str(end)], "status": result.status, "checks": result.checks,
                       "counts": result.counts, "changed_days": [str(d) for d in result.changed_days]},
                      default=str))
@@ -49,17 +49,17 @@ def cmd_ingest(args) -> int:
 
 
 def cmd_build(args) -> int:
-    from gridmart.plans import pipeline
+    from gridmart.plans import warehouse
 
-    pipeline.refresh_marts(_session(args), pipeline.Layout(args.root), None)
+    warehouse.refresh_marts(_session(args), warehouse.Layout(args.root), None)
     return 0
 
 
 def cmd_test(args) -> int:
-    from gridmart.plans import pipeline
+    from gridmart.plans import warehouse
 
     spark = _session(args)
-    checks, fresh = pipeline.checks_report(spark, pipeline.Layout(args.root))
+    checks, fresh = warehouse.checks_report(spark, warehouse.Layout(args.root))
     rows = [r.asDict() for r in checks.collect()]  # 17 rows
     f = fresh.first().asDict()
     print(json.dumps({"tests": rows, "freshness": f}, default=str))
@@ -68,10 +68,10 @@ def cmd_test(args) -> int:
 
 
 def cmd_report(args) -> int:
-    from gridmart.plans import catalog, pipeline
+    from gridmart.plans import catalog, warehouse
 
     spark = _session(args)
-    catalog.register(spark, pipeline.Layout(args.root), db=args.db)
+    catalog.register(spark, warehouse.Layout(args.root), db=args.db)
     as_of = f"DATE'{args.as_of}'" if args.as_of else "current_date()"
     catalog.report(spark, args.name, db=args.db, as_of=as_of).show(args.rows, truncate=False)
     return 0

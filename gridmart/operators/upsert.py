@@ -13,7 +13,7 @@ Semantics (matched on indicator_id, datetime_utc, geo_id):
 presence markers (so a NULL source value is distinguishable from "no source
 row") and a null-safe comparison. The I/O form that restricts the target to the
 batch's partitions and rewrites only changed partitions lives in
-``gridmart.plans.pipeline``.
+``gridmart.plans.warehouse``.
 """
 
 from __future__ import annotations

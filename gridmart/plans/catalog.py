@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmart.plans.models import build_models
-from gridmart.plans.pipeline import MART_NAMES, Layout
+from gridmart.plans.warehouse import MART_NAMES, Layout
 from gridmart.schemas import RAW_KEYS
 from gridmart.sources import tables
 

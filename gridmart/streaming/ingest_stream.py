@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gridmart.plans import pipeline
+from gridmart.plans import warehouse
 from gridmart.schemas import PAYLOAD
 from gridmart.session import checkpoint_dir, ensure_utc
 from gridmart.sources import payload
@@ -37,14 +37,14 @@ def read_landing_stream(
     return reader.json(landing_path)
 
 
-def _process(layout: pipeline.Layout, refresh: bool, log: list | None):
+def _process(layout: warehouse.Layout, refresh: bool, log: list | None):
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         items = payload.explode_payload(batch)
         run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        result = pipeline.ingest_items(spark, items, layout, run_ts)
+        result = warehouse.ingest_items(spark, items, layout, run_ts)
         if refresh:
-            pipeline.refresh_marts(spark, layout, result.changed_days)
+            warehouse.refresh_marts(spark, layout, result.changed_days)
         if log is not None:
             log.append({"epoch": epoch_id, "status": result.status, "changed_days": result.changed_days})
 
@@ -69,7 +69,7 @@ def start(
     landed files is processed (a backfill becomes a sequence of bounded upserts).
     """
     ensure_utc(spark)
-    layout = pipeline.Layout(root)
+    layout = warehouse.Layout(root)
     checkpoint = checkpoint or f"{checkpoint_dir(spark)}/gridmart-ingest-stream"
     writer = (
         read_landing_stream(spark, landing_path, max_files=max_files_per_trigger, multiline=multiline)

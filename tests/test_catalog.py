@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 
 from gridmart.operators import reports
-from gridmart.plans import catalog, pipeline
+from gridmart.plans import catalog, warehouse
 from gridmart.sources import fixtures
 
 from conftest import SF001
@@ -16,8 +16,8 @@ def stored(spark, tmp_path_factory):
     root = str(tmp_path_factory.mktemp("catalog"))
     docs = fixtures.payload_documents(fixtures.read_events(spark, SF001))
     docs.write.mode("overwrite").partitionBy("indicator_id").text(f"{root}/landing")
-    pipeline.run(spark, f"{root}/landing", f"{root}/wh", dt.datetime(2025, 1, 2, 6, 15), multiline=False)
-    layout = pipeline.Layout(f"{root}/wh")
+    warehouse.run(spark, f"{root}/landing", f"{root}/wh", dt.datetime(2025, 1, 2, 6, 15), multiline=False)
+    layout = warehouse.Layout(f"{root}/wh")
     catalog.register(spark, layout, db="gm_test_marts")
     return layout
 
@@ -29,7 +29,7 @@ def _rows(df):
 
 @pytest.mark.parametrize("name", sorted(catalog.REPORT_SQL))
 def test_sql_report_matches_dataframe_report(spark, stored, name):
-    marts = {n: spark.read.parquet(stored.mart(n)) for n in pipeline.MART_NAMES}
+    marts = {n: spark.read.parquet(stored.mart(n)) for n in warehouse.MART_NAMES}
     daily, fct = marts["mart_daily_summary"], marts["fct_hourly_market"]
     impact, mix = marts["mart_renewables_price_impact"], marts["mart_technology_mix"]
     as_of = daily.agg({"date_utc": "max"}).first()[0]
@@ -60,8 +60,8 @@ def test_views_registered(spark, stored):
 def test_serving_extracts_copy_every_mart(spark, stored, tmp_path):
     from gridmart.sources import tables
 
-    written = tables.export_marts(spark, {n: stored.mart(n) for n in pipeline.MART_NAMES}, str(tmp_path / "extract"))
-    assert set(written) == set(pipeline.MART_NAMES)
+    written = tables.export_marts(spark, {n: stored.mart(n) for n in warehouse.MART_NAMES}, str(tmp_path / "extract"))
+    assert set(written) == set(warehouse.MART_NAMES)
     for name, path in written.items():
         assert _rows(spark.read.parquet(path)) == _rows(spark.read.parquet(stored.mart(name)))
 

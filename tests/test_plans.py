@@ -7,7 +7,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from gridmart.operators import market, staging
-from gridmart.plans import pipeline
+from gridmart.plans import warehouse
 from gridmart.sources import tables
 
 D0 = dt.datetime(2024, 5, 1)
@@ -20,7 +20,7 @@ def plan_text(df) -> str:
 def stored_raw(spark, root, rows):
     rows = [(i, t, g, Decimal(v)) for i, t, g, v in rows]
     df = spark.createDataFrame(rows, "indicator_id int, datetime_utc timestamp, geo_id int, value decimal(18,6)")
-    pipeline.upsert_raw(spark, f"{root}/raw", df, D0, f"{root}/w")
+    warehouse.upsert_raw(spark, f"{root}/raw", df, D0, f"{root}/w")
     return tables.read_raw(spark, f"{root}/raw")
 
 

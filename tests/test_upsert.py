@@ -4,7 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 from gridmart.operators import upsert
-from gridmart.plans import pipeline
+from gridmart.plans import warehouse
 from gridmart.sources import tables
 
 D = Decimal
@@ -53,28 +53,28 @@ def test_geo_is_part_of_the_key(spark):
 def stored(spark, root):
     return {
         (r.indicator_id, r.datetime_utc, r.geo_id): (r.value, r.extracted_at, r.updated_at)
-        for r in tables.read_raw(spark, pipeline.Layout(root).raw).collect()
+        for r in tables.read_raw(spark, warehouse.Layout(root).raw).collect()
     }
 
 
 def test_stored_upsert_rewrites_only_changed_days(spark, scratch):
-    layout = pipeline.Layout(f"{scratch}/wh")
+    layout = warehouse.Layout(f"{scratch}/wh")
     work = f"{scratch}/work"
     day1, day2 = T(2024, 5, 1, 10), T(2024, 5, 2, 10)
     first = source(spark, [(600, day1, 3, 1), (600, day2, 3, 2), (2038, day2, 3, None)])
-    counts, changed = pipeline.upsert_raw(spark, layout.raw, first, RUN0, work + "1")
+    counts, changed = warehouse.upsert_raw(spark, layout.raw, first, RUN0, work + "1")
     assert changed == [day1.date(), day2.date()]
     assert sorted(c["inserted"] for c in counts) == [1, 2]
     before = stored(spark, layout.root)
 
     # Same batch again: nothing changes, no partition is rewritten (idempotent rerun).
-    _, changed = pipeline.upsert_raw(spark, layout.raw, first, RUN1, work + "2")
+    _, changed = warehouse.upsert_raw(spark, layout.raw, first, RUN1, work + "2")
     assert changed == [] and stored(spark, layout.root) == before
 
     # Revision on day 2 only (NULL -> value); day 1 untouched, a new day 3 inserted.
     day3 = T(2024, 5, 3, 0)
     rev = source(spark, [(2038, day2, 3, 4), (600, day3, 3, 8)])
-    _, changed = pipeline.upsert_raw(spark, layout.raw, rev, RUN2, work + "3")
+    _, changed = warehouse.upsert_raw(spark, layout.raw, rev, RUN2, work + "3")
     assert changed == [day2.date(), day3.date()]
     after = stored(spark, layout.root)
     assert after[(600, day1, 3)] == before[(600, day1, 3)]
@@ -85,17 +85,17 @@ def test_stored_upsert_rewrites_only_changed_days(spark, scratch):
 
 
 def test_empty_batch_is_a_noop(spark, scratch):
-    layout = pipeline.Layout(f"{scratch}/wh")
-    counts, changed = pipeline.upsert_raw(spark, layout.raw, source(spark, []), RUN0, f"{scratch}/w")
+    layout = warehouse.Layout(f"{scratch}/wh")
+    counts, changed = warehouse.upsert_raw(spark, layout.raw, source(spark, []), RUN0, f"{scratch}/w")
     assert changed == [] and counts == []
     assert tables.raw_exists(spark, layout.raw)
     assert tables.read_raw(spark, layout.raw).count() == 0
 
 
 def test_window_read_prunes_partitions(spark, scratch):
-    layout = pipeline.Layout(f"{scratch}/wh")
+    layout = warehouse.Layout(f"{scratch}/wh")
     rows = [(600, T(2024, 5, d, 12), 3, d) for d in range(1, 6)]
-    pipeline.upsert_raw(spark, layout.raw, source(spark, rows), RUN0, f"{scratch}/w")
+    warehouse.upsert_raw(spark, layout.raw, source(spark, rows), RUN0, f"{scratch}/w")
     df = tables.read_raw(spark, layout.raw, T(2024, 5, 2), T(2024, 5, 4))
     assert sorted(r.value for r in df.collect()) == [D(2), D(3)]
     plan = df._jdf.queryExecution().executedPlan().toString()
@@ -109,10 +109,10 @@ def test_stored_upsert_equals_pure_merge_on_fixture(spark, scratch):
 
     events = fixtures.read_events(spark, SF001)
     tgt, src = fixtures.upsert_target(events), fixtures.upsert_source(events)
-    layout = pipeline.Layout(f"{scratch}/wh")
+    layout = warehouse.Layout(f"{scratch}/wh")
     keys = ["indicator_id", "datetime_utc", "geo_id", "value"]
-    pipeline.upsert_raw(spark, layout.raw, tgt.select(*keys), fixtures.FIRST_LOAD_TS, f"{scratch}/w1")
-    counts, changed = pipeline.upsert_raw(spark, layout.raw, src, fixtures.REVISION_TS, f"{scratch}/w2")
+    warehouse.upsert_raw(spark, layout.raw, tgt.select(*keys), fixtures.FIRST_LOAD_TS, f"{scratch}/w1")
+    counts, changed = warehouse.upsert_raw(spark, layout.raw, src, fixtures.REVISION_TS, f"{scratch}/w2")
 
     plan = upsert.merge_plan(tgt, src, fixtures.REVISION_TS)
     expected = {(r.indicator_id, r.datetime_utc, r.geo_id): (r.value, r.extracted_at, r.updated_at)
@@ -123,11 +123,11 @@ def test_stored_upsert_equals_pure_merge_on_fixture(spark, scratch):
 
 
 def test_new_days_skip_the_join(spark, scratch):
-    layout = pipeline.Layout(f"{scratch}/wh")
+    layout = warehouse.Layout(f"{scratch}/wh")
     day1, day2 = T(2024, 5, 1, 10), T(2024, 5, 2, 10)
-    pipeline.upsert_raw(spark, layout.raw, source(spark, [(600, day1, 3, 1)]), RUN0, f"{scratch}/w1")
+    warehouse.upsert_raw(spark, layout.raw, source(spark, [(600, day1, 3, 1)]), RUN0, f"{scratch}/w1")
     assert tables.existing_days(spark, layout.raw) == {day1.date()}
-    counts, changed = pipeline.upsert_raw(
+    counts, changed = warehouse.upsert_raw(
         spark, layout.raw, source(spark, [(600, day1, 3, 2), (600, day2, 3, 5)]), RUN1, f"{scratch}/w2")
     assert changed == [day1.date(), day2.date()]
     assert counts == [{"indicator_id": 600, "staged_rows": 2, "inserted": 1, "updated": 1, "unchanged": 0}]

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from gridmart.operators import ingest
-from gridmart.plans import pipeline
+from gridmart.plans import warehouse
 from gridmart.plans.models import build_models
 from gridmart.sources import fixtures, payload, tables
 from gridmart.streaming import ingest_stream
@@ -36,13 +36,13 @@ def test_batch_run_then_incremental_revision(spark, scratch):
     events = fixtures.read_events(spark, SF001)
     land(fixtures.payload_documents(events), f"{scratch}/landing1")
     root = f"{scratch}/wh"
-    result = pipeline.run(spark, f"{scratch}/landing1", root, RUN1, multiline=False)
+    result = warehouse.run(spark, f"{scratch}/landing1", root, RUN1, multiline=False)
     assert result.status == 1
     failed = {c["indicator_id"] for c in result.checks
               if c["bad_times"] or c["bad_values"] or c["duplicate_keys"]}
     assert failed == {2040, 2051, 10004}
 
-    layout = pipeline.Layout(root)
+    layout = warehouse.Layout(root)
     raw = tables.read_raw(spark, layout.raw)
     assert rows(raw.select(*ingest_cols())) == rows(expected_accepted(spark).select(*ingest_cols()))
     assert raw.where(F.col("extracted_at") != RUN1).count() == 0
@@ -64,10 +64,10 @@ def test_batch_run_then_incremental_revision(spark, scratch):
         F.date_format("datetime_utc", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("datetime_utc"),
         "geo_id",
     )
-    result2 = pipeline.ingest_items(spark, items, layout, RUN2)
+    result2 = warehouse.ingest_items(spark, items, layout, RUN2)
     assert result2.status == 0 and result2.changed_days
     assert all(d.day == 10 for d in result2.changed_days)
-    pipeline.refresh_marts(spark, layout, result2.changed_days)
+    warehouse.refresh_marts(spark, layout, result2.changed_days)
 
     raw2 = tables.read_raw(spark, layout.raw).select(*ingest_cols())
     full = build_models(raw2)
@@ -76,7 +76,7 @@ def test_batch_run_then_incremental_revision(spark, scratch):
                         ("mart_renewables_price_impact", full.price_impact)):
         assert rows(spark.read.parquet(layout.mart(name))) == rows(model), name
 
-    checks, fresh = pipeline.checks_report(spark, layout, as_of=RUN2 + dt.timedelta(hours=36))
+    checks, fresh = warehouse.checks_report(spark, layout, as_of=RUN2 + dt.timedelta(hours=36))
     assert checks.count() == 17
     assert checks.where(F.col("test_name") == "unique").agg(F.sum("failures")).first()[0] == 0
     # extracted_at is the first load (RUN1): the revision run does not refresh it.
@@ -99,7 +99,7 @@ def test_stream_ingests_new_files_only(spark, scratch):
     q = ingest_stream.start(spark, landing, root, checkpoint=ckpt, log=log, multiline=False,
                             max_files_per_trigger=1)
     q.awaitTermination(300)
-    raw = tables.read_raw(spark, pipeline.Layout(root).raw)
+    raw = tables.read_raw(spark, warehouse.Layout(root).raw)
     n1 = raw.count()
     import glob
 
@@ -114,8 +114,8 @@ def test_stream_ingests_new_files_only(spark, scratch):
     second.select("indicator_id", "payload").write.mode("append").partitionBy("indicator_id").text(landing)
     q = ingest_stream.start(spark, landing, root, checkpoint=ckpt, log=log, multiline=False)
     q.awaitTermination(300)
-    raw = tables.read_raw(spark, pipeline.Layout(root).raw)
+    raw = tables.read_raw(spark, warehouse.Layout(root).raw)
     assert raw.where(F.col("indicator_id") == 2041).count() > 0
     assert raw.where(F.col("indicator_id") != 2041).count() == n1
-    mart = spark.read.parquet(pipeline.Layout(root).mart("fct_hourly_market"))
+    mart = spark.read.parquet(warehouse.Layout(root).mart("fct_hourly_market"))
     assert mart.count() > 0
