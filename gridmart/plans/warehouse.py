@@ -79,6 +79,34 @@ def stage_batch(spark: SparkSession, items: DataFrame, work: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+# Physical order of raw rows: by day (the partition), then indicator, geo, time.
+_LAYOUT = (RAW_PARTITION, "indicator_id", "geo_id", "datetime_utc")
+
+
+def _write_raw_days(rows: DataFrame, raw_path: str) -> None:
+    """Replace exactly the day partitions present in ``rows`` (dynamic overwrite)."""
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(RAW_PARTITION)
+        .parquet(raw_path)
+    )
+
+
+def _insert_only(
+    spark: SparkSession, raw_path: str, batch: DataFrame, run_ts: dt.datetime, days: list[dt.date]
+) -> tuple[list[dict], list[dt.date]]:
+    """No batch day has a stored partition: nothing of the target is read, so the
+    inserts are written straight into the raw table (no staged plan, no join)."""
+    rows = tables.with_partition(upsert.insert_plan(batch.drop(RAW_PARTITION), run_ts))
+    rows = rows.repartitionByRange(*_LAYOUT).sortWithinPartitions(*_LAYOUT)
+    _write_raw_days(rows.select(*RAW_TABLE.fieldNames(), RAW_PARTITION), raw_path)
+    per_ind = batch.groupBy("indicator_id").agg(F.count(F.lit(1)).alias("n")).collect()  # <= #indicators
+    counts = [{"indicator_id": r.indicator_id, "staged_rows": r.n, "inserted": r.n, "updated": 0, "unchanged": 0}
+              for r in per_ind]
+    return counts, days
+
+
 def upsert_raw(
     spark: SparkSession,
     raw_path: str,
@@ -105,21 +133,20 @@ def upsert_raw(
     stored_days = tables.existing_days(spark, raw_path)
     merge_days = [d for d in days if d in stored_days]
     new_days = [d for d in days if d not in stored_days]
-    parts = []
-    if merge_days:
-        target = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(merge_days))
-        source = batch.where(F.col(RAW_PARTITION).isin(merge_days))
-        parts.append(upsert.merge_plan(target.drop(RAW_PARTITION), source.drop(RAW_PARTITION), run_ts))
+    if not merge_days:
+        return _insert_only(spark, raw_path, batch, run_ts, days)
+    target = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(merge_days))
+    source = batch.where(F.col(RAW_PARTITION).isin(merge_days))
+    plan = upsert.merge_plan(target.drop(RAW_PARTITION), source.drop(RAW_PARTITION), run_ts)
     if new_days:
-        source = batch.where(F.col(RAW_PARTITION).isin(new_days)) if merge_days else batch
-        parts.append(upsert.insert_plan(source.drop(RAW_PARTITION), run_ts))
-    plan = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        inserts = batch.where(F.col(RAW_PARTITION).isin(new_days)).drop(RAW_PARTITION)
+        plan = plan.unionByName(upsert.insert_plan(inserts, run_ts))
     plan = tables.with_partition(plan)
     # Range-partition the merged rows by (day, indicator, geo, time): every task
     # holds one contiguous slice, so files stay few and large per day, a hot day
     # is split over several tasks instead of one, and rows come out sorted for
     # tight Parquet row-group statistics.
-    plan = plan.repartitionByRange(RAW_PARTITION, "indicator_id", "geo_id", "datetime_utc")
+    plan = plan.repartitionByRange(*_LAYOUT).sortWithinPartitions(*_LAYOUT)
     plan_path = f"{work}/merge_plan"
     plan.write.mode("overwrite").partitionBy(RAW_PARTITION).parquet(plan_path)
     plan = spark.read.parquet(plan_path)
@@ -148,13 +175,7 @@ def upsert_raw(
         # back and writing needs no shuffle (and no per-day repartition that
         # would put a hot day into one task).
         rows = plan.where(F.col(RAW_PARTITION).isin(changed)).select(*RAW_TABLE.fieldNames(), RAW_PARTITION)
-        (
-            rows.sortWithinPartitions(RAW_PARTITION, "indicator_id", "geo_id", "datetime_utc")
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(RAW_PARTITION)
-            .parquet(raw_path)
-        )
+        _write_raw_days(rows.sortWithinPartitions(*_LAYOUT), raw_path)
     return [c for c in counts.values() if c["staged_rows"]], changed
 
 
