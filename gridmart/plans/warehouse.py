@@ -83,6 +83,17 @@ def stage_batch(spark: SparkSession, items: DataFrame, work: str) -> DataFrame:
 _LAYOUT = (RAW_PARTITION, "indicator_id", "geo_id", "datetime_utc")
 
 
+def _laid_out(rows: DataFrame) -> DataFrame:
+    """Range-partition raw rows by (day, indicator, geo, time) and sort each slice.
+
+    Every task holds one contiguous slice, so each day gets few large files, a
+    hot day is spread over several tasks instead of one (never a repartition by
+    day alone), and sorted rows keep Parquet row-group statistics tight for
+    indicator and geo filters.
+    """
+    return rows.repartitionByRange(*_LAYOUT).sortWithinPartitions(*_LAYOUT)
+
+
 def _write_raw_days(rows: DataFrame, raw_path: str) -> None:
     """Replace exactly the day partitions present in ``rows`` (dynamic overwrite)."""
     (
@@ -99,8 +110,7 @@ def _insert_only(
     """No batch day has a stored partition: nothing of the target is read, so the
     inserts are written straight into the raw table (no staged plan, no join)."""
     rows = tables.with_partition(upsert.insert_plan(batch.drop(RAW_PARTITION), run_ts))
-    rows = rows.repartitionByRange(*_LAYOUT).sortWithinPartitions(*_LAYOUT)
-    _write_raw_days(rows.select(*RAW_TABLE.fieldNames(), RAW_PARTITION), raw_path)
+    _write_raw_days(_laid_out(rows.select(*RAW_TABLE.fieldNames(), RAW_PARTITION)), raw_path)
     per_ind = batch.groupBy("indicator_id").agg(F.count(F.lit(1)).alias("n")).collect()  # <= #indicators
     counts = [{"indicator_id": r.indicator_id, "staged_rows": r.n, "inserted": r.n, "updated": 0, "unchanged": 0}
               for r in per_ind]
@@ -141,14 +151,11 @@ def upsert_raw(
     if new_days:
         inserts = batch.where(F.col(RAW_PARTITION).isin(new_days)).drop(RAW_PARTITION)
         plan = plan.unionByName(upsert.insert_plan(inserts, run_ts))
-    plan = tables.with_partition(plan)
-    # Range-partition the merged rows by (day, indicator, geo, time): every task
-    # holds one contiguous slice, so files stay few and large per day, a hot day
-    # is split over several tasks instead of one, and rows come out sorted for
-    # tight Parquet row-group statistics.
-    plan = plan.repartitionByRange(*_LAYOUT).sortWithinPartitions(*_LAYOUT)
+    # The plan is written once in the join's own layout (one file per task, a
+    # temporary batch-sized table): the join runs once, and later passes — the
+    # summary and the range sampling of the rewrite — re-read these files.
     plan_path = f"{work}/merge_plan"
-    plan.write.mode("overwrite").partitionBy(RAW_PARTITION).parquet(plan_path)
+    tables.with_partition(plan).write.mode("overwrite").parquet(plan_path)
     plan = spark.read.parquet(plan_path)
 
     # One small pass over the plan: counts per (indicator, day) — bounded by
@@ -171,11 +178,8 @@ def upsert_raw(
         for k in ("staged_rows", "inserted", "updated", "unchanged"):
             c[k] += r[k]
     if changed:
-        # The plan files are already one sorted time slice each; reading them
-        # back and writing needs no shuffle (and no per-day repartition that
-        # would put a hot day into one task).
         rows = plan.where(F.col(RAW_PARTITION).isin(changed)).select(*RAW_TABLE.fieldNames(), RAW_PARTITION)
-        _write_raw_days(rows.sortWithinPartitions(*_LAYOUT), raw_path)
+        _write_raw_days(_laid_out(rows), raw_path)
     return [c for c in counts.values() if c["staged_rows"]], changed
 
 

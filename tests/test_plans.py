@@ -72,7 +72,14 @@ def test_hot_day_is_split_over_several_files(spark, scratch):
     try:
         rows = [(600, D0 + dt.timedelta(seconds=s), 3, 1) for s in range(4000)]  # hot day
         rows += [(600, D0 + dt.timedelta(days=1 + d), 3, 1) for d in range(20)]   # 20 thin days
-        raw = stored_raw(spark, scratch, rows)
+        stored_raw(spark, scratch, rows)  # insert-only path
+        hot_dir = f"{scratch}/raw/obs_date=2024-05-01"
+        first = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
+        assert len(first) > 1
+        revised = spark.createDataFrame([(i, t, g, Decimal(v) + 1) for i, t, g, v in rows[:4000]],
+                                        "indicator_id int, datetime_utc timestamp, geo_id int, value decimal(18,6)")
+        counts, changed = warehouse.upsert_raw(spark, f"{scratch}/raw", revised, D0, f"{scratch}/w2")  # merge path
+        assert changed == [dt.date(2024, 5, 1)] and counts[0]["updated"] == 4000
     finally:
         for k, v in prev.items():
             spark.conf.set(k, v)
@@ -80,4 +87,4 @@ def test_hot_day_is_split_over_several_files(spark, scratch):
     hot_dir = f"{scratch}/raw/obs_date=2024-05-01"
     files = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
     assert len(files) > 1
-    assert raw.count() == 4020
+    assert tables.read_raw(spark, f"{scratch}/raw").count() == 4020
