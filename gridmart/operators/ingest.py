@@ -70,17 +70,24 @@ def duplicate_keys(staged: DataFrame) -> DataFrame:
 def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFrame:
     """Per indicator: staged rows, malformed times/values and duplicated keys.
 
-    ``with_days`` adds the sorted UTC days the indicator's rows fall on (a set
-    bounded by the batch's day span), so a loader learns which raw partitions
-    it touches in the same pass.
+    ``with_days`` adds ``day_counts`` (UTC day -> rows), a map bounded by the
+    batch's day span, so a loader learns which raw partitions it touches, and
+    how many rows go to each, from the same small result.
     """
-    extra = [F.array_sort(F.collect_set(F.to_date("datetime_utc"))).alias("days")] if with_days else []
     per_ind = normalised.groupBy("indicator_id").agg(
         F.count(F.lit(1)).alias("staged_rows"),
         F.count_if("bad_time").alias("bad_times"),
         F.count_if("bad_value").alias("bad_values"),
-        *extra,
     )
+    if with_days:
+        per_day = (
+            normalised.where(F.col("datetime_utc").isNotNull())
+            .groupBy("indicator_id", F.to_date("datetime_utc").alias("day"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("indicator_id")
+            .agg(F.map_from_entries(F.collect_list(F.struct("day", "n"))).alias("day_counts"))
+        )
+        per_ind = per_ind.join(per_day, "indicator_id", "left")
     dups = duplicate_keys(normalised).groupBy("indicator_id").agg(F.count(F.lit(1)).alias("duplicate_keys"))
     # Both sides hold one row per indicator id; AQE broadcasts from the measured size.
     return per_ind.join(dups, "indicator_id", "left").select(
@@ -89,7 +96,8 @@ def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFram
         "bad_times",
         "bad_values",
         F.coalesce("duplicate_keys", F.lit(0)).cast("bigint").alias("duplicate_keys"),
-        *(["days"] if with_days else []),
+        *([F.coalesce("day_counts", F.create_map().cast("map<date,bigint>")).alias("day_counts")]
+          if with_days else []),
     )
 
 
@@ -99,6 +107,10 @@ def rejected_indicators(checks: DataFrame) -> DataFrame:
     return checks.where(bad)
 
 
+def _known(df: DataFrame) -> DataFrame:
+    return df.where(F.col("indicator_id").isNotNull())
+
+
 def accepted(normalised: DataFrame, rejected: DataFrame) -> DataFrame:
     """Rows of indicators that passed, as clean observations.
 
@@ -106,7 +118,7 @@ def accepted(normalised: DataFrame, rejected: DataFrame) -> DataFrame:
     AQE from its measured size (a broadcast for any realistic registry, a
     shuffle join otherwise).
     """
-    return normalised.join(rejected.select("indicator_id"), "indicator_id", "left_anti").select(
+    return _known(normalised).join(rejected.select("indicator_id"), "indicator_id", "left_anti").select(
         "indicator_id", "datetime_utc", "geo_id", "value"
     )
 

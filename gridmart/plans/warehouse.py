@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from gridmart.operators import ingest, marts, quality, upsert
 from gridmart.operators.market import fct_hourly_market, hourly_market_from_raw
-from gridmart.schemas import RAW_KEYS, RAW_PARTITION, RAW_TABLE
+from gridmart.schemas import OBSERVATION, RAW_KEYS, RAW_PARTITION, RAW_TABLE
 from gridmart.session import checkpoint_dir, ensure_utc
 from gridmart.sources import payload, tables
 
@@ -72,6 +72,24 @@ def work_folder(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_dir(spark)}/gridmart-{tag}-{uuid.uuid4().hex[:12]}"
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def remove_work(spark: SparkSession, work: str) -> None:
+    """Delete a run's staging folder once its results are committed."""
+    fs, jpath = _fs(spark, work)
+    if fs.exists(jpath):
+        fs.delete(jpath, True)
+
+
+def bytes_on_disk(spark: SparkSession, path: str) -> int:
+    fs, jpath = _fs(spark, path)
+    return int(fs.getContentSummary(jpath).getLength()) if fs.exists(jpath) else 0
+
+
 def stage_batch(spark: SparkSession, items: DataFrame, work: str) -> DataFrame:
     """Normalise payload items and write the staged batch (columnar, lineage cut)."""
     path = f"{work}/staged"
@@ -81,21 +99,27 @@ def stage_batch(spark: SparkSession, items: DataFrame, work: str) -> DataFrame:
 
 # Physical order of raw rows: by day (the partition), then indicator, geo, time.
 _LAYOUT = (RAW_PARTITION, "indicator_id", "geo_id", "datetime_utc")
+# Parquet input bytes per range slice of a raw rewrite (in memory it is several times more).
+SLICE_BYTES = 64 * 1024 * 1024
 
 
-def _laid_out(rows: DataFrame) -> DataFrame:
+def _laid_out(spark: SparkSession, rows: DataFrame, input_bytes: int) -> DataFrame:
     """Range-partition raw rows by (day, indicator, geo, time) and sort each slice.
 
-    Every task holds one contiguous slice, so each day gets few large files, a
-    hot day is spread over several tasks instead of one (never a repartition by
-    day alone), and sorted rows keep Parquet row-group statistics tight for
-    indicator and geo filters.
+    The slice count follows the input size (never fewer than the shuffle width),
+    so a large backfill is not squeezed into one task per day. Every task holds
+    one contiguous slice: a day gets few large files, a hot day is spread over
+    several tasks (never a repartition by day alone), and sorted rows keep
+    Parquet row-group statistics tight for indicator and geo filters.
     """
-    return rows.repartitionByRange(*_LAYOUT).sortWithinPartitions(*_LAYOUT)
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = max(width, -(-input_bytes // SLICE_BYTES))
+    return rows.repartitionByRange(slices, *_LAYOUT).sortWithinPartitions(*_LAYOUT)
 
 
 def _write_raw_days(rows: DataFrame, raw_path: str) -> None:
-    """Replace exactly the day partitions present in ``rows`` (dynamic overwrite)."""
+    """Replace exactly the day partitions present in ``rows`` (dynamic overwrite,
+    set on the writer so a session in static mode cannot wipe other days)."""
     (
         rows.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -104,17 +128,9 @@ def _write_raw_days(rows: DataFrame, raw_path: str) -> None:
     )
 
 
-def _insert_only(
-    spark: SparkSession, raw_path: str, batch: DataFrame, run_ts: dt.datetime, days: list[dt.date]
-) -> tuple[list[dict], list[dt.date]]:
-    """No batch day has a stored partition: nothing of the target is read, so the
-    inserts are written straight into the raw table (no staged plan, no join)."""
-    rows = tables.with_partition(upsert.insert_plan(batch.drop(RAW_PARTITION), run_ts))
-    _write_raw_days(_laid_out(rows.select(*RAW_TABLE.fieldNames(), RAW_PARTITION)), raw_path)
-    per_ind = batch.groupBy("indicator_id").agg(F.count(F.lit(1)).alias("n")).collect()  # <= #indicators
-    counts = [{"indicator_id": r.indicator_id, "staged_rows": r.n, "inserted": r.n, "updated": 0, "unchanged": 0}
-              for r in per_ind]
-    return counts, days
+def _typed(batch: DataFrame) -> DataFrame:
+    """The batch in the raw table's types (ANSI casts fail loudly instead of corrupting files)."""
+    return batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in OBSERVATION.fields])
 
 
 def upsert_raw(
@@ -123,64 +139,85 @@ def upsert_raw(
     batch: DataFrame,
     run_ts: dt.datetime,
     work: str,
-    days: list[dt.date] | None = None,
+    day_counts: dict[tuple[int, dt.date], int] | None = None,
 ) -> tuple[list[dict], list[dt.date]]:
     """Merge ``batch`` (indicator_id, datetime_utc, geo_id, value) into the raw table.
 
-    ``days`` are the UTC days the batch touches (computed when not given).
-    Returns per-indicator counts (staged / inserted / updated / unchanged) and
-    the days whose partitions were rewritten. An empty batch is a no-op.
+    ``day_counts`` maps (indicator, UTC day) to the batch's row count there
+    (one small aggregation computes it when not given). Only those days are
+    written. Returns per-indicator counts (staged / inserted / updated /
+    unchanged) and the days whose partitions were rewritten; an empty batch is a
+    no-op.
+
+    * Days with no stored partition are plain inserts: their rows go straight
+      into the final write, with no join.
+    * Stored days are merged: their partitions are joined with the batch on the
+      keys, and the merge plan is staged, partitioned by day, so the rewrite
+      reads only the days that changed.
     """
+    ensure_utc(spark)
     tables.provision_raw(spark, raw_path)
-    batch = tables.with_partition(batch.select(*RAW_KEYS, "value"))
-    if days is None:
-        days = [r[0] for r in batch.select(RAW_PARTITION).distinct().collect()]
-    days = sorted(days)
+    batch = tables.with_partition(_typed(batch))
+    if day_counts is None:
+        per_day = batch.groupBy("indicator_id", RAW_PARTITION).agg(F.count(F.lit(1)).alias("n")).collect()
+        day_counts = {(r.indicator_id, r[RAW_PARTITION]): r.n for r in per_day}  # <= indicators x days
+    days = sorted({d for _, d in day_counts})
     if not days:
         return [], []
-    # Days without a stored partition cannot match anything: their rows are
-    # plain inserts and skip the join (backfills, and the newest day of a run).
+    batch = batch.where(F.col(RAW_PARTITION).isin(days))  # never write outside the known days
     stored_days = tables.existing_days(spark, raw_path)
     merge_days = [d for d in days if d in stored_days]
     new_days = [d for d in days if d not in stored_days]
-    if not merge_days:
-        return _insert_only(spark, raw_path, batch, run_ts, days)
-    target = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(merge_days))
-    source = batch.where(F.col(RAW_PARTITION).isin(merge_days))
-    plan = upsert.merge_plan(target.drop(RAW_PARTITION), source.drop(RAW_PARTITION), run_ts)
+
+    counts: dict[int, dict] = {}
+
+    def add(ind: int, staged: int, inserted: int = 0, updated: int = 0, unchanged: int = 0) -> None:
+        c = counts.setdefault(ind, dict(indicator_id=ind, staged_rows=0, inserted=0, updated=0, unchanged=0))
+        c["staged_rows"] += staged
+        c["inserted"] += inserted
+        c["updated"] += updated
+        c["unchanged"] += unchanged
+
+    parts: list[DataFrame] = []
+    input_bytes = 0
+    changed = list(new_days)
     if new_days:
-        inserts = batch.where(F.col(RAW_PARTITION).isin(new_days)).drop(RAW_PARTITION)
-        plan = plan.unionByName(upsert.insert_plan(inserts, run_ts))
-    # The plan is written once in the join's own layout (one file per task, a
-    # temporary batch-sized table): the join runs once, and later passes — the
-    # summary and the range sampling of the rewrite — re-read these files.
-    plan_path = f"{work}/merge_plan"
-    tables.with_partition(plan).write.mode("overwrite").parquet(plan_path)
-    plan = spark.read.parquet(plan_path)
-
-    # One small pass over the plan: counts per (indicator, day) — bounded by
-    # indicators x batch days — give both the run's counts and the changed days.
-    summary = (
-        plan.groupBy("indicator_id", RAW_PARTITION)
-        .agg(
-            F.count_if("staged").alias("staged_rows"),
-            F.count_if(F.col("op") == upsert.INSERT).alias("inserted"),
-            F.count_if(F.col("op") == upsert.UPDATE).alias("updated"),
-            F.count_if(F.col("staged") & (F.col("op") == upsert.KEEP)).alias("unchanged"),
+        for (ind, d), n in day_counts.items():
+            if d in new_days:
+                add(ind, n, inserted=n)
+        inserts = upsert.insert_plan(batch.where(F.col(RAW_PARTITION).isin(new_days)).drop(RAW_PARTITION), run_ts)
+        parts.append(tables.with_partition(upsert.merged_table(inserts)))
+        input_bytes += bytes_on_disk(spark, f"{work}/staged")
+    if merge_days:
+        target = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(merge_days))
+        source = batch.where(F.col(RAW_PARTITION).isin(merge_days))
+        plan = upsert.merge_plan(target.drop(RAW_PARTITION), source.drop(RAW_PARTITION), run_ts)
+        plan_path = f"{work}/merge_plan"
+        tables.with_partition(plan).write.mode("overwrite").partitionBy(RAW_PARTITION).parquet(plan_path)
+        plan = spark.read.parquet(plan_path)
+        # One small pass: counts per (indicator, day), bounded by indicators x days.
+        summary = (
+            plan.groupBy("indicator_id", RAW_PARTITION)
+            .agg(
+                F.count_if("staged").alias("staged_rows"),
+                F.count_if(F.col("op") == upsert.INSERT).alias("inserted"),
+                F.count_if(F.col("op") == upsert.UPDATE).alias("updated"),
+                F.count_if(F.col("staged") & (F.col("op") == upsert.KEEP)).alias("unchanged"),
+            )
+            .collect()
         )
-        .collect()
-    )
-    changed = sorted({r[RAW_PARTITION] for r in summary if r.inserted or r.updated})
-    counts: dict[int, dict] = {}
-    for r in summary:
-        c = counts.setdefault(r.indicator_id, {"indicator_id": r.indicator_id, "staged_rows": 0,
-                                               "inserted": 0, "updated": 0, "unchanged": 0})
-        for k in ("staged_rows", "inserted", "updated", "unchanged"):
-            c[k] += r[k]
-    if changed:
-        rows = plan.where(F.col(RAW_PARTITION).isin(changed)).select(*RAW_TABLE.fieldNames(), RAW_PARTITION)
-        _write_raw_days(_laid_out(rows), raw_path)
-    return [c for c in counts.values() if c["staged_rows"]], changed
+        for r in summary:
+            add(r.indicator_id, r.staged_rows, r.inserted, r.updated, r.unchanged)
+        merged_changed = sorted({r[RAW_PARTITION] for r in summary if r.inserted or r.updated})
+        if merged_changed:
+            rows = plan.where(F.col(RAW_PARTITION).isin(merged_changed))
+            parts.append(rows.select(*RAW_TABLE.fieldNames(), RAW_PARTITION))
+            input_bytes += bytes_on_disk(spark, plan_path)
+        changed += merged_changed
+    if parts:
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        _write_raw_days(_laid_out(spark, rows, input_bytes), raw_path)
+    return [c for c in counts.values() if c["staged_rows"]], sorted(changed)
 
 
 def refresh_marts(
@@ -188,6 +225,7 @@ def refresh_marts(
 ) -> dict[str, DataFrame]:
     """Rebuild the marts; with ``days``, recompute the hourly fact of those days only."""
     ensure_utc(spark)
+    own_work = work is None
     work = work or work_folder(spark, "marts")
     raw = tables.read_raw(spark, layout.raw)
     fct_path = layout.mart("fct_hourly_market")
@@ -212,28 +250,47 @@ def refresh_marts(
     daily = spark.read.parquet(layout.mart("mart_daily_summary"))
     tables.write_table(marts.price_impact(daily), layout.mart("mart_renewables_price_impact"))
     tables.write_table(marts.technology_mix(daily, ordered=False), layout.mart("mart_technology_mix"))
+    if own_work:
+        remove_work(spark, work)
     return {n: spark.read.parquet(layout.mart(n)) for n in MART_NAMES}
 
 
 def ingest_items(
-    spark: SparkSession, items: DataFrame, layout: Layout, run_ts: dt.datetime | None = None
+    spark: SparkSession,
+    items: DataFrame,
+    layout: Layout,
+    run_ts: dt.datetime | None = None,
+    keep_work: bool = False,
 ) -> RunResult:
-    """Stage, validate and upsert a batch of payload items; indicators fail independently."""
+    """Stage, validate and upsert a batch of payload items; indicators fail independently.
+
+    An indicator fails on any malformed item or duplicated key; rows without an
+    indicator id never load. The staging folder is removed after the load
+    unless ``keep_work``.
+    """
     ensure_utc(spark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     work = work_folder(spark, "ingest")
     staged = stage_batch(spark, items, work)
-    # One row per indicator in the batch, with the days it touches.
+    # One row per indicator in the batch, with its row count per UTC day.
     checks = ingest.indicator_checks(staged, with_days=True).collect()
-    failed_ids = [
-        r.indicator_id for r in checks if r.bad_times > 0 or r.bad_values > 0 or r.duplicate_keys > 0
-    ]
-    days = sorted({d for r in checks if r.indicator_id not in failed_ids for d in r.days})
-    batch = staged.where(~F.col("indicator_id").isin(failed_ids)) if failed_ids else staged
-    counts, changed = upsert_raw(spark, layout.raw, batch.select(*RAW_KEYS, "value"), run_ts, work, days)
+    failed = {
+        r.indicator_id
+        for r in checks
+        if r.indicator_id is None or r.bad_times > 0 or r.bad_values > 0 or r.duplicate_keys > 0
+    }
+    failed_ids = [i for i in failed if i is not None]
+    day_counts = {
+        (r.indicator_id, d): n for r in checks if r.indicator_id not in failed for d, n in r.day_counts.items()
+    }
+    ok = F.col("indicator_id").isNotNull()
+    batch = staged.where(ok & ~F.col("indicator_id").isin(failed_ids)) if failed_ids else staged.where(ok)
+    counts, changed = upsert_raw(spark, layout.raw, batch.select(*RAW_KEYS, "value"), run_ts, work, day_counts)
+    if not keep_work:
+        remove_work(spark, work)
     return RunResult(
-        status=1 if failed_ids else 0,
-        checks=[{k: v for k, v in r.asDict().items() if k != "days"} for r in checks],
+        status=1 if failed else 0,
+        checks=[{k: v for k, v in r.asDict().items() if k != "day_counts"} for r in checks],
         counts=counts,
         changed_days=changed,
     )

@@ -133,3 +133,36 @@ def test_new_days_skip_the_join(spark, scratch):
     assert counts == [{"indicator_id": 600, "staged_rows": 2, "inserted": 1, "updated": 1, "unchanged": 0}]
     got = stored(spark, layout.root)
     assert got[(600, day1, 3)] == (D(2), RUN0, RUN1) and got[(600, day2, 3)] == (D(5), RUN1, RUN1)
+
+
+def test_static_session_mode_cannot_wipe_other_days(spark, scratch):
+    layout = warehouse.Layout(f"{scratch}/wh")
+    day1, day2 = T(2024, 5, 1, 10), T(2024, 5, 2, 10)
+    warehouse.upsert_raw(spark, layout.raw, source(spark, [(600, day1, 3, 1)]), RUN0, f"{scratch}/w1")
+    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        warehouse.upsert_raw(spark, layout.raw, source(spark, [(600, day2, 3, 2)]), RUN1, f"{scratch}/w2")
+        warehouse.upsert_raw(spark, layout.raw, source(spark, [(600, day1, 3, 5)]), RUN2, f"{scratch}/w3")
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    got = stored(spark, layout.root)
+    assert got == {(600, day1, 3): (D(5), RUN0, RUN2), (600, day2, 3): (D(2), RUN1, RUN1)}
+
+
+def test_batch_types_are_cast_to_the_table(spark, scratch):
+    layout = warehouse.Layout(f"{scratch}/wh")
+    wide = spark.createDataFrame([(600, T(2024, 5, 1, 10), 3, D("1.25"))],
+                                 "indicator_id bigint, datetime_utc timestamp, geo_id bigint, value decimal(29,6)")
+    warehouse.upsert_raw(spark, layout.raw, wide, RUN0, f"{scratch}/w1")
+    assert stored(spark, layout.root) == {(600, T(2024, 5, 1, 10), 3): (D("1.25"), RUN0, RUN0)}
+
+
+def test_rows_without_indicator_never_load(spark, scratch):
+    items = spark.createDataFrame(
+        [(None, "1", None, "2024-05-01T00:00:00Z", 3), (600, "2", None, "2024-05-01T00:00:00Z", 3)],
+        "indicator_id int, value string, datetime string, datetime_utc string, geo_id int")
+    layout = warehouse.Layout(f"{scratch}/wh")
+    result = warehouse.ingest_items(spark, items, layout, RUN0)
+    assert result.status == 1
+    assert stored(spark, layout.root) == {(600, T(2024, 5, 1, 0), 3): (D(2), RUN0, RUN0)}
