@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -70,24 +70,29 @@ def duplicate_keys(staged: DataFrame) -> DataFrame:
 def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFrame:
     """Per indicator: staged rows, malformed times/values and duplicated keys.
 
-    ``with_days`` adds ``day_counts`` (UTC day -> rows), a map bounded by the
-    batch's day span, so a loader learns which raw partitions it touches, and
-    how many rows go to each, from the same small result.
+    Row and malformed counts come from one aggregation per (indicator, UTC day),
+    rolled up to the indicator; ``with_days`` keeps the per-day row counts as a
+    ``day_counts`` map (bounded by the batch's day span), so a loader learns
+    which raw partitions it touches from the same small result. Duplicated keys
+    are the second aggregation.
     """
-    per_ind = normalised.groupBy("indicator_id").agg(
-        F.count(F.lit(1)).alias("staged_rows"),
-        F.count_if("bad_time").alias("bad_times"),
-        F.count_if("bad_value").alias("bad_values"),
+    day = F.to_date("datetime_utc")
+    per_day = normalised.groupBy("indicator_id", day.alias("day")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if("bad_time").alias("bt"),
+        F.count_if("bad_value").alias("bv"),
+    )
+    extra = (
+        [F.map_from_entries(F.collect_list(F.when(F.col("day").isNotNull(), F.struct("day", "n")))).alias("day_counts")]
+        if with_days
+        else []
+    )
+    per_ind = per_day.groupBy("indicator_id").agg(
+        F.sum("n").alias("staged_rows"),
+        F.sum("bt").alias("bad_times"),
+        F.sum("bv").alias("bad_values"),
+        *extra,
     )
-    if with_days:
-        per_day = (
-            normalised.where(F.col("datetime_utc").isNotNull())
-            .groupBy("indicator_id", F.to_date("datetime_utc").alias("day"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("indicator_id")
-            .agg(F.map_from_entries(F.collect_list(F.struct("day", "n"))).alias("day_counts"))
-        )
-        per_ind = per_ind.join(per_day, "indicator_id", "left")
     dups = duplicate_keys(normalised).groupBy("indicator_id").agg(F.count(F.lit(1)).alias("duplicate_keys"))
     # Both sides hold one row per indicator id; AQE broadcasts from the measured size.
     return per_ind.join(dups, "indicator_id", "left").select(
@@ -96,15 +101,28 @@ def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFram
         "bad_times",
         "bad_values",
         F.coalesce("duplicate_keys", F.lit(0)).cast("bigint").alias("duplicate_keys"),
-        *([F.coalesce("day_counts", F.create_map().cast("map<date,bigint>")).alias("day_counts")]
-          if with_days else []),
+        *(["day_counts"] if with_days else []),
+    )
+
+
+# The failure rule, as a Column (for DataFrames) and for collected check rows:
+# no indicator id, or any malformed time/value, or any duplicated key.
+def failed_column() -> Column:
+    return (
+        F.col("indicator_id").isNull()
+        | (F.col("bad_times") > 0)
+        | (F.col("bad_values") > 0)
+        | (F.col("duplicate_keys") > 0)
     )
 
 
+def failed_row(r) -> bool:
+    return r.indicator_id is None or r.bad_times > 0 or r.bad_values > 0 or r.duplicate_keys > 0
+
+
 def rejected_indicators(checks: DataFrame) -> DataFrame:
-    """Indicators whose batch must not load (any malformed item or duplicate key)."""
-    bad = (F.col("bad_times") > 0) | (F.col("bad_values") > 0) | (F.col("duplicate_keys") > 0)
-    return checks.where(bad)
+    """Indicators whose batch must not load (see ``failed_column``)."""
+    return checks.where(failed_column())
 
 
 def _known(df: DataFrame) -> DataFrame:
@@ -153,7 +171,7 @@ def run_status(spark: SparkSession, checks: DataFrame) -> DataFrame:
     An indicator with no payload rows loads nothing and does not fail. The run
     status is 1 when any indicator failed (a scalar subquery over the checks).
     """
-    failed = (F.col("bad_times") > 0) | (F.col("bad_values") > 0) | (F.col("duplicate_keys") > 0)
+    failed = failed_column()
     any_failed = checks.agg(F.coalesce(F.max(failed.cast("int")), F.lit(0)).alias("s")).scalar()
     return registry(spark).join(checks, "indicator_id", "left").select(
         "indicator_id",

@@ -26,11 +26,12 @@ Scale notes:
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import os
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.operators import ingest, marts, quality, upsert
@@ -72,22 +73,10 @@ def work_folder(spark: SparkSession, tag: str) -> str:
     return f"{checkpoint_dir(spark)}/gridmart-{tag}-{uuid.uuid4().hex[:12]}"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
-
-
 def remove_work(spark: SparkSession, work: str) -> None:
-    """Delete a run's staging folder once its results are committed."""
-    fs, jpath = _fs(spark, work)
-    if fs.exists(jpath):
-        fs.delete(jpath, True)
-
-
-def bytes_on_disk(spark: SparkSession, path: str) -> int:
-    fs, jpath = _fs(spark, path)
-    return int(fs.getContentSummary(jpath).getLength()) if fs.exists(jpath) else 0
+    """Delete a run's staging folder (it only holds data already committed or abandoned)."""
+    fs, jpath = tables.hadoop_fs(spark, work)
+    fs.delete(jpath, True)
 
 
 def stage_batch(spark: SparkSession, items: DataFrame, work: str) -> DataFrame:
@@ -99,22 +88,24 @@ def stage_batch(spark: SparkSession, items: DataFrame, work: str) -> DataFrame:
 
 # Physical order of raw rows: by day (the partition), then indicator, geo, time.
 _LAYOUT = (RAW_PARTITION, "indicator_id", "geo_id", "datetime_utc")
-# Parquet input bytes per range slice of a raw rewrite (in memory it is several times more).
-SLICE_BYTES = 64 * 1024 * 1024
+# Rows per range slice of a raw rewrite (~100 MB in memory, a few tens of MB of Parquet).
+SLICE_ROWS = 1_000_000
 
 
-def _laid_out(spark: SparkSession, rows: DataFrame, input_bytes: int) -> DataFrame:
+def _laid_out(spark: SparkSession, rows: DataFrame, n_rows: int) -> DataFrame:
     """Range-partition raw rows by (day, indicator, geo, time) and sort each slice.
 
-    The slice count follows the input size (never fewer than the shuffle width),
-    so a large backfill is not squeezed into one task per day. Every task holds
-    one contiguous slice: a day gets few large files, a hot day is spread over
-    several tasks (never a repartition by day alone), and sorted rows keep
-    Parquet row-group statistics tight for indicator and geo filters.
+    Every task holds one contiguous slice: a day gets few large files, a hot day
+    is spread over several tasks (never a repartition by day alone), and sorted
+    rows keep Parquet row-group statistics tight for indicator and geo filters.
+    The slice count is left to AQE (which merges small slices) unless the rows
+    need more slices than the shuffle width; then it follows the row count, so a
+    large backfill is not squeezed into one task per day.
     """
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(width, -(-input_bytes // SLICE_BYTES))
-    return rows.repartitionByRange(slices, *_LAYOUT).sortWithinPartitions(*_LAYOUT)
+    needed = -(-n_rows // SLICE_ROWS)
+    ranged = rows.repartitionByRange(needed, *_LAYOUT) if needed > width else rows.repartitionByRange(*_LAYOUT)
+    return ranged.sortWithinPartitions(*_LAYOUT)
 
 
 def _write_raw_days(rows: DataFrame, raw_path: str) -> None:
@@ -128,9 +119,22 @@ def _write_raw_days(rows: DataFrame, raw_path: str) -> None:
     )
 
 
-def _typed(batch: DataFrame) -> DataFrame:
-    """The batch in the raw table's types (ANSI casts fail loudly instead of corrupting files)."""
-    return batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in OBSERVATION.fields])
+def _typed(batch: DataFrame) -> tuple[DataFrame, Column]:
+    """The batch in the raw table's types, plus a flag for rows the cast would corrupt.
+
+    ``try_cast`` is used so the check does not depend on ANSI mode: a value that
+    does not fit (overflow, narrowing) becomes NULL and is flagged.
+    """
+    cols, lossy = [], F.lit(False)
+    for f in OBSERVATION.fields:
+        src = F.col(f.name)
+        if batch.schema[f.name].dataType == f.dataType:
+            cols.append(src.alias(f.name))
+        else:
+            cast = src.try_cast(f.dataType)
+            cols.append(cast.alias(f.name))
+            lossy = lossy | (src.isNotNull() & cast.isNull())
+    return batch.select(*cols, lossy.alias("_lossy")), F.col("_lossy")
 
 
 def upsert_raw(
@@ -139,35 +143,50 @@ def upsert_raw(
     batch: DataFrame,
     run_ts: dt.datetime,
     work: str,
-    day_counts: dict[tuple[int, dt.date], int] | None = None,
+    _day_counts: dict[tuple[int, dt.date], int] | None = None,
 ) -> tuple[list[dict], list[dt.date]]:
     """Merge ``batch`` (indicator_id, datetime_utc, geo_id, value) into the raw table.
 
-    ``day_counts`` maps (indicator, UTC day) to the batch's row count there
-    (one small aggregation computes it when not given). Only those days are
-    written. Returns per-indicator counts (staged / inserted / updated /
-    unchanged) and the days whose partitions were rewritten; an empty batch is a
-    no-op.
+    Returns per-indicator counts (staged / inserted / updated / unchanged) and
+    the days whose partitions were rewritten; an empty batch is a no-op. A
+    batch with a NULL key or a value that does not fit the table's types is
+    refused (ValueError), whatever the session's ANSI setting.
 
     * Days with no stored partition are plain inserts: their rows go straight
       into the final write, with no join.
     * Stored days are merged: their partitions are joined with the batch on the
-      keys, and the merge plan is staged, partitioned by day, so the rewrite
-      reads only the days that changed.
+      keys, and the merge plan is staged (one file per join task), so the join
+      runs once; only days with an insert or update are rewritten.
+
+    ``_day_counts`` ((indicator, day) -> rows) is passed by ``ingest_items``,
+    whose checks already computed it for a validated batch; other callers omit
+    it and one small aggregation computes and validates it.
     """
     ensure_utc(spark)
     tables.provision_raw(spark, raw_path)
-    batch = tables.with_partition(_typed(batch))
-    if day_counts is None:
-        per_day = batch.groupBy("indicator_id", RAW_PARTITION).agg(F.count(F.lit(1)).alias("n")).collect()
-        day_counts = {(r.indicator_id, r[RAW_PARTITION]): r.n for r in per_day}  # <= indicators x days
-    days = sorted({d for _, d in day_counts})
+    typed, lossy = _typed(batch.select(*RAW_KEYS, "value"))
+    batch = tables.with_partition(typed)
+    if _day_counts is None:
+        per_day = (
+            batch.groupBy("indicator_id", RAW_PARTITION)
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if(lossy).alias("lossy"),
+                 F.count_if(F.col("geo_id").isNull()).alias("no_geo"))
+            .collect()
+        )  # <= indicators x days rows
+        bad = [r for r in per_day if r.indicator_id is None or r[RAW_PARTITION] is None or r.lossy or r.no_geo]
+        if bad:
+            raise ValueError(f"batch has NULL keys or values outside the table's types: {bad[:5]}")
+        _day_counts = {(r.indicator_id, r[RAW_PARTITION]): r.n for r in per_day}
+    batch = batch.drop("_lossy")
+    days = sorted({d for _, d in _day_counts})
     if not days:
         return [], []
-    batch = batch.where(F.col(RAW_PARTITION).isin(days))  # never write outside the known days
+    indicators = sorted({i for i, _ in _day_counts})
+    # Never write outside what was counted.
+    batch = batch.where(F.col(RAW_PARTITION).isin(days) & F.col("indicator_id").isin(indicators))
     stored_days = tables.existing_days(spark, raw_path)
+    new_days = {d for d in days if d not in stored_days}
     merge_days = [d for d in days if d in stored_days]
-    new_days = [d for d in days if d not in stored_days]
 
     counts: dict[int, dict] = {}
 
@@ -179,26 +198,29 @@ def upsert_raw(
         c["unchanged"] += unchanged
 
     parts: list[DataFrame] = []
-    input_bytes = 0
-    changed = list(new_days)
+    n_rows = 0
+    changed = sorted(new_days)
     if new_days:
-        for (ind, d), n in day_counts.items():
+        for (ind, d), n in _day_counts.items():
             if d in new_days:
                 add(ind, n, inserted=n)
-        inserts = upsert.insert_plan(batch.where(F.col(RAW_PARTITION).isin(new_days)).drop(RAW_PARTITION), run_ts)
+                n_rows += n
+        inserts = upsert.insert_plan(batch.where(F.col(RAW_PARTITION).isin(sorted(new_days))).drop(RAW_PARTITION), run_ts)
         parts.append(tables.with_partition(upsert.merged_table(inserts)))
-        input_bytes += bytes_on_disk(spark, f"{work}/staged")
     if merge_days:
         target = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(merge_days))
         source = batch.where(F.col(RAW_PARTITION).isin(merge_days))
-        plan = upsert.merge_plan(target.drop(RAW_PARTITION), source.drop(RAW_PARTITION), run_ts)
+        plan = tables.with_partition(upsert.merge_plan(target.drop(RAW_PARTITION), source.drop(RAW_PARTITION), run_ts))
+        # Staged unpartitioned (one file per join task, replacing any earlier
+        # content of the folder); later passes re-read it instead of re-joining.
         plan_path = f"{work}/merge_plan"
-        tables.with_partition(plan).write.mode("overwrite").partitionBy(RAW_PARTITION).parquet(plan_path)
-        plan = spark.read.parquet(plan_path)
+        plan.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(plan_path)
+        plan = spark.read.schema(plan.schema).parquet(plan_path)
         # One small pass: counts per (indicator, day), bounded by indicators x days.
         summary = (
             plan.groupBy("indicator_id", RAW_PARTITION)
             .agg(
+                F.count(F.lit(1)).alias("rows"),
                 F.count_if("staged").alias("staged_rows"),
                 F.count_if(F.col("op") == upsert.INSERT).alias("inserted"),
                 F.count_if(F.col("op") == upsert.UPDATE).alias("updated"),
@@ -210,14 +232,14 @@ def upsert_raw(
             add(r.indicator_id, r.staged_rows, r.inserted, r.updated, r.unchanged)
         merged_changed = sorted({r[RAW_PARTITION] for r in summary if r.inserted or r.updated})
         if merged_changed:
+            n_rows += sum(r.rows for r in summary if r[RAW_PARTITION] in set(merged_changed))
             rows = plan.where(F.col(RAW_PARTITION).isin(merged_changed))
             parts.append(rows.select(*RAW_TABLE.fieldNames(), RAW_PARTITION))
-            input_bytes += bytes_on_disk(spark, plan_path)
-        changed += merged_changed
+        changed = sorted(set(changed) | set(merged_changed))
     if parts:
-        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-        _write_raw_days(_laid_out(spark, rows, input_bytes), raw_path)
-    return [c for c in counts.values() if c["staged_rows"]], sorted(changed)
+        rows = functools.reduce(DataFrame.unionByName, parts)
+        _write_raw_days(_laid_out(spark, rows, n_rows), raw_path)
+    return [c for c in counts.values() if c["staged_rows"]], changed
 
 
 def refresh_marts(
@@ -227,6 +249,14 @@ def refresh_marts(
     ensure_utc(spark)
     own_work = work is None
     work = work or work_folder(spark, "marts")
+    try:
+        return _refresh(spark, layout, days, work)
+    finally:
+        if own_work:
+            remove_work(spark, work)
+
+
+def _refresh(spark: SparkSession, layout: Layout, days: list[dt.date] | None, work: str) -> dict[str, DataFrame]:
     raw = tables.read_raw(spark, layout.raw)
     fct_path = layout.mart("fct_hourly_market")
     incremental = days is not None and tables.raw_exists(spark, fct_path)
@@ -250,8 +280,6 @@ def refresh_marts(
     daily = spark.read.parquet(layout.mart("mart_daily_summary"))
     tables.write_table(marts.price_impact(daily), layout.mart("mart_renewables_price_impact"))
     tables.write_table(marts.technology_mix(daily, ordered=False), layout.mart("mart_technology_mix"))
-    if own_work:
-        remove_work(spark, work)
     return {n: spark.read.parquet(layout.mart(n)) for n in MART_NAMES}
 
 
@@ -264,32 +292,27 @@ def ingest_items(
 ) -> RunResult:
     """Stage, validate and upsert a batch of payload items; indicators fail independently.
 
-    An indicator fails on any malformed item or duplicated key; rows without an
-    indicator id never load. The staging folder is removed after the load
-    unless ``keep_work``.
+    An indicator fails on any malformed item or duplicated key, and rows without
+    an indicator id never load (``ingest.failed_row``). The staging folder is
+    removed afterwards, also when the load fails, unless ``keep_work``.
     """
     ensure_utc(spark)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     work = work_folder(spark, "ingest")
-    staged = stage_batch(spark, items, work)
-    # One row per indicator in the batch, with its row count per UTC day.
-    checks = ingest.indicator_checks(staged, with_days=True).collect()
-    failed = {
-        r.indicator_id
-        for r in checks
-        if r.indicator_id is None or r.bad_times > 0 or r.bad_values > 0 or r.duplicate_keys > 0
-    }
-    failed_ids = [i for i in failed if i is not None]
-    day_counts = {
-        (r.indicator_id, d): n for r in checks if r.indicator_id not in failed for d, n in r.day_counts.items()
-    }
-    ok = F.col("indicator_id").isNotNull()
-    batch = staged.where(ok & ~F.col("indicator_id").isin(failed_ids)) if failed_ids else staged.where(ok)
-    counts, changed = upsert_raw(spark, layout.raw, batch.select(*RAW_KEYS, "value"), run_ts, work, day_counts)
-    if not keep_work:
-        remove_work(spark, work)
+    try:
+        staged = stage_batch(spark, items, work)
+        # One row per indicator in the batch, with its row count per UTC day.
+        checks = ingest.indicator_checks(staged, with_days=True).collect()
+        ok = [r for r in checks if not ingest.failed_row(r)]
+        ok_ids = [r.indicator_id for r in ok]
+        day_counts = {(r.indicator_id, d): n for r in ok for d, n in r.day_counts.items()}
+        batch = staged.where(F.col("indicator_id").isin(ok_ids)).select(*RAW_KEYS, "value")
+        counts, changed = upsert_raw(spark, layout.raw, batch, run_ts, work, day_counts)
+    finally:
+        if not keep_work:
+            remove_work(spark, work)
     return RunResult(
-        status=1 if failed else 0,
+        status=1 if len(ok) < len(checks) else 0,
         checks=[{k: v for k, v in r.asDict().items() if k != "day_counts"} for r in checks],
         counts=counts,
         changed_days=changed,

@@ -18,25 +18,24 @@ from pyspark.sql import types as T
 from gridmart.schemas import RAW_PARTITION, RAW_TABLE, TECHNOLOGY, TECHNOLOGY_SEED_CSV
 
 
-def _hadoop_path_exists(spark: SparkSession, path: str) -> bool:
+def hadoop_fs(spark: SparkSession, path: str):
+    """(FileSystem, Path) of a storage path, through the cluster's Hadoop configuration."""
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(jpath))
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
 def raw_exists(spark: SparkSession, path: str) -> bool:
     """Preflight: the raw table has been provisioned (a ``_SUCCESS`` or data present)."""
-    return _hadoop_path_exists(spark, path)
+    fs, jpath = hadoop_fs(spark, path)
+    return bool(fs.exists(jpath))
 
 
 def existing_days(spark: SparkSession, path: str) -> set[dt.date]:
     """Days that already have a raw partition (directory names only, no data read)."""
     if not raw_exists(spark, path):
         return set()
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, jpath = hadoop_fs(spark, path)
     prefix = f"{RAW_PARTITION}="
     days = set()
     for status in fs.listStatus(jpath):

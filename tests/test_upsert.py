@@ -166,3 +166,32 @@ def test_rows_without_indicator_never_load(spark, scratch):
     result = warehouse.ingest_items(spark, items, layout, RUN0)
     assert result.status == 1
     assert stored(spark, layout.root) == {(600, T(2024, 5, 1, 0), 3): (D(2), RUN0, RUN0)}
+
+
+def test_refuses_null_keys_and_lossy_casts(spark, scratch):
+    import pytest
+
+    layout = warehouse.Layout(f"{scratch}/wh")
+    with pytest.raises(ValueError):
+        warehouse.upsert_raw(spark, layout.raw, source(spark, [(None, T(2024, 5, 1), 3, 1)]), RUN0, f"{scratch}/w1")
+    too_big = spark.createDataFrame([(600, T(2024, 5, 1), 3, D("1e15"))],
+                                    "indicator_id int, datetime_utc timestamp, geo_id int, value decimal(29,6)")
+    prev = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")  # the check must not rely on ANSI casts
+    try:
+        with pytest.raises(ValueError):
+            warehouse.upsert_raw(spark, layout.raw, too_big, RUN0, f"{scratch}/w2")
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", prev)
+    assert tables.read_raw(spark, layout.raw).count() == 0
+
+
+def test_null_indicator_fails_the_run_everywhere(spark):
+    from gridmart.operators import ingest
+
+    items = spark.createDataFrame(
+        [(None, "1", None, "2024-05-01T00:00:00Z", 3), (600, "2", None, "2024-05-01T00:00:00Z", 3)],
+        "indicator_id int, value string, datetime string, datetime_utc string, geo_id int")
+    checks = ingest.indicator_checks(ingest.normalise(items))
+    assert {r.run_status for r in ingest.run_status(spark, checks).collect()} == {1}
+    assert [r.indicator_id for r in ingest.rejected_indicators(checks).collect()] == [None]
