@@ -92,20 +92,20 @@ _LAYOUT = (RAW_PARTITION, "indicator_id", "geo_id", "datetime_utc")
 SLICE_ROWS = 1_000_000
 
 
-def _laid_out(spark: SparkSession, rows: DataFrame, n_rows: int) -> DataFrame:
+def _laid_out(spark: SparkSession, rows: DataFrame, n_rows: int, n_days: int) -> DataFrame:
     """Range-partition raw rows by (day, indicator, geo, time) and sort each slice.
 
     Every task holds one contiguous slice: a day gets few large files, a hot day
     is spread over several tasks (never a repartition by day alone), and sorted
     rows keep Parquet row-group statistics tight for indicator and geo filters.
-    The slice count is left to AQE (which merges small slices) unless the rows
-    need more slices than the shuffle width; then it follows the row count, so a
-    large backfill is not squeezed into one task per day.
+    Slice count: one per ~``SLICE_ROWS`` rows, and at least one per written day
+    up to the shuffle width (days are then written in parallel). So a large
+    backfill is never squeezed into one task per day, and a small daily run
+    writes about one file per day, not thousands of tiny ones.
     """
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    needed = -(-n_rows // SLICE_ROWS)
-    ranged = rows.repartitionByRange(needed, *_LAYOUT) if needed > width else rows.repartitionByRange(*_LAYOUT)
-    return ranged.sortWithinPartitions(*_LAYOUT)
+    slices = max(-(-n_rows // SLICE_ROWS), min(width, n_days), 1)
+    return rows.repartitionByRange(slices, *_LAYOUT).sortWithinPartitions(*_LAYOUT)
 
 
 def _write_raw_days(rows: DataFrame, raw_path: str) -> None:
@@ -238,7 +238,7 @@ def upsert_raw(
         changed = sorted(set(changed) | set(merged_changed))
     if parts:
         rows = functools.reduce(DataFrame.unionByName, parts)
-        _write_raw_days(_laid_out(spark, rows, n_rows), raw_path)
+        _write_raw_days(_laid_out(spark, rows, n_rows, len(changed)), raw_path)
     return [c for c in counts.values() if c["staged_rows"]], changed
 
 
