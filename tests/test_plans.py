@@ -59,8 +59,9 @@ def test_fact_turns_left_join_into_inner(spark, scratch):
     assert "Join Inner" in text and "LeftOuter" not in text
 
 
-def test_hot_day_is_split_over_several_files(spark, scratch):
+def test_hot_day_is_split_over_several_files(spark, scratch, monkeypatch):
     """A day holding most of the batch is written by several tasks, not one."""
+    monkeypatch.setattr(warehouse, "SLICE_ROWS", 1000)  # 4000-row day = "large" at test scale
     # At test size every file is tiny, so turn off the two small-data packings
     # (post-shuffle coalescing and packing small files into one read split)
     # that at scale never apply to a hot day's multi-hundred-MB slices.
