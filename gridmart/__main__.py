@@ -27,6 +27,7 @@ def _session(args):
 
 
 def cmd_ingest(args) -> int:
+    from gridmart.functions.calendar import utc_literal
     from gridmart.operators import ingest
     from gridmart.plans import warehouse
     from gridmart.sources import payload
@@ -37,7 +38,7 @@ def cmd_ingest(args) -> int:
     # Items with a valid time outside the run's window are not part of this run;
     # items whose time is unreadable stay, so they still reject their indicator.
     norm_ts = F.coalesce(F.nullif(F.col("datetime_utc"), F.lit("")), F.col("datetime")).try_cast("timestamp")
-    items = items.where(norm_ts.isNull() | ((norm_ts >= F.lit(start)) & (norm_ts < F.lit(end))))
+    items = items.where(norm_ts.isNull() | ((norm_ts >= utc_literal(start)) & (norm_ts < utc_literal(end))))
     layout = warehouse.Layout(args.root)
     result = warehouse.ingest_items(spark, items, layout)
     if not args.no_build:

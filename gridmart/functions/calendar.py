@@ -7,12 +7,25 @@ values. All expressions are built-ins (whole-stage codegen, no UDFs).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from gridmart.schemas import LOCAL_TZ
 
 
+def utc_literal(value: dt.datetime) -> Column:
+    """A TIMESTAMP literal for a UTC instant; naive datetimes are read as UTC.
+
+    (PySpark converts a naive datetime with the driver's OS time zone, so it is
+    made UTC-aware first; the result does not depend on where the driver runs.)
+    """
+    if value.tzinfo is None:
+        value = value.replace(tzinfo=dt.timezone.utc)
+    return F.lit(value).cast("timestamp")
+
+
 def hour_utc(ts: Column | str) -> Column:
     """UTC hour bucket of an instant."""
     return F.date_trunc("hour", F.col(ts) if isinstance(ts, str) else ts)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridmart.functions.calendar import utc_literal
 from gridmart.schemas import (
     AUTO_WINDOW_DAYS,
     DEFAULT_GEO,
@@ -44,7 +45,7 @@ def normalise(items: DataFrame) -> DataFrame:
     ts = raw_ts.try_cast(T.TimestampType())
     value = F.col("value").try_cast(VALUE_TYPE)
     return items.select(
-        F.col("indicator_id").cast("int").alias("indicator_id"),
+        F.col("indicator_id").try_cast("int").alias("indicator_id"),
         ts.alias("datetime_utc"),
         F.coalesce(F.col("geo_id"), F.lit(DEFAULT_GEO)).cast("int").alias("geo_id"),
         value.alias("value"),
@@ -93,9 +94,13 @@ def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFram
         F.sum("bv").alias("bad_values"),
         *extra,
     )
-    dups = duplicate_keys(normalised).groupBy("indicator_id").agg(F.count(F.lit(1)).alias("duplicate_keys"))
-    # Both sides hold one row per indicator id; AQE broadcasts from the measured size.
-    return per_ind.join(dups, "indicator_id", "left").select(
+    dups = duplicate_keys(normalised).groupBy(F.col("indicator_id").alias("dup_id")).agg(
+        F.count(F.lit(1)).alias("duplicate_keys")
+    )
+    # Both sides hold one row per indicator id (NULL included, hence the
+    # NULL-safe match); AQE broadcasts from the measured size.
+    joined = per_ind.join(dups, per_ind["indicator_id"].eqNullSafe(dups["dup_id"]), "left")
+    out = joined.select(
         "indicator_id",
         "staged_rows",
         "bad_times",
@@ -103,23 +108,21 @@ def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFram
         F.coalesce("duplicate_keys", F.lit(0)).cast("bigint").alias("duplicate_keys"),
         *(["day_counts"] if with_days else []),
     )
+    return out.withColumn("failed", failed_column()) if with_days else out
 
 
-# The failure rule, as a Column (for DataFrames) and for collected check rows:
-# no indicator id, or any malformed time/value, or any duplicated key.
 def failed_column() -> Column:
+    """The failure rule over check rows: an indicator id that is missing or not
+    in the registry, or any malformed time/value, or any duplicated key."""
+    known = F.col("indicator_id").isin(list(INDICATORS))
     return (
-        F.col("indicator_id").isNull()
+        ~F.coalesce(known, F.lit(False))
         | (F.col("bad_times") > 0)
         | (F.col("bad_values") > 0)
         | (F.col("duplicate_keys") > 0)
     )
 
 
-def failed_row(r) -> bool:
-    return r.indicator_id is None or r.bad_times > 0 or r.bad_values > 0 or r.duplicate_keys > 0
-
-
 def rejected_indicators(checks: DataFrame) -> DataFrame:
     """Indicators whose batch must not load (see ``failed_column``)."""
     return checks.where(failed_column())
@@ -162,7 +165,7 @@ def extraction_window(
 def window_filter(obs: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
     """Observations with ``start <= datetime_utc < end`` (literal bounds, pushed to the scan)."""
     ts = F.col("datetime_utc")
-    return obs.where((ts >= F.lit(start)) & (ts < F.lit(end)))
+    return obs.where((ts >= utc_literal(start)) & (ts < utc_literal(end)))
 
 
 def run_status(spark: SparkSession, checks: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridmart.functions.calendar import utc_literal
 from gridmart.schemas import FRESHNESS_ERROR_HOURS, FRESHNESS_WARN_HOURS
 
 CHECK_SCHEMA = T.StructType(
@@ -83,7 +84,7 @@ def freshness(raw: DataFrame, as_of: dt.datetime | Column | None = None,
               loaded_at: str = "extracted_at") -> DataFrame:
     """Source freshness on ``loaded_at``: pass / warn (> 36 h) / error (> 72 h), one row."""
     now = F.current_timestamp() if as_of is None else (
-        as_of if isinstance(as_of, Column) else F.lit(as_of).cast("timestamp"))
+        as_of if isinstance(as_of, Column) else utc_literal(as_of))
     latest = raw.agg(F.max(loaded_at).alias("max_loaded_at"))
     age = F.unix_micros(now) - F.unix_micros(F.col("max_loaded_at"))
     warn_us = FRESHNESS_WARN_HOURS * 3_600_000_000

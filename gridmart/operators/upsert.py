@@ -23,13 +23,14 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridmart.functions.calendar import utc_literal
 from gridmart.schemas import RAW_KEYS
 
 INSERT, UPDATE, KEEP = "insert", "update", "keep"
 
 
 def _ts(run_ts: dt.datetime | Column) -> Column:
-    return run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp")
+    return run_ts if isinstance(run_ts, Column) else utc_literal(run_ts)
 
 
 def merge_plan(target: DataFrame, source: DataFrame, run_ts: dt.datetime | Column) -> DataFrame:

@@ -120,20 +120,22 @@ def _write_raw_days(rows: DataFrame, raw_path: str) -> None:
 
 
 def _typed(batch: DataFrame) -> tuple[DataFrame, Column]:
-    """The batch in the raw table's types, plus a flag for rows the cast would corrupt.
+    """The batch in the raw table's types, plus a flag for rows the cast would change.
 
-    ``try_cast`` is used so the check does not depend on ANSI mode: a value that
-    does not fit (overflow, narrowing) becomes NULL and is flagged.
+    ``try_cast`` keeps the check independent of ANSI mode, and a round trip back
+    to the source type catches what a NULL check alone misses: overflow (NULL),
+    truncated keys (600.7 -> 600) and rounded values (1.12345678 -> 1.123457).
     """
     cols, lossy = [], F.lit(False)
     for f in OBSERVATION.fields:
         src = F.col(f.name)
-        if batch.schema[f.name].dataType == f.dataType:
+        src_type = batch.schema[f.name].dataType
+        if src_type == f.dataType:
             cols.append(src.alias(f.name))
         else:
             cast = src.try_cast(f.dataType)
             cols.append(cast.alias(f.name))
-            lossy = lossy | (src.isNotNull() & cast.isNull())
+            lossy = lossy | (src.isNotNull() & ~F.coalesce(cast.try_cast(src_type).eqNullSafe(src), F.lit(False)))
     return batch.select(*cols, lossy.alias("_lossy")), F.col("_lossy")
 
 
@@ -167,15 +169,23 @@ def upsert_raw(
     typed, lossy = _typed(batch.select(*RAW_KEYS, "value"))
     batch = tables.with_partition(typed)
     if _day_counts is None:
+        # A caller's batch is staged once (its lineage is evaluated once, and
+        # validation and the writes see the same rows), then validated.
+        path = f"{work}/batch"
+        batch.write.mode("overwrite").parquet(path)
+        batch = spark.read.parquet(path)
         per_day = (
             batch.groupBy("indicator_id", RAW_PARTITION)
-            .agg(F.count(F.lit(1)).alias("n"), F.count_if(lossy).alias("lossy"),
+            .agg(F.count(F.lit(1)).alias("n"), F.count_if("_lossy").alias("lossy"),
                  F.count_if(F.col("geo_id").isNull()).alias("no_geo"))
             .collect()
         )  # <= indicators x days rows
         bad = [r for r in per_day if r.indicator_id is None or r[RAW_PARTITION] is None or r.lossy or r.no_geo]
         if bad:
             raise ValueError(f"batch has NULL keys or values outside the table's types: {bad[:5]}")
+        dup = ingest.duplicate_keys(batch).limit(1).collect()
+        if dup:
+            raise ValueError(f"batch repeats a key: {dup[0].asDict()}")
         _day_counts = {(r.indicator_id, r[RAW_PARTITION]): r.n for r in per_day}
     batch = batch.drop("_lossy")
     days = sorted({d for _, d in _day_counts})
@@ -242,38 +252,79 @@ def upsert_raw(
     return [c for c in counts.values() if c["staged_rows"]], changed
 
 
+def _pending_path(layout: Layout) -> str:
+    return f"{layout.root.rstrip('/')}/_pending_days"
+
+
+def pending_days(spark: SparkSession, layout: Layout) -> list[dt.date]:
+    """Days loaded into raw whose marts have not been refreshed yet."""
+    path = _pending_path(layout)
+    if not tables.raw_exists(spark, f"{path}/_SUCCESS"):
+        return []
+    return sorted(r.day for r in spark.read.schema("day date").parquet(path).collect())
+
+
+def _set_pending(spark: SparkSession, layout: Layout, days: list[dt.date]) -> None:
+    rows = spark.createDataFrame([(d,) for d in sorted(set(days))], "day date")
+    rows.coalesce(1).write.mode("overwrite").parquet(_pending_path(layout))
+
+
+def add_pending_days(spark: SparkSession, layout: Layout, days: list[dt.date]) -> None:
+    """Record days whose raw partitions changed; the next mart refresh picks them up
+    even if this run's refresh fails or is skipped (a small list: days, not rows)."""
+    if days:
+        _set_pending(spark, layout, pending_days(spark, layout) + list(days))
+
+
+def _complete(spark: SparkSession, path: str) -> bool:
+    """A table written to completion (Spark's job commit leaves ``_SUCCESS``)."""
+    return tables.raw_exists(spark, f"{path}/_SUCCESS")
+
+
 def refresh_marts(
     spark: SparkSession, layout: Layout, days: list[dt.date] | None = None, work: str | None = None
 ) -> dict[str, DataFrame]:
-    """Rebuild the marts; with ``days``, recompute the hourly fact of those days only."""
+    """Rebuild the marts; with ``days``, recompute the hourly fact of those days only.
+
+    Days recorded as pending by earlier loads are added to ``days``, and a mart
+    that is missing or was not written to completion is rebuilt in full, so a
+    refresh that failed or was skipped is repaired by the next one.
+    """
     ensure_utc(spark)
     own_work = work is None
     work = work or work_folder(spark, "marts")
+    pending = pending_days(spark, layout)
+    if days is not None:
+        days = sorted(set(days) | set(pending))
     try:
-        return _refresh(spark, layout, days, work)
+        out = _refresh(spark, layout, days, work)
+        if pending:
+            _set_pending(spark, layout, [])
+        return out
     finally:
         if own_work:
             remove_work(spark, work)
 
 
 def _refresh(spark: SparkSession, layout: Layout, days: list[dt.date] | None, work: str) -> dict[str, DataFrame]:
-    raw = tables.read_raw(spark, layout.raw)
     fct_path = layout.mart("fct_hourly_market")
-    incremental = days is not None and tables.raw_exists(spark, fct_path)
-    if incremental:
-        if not days:
-            return {n: spark.read.parquet(layout.mart(n)) for n in MART_NAMES}
-        raw = raw.where(F.col(RAW_PARTITION).isin(days))
-    obs = raw.select(*RAW_KEYS, "value")
-    fresh = fct_hourly_market(hourly_market_from_raw(obs))
-    if incremental:
+    fct_ok = _complete(spark, fct_path)
+    downstream_ok = all(_complete(spark, layout.mart(n)) for n in MART_NAMES[1:])
+    if days == [] and fct_ok and downstream_ok:
+        return {n: spark.read.parquet(layout.mart(n)) for n in MART_NAMES}
+    raw = tables.read_raw(spark, layout.raw)
+    if days is None or not fct_ok:
+        fresh = fct_hourly_market(hourly_market_from_raw(raw.select(*RAW_KEYS, "value")))
+        fresh.write.mode("overwrite").parquet(fct_path)
+    elif days:
+        recent = raw.where(F.col(RAW_PARTITION).isin(days)).select(*RAW_KEYS, "value")
+        fresh = fct_hourly_market(hourly_market_from_raw(recent))
         # The old fact is read, so the new one is staged first, then copied over.
+        # If the copy fails, the fact has no _SUCCESS and the next refresh rebuilds it.
         kept = spark.read.parquet(fct_path).where(~F.col("date_utc").isin(days))
         staged_fct = f"{work}/fct_hourly_market"
         kept.unionByName(fresh).write.mode("overwrite").parquet(staged_fct)
         spark.read.parquet(staged_fct).write.mode("overwrite").parquet(fct_path)
-    else:
-        fresh.write.mode("overwrite").parquet(fct_path)
 
     fct = spark.read.parquet(fct_path)
     tables.write_table(marts.daily_summary(fct), layout.mart("mart_daily_summary"))
@@ -292,28 +343,31 @@ def ingest_items(
 ) -> RunResult:
     """Stage, validate and upsert a batch of payload items; indicators fail independently.
 
-    An indicator fails on any malformed item or duplicated key, and rows without
-    an indicator id never load (``ingest.failed_row``). The staging folder is
-    removed afterwards, also when the load fails, unless ``keep_work``.
+    An indicator fails on any malformed item or duplicated key, and rows whose
+    indicator id is missing or not registered never load
+    (``ingest.failed_column``). The days it changes are recorded as pending for
+    the mart refresh. The staging folder is removed afterwards, also when the
+    load fails, unless ``keep_work``.
     """
     ensure_utc(spark)
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
     work = work_folder(spark, "ingest")
     try:
         staged = stage_batch(spark, items, work)
         # One row per indicator in the batch, with its row count per UTC day.
         checks = ingest.indicator_checks(staged, with_days=True).collect()
-        ok = [r for r in checks if not ingest.failed_row(r)]
+        ok = [r for r in checks if not r.failed]
         ok_ids = [r.indicator_id for r in ok]
         day_counts = {(r.indicator_id, d): n for r in ok for d, n in r.day_counts.items()}
         batch = staged.where(F.col("indicator_id").isin(ok_ids)).select(*RAW_KEYS, "value")
         counts, changed = upsert_raw(spark, layout.raw, batch, run_ts, work, day_counts)
+        add_pending_days(spark, layout, changed)
     finally:
         if not keep_work:
             remove_work(spark, work)
     return RunResult(
         status=1 if len(ok) < len(checks) else 0,
-        checks=[{k: v for k, v in r.asDict().items() if k != "day_counts"} for r in checks],
+        checks=[{k: v for k, v in r.asDict().items() if k not in ("day_counts", "failed")} for r in checks],
         counts=counts,
         changed_days=changed,
     )

@@ -17,6 +17,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart.functions.calendar import utc_literal
 from gridmart.schemas import INDICATORS, VALUE_TYPE
 
 # Fixed run timestamps used by the ingest/upsert fixtures (deterministic audit columns).
@@ -65,7 +66,7 @@ def load_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_table(events: DataFrame) -> DataFrame:
     """The observation fixture as a loaded raw table (audit columns = first load)."""
-    first = F.lit(FIRST_LOAD_TS).cast("timestamp")
+    first = utc_literal(FIRST_LOAD_TS)
     return observations(events).withColumn("extracted_at", first).withColumn("updated_at", first)
 
 
@@ -155,7 +156,7 @@ def catalogue_documents(events: DataFrame) -> DataFrame:
 
 
 def upsert_target(events: DataFrame) -> DataFrame:
-    first = F.lit(FIRST_LOAD_TS).cast("timestamp")
+    first = utc_literal(FIRST_LOAD_TS)
     return (
         observations_with_id(events)
         .where(F.col("event_id") % 3 != 0)

@@ -25,7 +25,7 @@ def read_payload_files(spark: SparkSession, path: str, multiline: bool = True) -
         .option("multiLine", str(multiline).lower())
         .option("mode", "PERMISSIVE")
         .json(path)
-        .withColumn("indicator_id", F.col("indicator_id").cast("int"))
+        .withColumn("indicator_id", F.col("indicator_id").try_cast("int"))
     )
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridmart.functions.calendar import utc_literal
 from gridmart.schemas import RAW_PARTITION, RAW_TABLE, TECHNOLOGY, TECHNOLOGY_SEED_CSV
 
 
@@ -72,10 +73,10 @@ def read_raw(
     schema = T.StructType(RAW_TABLE.fields + [T.StructField(RAW_PARTITION, T.DateType())])
     df = spark.read.schema(schema).parquet(path)
     if start is not None:
-        df = df.where(F.col(RAW_PARTITION) >= F.lit(start.date())).where(F.col("datetime_utc") >= F.lit(start))
+        df = df.where(F.col(RAW_PARTITION) >= F.lit(start.date())).where(F.col("datetime_utc") >= utc_literal(start))
     if end is not None:
         last_day = (end - dt.timedelta(microseconds=1)).date()
-        df = df.where(F.col(RAW_PARTITION) <= F.lit(last_day)).where(F.col("datetime_utc") < F.lit(end))
+        df = df.where(F.col(RAW_PARTITION) <= F.lit(last_day)).where(F.col("datetime_utc") < utc_literal(end))
     return df
 
 

@@ -41,7 +41,7 @@ def _process(layout: warehouse.Layout, refresh: bool, log: list | None):
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         items = payload.explode_payload(batch)
-        run_ts = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        run_ts = dt.datetime.now(dt.timezone.utc)
         result = warehouse.ingest_items(spark, items, layout, run_ts)
         if refresh:
             warehouse.refresh_marts(spark, layout, result.changed_days)

@@ -39,3 +39,25 @@ def test_provision_is_idempotent(spark, scratch):
     assert df.count() == 0
     assert df.columns == ["indicator_id", "datetime_utc", "geo_id", "value", "extracted_at", "updated_at",
                           "obs_date"]
+
+
+def test_utc_literal_ignores_the_driver_time_zone(spark):
+    import datetime as dt
+    import os
+    import time
+
+    from gridmart.functions.calendar import utc_literal
+
+    naive = dt.datetime(2025, 1, 2, 6, 15)
+    prev = os.environ.get("TZ")
+    os.environ["TZ"] = "America/New_York"
+    time.tzset()
+    try:
+        got = spark.range(1).select(utc_literal(naive).cast("timestamp_ntz").alias("t")).first().t
+    finally:
+        if prev is None:
+            os.environ.pop("TZ")
+        else:
+            os.environ["TZ"] = prev
+        time.tzset()
+    assert got == naive  # the UTC wall clock, not shifted by the driver's offset

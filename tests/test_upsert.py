@@ -195,3 +195,28 @@ def test_null_indicator_fails_the_run_everywhere(spark):
     checks = ingest.indicator_checks(ingest.normalise(items))
     assert {r.run_status for r in ingest.run_status(spark, checks).collect()} == {1}
     assert [r.indicator_id for r in ingest.rejected_indicators(checks).collect()] == [None]
+
+
+def test_refuses_rounding_truncation_and_duplicates(spark, scratch):
+    import pytest
+
+    layout = warehouse.Layout(f"{scratch}/wh")
+    rounded = spark.createDataFrame([(600, T(2024, 5, 1), 3, D("1.12345678"))],
+                                    "indicator_id int, datetime_utc timestamp, geo_id int, value decimal(20,8)")
+    truncated = spark.createDataFrame([(600.7, T(2024, 5, 1), 3, D("1"))],
+                                      "indicator_id double, datetime_utc timestamp, geo_id int, value decimal(18,6)")
+    dup = source(spark, [(600, T(2024, 5, 1), 3, 1), (600, T(2024, 5, 1), 3, 2)])
+    for i, bad in enumerate([rounded, truncated, dup]):
+        with pytest.raises(ValueError):
+            warehouse.upsert_raw(spark, layout.raw, bad, RUN0, f"{scratch}/w{i}")
+    assert tables.read_raw(spark, layout.raw).count() == 0
+
+
+def test_unregistered_indicator_fails(spark, scratch):
+    items = spark.createDataFrame(
+        [(9999, "1", None, "2024-05-01T00:00:00Z", 3), (600, "2", None, "2024-05-01T00:00:00Z", 3)],
+        "indicator_id int, value string, datetime string, datetime_utc string, geo_id int")
+    layout = warehouse.Layout(f"{scratch}/wh")
+    result = warehouse.ingest_items(spark, items, layout, RUN0)
+    assert result.status == 1
+    assert set(stored(spark, layout.root)) == {(600, T(2024, 5, 1, 0), 3)}

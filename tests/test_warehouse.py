@@ -129,3 +129,41 @@ def test_stream_ingests_new_files_only(spark, scratch):
     assert raw.where(F.col("indicator_id") != 2041).count() == n1
     mart = spark.read.parquet(warehouse.Layout(root).mart("fct_hourly_market"))
     assert mart.count() > 0
+
+
+def test_skipped_refresh_is_repaired_by_the_next_one(spark, scratch):
+    layout = warehouse.Layout(f"{scratch}/wh")
+    day = dt.datetime(2024, 5, 1, 10)
+
+    def items(price):
+        return spark.createDataFrame(
+            [(600, str(price), None, "2024-05-01T10:00:00Z", 3), (2038, "5", None, "2024-05-01T10:00:00Z", 3)],
+            "indicator_id int, value string, datetime string, datetime_utc string, geo_id int")
+
+    warehouse.ingest_items(spark, items(10), layout, RUN1)
+    warehouse.refresh_marts(spark, layout, [])  # nothing passed: the pending day is picked up
+    fct = spark.read.parquet(layout.mart("fct_hourly_market")).collect()
+    assert [(r.hour_utc, float(r.price_eur_mwh)) for r in fct] == [(day, 10.0)]
+
+    r2 = warehouse.ingest_items(spark, items(99), layout, RUN2)  # revision; its refresh "crashes"
+    assert r2.changed_days == [day.date()] and warehouse.pending_days(spark, layout) == [day.date()]
+    rerun = warehouse.ingest_items(spark, items(99), layout, RUN2)  # retry: raw already current
+    assert rerun.changed_days == []
+    warehouse.refresh_marts(spark, layout, rerun.changed_days)
+    fct = spark.read.parquet(layout.mart("fct_hourly_market")).collect()
+    assert [float(r.price_eur_mwh) for r in fct] == [99.0]
+    assert warehouse.pending_days(spark, layout) == []
+
+
+def test_incomplete_mart_is_rebuilt(spark, scratch):
+    import os
+
+    layout = warehouse.Layout(f"{scratch}/wh")
+    items = spark.createDataFrame([(600, "7", None, "2024-05-01T10:00:00Z", 3), (2038, "5", None, "2024-05-01T10:00:00Z", 3)],
+                                  "indicator_id int, value string, datetime string, datetime_utc string, geo_id int")
+    warehouse.ingest_items(spark, items, layout, RUN1)
+    warehouse.refresh_marts(spark, layout, [])
+    os.remove(f"{layout.mart('mart_daily_summary')}/_SUCCESS")  # as if the daily write died
+    warehouse.refresh_marts(spark, layout, [])
+    assert os.path.exists(f"{layout.mart('mart_daily_summary')}/_SUCCESS")
+    assert spark.read.parquet(layout.mart("mart_daily_summary")).count() == 1
