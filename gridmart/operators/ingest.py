@@ -36,21 +36,27 @@ def normalise(items: DataFrame) -> DataFrame:
 
     * time: ``datetime_utc`` unless missing/empty, else ``datetime``; ISO-8601
       with offsets honoured, naive read as UTC (session time zone is UTC).
-    * geo: missing / NULL / 0 -> 0.
+    * geo: missing / NULL / empty / 0 -> 0; otherwise it must be an integer.
     * value: text -> decimal(18,6); a JSON NULL stays NULL.
     * ``bad_time``: no time at all or unparsable; ``bad_value``: text present
-      but not a number in range.
+      but not a number in range; ``bad_geo``: geo present but not an integer;
+      ``bad_doc``: the item stands for a document that did not parse.
     """
     raw_ts = F.coalesce(F.nullif(F.col("datetime_utc"), F.lit("")), F.col("datetime"))
     ts = raw_ts.try_cast(T.TimestampType())
     value = F.col("value").try_cast(VALUE_TYPE)
+    raw_geo = F.nullif(F.col("geo_id").cast("string"), F.lit(""))
+    geo = raw_geo.try_cast("int")
+    bad_doc = F.coalesce(F.col("bad_doc"), F.lit(False)) if "bad_doc" in items.columns else F.lit(False)
     return items.select(
         F.col("indicator_id").try_cast("int").alias("indicator_id"),
         ts.alias("datetime_utc"),
-        F.coalesce(F.col("geo_id"), F.lit(DEFAULT_GEO)).cast("int").alias("geo_id"),
+        F.coalesce(geo, F.lit(DEFAULT_GEO)).alias("geo_id"),
         value.alias("value"),
         (raw_ts.isNull() | ts.isNull()).alias("bad_time"),
         (F.col("value").isNotNull() & value.isNull()).alias("bad_value"),
+        (raw_geo.isNotNull() & geo.isNull()).alias("bad_geo"),
+        bad_doc.alias("bad_doc"),
     )
 
 
@@ -82,6 +88,8 @@ def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFram
         F.count(F.lit(1)).alias("n"),
         F.count_if("bad_time").alias("bt"),
         F.count_if("bad_value").alias("bv"),
+        F.count_if("bad_geo").alias("bg"),
+        F.count_if("bad_doc").alias("bd"),
     )
     extra = (
         [F.map_from_entries(F.collect_list(F.when(F.col("day").isNotNull(), F.struct("day", "n")))).alias("day_counts")]
@@ -92,6 +100,8 @@ def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFram
         F.sum("n").alias("staged_rows"),
         F.sum("bt").alias("bad_times"),
         F.sum("bv").alias("bad_values"),
+        F.sum("bg").alias("bad_geos"),
+        F.sum("bd").alias("bad_docs"),
         *extra,
     )
     dups = duplicate_keys(normalised).groupBy(F.col("indicator_id").alias("dup_id")).agg(
@@ -105,6 +115,8 @@ def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFram
         "staged_rows",
         "bad_times",
         "bad_values",
+        "bad_geos",
+        "bad_docs",
         F.coalesce("duplicate_keys", F.lit(0)).cast("bigint").alias("duplicate_keys"),
         *(["day_counts"] if with_days else []),
     )
@@ -113,12 +125,15 @@ def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFram
 
 def failed_column() -> Column:
     """The failure rule over check rows: an indicator id that is missing or not
-    in the registry, or any malformed time/value, or any duplicated key."""
+    in the registry, or any malformed document / time / value / geo, or any
+    duplicated key."""
     known = F.col("indicator_id").isin(list(INDICATORS))
     return (
         ~F.coalesce(known, F.lit(False))
+        | (F.col("bad_docs") > 0)
         | (F.col("bad_times") > 0)
         | (F.col("bad_values") > 0)
+        | (F.col("bad_geos") > 0)
         | (F.col("duplicate_keys") > 0)
     )
 

@@ -301,7 +301,9 @@ norm AS (
          coalesce(geo_id, 0) AS geo_id,
          try_cast(value AS DECIMAL(18,6)) AS value,
          datetime_utc = 'not-a-date' AS bad_time,
-         value IS NOT NULL AND try_cast(value AS DECIMAL(18,6)) IS NULL AS bad_value
+         value IS NOT NULL AND try_cast(value AS DECIMAL(18,6)) IS NULL AS bad_value,
+         false AS bad_geo,
+         false AS bad_doc
   FROM items
 ),
 dups AS (
@@ -310,14 +312,17 @@ dups AS (
   GROUP BY 1, 2, 3 HAVING count(*) > 1
 ),
 checks AS (
-  SELECT c.indicator_id, c.staged_rows, c.bad_times, c.bad_values,
+  SELECT c.indicator_id, c.staged_rows, c.bad_times, c.bad_values, c.bad_geos, c.bad_docs,
          coalesce(d.duplicate_keys, 0) AS duplicate_keys,
          c.indicator_id IS NULL
            OR c.indicator_id NOT IN (600, 2038, 2040, 2041, 2042, 2044, 2051, 10004)
-           OR c.bad_times > 0 OR c.bad_values > 0 OR coalesce(d.duplicate_keys, 0) > 0 AS failed
+           OR c.bad_docs > 0 OR c.bad_times > 0 OR c.bad_values > 0 OR c.bad_geos > 0
+           OR coalesce(d.duplicate_keys, 0) > 0 AS failed
   FROM (SELECT indicator_id, count(*) AS staged_rows,
                count(*) FILTER (WHERE bad_time) AS bad_times,
-               count(*) FILTER (WHERE bad_value) AS bad_values
+               count(*) FILTER (WHERE bad_value) AS bad_values,
+               count(*) FILTER (WHERE bad_geo) AS bad_geos,
+               count(*) FILTER (WHERE bad_doc) AS bad_docs
         FROM norm GROUP BY 1) c
   LEFT JOIN (SELECT indicator_id, count(*) AS duplicate_keys FROM dups GROUP BY 1) d USING (indicator_id)
 ),
@@ -392,12 +397,17 @@ _CHECKS = [
 ]
 
 SQL.update({
-    "payload_explode": _with_all("SELECT indicator_id, value, datetime, datetime_utc, geo_id FROM items"),
+    "payload_explode": _with_all(
+        "SELECT indicator_id, value, datetime, datetime_utc, CAST(geo_id AS VARCHAR) AS geo_id, false AS bad_doc "
+        "FROM items"
+    ),
     "normalise": _with_all(
-        "SELECT indicator_id, datetime_utc, geo_id, CAST(value AS DOUBLE) AS value, bad_time, bad_value FROM norm"
+        "SELECT indicator_id, datetime_utc, geo_id, CAST(value AS DOUBLE) AS value, bad_time, bad_value, "
+        "bad_geo, bad_doc FROM norm"
     ),
     "ingest_rejects": _with_all(
-        "SELECT indicator_id, staged_rows, bad_times, bad_values, duplicate_keys FROM checks WHERE failed"
+        "SELECT indicator_id, staged_rows, bad_times, bad_values, bad_geos, bad_docs, duplicate_keys "
+        "FROM checks WHERE failed"
     ),
     "duplicate_keys": _with_all("SELECT indicator_id, datetime_utc, geo_id, copies FROM dups"),
     "accepted": _with_all(

@@ -85,14 +85,15 @@ REPORT_WINDOW_DAYS = 30
 
 VALUE_TYPE = T.DecimalType(18, 6)
 
-# One item of an indicator payload. ``value`` is read as text on purpose so a
-# malformed number is detectable (a decimal field would silently become NULL).
+# One item of an indicator payload. ``value`` and ``geo_id`` are read as text on
+# purpose so a malformed number is detectable (a numeric field would silently
+# become NULL).
 PAYLOAD_ITEM = T.StructType(
     [
         T.StructField("value", T.StringType()),
         T.StructField("datetime", T.StringType()),
         T.StructField("datetime_utc", T.StringType()),
-        T.StructField("geo_id", T.IntegerType()),
+        T.StructField("geo_id", T.StringType()),
     ]
 )
 PAYLOAD = T.StructType(

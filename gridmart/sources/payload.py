@@ -12,42 +12,73 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.schemas import CATALOGUE, PAYLOAD
+from pyspark.sql import types as T
+
+from gridmart.schemas import CATALOGUE, PAYLOAD, PAYLOAD_ITEM
+
+
+CORRUPT = "_corrupt_record"
+# Schema of a landed document as read (the indicator id comes from the directory).
+LANDED = T.StructType(
+    PAYLOAD.fields + [T.StructField(CORRUPT, T.StringType()), T.StructField("indicator_id", T.StringType())]
+)
+
+
+def landed_documents(df: DataFrame) -> DataFrame:
+    """Raw read of landed documents -> (indicator_id, indicator, bad_doc)."""
+    return df.select(
+        F.col("indicator_id").try_cast("int").alias("indicator_id"),
+        "indicator",
+        F.col(CORRUPT).isNotNull().alias("bad_doc"),
+    )
 
 
 def read_payload_files(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Landed payload files under ``path/indicator_id=<id>/`` -> (indicator_id, indicator).
+    """Landed payload files under ``path/indicator_id=<id>/`` -> (indicator_id, indicator, bad_doc).
 
-    The indicator id comes from partition discovery on the directory name.
+    The indicator id comes from partition discovery on the directory name. A
+    document that does not parse is kept as a row with ``bad_doc`` set (its
+    indicator must fail), not dropped.
     """
-    return (
-        spark.read.schema(PAYLOAD)
+    df = (
+        spark.read.schema(LANDED)
         .option("multiLine", str(multiline).lower())
         .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
-        .withColumn("indicator_id", F.col("indicator_id").try_cast("int"))
     )
+    return landed_documents(df)
 
 
 def parse_payload(df: DataFrame, json_col: str = "payload") -> DataFrame:
-    """A string column holding payload JSON -> ``indicator`` struct column."""
+    """A string column holding payload JSON -> ``indicator`` struct + ``bad_doc``.
+
+    ``bad_doc``: the text is not a JSON object (malformed, or another JSON
+    value); a valid object without ``indicator`` / ``values`` is simply empty.
+    """
     parsed = F.from_json(F.col(json_col), PAYLOAD)
-    return df.withColumn("indicator", parsed.getField("indicator")).drop(json_col)
+    bad = F.col(json_col).isNotNull() & F.json_object_keys(F.col(json_col)).isNull()
+    return df.withColumn("indicator", parsed.getField("indicator")).withColumn("bad_doc", bad).drop(json_col)
 
 
 def explode_payload(df: DataFrame) -> DataFrame:
-    """One row per payload item: indicator_id, value, datetime, datetime_utc, geo_id.
+    """One row per payload item: indicator_id, value, datetime, datetime_utc, geo_id, bad_doc.
 
     ``explode`` (not ``explode_outer``) drops documents whose ``indicator`` or
-    ``values`` is missing, NULL or empty — those yield no rows.
+    ``values`` is missing, NULL or empty — those yield no rows. A document that
+    did not parse (``bad_doc``) yields one empty item carrying the flag.
     """
-    item = F.explode(F.col("indicator").getField("values")).alias("item")
-    return df.select("indicator_id", item).select(
+    values = F.col("indicator").getField("values")
+    bad = F.coalesce(F.col("bad_doc"), F.lit(False)) if "bad_doc" in df.columns else F.lit(False)
+    one_empty = F.array(F.lit(None).cast(PAYLOAD_ITEM))
+    item = F.explode(F.when(bad, one_empty).otherwise(values)).alias("item")
+    return df.select("indicator_id", item, bad.alias("bad_doc")).select(
         "indicator_id",
         F.col("item.value").alias("value"),
         F.col("item.datetime").alias("datetime"),
         F.col("item.datetime_utc").alias("datetime_utc"),
         F.col("item.geo_id").alias("geo_id"),
+        "bad_doc",
     )
 
 

@@ -17,21 +17,21 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from gridmart.plans import warehouse
-from gridmart.schemas import PAYLOAD
 from gridmart.session import checkpoint_dir, ensure_utc
 from gridmart.sources import payload
 
-LANDED = T.StructType(PAYLOAD.fields + [T.StructField("indicator_id", T.IntegerType())])
-
-
 def read_landing_stream(
     spark: SparkSession, landing_path: str, max_files: int | None = None, multiline: bool = True
 ) -> DataFrame:
-    reader = spark.readStream.schema(LANDED).option("multiLine", str(multiline).lower())
+    reader = (
+        spark.readStream.schema(payload.LANDED)
+        .option("multiLine", str(multiline).lower())
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", payload.CORRUPT)
+    )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
     return reader.json(landing_path)
@@ -40,7 +40,7 @@ def read_landing_stream(
 def _process(layout: warehouse.Layout, refresh: bool, log: list | None):
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        items = payload.explode_payload(batch)
+        items = payload.explode_payload(payload.landed_documents(batch))
         run_ts = dt.datetime.now(dt.timezone.utc)
         result = warehouse.ingest_items(spark, items, layout, run_ts)
         if refresh:

@@ -119,3 +119,30 @@ def test_payload_json_round_trip(spark):
     )
     out = payload.explode_payload(payload.parse_payload(docs)).collect()
     assert len(out) == 1 and out[0].value == "45.2" and out[0].indicator_id == 600
+
+
+def test_malformed_geo_rejects_indicator_and_empty_geo_is_zero(spark):
+    data = [(600, "1", None, "2026-01-01T00:00:00Z", "three"),
+            (2038, "1", None, "2026-01-01T00:00:00Z", ""), (2038, "1", None, "2026-01-01T01:00:00Z", "0"),
+            (2038, "1", None, "2026-01-01T02:00:00Z", "3")]
+    items = spark.createDataFrame(data, "indicator_id int, value string, datetime string, datetime_utc string, geo_id string")
+    normed = ingest.normalise(items)
+    assert [r.geo_id for r in normed.where("indicator_id = 2038").orderBy("datetime_utc").collect()] == [0, 0, 3]
+    rejected = {r.indicator_id: r.bad_geos for r in ingest.rejected_indicators(ingest.indicator_checks(normed)).collect()}
+    assert rejected == {600: 1}
+
+
+def test_unparseable_document_fails_its_indicator(spark):
+    from gridmart.sources import payload
+
+    docs = spark.createDataFrame(
+        [(600, '{"indicator": {"values": [{"value": 1, "datetime_utc": "2026-01-01T00:00:00Z"'),  # truncated
+         (2038, '{"indicator": {"values": [{"value": 2, "datetime_utc": "2026-01-01T00:00:00Z"}]}}'),
+         (2040, '{"other": 1}'),  # valid object, no values: nothing to load, not an error
+         (2041, '[1, 2]')],  # not an object
+        "indicator_id int, payload string")
+    items = payload.explode_payload(payload.parse_payload(docs))
+    checks = ingest.indicator_checks(ingest.normalise(items))
+    rejected = {r.indicator_id: r.bad_docs for r in ingest.rejected_indicators(checks).collect()}
+    assert rejected == {600: 1, 2041: 1}
+    assert {r.indicator_id for r in checks.collect()} == {600, 2038, 2041}

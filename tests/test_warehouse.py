@@ -167,3 +167,19 @@ def test_incomplete_mart_is_rebuilt(spark, scratch):
     warehouse.refresh_marts(spark, layout, [])
     assert os.path.exists(f"{layout.mart('mart_daily_summary')}/_SUCCESS")
     assert spark.read.parquet(layout.mart("mart_daily_summary")).count() == 1
+
+
+def test_truncated_landed_file_fails_its_indicator(spark, scratch):
+    import os
+
+    for ind, text in ((600, '{"indicator": {"values": [{"value": 1, "datetime_utc": "2024-05-01T00:00:00Z"'),
+                      (2038, '{"indicator": {"values": [{"value": 2, "datetime_utc": "2024-05-01T00:00:00Z", "geo_id": 3}]}}')):
+        os.makedirs(f"{scratch}/landing/indicator_id={ind}")
+        with open(f"{scratch}/landing/indicator_id={ind}/doc.json", "w") as fh:
+            fh.write(text)
+    result = warehouse.run(spark, f"{scratch}/landing", f"{scratch}/wh", RUN1)
+    assert result.status == 1
+    failed = {c["indicator_id"] for c in result.checks if c["bad_docs"]}
+    assert failed == {600}
+    raw = tables.read_raw(spark, warehouse.Layout(f"{scratch}/wh").raw)
+    assert [r.indicator_id for r in raw.collect()] == [2038]
