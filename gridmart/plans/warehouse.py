@@ -291,6 +291,7 @@ def refresh_marts(
     refresh that failed or was skipped is repaired by the next one.
     """
     ensure_utc(spark)
+    tables.provision_raw(spark, layout.raw)  # a build before any load gives empty marts
     own_work = work is None
     work = work or work_folder(spark, "marts")
     pending = pending_days(spark, layout)

@@ -183,3 +183,10 @@ def test_truncated_landed_file_fails_its_indicator(spark, scratch):
     assert failed == {600}
     raw = tables.read_raw(spark, warehouse.Layout(f"{scratch}/wh").raw)
     assert [r.indicator_id for r in raw.collect()] == [2038]
+
+
+def test_build_before_any_load_gives_empty_marts(spark, scratch):
+    layout = warehouse.Layout(f"{scratch}/wh")
+    out = warehouse.refresh_marts(spark, layout)
+    assert set(out) == set(warehouse.MART_NAMES)
+    assert all(df.count() == 0 for df in out.values())
