@@ -33,6 +33,23 @@ def _ts(run_ts: dt.datetime | Column) -> Column:
     return run_ts if isinstance(run_ts, Column) else utc_literal(run_ts)
 
 
+def _resolved(t_in: Column, s_in: Column, t_value: Column, s_value: Column,
+              t_extracted: Column, t_updated: Column, now: Column) -> list[Column]:
+    """value / extracted_at / updated_at / op / staged of one key, from both sides."""
+    op = (
+        F.when(~t_in, F.lit(INSERT))
+        .when(s_in & ~t_value.eqNullSafe(s_value), F.lit(UPDATE))
+        .otherwise(F.lit(KEEP))
+    )
+    return [
+        F.when(s_in, s_value).otherwise(t_value).alias("value"),
+        F.coalesce(t_extracted, now).alias("extracted_at"),
+        F.when(op == KEEP, t_updated).otherwise(now).alias("updated_at"),
+        op.alias("op"),
+        s_in.alias("staged"),
+    ]
+
+
 def merge_plan(target: DataFrame, source: DataFrame, run_ts: dt.datetime | Column) -> DataFrame:
     """Merged rows with the action taken: keys, value, extracted_at, updated_at, op.
 
@@ -50,19 +67,53 @@ def merge_plan(target: DataFrame, source: DataFrame, run_ts: dt.datetime | Colum
     )
     s = source.select(*RAW_KEYS, F.col("value").alias("s_value"), F.lit(True).alias("s_in"))
     j = t.join(s, list(RAW_KEYS), "full_outer")
-    t_in, s_in = F.col("t_in").isNotNull(), F.col("s_in").isNotNull()
-    op = (
-        F.when(~t_in, F.lit(INSERT))
-        .when(s_in & ~F.col("t_value").eqNullSafe(F.col("s_value")), F.lit(UPDATE))
-        .otherwise(F.lit(KEEP))
-    )
     return j.select(
         *RAW_KEYS,
-        F.when(s_in, F.col("s_value")).otherwise(F.col("t_value")).alias("value"),
-        F.coalesce(F.col("extracted_at"), now).alias("extracted_at"),
-        F.when(op == KEEP, F.col("updated_at")).otherwise(now).alias("updated_at"),
-        op.alias("op"),
-        s_in.alias("staged"),
+        *_resolved(F.col("t_in").isNotNull(), F.col("s_in").isNotNull(), F.col("t_value"), F.col("s_value"),
+                   F.col("extracted_at"), F.col("updated_at"), now),
+    )
+
+
+def merge_plan_clustered(
+    target: DataFrame,
+    source: DataFrame,
+    run_ts: dt.datetime | Column,
+    cluster: list[str],
+    partitions: int,
+) -> DataFrame:
+    """Same rows as ``merge_plan``, computed without a join.
+
+    Both sides are unioned and repartitioned ONCE by ``cluster`` (columns that
+    are functions of the keys, e.g. day and a hash bucket of the key, present on
+    both inputs); each key is then resolved by one aggregation, which Spark runs
+    in place because the grouping contains the partitioning columns. The output
+    stays clustered by ``cluster``. Each side must be unique on the keys (a key
+    has at most one target and one source row).
+    """
+    now = _ts(run_ts)
+    none_ts = F.lit(None).cast("timestamp")
+    t = target.select(*RAW_KEYS, *cluster, "value", "extracted_at", "updated_at", F.lit(True).alias("_t"))
+    s = source.select(*RAW_KEYS, *cluster, "value", none_ts.alias("extracted_at"), none_ts.alias("updated_at"),
+                      F.lit(False).alias("_t"))
+    is_t = F.col("_t")
+    grouped = (
+        t.unionByName(s)
+        .repartition(partitions, *cluster)
+        .groupBy(*RAW_KEYS, *cluster)
+        .agg(
+            F.max(is_t.cast("int")).alias("_has_t"),
+            F.min(is_t.cast("int")).alias("_min_t"),
+            F.first(F.when(is_t, F.col("value")), ignorenulls=True).alias("_t_value"),
+            F.first(F.when(~is_t, F.col("value")), ignorenulls=True).alias("_s_value"),
+            F.first(F.when(is_t, F.col("extracted_at")), ignorenulls=True).alias("_t_extracted"),
+            F.first(F.when(is_t, F.col("updated_at")), ignorenulls=True).alias("_t_updated"),
+        )
+    )
+    return grouped.select(
+        *RAW_KEYS,
+        *cluster,
+        *_resolved(F.col("_has_t") == 1, F.col("_min_t") == 0, F.col("_t_value"), F.col("_s_value"),
+                   F.col("_t_extracted"), F.col("_t_updated"), now),
     )
 
 

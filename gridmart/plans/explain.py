@@ -43,7 +43,9 @@ def main(argv: list[str]) -> int:
     days = sorted(tables.existing_days(spark, layout.raw))[-3:]
     recent = raw.where(F.col("obs_date").isin(days)).select(*RAW_KEYS, "value")
     batch = recent.select(*RAW_KEYS, (F.col("value") + F.lit(1)).cast("decimal(18,6)").alias("value"))
-    target = raw.where(F.col("obs_date").isin(days)).drop("obs_date")
+    bucket = F.pmod(F.xxhash64("indicator_id", "geo_id", "datetime_utc"), F.lit(2)).alias("_bucket")
+    target = raw.where(F.col("obs_date").isin(days)).select("*", bucket)
+    batch = batch.select("*", F.to_date("datetime_utc").alias("obs_date"), bucket)
     fct = spark.read.parquet(layout.mart("fct_hourly_market"))
 
     sections = [
@@ -51,10 +53,11 @@ def main(argv: list[str]) -> int:
          "Partition pruning on obs_date, geo/indicator predicates pushed to Parquet, 4-column read "
          "schema, partial aggregate then ONE exchange on the hour, no join.",
          market.fct_hourly_market(market.hourly_market_from_raw(recent))),
-        ("Upsert merge of a 3-day revision",
-         "Both sides pruned to the batch days; one exchange per side on the three keys; full outer "
-         "sort-merge join (AQE may pick another strategy from runtime sizes).",
-         upsert.merge_plan(target, batch, dt.datetime(2025, 1, 3))),
+        ("Upsert merge of a 3-day revision (production form)",
+         "Stored side pruned to the batch days; target and batch unioned and shuffled ONCE by "
+         "(day, key-hash bucket); the per-key resolution is a hash aggregate in place (no second "
+         "exchange, no join); the output stays clustered by day for the partition rewrite.",
+         upsert.merge_plan_clustered(target, batch, dt.datetime(2025, 1, 3), ["obs_date", "_bucket"], 6)),
         ("Daily mart from the stored fact",
          "Partial aggregate, one exchange on date_utc, final aggregate (hour-grained input).",
          marts.daily_summary(fct)),

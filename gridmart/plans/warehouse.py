@@ -26,7 +26,6 @@ Scale notes:
 from __future__ import annotations
 
 import datetime as dt
-import functools
 import os
 import uuid
 from dataclasses import dataclass, field
@@ -88,24 +87,14 @@ def stage_batch(spark: SparkSession, items: DataFrame, work: str) -> DataFrame:
 
 # Physical order of raw rows: by day (the partition), then indicator, geo, time.
 _LAYOUT = (RAW_PARTITION, "indicator_id", "geo_id", "datetime_utc")
-# Rows per range slice of a raw rewrite (~100 MB in memory, a few tens of MB of Parquet).
+# Rows per (day, bucket) slice of a raw write (~100 MB in memory, tens of MB of Parquet).
 SLICE_ROWS = 1_000_000
+_CLUSTER = [RAW_PARTITION, "_bucket"]
 
 
-def _laid_out(spark: SparkSession, rows: DataFrame, n_rows: int, n_days: int) -> DataFrame:
-    """Range-partition raw rows by (day, indicator, geo, time) and sort each slice.
-
-    Every task holds one contiguous slice: a day gets few large files, a hot day
-    is spread over several tasks (never a repartition by day alone), and sorted
-    rows keep Parquet row-group statistics tight for indicator and geo filters.
-    Slice count: one per ~``SLICE_ROWS`` rows, and at least one per written day
-    up to the shuffle width (days are then written in parallel). So a large
-    backfill is never squeezed into one task per day, and a small daily run
-    writes about one file per day, not thousands of tiny ones.
-    """
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slices = max(-(-n_rows // SLICE_ROWS), min(width, n_days), 1)
-    return rows.repartitionByRange(slices, *_LAYOUT).sortWithinPartitions(*_LAYOUT)
+def _bucket(k: int) -> Column:
+    """Hash bucket of the key within a day (k buckets per day)."""
+    return F.pmod(F.xxhash64("indicator_id", "geo_id", "datetime_utc"), F.lit(k)).alias("_bucket")
 
 
 def _write_raw_days(rows: DataFrame, raw_path: str) -> None:
@@ -154,11 +143,12 @@ def upsert_raw(
     batch with a NULL key or a value that does not fit the table's types is
     refused (ValueError), whatever the session's ANSI setting.
 
-    * Days with no stored partition are plain inserts: their rows go straight
-      into the final write, with no join.
-    * Stored days are merged: their partitions are joined with the batch on the
-      keys, and the merge plan is staged (one file per join task), so the join
-      runs once; only days with an insert or update are rewritten.
+    * A batch with no stored day is all inserts: written straight into the
+      table, laid out by (day, key-hash bucket), no join.
+    * Otherwise the stored days' partitions and the batch are merged by one
+      shuffle on (day, bucket) and a per-key aggregation (no join); the plan is
+      staged and only days with an insert or update are rewritten, without a
+      second shuffle.
 
     ``_day_counts`` ((indicator, day) -> rows) is passed by ``ingest_items``,
     whose checks already computed it for a validated batch; other callers omit
@@ -195,9 +185,22 @@ def upsert_raw(
     # Never write outside what was counted.
     batch = batch.where(F.col(RAW_PARTITION).isin(days) & F.col("indicator_id").isin(indicators))
     stored_days = tables.existing_days(spark, raw_path)
-    new_days = {d for d in days if d not in stored_days}
     merge_days = [d for d in days if d in stored_days]
 
+    # Slices: every (day, hash bucket of the key) pair is one slice; the bucket
+    # count follows the largest day, so a hot day is split into ~SLICE_ROWS
+    # pieces and a small day stays one file. Row counts are exact: the batch's
+    # from the checks, the stored days' from a footer-level count.
+    per_day: dict[dt.date, int] = {}
+    for (_, d), n in _day_counts.items():
+        per_day[d] = per_day.get(d, 0) + n
+    if merge_days:
+        stored = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(merge_days))
+        for r in stored.groupBy(RAW_PARTITION).count().collect():
+            per_day[r[RAW_PARTITION]] = per_day.get(r[RAW_PARTITION], 0) + r["count"]
+    k = max(1, -(-max(per_day.values()) // SLICE_ROWS))
+    slots = len(days) * k
+
     counts: dict[int, dict] = {}
 
     def add(ind: int, staged: int, inserted: int = 0, updated: int = 0, unchanged: int = 0) -> None:
@@ -207,48 +210,43 @@ def upsert_raw(
         c["updated"] += updated
         c["unchanged"] += unchanged
 
-    parts: list[DataFrame] = []
-    n_rows = 0
-    changed = sorted(new_days)
-    if new_days:
-        for (ind, d), n in _day_counts.items():
-            if d in new_days:
-                add(ind, n, inserted=n)
-                n_rows += n
-        inserts = upsert.insert_plan(batch.where(F.col(RAW_PARTITION).isin(sorted(new_days))).drop(RAW_PARTITION), run_ts)
-        parts.append(tables.with_partition(upsert.merged_table(inserts)))
-    if merge_days:
-        target = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(merge_days))
-        source = batch.where(F.col(RAW_PARTITION).isin(merge_days))
-        plan = tables.with_partition(upsert.merge_plan(target.drop(RAW_PARTITION), source.drop(RAW_PARTITION), run_ts))
-        # Staged unpartitioned (one file per join task, replacing any earlier
-        # content of the folder); later passes re-read it instead of re-joining.
-        plan_path = f"{work}/merge_plan"
-        plan.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(plan_path)
-        plan = spark.read.schema(plan.schema).parquet(plan_path)
-        # One small pass: counts per (indicator, day), bounded by indicators x days.
-        summary = (
-            plan.groupBy("indicator_id", RAW_PARTITION)
-            .agg(
-                F.count(F.lit(1)).alias("rows"),
-                F.count_if("staged").alias("staged_rows"),
-                F.count_if(F.col("op") == upsert.INSERT).alias("inserted"),
-                F.count_if(F.col("op") == upsert.UPDATE).alias("updated"),
-                F.count_if(F.col("staged") & (F.col("op") == upsert.KEEP)).alias("unchanged"),
-            )
-            .collect()
+    if not merge_days:
+        # Nothing stored on these days: the batch is all inserts, written
+        # straight into the table (one shuffle to lay it out, no join).
+        for (ind, _), n in _day_counts.items():
+            add(ind, n, inserted=n)
+        inserts = upsert.merged_table(upsert.insert_plan(batch.drop(RAW_PARTITION), run_ts))
+        rows = tables.with_partition(inserts).withColumn("_bucket", _bucket(k)).repartition(slots, *_CLUSTER)
+        _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_TABLE.fieldNames(), RAW_PARTITION), raw_path)
+        return [c for c in counts.values() if c["staged_rows"]], days
+
+    # Stored days are merged (new days in the same batch come out as inserts):
+    # ONE shuffle by (day, bucket) feeds a per-key aggregation, no join. The
+    # plan is staged (it is built from partitions about to be overwritten), one
+    # file per slot; the summary and the rewrite re-read it, and the rewrite
+    # needs no further shuffle because the plan is already clustered.
+    target = stored.withColumn("_bucket", _bucket(k))
+    source = batch.withColumn("_bucket", _bucket(k))
+    plan = upsert.merge_plan_clustered(target, source, run_ts, _CLUSTER, slots)
+    plan_path = f"{work}/merge_plan"
+    plan.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(plan_path)
+    plan = spark.read.schema(plan.schema).parquet(plan_path)
+    summary = (
+        plan.groupBy("indicator_id", RAW_PARTITION)
+        .agg(
+            F.count_if("staged").alias("staged_rows"),
+            F.count_if(F.col("op") == upsert.INSERT).alias("inserted"),
+            F.count_if(F.col("op") == upsert.UPDATE).alias("updated"),
+            F.count_if(F.col("staged") & (F.col("op") == upsert.KEEP)).alias("unchanged"),
         )
-        for r in summary:
-            add(r.indicator_id, r.staged_rows, r.inserted, r.updated, r.unchanged)
-        merged_changed = sorted({r[RAW_PARTITION] for r in summary if r.inserted or r.updated})
-        if merged_changed:
-            n_rows += sum(r.rows for r in summary if r[RAW_PARTITION] in set(merged_changed))
-            rows = plan.where(F.col(RAW_PARTITION).isin(merged_changed))
-            parts.append(rows.select(*RAW_TABLE.fieldNames(), RAW_PARTITION))
-        changed = sorted(set(changed) | set(merged_changed))
-    if parts:
-        rows = functools.reduce(DataFrame.unionByName, parts)
-        _write_raw_days(_laid_out(spark, rows, n_rows, len(changed)), raw_path)
+        .collect()
+    )  # <= indicators x days rows
+    for r in summary:
+        add(r.indicator_id, r.staged_rows, r.inserted, r.updated, r.unchanged)
+    changed = sorted({r[RAW_PARTITION] for r in summary if r.inserted or r.updated})
+    if changed:
+        rows = plan.where(F.col(RAW_PARTITION).isin(changed))
+        _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_TABLE.fieldNames(), RAW_PARTITION), raw_path)
     return [c for c in counts.values() if c["staged_rows"]], changed
 
 

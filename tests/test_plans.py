@@ -89,3 +89,17 @@ def test_hot_day_is_split_over_several_files(spark, scratch, monkeypatch):
     files = [f for f in os.listdir(hot_dir) if f.endswith(".parquet")]
     assert len(files) > 1
     assert tables.read_raw(spark, f"{scratch}/raw").count() == 4020
+
+
+def test_clustered_merge_is_one_exchange_without_join(spark, scratch):
+    from gridmart.operators import upsert
+
+    raw = stored_raw(spark, scratch, sample_rows(days=2))
+    cluster = ["obs_date", "_bucket"]
+    bucket = F.pmod(F.xxhash64("indicator_id", "geo_id", "datetime_utc"), F.lit(2)).alias("_bucket")
+    tgt = raw.select("*", bucket)
+    src = raw.select("indicator_id", "datetime_utc", "geo_id", "value", "obs_date", bucket)
+    plan = upsert.merge_plan_clustered(tgt, src, D0, cluster, 4)
+    text = plan_text(plan)
+    assert text.count("Exchange") == 1 and "Join" not in text
+    assert {r.op for r in plan.collect()} == {"keep"}

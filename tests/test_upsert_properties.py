@@ -42,6 +42,14 @@ def test_merge_matches_model(spark, target, source):
     got = {(r.indicator_id, r.datetime_utc, r.geo_id): (r.value, r.extracted_at, r.updated_at)
            for r in upsert.merged_table(plan).collect()}
     assert got == model(target, source)
+    # the join-free clustered form gives the same rows
+    from pyspark.sql import functions as F
+
+    day, bucket = F.to_date("datetime_utc").alias("d"), F.lit(0).alias("b")
+    clustered = upsert.merge_plan_clustered(tgt.select("*", day, bucket), src.select("*", day, bucket), RUN1, ["d", "b"], 2)
+    got2 = {(r.indicator_id, r.datetime_utc, r.geo_id): (r.value, r.extracted_at, r.updated_at)
+            for r in clustered.collect()}
+    assert got2 == got
     # merging the same batch again changes nothing
     again = upsert.merge_plan(upsert.merged_table(plan), src, RUN1 + dt.timedelta(days=1))
     assert {r.op for r in again.collect()} <= {"keep"}
