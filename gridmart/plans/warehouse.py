@@ -92,9 +92,13 @@ SLICE_ROWS = 1_000_000
 _CLUSTER = [RAW_PARTITION, "_bucket"]
 
 
-def _bucket(k: int) -> Column:
-    """Hash bucket of the key within a day (k buckets per day)."""
-    return F.pmod(F.xxhash64("indicator_id", "geo_id", "datetime_utc"), F.lit(k)).alias("_bucket")
+def _bucket(k_by_day: dict[dt.date, int]) -> Column:
+    """Hash bucket of the key within its day; a day with k slices has k buckets."""
+    if all(k == 1 for k in k_by_day.values()):
+        return F.lit(0).cast("bigint").alias("_bucket")
+    k_map = F.create_map(*[c for d, k in sorted(k_by_day.items()) for c in (F.lit(d), F.lit(k))])
+    k = F.coalesce(F.element_at(k_map, F.col(RAW_PARTITION)), F.lit(1))
+    return F.pmod(F.xxhash64("indicator_id", "geo_id", "datetime_utc"), k).alias("_bucket")
 
 
 def _write_raw_days(rows: DataFrame, raw_path: str) -> None:
@@ -187,10 +191,13 @@ def upsert_raw(
     stored_days = tables.existing_days(spark, raw_path)
     merge_days = [d for d in days if d in stored_days]
 
-    # Slices: every (day, hash bucket of the key) pair is one slice; the bucket
-    # count follows the largest day, so a hot day is split into ~SLICE_ROWS
-    # pieces and a small day stays one file. Row counts are exact: the batch's
-    # from the checks, the stored days' from a footer-level count.
+    # Slices: every (day, hash bucket of the key) pair is one slice. A day gets
+    # one bucket per ~SLICE_ROWS rows, so a hot day is split and a small day
+    # stays one file. Pairs are hashed onto `slots` tasks: about one task per
+    # SLICE_ROWS rows (at least the shuffle width, at most one per pair), so a
+    # task may write several small days but never a hot day alone. Row counts
+    # are exact: the batch's from the checks, the stored days' from a
+    # footer-level count.
     per_day: dict[dt.date, int] = {}
     for (_, d), n in _day_counts.items():
         per_day[d] = per_day.get(d, 0) + n
@@ -198,8 +205,10 @@ def upsert_raw(
         stored = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(merge_days))
         for r in stored.groupBy(RAW_PARTITION).count().collect():
             per_day[r[RAW_PARTITION]] = per_day.get(r[RAW_PARTITION], 0) + r["count"]
-    k = max(1, -(-max(per_day.values()) // SLICE_ROWS))
-    slots = len(days) * k
+    k_by_day = {d: max(1, -(-n // SLICE_ROWS)) for d, n in per_day.items()}
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = sum(per_day.values())
+    slots = min(sum(k_by_day.values()), max(width, -(-total // SLICE_ROWS)))
 
     counts: dict[int, dict] = {}
 
@@ -216,7 +225,7 @@ def upsert_raw(
         for (ind, _), n in _day_counts.items():
             add(ind, n, inserted=n)
         inserts = upsert.merged_table(upsert.insert_plan(batch.drop(RAW_PARTITION), run_ts))
-        rows = tables.with_partition(inserts).withColumn("_bucket", _bucket(k)).repartition(slots, *_CLUSTER)
+        rows = tables.with_partition(inserts).withColumn("_bucket", _bucket(k_by_day)).repartition(slots, *_CLUSTER)
         _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_TABLE.fieldNames(), RAW_PARTITION), raw_path)
         return [c for c in counts.values() if c["staged_rows"]], days
 
@@ -225,8 +234,8 @@ def upsert_raw(
     # plan is staged (it is built from partitions about to be overwritten), one
     # file per slot; the summary and the rewrite re-read it, and the rewrite
     # needs no further shuffle because the plan is already clustered.
-    target = stored.withColumn("_bucket", _bucket(k))
-    source = batch.withColumn("_bucket", _bucket(k))
+    target = stored.withColumn("_bucket", _bucket(k_by_day))
+    source = batch.withColumn("_bucket", _bucket(k_by_day))
     plan = upsert.merge_plan_clustered(target, source, run_ts, _CLUSTER, slots)
     plan_path = f"{work}/merge_plan"
     plan.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(plan_path)
