@@ -92,6 +92,14 @@ SLICE_ROWS = 1_000_000
 _CLUSTER = [RAW_PARTITION, "_bucket"]
 
 
+def _shuffle_width(spark: SparkSession) -> int:
+    """The session's shuffle width; platforms may set a non-numeric value ("auto")."""
+    try:
+        return int(spark.conf.get("spark.sql.shuffle.partitions"))
+    except ValueError:
+        return spark.sparkContext.defaultParallelism
+
+
 def _bucket(k_by_day: dict[dt.date, int]) -> Column:
     """Hash bucket of the key within its day; a day with k slices has k buckets."""
     if all(k == 1 for k in k_by_day.values()):
@@ -206,7 +214,7 @@ def upsert_raw(
         for r in stored.groupBy(RAW_PARTITION).count().collect():
             per_day[r[RAW_PARTITION]] = per_day.get(r[RAW_PARTITION], 0) + r["count"]
     k_by_day = {d: max(1, -(-n // SLICE_ROWS)) for d, n in per_day.items()}
-    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    width = _shuffle_width(spark)
     total = sum(per_day.values())
     slots = min(sum(k_by_day.values()), max(width, -(-total // SLICE_ROWS)))
 
