@@ -29,3 +29,25 @@ def test_ingest_test_report(spark, scratch, capsys):
     fixtures.catalogue_documents(events).write.text(f"{scratch}/catalogue")
     assert main(["--master", "local[4]", "catalogue", "--file", f"{scratch}/catalogue", "click"]) == 0
     assert "indicators matched." in capsys.readouterr().out
+
+
+def test_build_rebuilds_marts(spark, scratch):
+    from gridmart.plans import warehouse
+
+    assert main(["--master", "local[4]", "build", "--root", f"{scratch}/wh"]) == 0
+    layout = warehouse.Layout(f"{scratch}/wh")
+    assert all(spark.read.parquet(layout.mart(n)).count() == 0 for n in warehouse.MART_NAMES)
+
+
+def test_shuffle_width_tolerates_non_numeric_settings(spark, monkeypatch):
+    from gridmart.plans import warehouse
+
+    class Conf:
+        def get(self, key, default=None):
+            return "auto"
+
+    class Fake:
+        conf = Conf()
+        sparkContext = spark.sparkContext
+
+    assert warehouse._shuffle_width(Fake()) == spark.sparkContext.defaultParallelism
