@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import hashtree, mixing, packing, quality_rules
+from gridmart.llm import hashtree, mixing, packing, quality_rules, simhash
 from gridmart.llm.common import prepare, table
 
 SHARDS = 40
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
+
+
 def op6_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = hashtree.topology(SHARDS)
     out = hashtree.shard(table(spark, sf_dir, "documents"), leaves, hashtree.grow(leaves))
@@ -37,6 +41,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": op2_simhash,
     "op6_hash_tree": op6_hash_tree,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
