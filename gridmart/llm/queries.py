@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import hashtree, mixing, packing, quality_rules, simhash
+from gridmart.llm import hashtree, minhash, mixing, packing, quality_rules, simhash
 from gridmart.llm.common import prepare, table
 
 SHARDS = 40
@@ -36,6 +36,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.compare_edits(table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(prepare(spark), sf_dir, "documents"))
 
@@ -45,5 +49,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_hash_tree": op6_hash_tree,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
+    "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,
 }
