@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import hashtree, minhash, mixing, packing, quality_rules, simhash
+from gridmart.llm import hashtree, minhash, mixing, packing, pages, quality_rules, simhash
 from gridmart.llm.common import prepare, table
 
 SHARDS = 40
@@ -17,6 +17,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def op3_page_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op6_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = hashtree.topology(SHARDS)
     out = hashtree.shard(table(spark, sf_dir, "documents"), leaves, hashtree.grow(leaves))
@@ -46,6 +50,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
+    "op3_page_differencing": op3_page_differencing,
     "op6_hash_tree": op6_hash_tree,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
