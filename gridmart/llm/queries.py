@@ -7,12 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import hashtree, minhash, mixing, packing, pages, quality_rules, simhash
+from gridmart.llm import hashtree, mil, minhash, mixing, packing, pages, quality_rules, simhash
 from gridmart.llm.common import prepare, table
 
 SHARDS = 40
 
 
+def op1_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = mil.score(docs, mil.train(docs, table(spark, sf_dir, "labels")))
+    predicted = (F.col("score") >= 0.3).cast("int").alias("predicted")
+    return scored.select("doc_id", mil.held_out(F.col("doc_id")).alias("held_out"), "score", predicted)
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
@@ -49,6 +56,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_attention_mil": op1_attention_mil,
     "op2_simhash": op2_simhash,
     "op3_page_differencing": op3_page_differencing,
     "op6_hash_tree": op6_hash_tree,
