@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmart.llm import mixing, packing, quality_rules
+from gridmart.llm import mixing, packing, quality_rules, simhash, substring
 from gridmart.llm.common import stored, table
 
 
@@ -17,6 +17,16 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality_rules.keep_clean(docs)
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays: four-word shingles, four bits."""
+    return simhash.keep_one(docs, shingle=4, max_bits=4)
+
+
+def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of 20-word windows that occur earlier in the corpus go; every row stays."""
+    return substring.strip(docs, window=20)
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return mixing.mix(docs)
@@ -29,6 +39,8 @@ def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 STAGES = [
     ("quality_rules", quality_stage),
+    ("simhash_near_dedup", simhash_stage),
+    ("substring_dedup", substring_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]
@@ -44,5 +56,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Packing tokenises and MinHash-free stages hash with functions that DuckDB lacks: tested against a brute-force version.
+#: DuckDB has neither the tokeniser nor XXH64: the stages are tested against brute-force versions instead.
 ORACLE_SQL = None
