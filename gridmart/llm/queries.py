@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import hashtree, mil, minhash, mixing, packing, pages, quality_rules, simhash, substring
+from gridmart.llm import hashtree, hpylm, mil, minhash, mixing, packing, pages, quality_rules, simhash, substring
 from gridmart.llm.common import prepare, table
 
 SHARDS = 40
@@ -32,6 +32,10 @@ def op4_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.dedup(table(spark, sf_dir, "documents"), window=20)
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hpylm.score(table(spark, sf_dir, "documents"))
+
+
 def op6_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaves = hashtree.topology(SHARDS)
     out = hashtree.shard(table(spark, sf_dir, "documents"), leaves, hashtree.grow(leaves))
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": op2_simhash,
     "op3_page_differencing": op3_page_differencing,
     "op4_difference_cover": op4_difference_cover,
+    "op5_pitman_yor": op5_pitman_yor,
     "op6_hash_tree": op6_hash_tree,
     "op7_quality_rules": op7_quality_rules,
     "op8_mixing": op8_mixing,
