@@ -153,5 +153,5 @@ def keep_clean(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "te
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"), F.col(text).alias("_body"))
     judged = apply_rules(inner, rules, text="_body", keep=("_doc",))
     # Not a filter: Catalyst would push it below the measures and inline them, once for every use.
-    kept = judged.select(F.explode(F.when(F.col("kept"), F.array("_doc")).otherwise(F.array().cast("array<" + inner.dtypes[0][1] + ">"))).alias("_doc"))
+    kept = judged.select(F.explode(F.when(F.col("kept"), F.array("_doc"))).alias("_doc"))
     return kept.select(*[F.col("_doc").getField(c).alias(c) for c in names])

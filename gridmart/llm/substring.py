@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmart.llm import chunks as C
 from gridmart.llm.common import stored
@@ -219,8 +220,8 @@ def _remove(count: int, window: int, period: int, cover, keep: list[str], texts:
     return run
 
 
-def _run(docs: DataFrame, keep: dict[str, str], texts: bool, window: int, period: int, cover: tuple[int, ...]) -> DataFrame:
-    """keep: columns of ``docs`` (beside doc_id and text) and their types."""
+def _run(docs: DataFrame, keep: list[str], texts: bool, window: int, period: int, cover: tuple[int, ...]) -> DataFrame:
+    """keep: the columns of ``docs`` to return, as in_0, in_1, ..."""
     shape = (window, period, cover)
     chunks = C.chunk_table(docs)
     count = C.n_parts(chunks, len(cover) / period / 6)  # a word is about six bytes
@@ -230,15 +231,16 @@ def _run(docs: DataFrame, keep: dict[str, str], texts: bool, window: int, period
     windows = C.by_part(told.mapInArrow(_send_windows(count, *shape), C.KEY_SCHEMA), count)
     later = stored(windows.mapInArrow(_find_later, C.REPLY_SCHEMA), "windows")
     told = C.with_replies(chunks.select("chunk", "body"), repeated, later)
-    schema = ", ".join(f"in_{i} {kind}" for i, kind in enumerate(keep.values()))
-    schema += ", n_words long, n_removed long, kept_sha256 string" + (", kept_text string" if texts else "")
-    return told.mapInArrow(_remove(count, *shape, list(keep), texts), schema)
+    schema = T.StructType([T.StructField(f"in_{i}", docs.schema[c].dataType) for i, c in enumerate(keep)])
+    schema = schema.add("n_words", "long").add("n_removed", "long").add("kept_sha256", "string")
+    schema = schema.add("kept_text", "string") if texts else schema
+    return told.mapInArrow(_remove(count, *shape, keep, texts), schema)
 
 
 def dedup(docs: DataFrame, window: int = WINDOW, period: int = PERIOD, cover: tuple[int, ...] = COVER) -> DataFrame:
     """Per document: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space)."""
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    out = _run(slim, {"doc_id": "bigint"}, False, window, period, cover)
+    out = _run(slim, ["doc_id"], False, window, period, cover)
     return out.withColumnRenamed("in_0", "doc_id")
 
 
@@ -247,13 +249,13 @@ def strip(docs: DataFrame, window: int = WINDOW, period: int = PERIOD, cover: tu
 
     Other texts stay as they are; a column ``n_chars`` is counted again. No row goes.
     """
-    names, kinds = docs.columns, dict(docs.dtypes)
+    names = docs.columns
     renamed = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
         *[F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names) if c not in ("doc_id", "text")],
     )
-    keep = {"doc_id": "bigint", "text": "string"} | {f"_c{i}": kinds[c] for i, c in enumerate(names) if c not in ("doc_id", "text")}
+    keep = renamed.columns
     out = _run(renamed, keep, True, window, period, cover)
     at = {c: f"in_{i}" for i, c in enumerate(keep)}
     text = F.coalesce("kept_text", F.col(at["text"]))
@@ -262,7 +264,7 @@ def strip(docs: DataFrame, window: int = WINDOW, period: int = PERIOD, cover: tu
         if c == "text":
             columns.append(text.alias("text"))
         elif c == "n_chars":
-            columns.append(F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col(at[f"_c{i}"])).cast(kinds[c]).alias(c))
+            columns.append(F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col(at[f"_c{i}"])).cast(docs.schema[c].dataType).alias(c))
         else:
             columns.append(F.col(at["doc_id" if c == "doc_id" else f"_c{i}"]).alias(c))
     return out.select(*columns)
