@@ -1,6 +1,6 @@
 """SimHash near-duplicates with a pigeonring filter.
 
-A 64-bit fingerprint is cut into ``max_bits + 1`` segments on a ring. If two fingerprints differ in at
+A 64-bit fingerprint is cut into ``max_bits + 1`` segments (three at least) on a ring. If two fingerprints differ in at
 most ``max_bits`` bits, then from some segment on, going round, every chain of l consecutive segments
 differs in at most ``floor(l * max_bits / (max_bits + 1)) = l - 1`` bits: nothing in the first
 segment, at most one bit in the first two, and so on. So
@@ -80,6 +80,11 @@ def _segments(n: int) -> tuple[tuple[int, int], ...]:
     return tuple((a, b - a) for a, b in zip(edges, edges[1:], strict=False))
 
 
+def _ring(max_bits: int) -> tuple[tuple[int, int], ...]:
+    """One segment more than bits, three at least (a key is two segments and the start)."""
+    return _segments(max(3, max_bits + 1))
+
+
 def _value(fp: np.ndarray, segment: tuple[int, int]) -> np.ndarray:
     offset, width = segment
     return (fp >> np.uint64(offset)) & np.uint64((1 << width) - 1)
@@ -87,7 +92,7 @@ def _value(fp: np.ndarray, segment: tuple[int, int]) -> np.ndarray:
 
 def _listed(max_bits: int):
     """Rows (start, key, fp): see 2. above."""
-    ring = _segments(max_bits + 1)
+    ring = _ring(max_bits)
 
     def run(batches):
         for batch in batches:
@@ -98,7 +103,7 @@ def _listed(max_bits: int):
                 own = (np.uint64(start) << np.uint64(58)) | (_value(fp, ring[start]) << np.uint64(second[1])) | _value(fp, second)
                 keys.append(own)
                 fps.append(fp)
-                for bit in range(second[1] if len(ring) > 1 else 0):
+                for bit in range(second[1]):
                     one = np.uint64(1 << bit)
                     has = (own & one) != 0
                     keys.append(own[has] ^ one)
@@ -112,7 +117,7 @@ def _listed(max_bits: int):
 
 def _chains_hold(diff: np.ndarray, start: int, max_bits: int) -> np.ndarray:
     """Every chain from ``start`` within its proportional budget; the longest is the whole ring."""
-    ring = _segments(max_bits + 1)
+    ring = _ring(max_bits)
     total = np.zeros(len(diff), dtype=np.int64)
     ok = np.ones(len(diff), dtype=bool)
     for length in range(1, len(ring) + 1):

@@ -1,0 +1,128 @@
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+from gridmart.llm import simhash as S
+from gridmart.llm.components import components
+
+
+def fingerprint(text, shingle=4):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    grams = [b" ".join(words[i : i + shingle]) for i in range(max(1, len(words) - shingle + 1))]
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def brute_components(ids, prints, max_bits):
+    parent = list(range(len(ids)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(ids)):
+        for j in range(i):
+            if bin(prints[i] ^ prints[j]).count("1") <= max_bits:
+                parent[find(i)] = find(j)
+    groups = {}
+    for i in range(len(ids)):
+        groups.setdefault(find(i), []).append(i)
+    out = {}
+    for members in groups.values():
+        named = [ids[i] for i in members if ids[i] is not None]
+        for i in members:
+            out[i] = min(named) if named else None
+    return out
+
+
+def test_fingerprints_and_groups_equal_brute_force(documents):
+    docs = sorted((r.doc_id, r.text) for r in documents.collect())
+    rows = {r.doc_id: r for r in S.near_duplicates(documents).collect()}
+    prints = [fingerprint(t) for _, t in docs]
+    want = brute_components([i for i, _ in docs], prints, 4)
+    for k, (doc_id, _) in enumerate(docs):
+        assert rows[doc_id].fingerprint == f"{prints[k]:016x}" and rows[doc_id].component_id == want[k]
+
+
+@pytest.mark.parametrize("max_bits", [1, 2, 3, 4, 7])
+def test_the_filter_loses_no_link(spark, max_bits):
+    rng = random.Random(max_bits)
+    prints = set()
+    for _ in range(60):
+        base = rng.getrandbits(64)
+        prints.add(base)
+        for _ in range(rng.randint(0, 6)):  # chains and balls around a center, some a bit too far
+            near = base
+            for b in rng.sample(range(64), rng.randint(1, max_bits + 1)):
+                near ^= 1 << b
+            prints.add(near)
+            base = rng.choice([base, near])
+    fps = sorted(prints)
+    signed = [int(np.uint64(x).view(np.int64)) for x in fps]
+    df = spark.createDataFrame([(x,) for x in signed], "fp long").repartition(4)
+    links = [(r.a, r.b) for r in S.links(df, max_bits).collect()]
+    parent = {x: x for x in signed}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        assert bin((a ^ b) & (1 << 64) - 1).count("1") <= max_bits
+        parent[find(a)] = find(b)
+    want = brute_components(list(range(len(fps))), fps, max_bits)
+    got = Counter(find(x) for x in signed)
+    assert sorted(got.values()) == sorted(Counter(want.values()).values())
+    assert all((find(signed[i]) == find(signed[j])) == (want[i] == want[j]) for i in range(len(fps)) for j in range(i))
+
+
+def test_a_dense_group_emits_a_forest_not_all_pairs(spark):
+    base = random.Random(1).getrandbits(62)
+    fps = [base ^ (1 << a) ^ (1 << b) for a in range(40) for b in range(a)]  # all within four bits of each other
+    links = S.links(spark.createDataFrame([(x,) for x in fps], "fp long"), 4).count()
+    assert len(fps) - 1 <= links < 40 * len(fps) < len(fps) ** 2 / 15
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    chain = [(i, i + 1) for i in range(0, 60)]
+    star = [(1000, i) for i in range(500, 560)]
+    edges = [*chain, *star, (7, 7), (None, 3), (2000, 2001), (2001, 2000)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**{i: 0 for i in range(61)}, **{i: 500 for i in [*range(500, 560), 1000]}, 2000: 2000, 2001: 2000}
+
+
+def test_one_of_each_group_stays(documents, clashing):
+    docs = clashing(documents)
+    rows = S.near_duplicates(documents).collect()
+    kept = S.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(r.doc_id for r in kept.select("doc_id").collect()) == sorted({r.component_id for r in rows})
+
+
+def test_odd_rows(odd_rows, make_docs):
+    rows = S.near_duplicates(make_docs(odd_rows)).collect()
+    assert len(rows) == len(odd_rows)
+    by = {r.doc_id: r for r in rows}
+    assert by[1].fingerprint == by[2].fingerprint == by[3].fingerprint == "0" * 16
+    assert by[1].component_id == by[3].component_id == 1 and by[6].component_id == 5
+    want = brute_components([i for i, _ in odd_rows], [fingerprint(t) for _, t in odd_rows], 4)
+    assert Counter(want.values()) == Counter(r.component_id for r in rows)
+    kept = [r.doc_id for r in S.keep_one(make_docs(odd_rows)).collect()]
+    assert Counter(kept) == Counter([x for x in {5: 0, **{v: 0 for v in want.values()}}])
+
+
+def test_null_ids_alone_form_groups_of_their_own(make_docs):
+    docs = make_docs([(None, "first text of its own kind"), (None, "another one that differs altogether"), (None, "first text of its own kind")])
+    assert {r.component_id for r in S.near_duplicates(docs).collect()} == {None}
+    assert S.keep_one(docs).count() == 2
+
+
+def test_empty_table(make_docs):
+    assert S.near_duplicates(make_docs([])).count() == 0 and S.keep_one(make_docs([])).count() == 0

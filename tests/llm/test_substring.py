@@ -1,0 +1,112 @@
+import hashlib
+import random
+import re
+
+import pytest
+
+from gridmart.llm import chunks as C
+from gridmart.llm import substring as S
+
+
+def brute(rows, window=20):
+    """rows in the order that decides which occurrence is first."""
+    seen, out = set(), []
+    for doc_id, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+        gone = [False] * len(words)
+        for i in range(len(words) - window + 1):
+            key = tuple(words[i : i + window])
+            if key in seen:
+                gone[i : i + window] = [True] * window
+            seen.add(key)
+        kept = [w for w, g in zip(words, gone, strict=True) if not g]
+        out.append((doc_id, len(words), sum(gone), hashlib.sha256(" ".join(kept).encode()).hexdigest()))
+    return out
+
+
+@pytest.fixture()
+def small_chunks(monkeypatch):
+    """Many chunks and parts, so that every exchange crosses their borders."""
+    monkeypatch.setattr(C.chunk_table, "__defaults__", ("text", 20_000, C.whole))
+    monkeypatch.setattr(C.n_parts, "__defaults__", (3_000,))
+
+
+def digest(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda r: (r[0] is not None, r[0], r[1:]))
+
+
+def test_the_cover_meets_every_shift():
+    for i in range(S.PERIOD):
+        for j in range(S.PERIOD):
+            assert any((i + d) % S.PERIOD in S.COVER and (j + d) % S.PERIOD in S.COVER for d in range(S.PERIOD))
+
+
+def test_equals_brute_force(documents, small_chunks):
+    rows = sorted((r.doc_id, r.text) for r in documents.collect())
+    assert digest(S.dedup(documents)) == sorted(brute(rows))
+
+
+def test_passages_at_every_alignment(make_docs, small_chunks):
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(400)]
+    passage = rng.sample(words, 45)
+    rows = []
+    for i in range(120):
+        head, tail = ([rng.choice(words) for _ in range(rng.randint(0, 30))] for _ in range(2))
+        cut = rng.randint(15, 45)
+        start = rng.randint(0, 45 - cut)
+        body = passage[start : start + cut] * rng.choice([1, 1, 2])
+        rows.append((i, " ".join(head + body + tail)))
+    rows += [(200, "x " * 300), (201, "x " * 25), (202, " ".join(passage[:19]))]
+    assert digest(S.dedup(make_docs(rows, 5))) == sorted(brute(rows))
+
+
+def test_other_windows_and_covers(make_docs, small_chunks):
+    rng = random.Random(4)
+    rows = [(i, " ".join(rng.choice("abc") for _ in range(rng.randint(0, 80)))) for i in range(30)]
+    assert digest(S.dedup(make_docs(rows), window=9, period=7, cover=(0, 1, 3))) == sorted(brute(rows, 9))
+
+
+def test_strip_keeps_rows_and_columns(documents, clashing, small_chunks):
+    docs = clashing(documents)
+    out = S.strip(docs)
+    assert out.columns == docs.columns
+    want = {d: n for d, _, n, _ in brute(sorted((r.doc_id, r.text) for r in documents.collect()))}
+    before = {r.doc_id: r for r in documents.collect()}
+    for r in out.collect():
+        if want[r.doc_id]:
+            assert len(r.text.split()) == len(before[r.doc_id].text.encode().split()) - want[r.doc_id] and r.n_chars == len(r.text)
+        else:
+            assert r.text == before[r.doc_id].text
+        assert (r.source, r["a.b"], r.chunk) == (before[r.doc_id].source, "a.b", "chunk")
+
+
+def test_odd_rows_and_empty_table(make_docs, odd_rows):
+    twin = "one two three four five six seven eight nine ten " * 3
+    rows = [*odd_rows, (30, twin), (30, twin)]
+    out = digest(S.dedup(make_docs(rows)))
+    assert len(out) == len(rows)
+    repeated = sorted(r[2] for r in out if r[0] == 30)
+    inside = brute([(30, twin)])[0][2]
+    assert repeated == [inside, 30]  # of repeated rows one keeps its words
+    assert [r[1:3] for r in out if r[0] == 7] == [brute([(7, "long " * 30000)])[0][1:3]]
+    assert S.dedup(make_docs([])).count() == 0 and S.strip(make_docs([])).count() == 0
+    assert {r.text for r in S.strip(make_docs([(1, None), (2, "")])).collect()} == {None, ""}
+
+
+def test_a_null_id_is_first(make_docs):
+    text = " ".join(f"w{i}" for i in range(30))
+    out = {r.doc_id: r.n_removed for r in S.dedup(make_docs([(5, text), (None, text), (4, text)])).collect()}
+    assert out == {None: 0, 4: 30, 5: 30}
+
+
+def test_key_arrays_round_trip():
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    keys = np.unique(rng.integers(0, 1 << 64, 500, dtype=np.uint64))
+    assert (C.read_keys(C.key_bytes(keys)) == keys).all() and len(C.read_keys(C.key_bytes(keys[:0]))) == 0
+    numbers = rng.integers(-(1 << 62), 1 << 62, 100)
+    assert (C.read_small(C.small_bytes(numbers)) == numbers).all()
+    spans = C.split_keys(keys, 7)
+    assert [a for _, a, _ in spans][1:] == [b for _, _, b in spans][:-1] and spans[-1][2] == len(keys)
