@@ -21,9 +21,12 @@ empty table gives an empty result; very long texts are cut into many pieces; inp
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections import defaultdict
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +39,8 @@ from gridmart.llm.hashtree import number_slots
 CAPACITY = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
-#: Words whose ids a worker remembers; beyond that it starts anew (results do not depend on it).
-CACHE_WORDS = 500_000
+#: Words in one generation of a worker's memory (two are kept; results do not depend on it).
+CACHE_WORDS = 400_000
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -56,24 +59,55 @@ def _encoder(vocabulary: str):
     return Words(Tokenizer.from_file(vocabulary))
 
 
+def _byte_letters() -> dict[int, str]:
+    """How byte-level vocabularies write a byte: printable Latin-1 as itself, the others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
+_WORD_AND_MARKS = re.compile(r"([^\W\d_]+)([!-/:-@\[-`{-~]+)")
+
+
 class Words(dict):
     """Ids of white-space separated words, as bytes.
 
     The vocabulary's pre-tokenizer never joins characters over ASCII white space and drops it, so
-    the ids of a text are those of its words, one after the other (tested against whole texts).
+    the ids of a text are those of its words, one after the other. It also parts letters from marks and
+    lower-cases, so a new word is looked up by its parts; a lower-case word of letters goes to the
+    tokenizer's model directly, anything else through the whole tokenizer (tested against whole texts).
+    The words of the generation before are remembered too.
     """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.tokenizer, self.model, self.before = tokenizer, tokenizer.model, {}
+        self.letters = _byte_letters()
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        out = self[word] = np.asarray(ids, dtype="<u4").tobytes()
+        out = self.before.get(word)
+        if out is None:
+            out = self.look_up(word)
+        self[word] = out
         return out
 
+    def look_up(self, word: bytes) -> bytes:
+        text = word.decode()
+        if text.isalpha():
+            if text == text.lower():
+                if word.isascii():
+                    return array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
+                if is_normalized("NFC", text):
+                    return array("I", [t.id for t in self.model.tokenize("".join(map(self.letters.__getitem__, word)))]).tobytes()
+            elif word.isascii():
+                return self[word.lower()]
+        elif (parts := _WORD_AND_MARKS.fullmatch(text)) and parts[1].lower().isalpha() and is_normalized("NFC", text):
+            return self[parts[1].encode()] + self[parts[2].encode()]
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
     def encode(self, text: str) -> bytes:
         if len(self) > CACHE_WORDS:
+            self.before = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, text.encode().split()))
 
