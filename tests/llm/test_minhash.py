@@ -1,0 +1,100 @@
+import hashlib
+
+import numpy as np
+
+from gridmart.llm import minhash as M
+
+
+def by_hand(docs):
+    """docs: (doc_id, text); next: descending id, null last, then the text."""
+    order = sorted(docs, key=lambda r: r[1] or "")
+    order = sorted(order, key=lambda r: -(r[0] if r[0] is not None else M.NO_ID))
+    out = []
+    for (doc_id, text), (_, after) in zip(order, order[1:] + order[:1], strict=True):
+        text, after = text or "", after or ""
+        n = len(text) // 3
+        changed = text[: len(text) - n] + after[:n]
+        out.append((doc_id, len(text), hashlib.sha256(changed.encode()).hexdigest(), text, changed, after))
+    return out
+
+
+def test_edits_follow_the_next_document_over_many_ranges(documents, monkeypatch):
+    monkeypatch.setattr(M, "ROWS_PER_RANGE", 17)
+    want = by_hand([(r.doc_id, r.text) for r in documents.collect()])
+    rows = {r.doc_id: r for r in M.compare_edits(documents).collect()}
+    assert len(rows) == len(want)
+    for doc_id, n, digest, text, changed, after in want:
+        r = rows[doc_id]
+        assert (r.n_chars, r.edited_sha256) == (n, digest)
+        own, theirs, other = (M.signature(M.shingles(t)) for t in (text, changed, after))
+        assert r.fingerprint == own.tobytes().hex() and r.edited_fingerprint == theirs.tobytes().hex()
+        assert r.near_edited == M.likeness(own, theirs) and r.near_next == M.likeness(own, other)
+
+
+def test_likeness_estimates_jaccard(documents):
+    texts = [r.text for r in documents.collect()]
+    errors = []
+    for text in texts[:80]:
+        words = text.split()
+        changed = " ".join(words[: len(words) * 3 // 4])
+        a, b = M.shingles(text), M.shingles(changed)
+        if len(b) > 20:
+            true = len(np.intersect1d(a, b)) / len(np.union1d(a, b))
+            errors.append(M.likeness(M.signature(a), M.signature(b)) - true)
+    assert abs(np.mean(errors)) < 0.03 and np.std(errors) < 0.09
+
+
+def test_shingles_are_sets_of_five_words():
+    assert len(M.shingles(None)) == len(M.shingles(" \n")) == 0
+    assert len(M.shingles("a b c")) == 1 and len(M.shingles("a b c d e f")) == 2
+    assert len(M.shingles("x " * 5000)) == 1
+    assert np.array_equal(M.shingles("A  b\tC d e"), M.shingles("a b c d e"))
+    assert not np.array_equal(M.shingles("a b c d e"), M.shingles("b a c d e"))
+
+
+def test_odd_rows(odd_rows, make_docs, clashing, monkeypatch):
+    monkeypatch.setattr(M, "ROWS_PER_RANGE", 3)
+    rows = M.compare_edits(clashing(make_docs(odd_rows))).collect()
+    want = by_hand(odd_rows)
+    got = sorted(((r.doc_id is None, r.doc_id or 0), r.n_chars, r.edited_sha256) for r in rows)
+    assert got == sorted(((w[0] is None, w[0] or 0), w[1], w[2]) for w in want)
+    empties = [r for r in rows if r.doc_id in (1, 2, 3)]
+    assert len({r.fingerprint for r in empties}) == 1 and {r.near_edited for r in empties if r.doc_id != 1} == {1.0}
+
+
+def test_one_document_and_none(make_docs):
+    row = M.compare_edits(make_docs([(3, "abcdef")])).first()
+    assert row.edited_sha256 == hashlib.sha256(b"abcdab").hexdigest() and row.near_next == 1.0
+    assert M.compare_edits(make_docs([])).count() == 0
+
+
+def brute_classes(docs, threshold=0.8):
+    sets = {i: set(M.shingles(t).tolist()) for i, t in docs}
+    parent = {i: i for i in sets}
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    ids = sorted(sets)
+    for k, a in enumerate(ids):
+        for b in ids[:k]:
+            both = len(sets[a] & sets[b])
+            if both >= threshold * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: find(i) for i in ids}
+
+
+def test_near_duplicates_equal_brute_force(documents):
+    want = brute_classes([(r.doc_id, r.text) for r in documents.collect()])
+    got = {r.doc_id: r.class_id for r in M.near_duplicates(documents).collect()}
+    assert got == want and len(set(got.values())) < len(got)
+
+
+def test_near_duplicates_of_odd_rows(odd_rows, make_docs):
+    rows = M.near_duplicates(make_docs(odd_rows)).collect()
+    by = {r.doc_id: r.class_id for r in rows}
+    assert len(rows) == len(odd_rows) and by[1] == by[2] == by[3] == 1 and by[5] == by[6] == 5 and by[4] == 4
+    assert M.near_duplicates(make_docs([])).count() == 0
