@@ -1,0 +1,148 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from gridmart.llm import chunks as C
+from gridmart.llm import hpylm as H
+
+
+def tokens(text):
+    return [*(text or "").encode().lower().split(), None]
+
+
+def held(doc_id):
+    return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 7 == 2
+
+
+def base_by_hand(docs):
+    counts = Counter(w for i, t in docs if not held(i) for w in tokens(t))
+    n, v = sum(counts.values()), len(counts)
+    score = lambda t: sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens(t))
+    return {i: (held(i), len(tokens(t)), sum(counts[w] > 0 for w in tokens(t)), n, score(t)) for i, t in docs}
+
+
+@pytest.fixture()
+def small_chunks(monkeypatch):
+    monkeypatch.setattr(H, "CHUNK_BYTES", 30_000)
+    monkeypatch.setattr(H, "KEYS_PER_PART", 1_500)
+
+
+def check_base(rows, docs):
+    want = base_by_hand(docs)
+    for r in rows:
+        is_held, n, known, total, base = want[r.doc_id]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (is_held, n, known, total)
+        assert r.base_score == pytest.approx(base, rel=1e-9, abs=1e-9)
+
+
+def test_counts_and_base_over_many_chunks(documents, small_chunks):
+    docs = [(r.doc_id, r.text) for r in documents.collect()]
+    rows = H.score(documents).collect()
+    assert len(rows) == len(docs)
+    check_base(rows, docs)
+    assert all(r.score < 0 and r.perplexity > 1 for r in rows)
+
+
+def test_held_out_texts_are_likelier_than_under_the_base(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [r for r in H.score(docs).collect() if r.held_out]
+    n = sum(r.n_tokens for r in rows)
+    assert sum(r.score - r.base_score for r in rows) / n > 0.5
+    assert np.mean([r.score > r.base_score for r in rows]) > 0.9
+
+
+def test_contexts_help(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    total = lambda contexts: sum(r.score for r in H.score(docs, contexts=contexts).collect() if r.held_out)
+    assert total(256) > total(1)
+
+
+def random_words(rng, n, contexts):
+    keys = np.arange(n, dtype=np.uint64)
+    per_word = rng.integers(1, 5, n)
+    context = np.concatenate([np.sort(rng.choice(contexts + 1, k, replace=False)) for k in per_word])
+    return H.Words(keys, per_word, context, rng.geometric(0.3, per_word.sum()))
+
+
+def fitted(words, contexts, sweeps):
+    """What fit() gathers, for one part."""
+    model = H.Model(contexts)
+    model.customers = np.bincount(words.context, weights=words.count, minlength=contexts + 1)
+    model.n_words, model.n_tokens = len(words.keys), int(words.count.sum())
+    for s in range(sweeps + 1):
+        tables, _, roots = model.sweeps(words, 0, s)[-1]
+        model.tables.append(np.bincount(words.context, weights=tables, minlength=contexts + 1))
+        model.root_tables.append(float(roots.sum()))
+    return model
+
+
+def test_probabilities_sum_to_one_in_every_context():
+    rng = np.random.default_rng(6)
+    words = random_words(rng, 300, 12)
+    model = fitted(words, 12, 3)
+    for s, (tables, customers, roots) in enumerate(model.sweeps(words, 0, 3)):
+        assert (tables >= 1).all() and (tables <= words.count).all() and (roots <= customers).all()
+        parent = model.unigram(s, customers, roots)
+        unknown = float(model.unigram(s, np.zeros(1), np.zeros(1), np.array([False]))[0])
+        assert parent.sum() + unknown == pytest.approx(1)
+        for u in range(13):
+            own = words.context == u
+            weight = H.STRENGTH + model.discount * model.tables[s][u]
+            chance = weight * parent
+            chance[words.word[own]] += words.count[own] - model.discount * tables[own]
+            assert (chance.sum() + weight * unknown) / (H.STRENGTH + model.customers[u]) == pytest.approx(1)
+
+
+def test_seating_follows_the_restaurant_rule():
+    rng = np.random.default_rng(3)
+    strength, discount, n = 0.7, 0.4, 40_000
+    # Exact distribution of the tables after 6 customers.
+    chance = {1: 1.0}
+    for seated in range(1, 6):
+        after = Counter()
+        for t, p in chance.items():
+            new = strength / (strength + seated - discount * t)
+            after[t + 1] += p * new
+            after[t] += p * (1 - new)
+        chance = after
+    got = Counter(H.seat(np.full(n, 6), np.full(n, strength), discount, rng).tolist())
+    for t, p in chance.items():
+        assert got[t] / n == pytest.approx(p, abs=0.01)
+
+
+def test_seating_of_large_counts_is_bounded_work():
+    rng = np.random.default_rng(3)
+    tables = H.seat(np.array([0, 1, 10**9]), np.array([0.1, 0.1, 0.1]), 0.5, rng)
+    assert tables[0] == 0 and tables[1] == 1 and 1 < tables[2] < 10**7
+
+
+def test_odd_rows(odd_rows, make_docs, clashing):
+    rows = H.score(clashing(make_docs(odd_rows))).collect()
+    assert len(rows) == len(odd_rows)
+    counts = Counter(w for i, t in odd_rows if not held(i) for w in tokens(t))
+    for r in rows:
+        assert r.train_tokens == sum(counts.values()) and r.score <= 0
+    assert {r.n_tokens for r in rows if r.doc_id in (1, 2, 3)} == {1}
+    twins = [r for r in rows if r.doc_id == 9]
+    assert twins[0].score == twins[1].score
+
+
+def test_empty_table_and_no_training_texts(make_docs):
+    assert H.score(make_docs([])).count() == 0
+    ids = [i for i in range(60) if held(i)][:3]
+    rows = H.score(make_docs([(i, "all held out") for i in ids])).collect()
+    assert len(rows) == 3 and {(r.n_known, r.train_tokens, r.base_score, r.score) for r in rows} == {(0, 0, 0.0, 0.0)}
+
+
+def test_reruns_agree(documents, small_chunks):
+    a, b = (sorted((r.doc_id, r.score) for r in H.score(documents).collect()) for _ in range(2))
+    assert a == b
+
+
+def test_chunks_hold_every_row_once(documents, monkeypatch):
+    chunks = C.chunk_table(documents.select("doc_id", "text"), chunk_bytes=10_000).collect()
+    ids = [i for r in chunks for i in C.unpack_table(bytes(r.body)).column("doc_id").to_pylist()]
+    assert len(chunks) > 20 and sorted(ids) == sorted(r.doc_id for r in documents.collect())
