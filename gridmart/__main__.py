@@ -14,6 +14,7 @@ both dates are given (end day included), else the automatic two-day overlap.
 from __future__ import annotations
 
 import argparse
+import datetime as dt
 import json
 import sys
 
@@ -68,13 +69,26 @@ def cmd_test(args) -> int:
     return 1 if failed else 0
 
 
+def _print(df, args, what: str = "rows") -> None:
+    """All rows, tab separated (or the first ``--rows`` where asked for), partition by partition;
+    with ``--out`` written as Parquet instead."""
+    if args.out:
+        df.write.mode("overwrite").parquet(args.out)
+        return
+    print("\t".join(df.columns))
+    n = 0
+    for n, row in enumerate(df.limit(args.rows).toLocalIterator() if args.rows else df.toLocalIterator(), 1):
+        print("\t".join("" if v is None else str(v) for v in row))
+    print(f"{n} {what}.")
+
+
 def cmd_report(args) -> int:
     from gridmart.plans import catalog, warehouse
 
     spark = _session(args)
     catalog.register(spark, warehouse.Layout(args.root), db=args.db)
-    as_of = f"DATE'{args.as_of}'" if args.as_of else "current_date()"
-    catalog.report(spark, args.name, db=args.db, as_of=as_of).show(args.rows, truncate=False)
+    as_of = dt.date.fromisoformat(args.as_of) if args.as_of else None
+    _print(catalog.report(spark, args.name, db=args.db, as_of=as_of), args)
     return 0
 
 
@@ -83,9 +97,7 @@ def cmd_catalogue(args) -> int:
 
     spark = _session(args)
     entries = payload.explode_catalogue(payload.read_catalogue_files(spark, args.file))
-    found = payload.search_catalogue(entries, args.text)
-    found.show(args.rows, truncate=False)
-    print(f"{found.count()} indicators matched.")
+    _print(payload.search_catalogue(entries, args.text), args, "indicators matched")
     return 0
 
 
@@ -109,11 +121,13 @@ def main(argv: list[str] | None = None) -> int:
     r.add_argument("--root", required=True)
     r.add_argument("--db", default="analytics_marts")
     r.add_argument("--as-of")
-    r.add_argument("--rows", type=int, default=1000)
+    r.add_argument("--rows", type=int, help="print only so many rows")
+    r.add_argument("--out", help="write the report as Parquet instead of printing it")
     c = sub.add_parser("catalogue")
     c.add_argument("--file", required=True)
     c.add_argument("text", nargs="?")
-    c.add_argument("--rows", type=int, default=1000)
+    c.add_argument("--rows", type=int, help="print only so many rows")
+    c.add_argument("--out", help="write the entries as Parquet instead of printing them")
     args = p.parse_args(argv)
     return {"ingest": cmd_ingest, "build": cmd_build, "test": cmd_test, "report": cmd_report,
             "catalogue": cmd_catalogue}[args.cmd](args)

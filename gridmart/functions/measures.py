@@ -13,11 +13,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _hundred() -> Column:
-    """The literal 100.0 as decimal(4,1), like SQL's ``100.0``."""
-    return F.lit(100.0).cast("decimal(4,1)")
-
-
 def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -36,16 +31,37 @@ def coalesced_sum(cols: Iterable[Column | str]) -> Column:
     return out
 
 
+#: Decimals of the values whose share is taken (and of the largest integer part, 38 digits in all).
+_SCALED = "decimal(38,0)"
+_SCALE = 1_000_000
+
+
+def _percent(part: Column, total: Column, digits: int) -> Column:
+    """100 * part / total rounded half away from zero, decided on integers.
+
+    A decimal quotient would be cut to a few digits first and then rounded again
+    (12.34999996 -> 12.350000 -> 12.4). Here numerator and denominator are whole
+    millionths, and the digit comes from one integer division:
+    floor((2 * 100 * 10^digits * |part| + |total|) / (2 * |total|)).
+    """
+    whole = [(F.abs(x).cast("decimal(28,6)") * F.lit(_SCALE)).cast(_SCALED) for x in (part, total)]
+    top = whole[0] * F.lit(2 * 100 * 10**digits).cast("decimal(7,0)") + whole[1]
+    below = whole[1] * F.lit(2).cast("decimal(1,0)")
+    steps = (top - top % below) / below  # a whole number, so this quotient is exact
+    sign = F.when((part < 0) != (total < 0), F.lit(-1)).otherwise(F.lit(1))
+    return ((steps.cast("decimal(30,0)") * sign) / F.lit(10**digits).cast("decimal(4,0)")).cast(f"decimal(30,{digits})")
+
+
 def share_if_positive(part: Column | str, total: Column | str, digits: int = 1) -> Column:
     """100·part/total rounded, only when total > 0 (else NULL) — the hourly guard."""
     part, total = _c(part), _c(total)
-    return F.when(total > 0, F.round(_hundred() * part / total, digits))
+    return F.when(total > 0, _percent(part, total, digits))
 
 
 def share_nonzero(part: Column | str, total: Column | str, digits: int = 1) -> Column:
     """100·part/nullif(total, 0) rounded — the daily/monthly guard (negatives pass)."""
     part, total = _c(part), _c(total)
-    return F.round(_hundred() * part / F.nullif(total, F.lit(0)), digits)
+    return F.when(total != 0, _percent(part, total, digits))
 
 
 def bucket(x: Column | str, bounds: Iterable[tuple[float, str]], top: str) -> Column:

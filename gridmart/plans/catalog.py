@@ -1,16 +1,19 @@
-"""SQL access: stored marts as catalog tables, models as views, reports as Spark SQL.
+"""SQL access: stored marts as catalog tables, models as views, reports over them.
 
 ``register`` exposes the stored marts as external Parquet tables in a database
 (default ``analytics_marts``) and the staging/intermediate models as temporary
 views over the raw table, so report SQL can be run with ``spark.sql``.
-``REPORT_SQL`` holds the report queries in Spark SQL; ``{db}`` is the marts
-database and ``{as_of}`` the report date expression (default ``current_date()``).
+``report`` runs one of the report queries of ``operators.reports`` on those tables.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
+from gridmart.operators import reports
 from gridmart.plans.models import build_models
 from gridmart.plans.warehouse import MART_NAMES, Layout
 from gridmart.schemas import RAW_KEYS
@@ -38,76 +41,25 @@ def register(spark: SparkSession, layout: Layout, db: str = "analytics_marts") -
         getattr(models, attr).createOrReplaceTempView(view)
 
 
-_WINDOW = "date_utc >= date_sub({as_of}, 30)"
-
-REPORT_SQL: dict[str, str] = {
-    "kpis_window": f"""
-        SELECT round(avg(avg_price_eur_mwh), 2) AS precio_medio,
-               round(max(max_price_eur_mwh), 2) AS precio_max,
-               round(min(min_price_eur_mwh), 2) AS precio_min,
-               round(avg(renewable_pct), 1)     AS pct_renovable_medio,
-               sum(negative_price_hours)        AS horas_precio_negativo
-        FROM {{db}}.mart_daily_summary
-        WHERE {_WINDOW}""",
-    "price_last_days": f"""
-        SELECT date_utc, avg_price_eur_mwh, renewable_pct
-        FROM {{db}}.mart_daily_summary
-        WHERE {_WINDOW}
-        ORDER BY date_utc""",
-    "mix_last_month": """
-        SELECT tecnologia, porcentaje FROM (
-          SELECT wind_pct AS `Eólica`, solar_pv_pct AS `Solar FV`, hydro_pct AS `Hidráulica`,
-                 coal_pct AS `Carbón`, combined_cycle_pct AS `Ciclo combinado`,
-                 cogen_residues_pct AS `Cogeneración`
-          FROM {db}.mart_technology_mix
-          WHERE month_utc = (SELECT max(month_utc) FROM {db}.mart_technology_mix))
-        UNPIVOT INCLUDE NULLS (porcentaje FOR tecnologia IN
-          (`Eólica`, `Solar FV`, `Hidráulica`, `Carbón`, `Ciclo combinado`, `Cogeneración`))""",
-    "price_daily": """
-        SELECT date_utc, avg_price_eur_mwh, min_price_eur_mwh, max_price_eur_mwh,
-               negative_price_hours, renewable_pct
-        FROM {db}.mart_daily_summary
-        ORDER BY date_utc""",
-    "price_heatmap": """
-        SELECT hour_of_day, day_of_week, avg(price_eur_mwh) AS avg_price
-        FROM {db}.fct_hourly_market
-        GROUP BY hour_of_day, day_of_week
-        ORDER BY day_of_week, hour_of_day""",
-    "price_monthly": """
-        SELECT trunc(date_utc, 'MM') AS month_utc,
-               avg(avg_price_eur_mwh) AS avg_price,
-               avg(CAST(renewable_pct AS DECIMAL(18,6))) AS avg_renewable_pct
-        FROM {db}.mart_daily_summary
-        GROUP BY 1
-        ORDER BY 1""",
-    "impact_points": """
-        SELECT date_utc, avg_price_eur_mwh, renewable_pct, wind_mwh, solar_pv_mwh, hydro_mwh,
-               renewable_bucket, price_bucket, had_negative_prices, high_renewable_day
-        FROM {db}.mart_renewables_price_impact
-        ORDER BY date_utc""",
-    "price_by_bucket": """
-        SELECT renewable_bucket, round(avg(avg_price_eur_mwh), 2) AS avg_price, count(*) AS dias
-        FROM {db}.mart_renewables_price_impact
-        GROUP BY renewable_bucket
-        ORDER BY renewable_bucket""",
-    "negative_price_days": """
-        SELECT date_utc, avg_price_eur_mwh, renewable_pct, had_negative_prices
-        FROM {db}.mart_renewables_price_impact
-        WHERE had_negative_prices = true
-        ORDER BY date_utc""",
-    "mix_monthly_pct": """
-        SELECT month_utc, wind_pct, solar_pv_pct, hydro_pct, coal_pct, combined_cycle_pct,
-               cogen_residues_pct, avg_renewable_pct, avg_price_eur_mwh, negative_price_days
-        FROM {db}.mart_technology_mix
-        ORDER BY month_utc""",
-    "mix_monthly_mwh": """
-        SELECT month_utc, wind_mwh, solar_pv_mwh, hydro_mwh, coal_mwh, combined_cycle_mwh,
-               cogen_residues_mwh
-        FROM {db}.mart_technology_mix
-        ORDER BY month_utc""",
-}
+def reports_over(marts: dict[str, DataFrame], as_of: dt.date | None = None) -> dict[str, Callable[[], DataFrame]]:
+    """The report queries (``operators.reports``) bound to a set of marts."""
+    daily, fct = marts["mart_daily_summary"], marts["fct_hourly_market"]
+    impact, mix = marts["mart_renewables_price_impact"], marts["mart_technology_mix"]
+    return {
+        "kpis_window": lambda: reports.kpis_window(daily, as_of=as_of),
+        "price_last_days": lambda: reports.price_last_days(daily, as_of=as_of),
+        "mix_last_month": lambda: reports.mix_last_month(mix),
+        "price_daily": lambda: reports.price_daily(daily),
+        "price_heatmap": lambda: reports.price_heatmap(fct),
+        "price_monthly": lambda: reports.price_monthly(daily),
+        "impact_points": lambda: reports.impact_points(impact),
+        "price_by_bucket": lambda: reports.price_by_bucket(impact),
+        "negative_price_days": lambda: reports.negative_price_days(impact),
+        "mix_monthly_pct": lambda: reports.mix_monthly_pct(mix),
+        "mix_monthly_mwh": lambda: reports.mix_monthly_mwh(mix),
+    }
 
 
-def report(spark: SparkSession, name: str, db: str = "analytics_marts", as_of: str = "current_date()") -> DataFrame:
-    """Run one report query over the registered marts."""
-    return spark.sql(REPORT_SQL[name].format(db=db, as_of=as_of))
+def report(spark: SparkSession, name: str, db: str = "analytics_marts", as_of: dt.date | None = None) -> DataFrame:
+    """One report over the registered marts; ``as_of`` defaults to the current date."""
+    return reports_over({n: spark.table(f"{db}.{n}") for n in MART_NAMES}, as_of)[name]()

@@ -3,8 +3,8 @@
 Written directly from the models' SQL semantics, in DuckDB's dialect, over the
 same pre-registered parquet views. DuckDB's ``avg`` and decimal division return
 DOUBLE, so exact values are recovered by casting to a wide decimal before
-rounding (``round(cast(avg(x) as decimal(28,10)), n)`` and
-``round(cast(100.0*a/b as decimal(28,6)), 1)``); final numeric outputs are
+rounding (``round(cast(avg(x) as decimal(28,10)), n)``); shares are decided on
+integers (``share``); final numeric outputs are
 DOUBLE, instants naive UTC TIMESTAMP, like the Spark side.
 """
 
@@ -25,7 +25,14 @@ obs_id AS (
 obs AS (SELECT indicator_id, datetime_utc, geo_id, value FROM obs_id)
 """
 
-MODELS = """
+def share(part: str, total: str) -> str:
+    """Percentage to one digit, half away from zero, on whole millionths (no quotient is rounded twice)."""
+    p, t = (f"CAST(abs({x}) * 1000000 AS HUGEINT)" for x in (part, total))
+    return (f"CAST(CASE WHEN ({total}) <> 0 THEN (CASE WHEN (({part}) < 0) <> (({total}) < 0) THEN -1 ELSE 1 END)"
+            f" * ((2000 * {p} + {t}) // (2 * {t})) END AS DECIMAL(20,0)) / 10.0")
+
+
+MODELS = f"""
 hourly_price AS (
   SELECT date_trunc('hour', datetime_utc) AS hour_utc,
          CAST(avg(value) AS DECIMAL(22,10)) AS price_eur_mwh
@@ -57,8 +64,7 @@ hourly_market AS (
          g.cogen_residues_mwh, g.total_mwh,
          coalesce(g.wind_mwh, 0) + coalesce(g.solar_pv_mwh, 0) + coalesce(g.hydro_mwh, 0) AS renewable_mwh,
          CASE WHEN g.total_mwh > 0 THEN
-           round(CAST(100.0 * (coalesce(g.wind_mwh, 0) + coalesce(g.solar_pv_mwh, 0) + coalesce(g.hydro_mwh, 0))
-                      / g.total_mwh AS DECIMAL(28,6)), 1)
+           {share('coalesce(g.wind_mwh, 0) + coalesce(g.solar_pv_mwh, 0) + coalesce(g.hydro_mwh, 0)', 'g.total_mwh')}
          END AS renewable_pct
   FROM hourly_price p LEFT JOIN hourly_generation g ON p.hour_utc = g.hour_utc
 ),
@@ -91,7 +97,7 @@ daily AS (
          round(sum(cogen_residues_mwh), 0) AS cogen_residues_mwh,
          round(sum(total_mwh), 0) AS total_mwh,
          round(sum(renewable_mwh), 0) AS renewable_mwh,
-         round(CAST(100.0 * sum(renewable_mwh) / nullif(sum(total_mwh), 0) AS DECIMAL(28,6)), 1) AS renewable_pct,
+         {share('sum(renewable_mwh)', 'sum(total_mwh)')} AS renewable_pct,
          count(*) FILTER (WHERE price_eur_mwh < 0) AS negative_price_hours,
          round(max(price_eur_mwh) - min(price_eur_mwh), 2) AS price_range_eur_mwh
   FROM fct
@@ -128,12 +134,12 @@ mix AS (
          round(sum(renewable_mwh), 0) AS renewable_mwh,
          round(CAST(avg(avg_price_eur_mwh) AS DECIMAL(28,10)), 2) AS avg_price_eur_mwh,
          round(CAST(avg(renewable_pct) AS DECIMAL(28,10)), 1) AS avg_renewable_pct,
-         round(CAST(100.0 * sum(wind_mwh) / nullif(sum(total_mwh), 0) AS DECIMAL(28,6)), 1) AS wind_pct,
-         round(CAST(100.0 * sum(solar_pv_mwh) / nullif(sum(total_mwh), 0) AS DECIMAL(28,6)), 1) AS solar_pv_pct,
-         round(CAST(100.0 * sum(hydro_mwh) / nullif(sum(total_mwh), 0) AS DECIMAL(28,6)), 1) AS hydro_pct,
-         round(CAST(100.0 * sum(coal_mwh) / nullif(sum(total_mwh), 0) AS DECIMAL(28,6)), 1) AS coal_pct,
-         round(CAST(100.0 * sum(combined_cycle_mwh) / nullif(sum(total_mwh), 0) AS DECIMAL(28,6)), 1) AS combined_cycle_pct,
-         round(CAST(100.0 * sum(cogen_residues_mwh) / nullif(sum(total_mwh), 0) AS DECIMAL(28,6)), 1) AS cogen_residues_pct,
+         {share('sum(wind_mwh)', 'sum(total_mwh)')} AS wind_pct,
+         {share('sum(solar_pv_mwh)', 'sum(total_mwh)')} AS solar_pv_pct,
+         {share('sum(hydro_mwh)', 'sum(total_mwh)')} AS hydro_pct,
+         {share('sum(coal_mwh)', 'sum(total_mwh)')} AS coal_pct,
+         {share('sum(combined_cycle_mwh)', 'sum(total_mwh)')} AS combined_cycle_pct,
+         {share('sum(cogen_residues_mwh)', 'sum(total_mwh)')} AS cogen_residues_pct,
          CAST(sum(negative_price_hours) AS BIGINT) AS total_negative_price_hours,
          count(*) FILTER (WHERE negative_price_hours > 0) AS negative_price_days
   FROM daily

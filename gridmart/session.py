@@ -22,6 +22,11 @@ def ensure_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def is_local(master: str | None) -> bool:
+    """One JVM (``local``, ``local[4]``, ``local[4,2]``); ``local-cluster[...]`` has executors of its own."""
+    return master is not None and (master == "local" or master.startswith("local["))
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and staging writes.
 
@@ -35,7 +40,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not is_local(spark.sparkContext.master):
         raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
     local = tempfile.mkdtemp(prefix="gridmart-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
@@ -57,7 +62,7 @@ def build_session(
     and AQE coalesces small stages (the hour/day/month marts) down to a few
     tasks while large stages (the upsert join) keep ~128 MB partitions.
     """
-    local = master is not None and master.startswith("local")
+    local = is_local(master)
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)
@@ -86,6 +91,6 @@ def build_session(
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if not local and spark.conf.get("spark.sql.shuffle.partitions") == "200" and not shuffle_partitions:
-        spark.conf.set("spark.sql.shuffle.partitions", "4000")
+    if not local and not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
+        spark.conf.set("spark.sql.shuffle.partitions", "4000")  # nobody chose a width
     return ensure_utc(spark)

@@ -31,6 +31,25 @@ def test_ingest_test_report(spark, scratch, capsys):
     assert "indicators matched." in capsys.readouterr().out
 
 
+def test_every_row_is_printed_unless_asked_otherwise(spark, scratch, capsys):
+    entries = ",".join(f'{{"id": {i}, "name": "entry {i}"}}' for i in range(1500))
+    spark.createDataFrame([(f'{{"indicators": [{entries}]}}',)], "value string").write.text(f"{scratch}/catalogue")
+    base = ["--master", "local[4]", "catalogue", "--file", f"{scratch}/catalogue"]
+    assert main(base) == 0
+    lines = capsys.readouterr().out.strip().splitlines()
+    assert len(lines) == 1502 and lines[-1] == "1500 indicators matched."
+    assert main([*base, "--rows", "10"]) == 0
+    assert len(capsys.readouterr().out.strip().splitlines()) == 12
+    assert main([*base, "--out", f"{scratch}/found"]) == 0
+    assert spark.read.parquet(f"{scratch}/found").count() == 1500
+
+
+def test_a_chosen_shuffle_width_is_kept(spark):
+    from gridmart.session import is_local
+
+    assert is_local("local") and is_local("local[4]") and not is_local("local-cluster[2,1,1024]") and not is_local("yarn")
+
+
 def test_build_rebuilds_marts(spark, scratch):
     from gridmart.plans import warehouse
 

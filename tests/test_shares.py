@@ -1,0 +1,51 @@
+"""Shares are decided on integers: ties and near-ties in the fact, the daily and the monthly mart."""
+
+from decimal import ROUND_HALF_UP, Decimal
+from fractions import Fraction
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridmart.functions.measures import share_if_positive, share_nonzero
+from gridmart.operators import market, marts
+
+CASES = [
+    ("1234999.996", "10000000"), ("1235000", "10000000"), ("1234999.999999", "10000000"), ("-1", "8"), ("1", "-16"), ("0", "5"),
+    ("0.0005", "1"), ("0.000499", "1"), ("99999999999.999999", "0.000001"), ("1", "3"), ("2", "3"), ("-1", "-16"),
+]
+
+
+def exact(part, total):
+    value = Fraction(part) * 100 / Fraction(total)
+    scaled = abs(value) * 10
+    digit = (scaled.numerator * 2 + scaled.denominator) // (2 * scaled.denominator)
+    return Decimal(digit if value >= 0 else -digit) / 10
+
+
+def test_one_digit_is_exact(spark):
+    rows = [(Decimal(a), Decimal(b)) for a, b in CASES]
+    df = spark.createDataFrame(rows, "a decimal(28,6), b decimal(28,6)")
+    for r in df.select("a", "b", share_nonzero("a", "b").alias("s"), share_if_positive("a", "b").alias("p")).collect():
+        assert r.s == exact(r.a, r.b), r
+        assert r.p == (exact(r.a, r.b) if r.b > 0 else None)
+
+
+def test_zero_and_null(spark):
+    df = spark.createDataFrame([(Decimal(5), Decimal(0)), (None, Decimal(1)), (Decimal(1), None)], "a decimal(28,6), b decimal(28,6)")
+    assert {tuple(r) for r in df.select(share_nonzero("a", "b"), share_if_positive("a", "b")).collect()} == {(None, None)}
+
+
+@pytest.mark.parametrize("wind,want", [("1234999.996", "12.3"), ("1235000", "12.4")])
+def test_near_ties_in_fact_daily_and_monthly(spark, wind, want):
+    rest = Decimal(10000000) - Decimal(wind)
+    rows = [(600, "2025-01-01 10:00:00", 3, Decimal(50)), (2038, "2025-01-01 10:00:00", 3, Decimal(wind)), (2040, "2025-01-01 10:00:00", 3, rest)]
+    raw = spark.createDataFrame(rows, "indicator_id int, t string, geo_id int, value decimal(18,6)")
+    raw = raw.select("indicator_id", F.col("t").cast("timestamp").alias("datetime_utc"), "geo_id", "value")
+    fct = market.fct_hourly_market(market.hourly_market_from_raw(raw))
+    assert fct.first().renewable_pct == Decimal(want)
+    daily = marts.daily_summary(fct)
+    assert daily.first().renewable_pct == Decimal(want)
+    # The monthly mix is taken of the rounded daily values (whole MWh), as everywhere.
+    wind_mwh, total = (daily.first()[c] for c in ("wind_mwh", "total_mwh"))
+    assert marts.technology_mix(daily).first().wind_pct == exact(wind_mwh, total)
+    assert Decimal(wind).quantize(Decimal(1), ROUND_HALF_UP) == wind_mwh
