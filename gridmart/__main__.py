@@ -18,8 +18,6 @@ import datetime as dt
 import json
 import sys
 
-from pyspark.sql import functions as F
-
 
 def _session(args):
     from gridmart.session import build_session
@@ -35,11 +33,11 @@ def cmd_ingest(args) -> int:
 
     spark = _session(args)
     start, end = ingest.extraction_window(args.start, args.end)
-    items = payload.explode_payload(payload.read_payload_files(spark, args.landing, not args.json_lines))
+    items = payload.explode_payload(payload.read_payload_files(spark, args.landing, not args.json_lines, start.date()))
     # Items with a valid time outside the run's window are not part of this run;
     # items whose time is unreadable stay, so they still reject their indicator.
-    norm_ts = F.coalesce(F.nullif(F.col("datetime_utc"), F.lit("")), F.col("datetime")).try_cast("timestamp")
-    items = items.where(norm_ts.isNull() | ((norm_ts >= utc_literal(start)) & (norm_ts < utc_literal(end))))
+    at = ingest.item_time(items)
+    items = items.where(at.isNull() | ((at >= utc_literal(start)) & (at < utc_literal(end))))
     layout = warehouse.Layout(args.root)
     result = warehouse.ingest_items(spark, items, layout)
     if not args.no_build:

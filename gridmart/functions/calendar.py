@@ -26,6 +26,25 @@ def utc_literal(value: dt.datetime) -> Column:
     return F.lit(value).cast("timestamp")
 
 
+#: ISO 8601 in extended and basic form; the zone is an offset or Z (naive is UTC).
+_ISO_EXTENDED = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
+_ISO_BASIC = r"^(\d{4})(\d{2})(\d{2})(?:[T ](\d{2})(\d{2})?(\d{2})?((?:[.,]\d{1,9})?)(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+
+
+def iso_timestamp(text: Column) -> Column:
+    """Instant of an ISO 8601 date or date-time; anything else is NULL.
+
+    Spark's own cast is wider: it reads '12:34' as a time of the current day, '2024' as a date,
+    and region names as zones. Those are refused here before the cast. ISO week dates are refused too.
+    """
+    digits = F.regexp_replace(text, _ISO_BASIC, "$1-$2-$3T$4:$5:$6$7$8")
+    # Basic forms may end early: fill the missing minutes and seconds, or drop an empty time.
+    basic = F.regexp_replace(F.regexp_replace(F.regexp_replace(digits, "T::$", ""), "::(?=$|[Z+-])", ":00:00"), ":(?=$|[Z+-])", ":00")
+    extended = F.regexp_replace(text, r"^(.{10}[T ]\d{2})(?=$|[Z+-])", "$1:00")
+    chosen = F.when(text.rlike(_ISO_EXTENDED), extended).when(text.rlike(_ISO_BASIC), basic)
+    return F.translate(chosen, ",", ".").try_cast("timestamp")
+
+
 def hour_utc(ts: Column | str) -> Column:
     """UTC hour bucket of an instant."""
     return F.date_trunc("hour", F.col(ts) if isinstance(ts, str) else ts)

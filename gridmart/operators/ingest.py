@@ -9,11 +9,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridmart.functions.calendar import utc_literal
+from gridmart.functions.calendar import iso_timestamp, utc_literal
 from gridmart.schemas import (
     AUTO_WINDOW_DAYS,
     DEFAULT_GEO,
@@ -31,96 +31,109 @@ def registry(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(list(INDICATORS.items()), schema)
 
 
+#: Columns that say which answer an item came from; missing ones are NULL (one unnamed answer).
+DOCUMENT = ("fetched_at", "document")
+
+
+def item_time(items: DataFrame) -> Column:
+    """The instant of a payload item: ``datetime_utc`` unless missing or empty, else ``datetime``."""
+    return iso_timestamp(F.coalesce(F.nullif(F.col("datetime_utc"), F.lit("")), F.col("datetime")))
+
+
+def _number(text: Column) -> tuple[Column, Column]:
+    """(decimal(18,6), whether the text is not exactly such a number)."""
+    text = F.trim(text)
+    value, wide = text.try_cast(VALUE_TYPE), text.try_cast("decimal(38,18)")
+    cut = text.rlike(r"\.\d{6}\d*[1-9]") & ~text.rlike("[eE]")
+    return value, text.isNotNull() & (value.isNull() | wide.isNull() | (value != wide) | cut)
+
+
 def normalise(items: DataFrame) -> DataFrame:
-    """Payload items -> (indicator_id, datetime_utc, geo_id, value) + validity flags.
+    """Payload items -> (indicator_id, datetime_utc, geo_id, value) + validity flags + their answer.
 
     * time: ``datetime_utc`` unless missing/empty, else ``datetime``; ISO-8601
       with offsets honoured, naive read as UTC (session time zone is UTC).
     * geo: missing / NULL / empty / 0 -> 0; otherwise it must be an integer.
     * value: text -> decimal(18,6); a JSON NULL stays NULL.
-    * ``bad_time``: no time at all or unparsable; ``bad_value``: text present
-      but not a number in range; ``bad_geo``: geo present but not an integer;
-      ``bad_doc``: the item stands for a document that did not parse.
+    * ``bad_time``: no time at all or not ISO; ``bad_value``: text present but
+      not a number that decimal(18,6) holds exactly; ``bad_geo``: geo present
+      but not an integer; ``bad_doc``: the item stands for a document that did
+      not parse.
+    * ``fetched_at``, ``document``: the answer that the item came from.
     """
-    raw_ts = F.coalesce(F.nullif(F.col("datetime_utc"), F.lit("")), F.col("datetime"))
-    ts = raw_ts.try_cast(T.TimestampType())
-    value = F.col("value").try_cast(VALUE_TYPE)
+    ts = item_time(items)
+    value, bad_value = _number(F.col("value"))
     raw_geo = F.nullif(F.col("geo_id").cast("string"), F.lit(""))
     geo = raw_geo.try_cast("int")
     bad_doc = F.coalesce(F.col("bad_doc"), F.lit(False)) if "bad_doc" in items.columns else F.lit(False)
+    named = {c: F.col(c) if c in items.columns else F.lit(None) for c in DOCUMENT}
     return items.select(
         F.col("indicator_id").try_cast("int").alias("indicator_id"),
         ts.alias("datetime_utc"),
         F.coalesce(geo, F.lit(DEFAULT_GEO)).alias("geo_id"),
         value.alias("value"),
-        (raw_ts.isNull() | ts.isNull()).alias("bad_time"),
-        (F.col("value").isNotNull() & value.isNull()).alias("bad_value"),
+        ts.isNull().alias("bad_time"),
+        bad_value.alias("bad_value"),
         (raw_geo.isNotNull() & geo.isNull()).alias("bad_geo"),
         bad_doc.alias("bad_doc"),
+        named["fetched_at"].cast("string").alias("fetched_at"),
+        named["document"].cast("string").alias("document"),
     )
 
 
 def duplicate_keys(staged: DataFrame) -> DataFrame:
-    """Keys that occur more than once in a staged batch (indicator_id, datetime_utc, geo_id, copies).
+    """Keys that occur more than once in one answer (indicator_id, datetime_utc, geo_id, copies).
 
-    One aggregation on the key; the partial aggregate collapses repeated keys
+    The same key in two answers is a revision, not a duplicate. One aggregation
+    on the key and its answer; the partial aggregate collapses repeated keys
     map-side, so a heavily duplicated key does not skew the shuffle.
     """
+    named = [c for c in DOCUMENT if c in staged.columns]
     return (
         staged.where(F.col("datetime_utc").isNotNull())
-        .groupBy(*RAW_KEYS)
+        .groupBy(*RAW_KEYS, *named)
         .agg(F.count(F.lit(1)).alias("copies"))
         .where(F.col("copies") > 1)
+        .select(*RAW_KEYS, "copies")
     )
 
 
-def indicator_checks(normalised: DataFrame, with_days: bool = False) -> DataFrame:
-    """Per indicator: staged rows, malformed times/values and duplicated keys.
+def newest(rows: DataFrame) -> DataFrame:
+    """One row per key: that of the newest answer (latest fetch, then the greater document name).
+
+    An aggregation with map-side combine, not a sort per indicator: the number of times that
+    a key was fetched does not matter.
+    """
+    rank = F.struct(*[F.coalesce(F.col(c), F.lit("")) for c in DOCUMENT])
+    best = F.max_by(F.struct("value"), rank)
+    return rows.groupBy(*RAW_KEYS).agg(best.alias("_best")).select(*RAW_KEYS, F.col("_best.value").alias("value"))
+
+
+def indicator_checks(normalised: DataFrame) -> DataFrame:
+    """Per indicator: staged rows, malformed items and keys duplicated within an answer.
 
-    Row and malformed counts come from one aggregation per (indicator, UTC day),
-    rolled up to the indicator; ``with_days`` keeps the per-day row counts as a
-    ``day_counts`` map (bounded by the batch's day span), so a loader learns
-    which raw partitions it touches from the same small result. Duplicated keys
-    are the second aggregation.
+    The input is read once: one aggregation on the key and its answer counts
+    rows and malformed items, and is rolled up to the indicator. Ids that are not
+    in the registry are rolled up into one row with a NULL id: the result has at
+    most one row more than the registry.
     """
-    day = F.to_date("datetime_utc")
-    per_day = normalised.groupBy("indicator_id", day.alias("day")).agg(
+    named = [c for c in DOCUMENT if c in normalised.columns]
+    known = F.when(F.col("indicator_id").isin(list(INDICATORS)), F.col("indicator_id"))
+    per_key = normalised.groupBy(*RAW_KEYS, *named).agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if("bad_time").alias("bt"),
         F.count_if("bad_value").alias("bv"),
         F.count_if("bad_geo").alias("bg"),
         F.count_if("bad_doc").alias("bd"),
     )
-    extra = (
-        [F.map_from_entries(F.collect_list(F.when(F.col("day").isNotNull(), F.struct("day", "n")))).alias("day_counts")]
-        if with_days
-        else []
-    )
-    per_ind = per_day.groupBy("indicator_id").agg(
+    return per_key.groupBy(known.alias("indicator_id")).agg(
         F.sum("n").alias("staged_rows"),
         F.sum("bt").alias("bad_times"),
         F.sum("bv").alias("bad_values"),
         F.sum("bg").alias("bad_geos"),
         F.sum("bd").alias("bad_docs"),
-        *extra,
-    )
-    dups = duplicate_keys(normalised).groupBy(F.col("indicator_id").alias("dup_id")).agg(
-        F.count(F.lit(1)).alias("duplicate_keys")
-    )
-    # Both sides hold one row per indicator id (NULL included, hence the
-    # NULL-safe match); AQE broadcasts from the measured size.
-    joined = per_ind.join(dups, per_ind["indicator_id"].eqNullSafe(dups["dup_id"]), "left")
-    out = joined.select(
-        "indicator_id",
-        "staged_rows",
-        "bad_times",
-        "bad_values",
-        "bad_geos",
-        "bad_docs",
-        F.coalesce("duplicate_keys", F.lit(0)).cast("bigint").alias("duplicate_keys"),
-        *(["day_counts"] if with_days else []),
+        F.count_if((F.col("n") > 1) & F.col("datetime_utc").isNotNull()).alias("duplicate_keys"),
     )
-    return out.withColumn("failed", failed_column()) if with_days else out
 
 
 def failed_column() -> Column:
@@ -143,20 +156,16 @@ def rejected_indicators(checks: DataFrame) -> DataFrame:
     return checks.where(failed_column())
 
 
-def _known(df: DataFrame) -> DataFrame:
-    return df.where(F.col("indicator_id").isNotNull())
-
-
 def accepted(normalised: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows of indicators that passed, as clean observations.
+    """Observations of the registered indicators that passed, one per key: the newest answer's.
 
-    ``rejected`` holds one row per failed indicator; the anti join is planned by
-    AQE from its measured size (a broadcast for any realistic registry, a
-    shuffle join otherwise).
+    ``rejected`` is cut to registry ids, so it has at most eight rows and is
+    broadcast: the batch is not shuffled on a handful of ids.
     """
-    return _known(normalised).join(rejected.select("indicator_id"), "indicator_id", "left_anti").select(
-        "indicator_id", "datetime_utc", "geo_id", "value"
-    )
+    registered = list(INDICATORS)
+    failed = rejected.where(F.col("indicator_id").isin(registered)).select("indicator_id")
+    kept = normalised.where(F.col("indicator_id").isin(registered)).join(F.broadcast(failed), "indicator_id", "left_anti")
+    return newest(kept)
 
 
 def extraction_window(
@@ -187,18 +196,22 @@ def run_status(spark: SparkSession, checks: DataFrame) -> DataFrame:
     """Per registry indicator: staged / loaded rows and whether it failed; plus the run's status.
 
     An indicator with no payload rows loads nothing and does not fail. The run
-    status is 1 when any indicator failed (a scalar subquery over the checks).
+    status is 1 when any indicator failed, an unregistered id included: both
+    come from the one evaluation of the checks (at most nine rows).
     """
-    failed = failed_column()
-    any_failed = checks.agg(F.coalesce(F.max(failed.cast("int")), F.lit(0)).alias("s")).scalar()
-    return registry(spark).join(checks, "indicator_id", "left").select(
-        "indicator_id",
+    failed = checks.withColumn("failed", failed_column())
+    named = registry(spark).withColumnRenamed("indicator_id", "id")
+    both = failed.join(named, F.col("indicator_id") == F.col("id"), "full_outer")
+    everything = Window.partitionBy(F.lit(0))
+    out = both.select(
+        F.col("id").alias("indicator_id"),
         "slug",
         F.coalesce("staged_rows", F.lit(0)).cast("bigint").alias("staged_rows"),
-        F.when(failed, F.lit(0)).otherwise(F.coalesce("staged_rows", F.lit(0))).cast("bigint").alias("loaded_rows"),
-        F.coalesce(failed, F.lit(False)).alias("failed"),
-        any_failed.cast("int").alias("run_status"),
+        F.when(F.col("failed"), F.lit(0)).otherwise(F.coalesce("staged_rows", F.lit(0))).cast("bigint").alias("loaded_rows"),
+        F.coalesce("failed", F.lit(False)).alias("failed"),
+        F.coalesce(F.max(F.col("failed").cast("int")).over(everything), F.lit(0)).cast("int").alias("run_status"),
     )
+    return out.where(F.col("indicator_id").isNotNull())
 
 
 def registry_coverage(spark: SparkSession, obs: DataFrame) -> DataFrame:

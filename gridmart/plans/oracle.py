@@ -286,28 +286,32 @@ registry(indicator_id, slug) AS (VALUES
 INGEST = """
 items AS (
   SELECT event_id, indicator_id,
-         CASE WHEN indicator_id = 10004 AND event_id % 101 = 0 THEN 'n/a' ELSE CAST(value AS VARCHAR) END AS value,
+         CASE WHEN indicator_id = 10004 AND event_id % 101 = 0 AND event_id % 3 = 0 THEN 'n/a'
+              WHEN indicator_id = 10004 AND event_id % 101 = 0 THEN CAST(value AS VARCHAR) || '1'
+              ELSE CAST(value AS VARCHAR) END AS value,
          CASE WHEN event_id % 6 = 0 THEN strftime(datetime_utc, '%Y-%m-%dT%H:%M:%S.%f') END AS datetime,
-         CASE WHEN indicator_id = 2051 AND event_id % 103 = 0 THEN 'not-a-date'
+         CASE WHEN indicator_id = 2051 AND event_id % 103 = 0
+                THEN (['not-a-date', '12:34', '2024', 'T10:00', '2024-01-01T10:00:00 Europe/Madrid', '2024-1-1'])[event_id % 6 + 1]
               WHEN event_id % 6 = 0 THEN ''
+              WHEN event_id % 6 = 2 THEN strftime(datetime_utc, '%Y%m%dT%H%M%S.%fZ')
               WHEN event_id % 6 = 1 THEN strftime(datetime_utc, '%Y-%m-%dT%H:%M:%S.%f+00:00')
               ELSE strftime(datetime_utc, '%Y-%m-%dT%H:%M:%S.%fZ') END AS datetime_utc,
          CASE WHEN event_id % 9 <> 0 THEN geo_id END AS geo_id,
-         datetime_utc AS src_ts
+         datetime_utc AS src_ts, indicator_id = 2051 AND event_id % 103 = 0 AS no_time
   FROM obs_id
   UNION ALL
   SELECT event_id, indicator_id, CAST(value + 1 AS VARCHAR), NULL,
          strftime(datetime_utc, '%Y-%m-%dT%H:%M:%S.%fZ'),
-         CASE WHEN event_id % 9 <> 0 THEN geo_id END, datetime_utc
+         CASE WHEN event_id % 9 <> 0 THEN geo_id END, datetime_utc, false
   FROM obs_id WHERE indicator_id = 2040 AND event_id % 89 = 0
 ),
 norm AS (
   SELECT indicator_id,
-         CASE WHEN datetime_utc = 'not-a-date' THEN NULL ELSE src_ts END AS datetime_utc,
+         CASE WHEN no_time THEN NULL ELSE src_ts END AS datetime_utc,
          coalesce(geo_id, 0) AS geo_id,
          try_cast(value AS DECIMAL(18,6)) AS value,
-         datetime_utc = 'not-a-date' AS bad_time,
-         value IS NOT NULL AND try_cast(value AS DECIMAL(18,6)) IS NULL AS bad_value,
+         no_time AS bad_time,
+         value IS NOT NULL AND (try_cast(value AS DECIMAL(18,6)) IS NULL OR regexp_matches(value, '[.][0-9]{7}$')) AS bad_value,
          false AS bad_geo,
          false AS bad_doc
   FROM items
@@ -382,24 +386,30 @@ def _unique(model: str, rel: str, col: str) -> str:
             f"WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1))")
 
 
+def _planted(name: str, rel: str, group: str, twice: int, null: int, *columns: str) -> str:
+    nulls = ", ".join(f"NULL AS {c}" for c in columns)
+    return (f"{name} AS (SELECT * FROM {rel} UNION ALL SELECT * FROM {rel} WHERE {group} = {twice} "
+            f"UNION ALL SELECT * REPLACE ({nulls}) FROM {rel} WHERE {group} = {null})")
+
+
 _CHECKS = [
     _not_null("indicator_values", "raw_fx", "indicator_id"),
     _not_null("indicator_values", "raw_fx", "datetime_utc"),
     _not_null("indicator_values", "raw_fx", "geo_id"),
     _not_null("indicator_values", "raw_fx", "extracted_at"),
-    _unique("fct_hourly_market", "fct", "hour_utc"),
-    _not_null("fct_hourly_market", "fct", "hour_utc"),
-    _not_null("fct_hourly_market", "fct", "price_eur_mwh"),
-    _not_null("fct_hourly_market", "fct", "renewable_pct"),
-    _unique("mart_daily_summary", "daily", "date_utc"),
-    _not_null("mart_daily_summary", "daily", "date_utc"),
-    _not_null("mart_daily_summary", "daily", "avg_price_eur_mwh"),
-    _not_null("mart_daily_summary", "daily", "renewable_pct"),
-    _unique("mart_renewables_price_impact", "impact", "date_utc"),
-    _not_null("mart_renewables_price_impact", "impact", "date_utc"),
-    _not_null("mart_renewables_price_impact", "impact", "renewable_pct"),
-    _unique("mart_technology_mix", "mix", "month_utc"),
-    _not_null("mart_technology_mix", "mix", "month_utc"),
+    _unique("fct_hourly_market", "fct_p", "hour_utc"),
+    _not_null("fct_hourly_market", "fct_p", "hour_utc"),
+    _not_null("fct_hourly_market", "fct_p", "price_eur_mwh"),
+    _not_null("fct_hourly_market", "fct_p", "renewable_pct"),
+    _unique("mart_daily_summary", "daily_p", "date_utc"),
+    _not_null("mart_daily_summary", "daily_p", "date_utc"),
+    _not_null("mart_daily_summary", "daily_p", "avg_price_eur_mwh"),
+    _not_null("mart_daily_summary", "daily_p", "renewable_pct"),
+    _unique("mart_renewables_price_impact", "impact_p", "date_utc"),
+    _not_null("mart_renewables_price_impact", "impact_p", "date_utc"),
+    _not_null("mart_renewables_price_impact", "impact_p", "renewable_pct"),
+    _unique("mart_technology_mix", "mix_p", "month_utc"),
+    _not_null("mart_technology_mix", "mix_p", "month_utc"),
 ]
 
 SQL.update({
@@ -461,18 +471,35 @@ SQL.update({
            FROM merge_plan WHERE staged GROUP BY indicator_id"""
     ),
     "freshness": _with_all(
-        """, agg AS (SELECT max(extracted_at) AS m FROM merge_plan)
-           SELECT m AS max_loaded_at,
-                  TIMESTAMP '2025-01-05 06:15:00' AS snapshotted_at,
-                  CAST((epoch_us(TIMESTAMP '2025-01-05 06:15:00') - epoch_us(m)) / 1000000.0 AS DOUBLE) AS age_seconds,
-                  CASE WHEN m IS NULL THEN 'error'
-                       WHEN epoch_us(TIMESTAMP '2025-01-05 06:15:00') - epoch_us(m) > 72 * 3600000000 THEN 'error'
-                       WHEN epoch_us(TIMESTAMP '2025-01-05 06:15:00') - epoch_us(m) > 36 * 3600000000 THEN 'warn'
-                       ELSE 'pass' END AS status
-           FROM agg"""
+        """, agg AS (SELECT max(extracted_at) AS m FROM merge_plan),
+           aged AS (SELECT m, t, epoch_us(t) - epoch_us(m) AS age FROM agg,
+             (VALUES (TIMESTAMP '2025-01-03 07:00:00'), (TIMESTAMP '2025-01-05 06:15:00'), (TIMESTAMP '2025-01-10 06:15:00')) v(t))
+           SELECT m AS max_loaded_at, t AS snapshotted_at, CAST(age / 1000000.0 AS DOUBLE) AS age_seconds,
+                  CASE WHEN m IS NULL OR age > 72 * 3600000000 THEN 'error'
+                       WHEN age > 36 * 3600000000 THEN 'warn' ELSE 'pass' END AS status
+           FROM aged"""
+    ),
+    "refetch_overlap": _with_all(
+        """, twice AS (SELECT DISTINCT indicator_id FROM obs_id WHERE indicator_id = 2040 AND event_id % 3 = 0 AND event_id % 29 = 0)
+           SELECT indicator_id, datetime_utc, geo_id,
+                  CAST(CASE WHEN event_id % 3 <> 0 THEN value
+                            WHEN event_id % 11 = 0 THEN NULL ELSE coalesce(value, 0) + 1 END AS DOUBLE) AS value
+           FROM obs_id WHERE indicator_id NOT IN (SELECT indicator_id FROM twice)
+           UNION ALL
+           SELECT indicator_id, datetime_utc + INTERVAL 400 DAY, geo_id, CAST(value AS DOUBLE) FROM obs_id
+           WHERE event_id % 3 = 1 AND event_id % 5 = 2 AND indicator_id NOT IN (SELECT indicator_id FROM twice)"""
     ),
     "data_checks": _with_all(
-        ", raw_fx AS (SELECT *, TIMESTAMP '2025-01-02 06:15:00' AS extracted_at FROM obs)\n"
-        + "\nUNION ALL ".join(_CHECKS)
+        ", raw_0 AS (SELECT *, TIMESTAMP '2025-01-02 06:15:00' AS extracted_at FROM obs),\n"
+        + ",\n".join([
+            _planted("raw_fx", "raw_0", "geo_id", 0, 1, "indicator_id", "datetime_utc", "geo_id", "extracted_at"),
+            _planted("fct_p", "fct", "hour_of_day", 3, 5, "hour_utc", "price_eur_mwh", "renewable_pct"),
+            _planted("daily_p", "daily", "day_of_week", 2, 4, "date_utc", "avg_price_eur_mwh", "renewable_pct"),
+            _planted("impact_p", "impact", "month", 3, 5, "date_utc", "renewable_pct"),
+            _planted("mix_p", "mix", "month", 2, 4, "month_utc"),
+        ])
+        + "\n" + "\nUNION ALL ".join(_CHECKS)
     ),
 })
+SQL["upsert_clustered"], SQL["upsert_clustered_counts"] = SQL["upsert"], SQL["upsert_counts"]
+SQL["hourly_market_join"] = SQL["hourly_market"]

@@ -11,10 +11,10 @@ Scale notes:
 * The staged batch is written once (columnar) to the shared work folder; the
   checks and the load both read that copy, so the JSON is parsed once and the
   lineage is cut (a lost executor recomputes from the staged files).
-* The upsert only reads the raw partitions (days) present in the batch, joins
-  them with the batch on the three keys (both sides unique on the keys, so no
-  skew) and rewrites only partitions that actually changed, with dynamic
-  partition overwrite. Cost is O(batch days), not O(table).
+* The upsert only reads the raw partitions (days) present in the batch, shuffles
+  them and the batch once by (day, key bucket), resolves each key by an
+  aggregation (no join) and rewrites only partitions that actually changed, with
+  dynamic partition overwrite. Cost is O(batch days), not O(table).
 * The hourly fact depends only on raw rows of the same UTC day, so a run
   recomputes the fact for the changed days only and keeps the other days; the
   daily / impact / monthly marts are rebuilt from the (hour-grained, hence
@@ -26,8 +26,8 @@ Scale notes:
 from __future__ import annotations
 
 import datetime as dt
-import os
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -65,6 +65,7 @@ class RunResult:
     checks: list = field(default_factory=list)
     counts: list = field(default_factory=list)
     changed_days: list = field(default_factory=list)
+    failed: list = field(default_factory=list)  # indicator ids (None: unregistered)
 
 
 def work_folder(spark: SparkSession, tag: str) -> str:
@@ -100,13 +101,20 @@ def _shuffle_width(spark: SparkSession) -> int:
         return spark.sparkContext.defaultParallelism
 
 
-def _bucket(k_by_day: dict[dt.date, int]) -> Column:
-    """Hash bucket of the key within its day; a day with k slices has k buckets."""
-    if all(k == 1 for k in k_by_day.values()):
-        return F.lit(0).cast("bigint").alias("_bucket")
-    k_map = F.create_map(*[c for d, k in sorted(k_by_day.items()) for c in (F.lit(d), F.lit(k))])
-    k = F.coalesce(F.element_at(k_map, F.col(RAW_PARTITION)), F.lit(1))
-    return F.pmod(F.xxhash64("indicator_id", "geo_id", "datetime_utc"), k).alias("_bucket")
+def _with_bucket(df: DataFrame, k_by_day: dict[dt.date, int]) -> DataFrame:
+    """Adds the hash bucket of the key within its day; a day with k slices has k buckets.
+
+    Only days with more than one slice are looked up, in a broadcast table of at most one row per
+    day of the batch (days that the driver has counted already); a row costs the same for one day
+    as for ten years of them.
+    """
+    split = [(d, k) for d, k in sorted(k_by_day.items()) if k > 1]
+    if not split:
+        return df.withColumn("_bucket", F.lit(0).cast("bigint"))
+    slices = df.sparkSession.createDataFrame(split, "_day date, _k bigint")
+    joined = df.join(F.broadcast(slices), F.col(RAW_PARTITION) == F.col("_day"), "left")
+    bucket = F.pmod(F.xxhash64("indicator_id", "geo_id", "datetime_utc"), F.coalesce(F.col("_k"), F.lit(1)))
+    return joined.withColumn("_bucket", bucket).drop("_day", "_k")
 
 
 def _write_raw_days(rows: DataFrame, raw_path: str) -> None:
@@ -147,6 +155,7 @@ def upsert_raw(
     run_ts: dt.datetime,
     work: str,
     _day_counts: dict[tuple[int, dt.date], int] | None = None,
+    before_write: Callable[[str, list[dt.date]], None] | None = None,
 ) -> tuple[list[dict], list[dt.date]]:
     """Merge ``batch`` (indicator_id, datetime_utc, geo_id, value) into the raw table.
 
@@ -162,9 +171,11 @@ def upsert_raw(
       staged and only days with an insert or update are rewritten, without a
       second shuffle.
 
-    ``_day_counts`` ((indicator, day) -> rows) is passed by ``ingest_items``,
-    whose checks already computed it for a validated batch; other callers omit
-    it and one small aggregation computes and validates it.
+    ``_day_counts`` ((indicator, day) -> rows) is passed by ``ingest_items`` for
+    a validated batch; other callers omit it and one small aggregation computes
+    and validates it. ``before_write(kind, days)`` is called when the rows of
+    those days are complete in the work folder (kind ``merge``: its merge plan;
+    ``insert``: the batch itself) and before the first partition is touched.
     """
     ensure_utc(spark)
     tables.provision_raw(spark, raw_path)
@@ -232,8 +243,10 @@ def upsert_raw(
         # straight into the table (one shuffle to lay it out, no join).
         for (ind, _), n in _day_counts.items():
             add(ind, n, inserted=n)
+        if before_write:
+            before_write("insert", days)
         inserts = upsert.merged_table(upsert.insert_plan(batch.drop(RAW_PARTITION), run_ts))
-        rows = tables.with_partition(inserts).withColumn("_bucket", _bucket(k_by_day)).repartition(slots, *_CLUSTER)
+        rows = _with_bucket(tables.with_partition(inserts), k_by_day).repartition(slots, *_CLUSTER)
         _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_TABLE.fieldNames(), RAW_PARTITION), raw_path)
         return [c for c in counts.values() if c["staged_rows"]], days
 
@@ -242,8 +255,8 @@ def upsert_raw(
     # plan is staged (it is built from partitions about to be overwritten), one
     # file per slot; the summary and the rewrite re-read it, and the rewrite
     # needs no further shuffle because the plan is already clustered.
-    target = stored.withColumn("_bucket", _bucket(k_by_day))
-    source = batch.withColumn("_bucket", _bucket(k_by_day))
+    target = _with_bucket(stored, k_by_day)
+    source = _with_bucket(batch, k_by_day)
     plan = upsert.merge_plan_clustered(target, source, run_ts, _CLUSTER, slots)
     plan_path = f"{work}/merge_plan"
     plan.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(plan_path)
@@ -262,6 +275,8 @@ def upsert_raw(
         add(r.indicator_id, r.staged_rows, r.inserted, r.updated, r.unchanged)
     changed = sorted({r[RAW_PARTITION] for r in summary if r.inserted or r.updated})
     if changed:
+        if before_write:
+            before_write("merge", changed)
         rows = plan.where(F.col(RAW_PARTITION).isin(changed))
         _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_TABLE.fieldNames(), RAW_PARTITION), raw_path)
     return [c for c in counts.values() if c["staged_rows"]], changed
@@ -350,6 +365,40 @@ def _refresh(spark: SparkSession, layout: Layout, days: list[dt.date] | None, wo
     return {n: spark.read.parquet(layout.mart(n)) for n in MART_NAMES}
 
 
+def _unfinished_path(layout: Layout) -> str:
+    return f"{layout.root.rstrip('/')}/_unfinished_write"
+
+
+_UNFINISHED = "work string, kind string, run_ts timestamp, day date"
+
+
+def finish_write(spark: SparkSession, layout: Layout) -> list[dt.date]:
+    """Complete a raw write that an earlier run began and did not end.
+
+    That run's folder still holds the whole content of the days it was replacing (the merge plan, or the
+    batch where the days were new), so they are written once more from there: the same rows, whatever
+    part of them had been committed. Returns the days.
+    """
+    path = _unfinished_path(layout)
+    if not tables.raw_exists(spark, f"{path}/_SUCCESS"):
+        return []
+    marks = spark.read.schema(_UNFINISHED).parquet(path).collect()  # one row per changed day
+    if marks:
+        work, kind, days = marks[0].work, marks[0].kind, [m.day for m in marks]
+        if kind == "merge":
+            rows = spark.read.parquet(f"{work}/merge_plan").where(F.col(RAW_PARTITION).isin(days))
+        else:
+            batch = spark.read.parquet(f"{work}/newest")
+            inserts = upsert.merged_table(upsert.insert_plan(batch, F.lit(marks[0].run_ts.replace(tzinfo=dt.timezone.utc))))
+            rows = tables.with_partition(inserts).where(F.col(RAW_PARTITION).isin(days)).repartition(*_LAYOUT[:2])
+        _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_TABLE.fieldNames(), RAW_PARTITION), layout.raw)
+        remove_work(spark, path)
+        remove_work(spark, work)
+        return sorted(days)
+    remove_work(spark, path)
+    return []
+
+
 def ingest_items(
     spark: SparkSession,
     items: DataFrame,
@@ -359,33 +408,54 @@ def ingest_items(
 ) -> RunResult:
     """Stage, validate and upsert a batch of payload items; indicators fail independently.
 
-    An indicator fails on any malformed item or duplicated key, and rows whose
-    indicator id is missing or not registered never load
-    (``ingest.failed_column``). The days it changes are recorded as pending for
-    the mart refresh. The staging folder is removed afterwards, also when the
-    load fails, unless ``keep_work``.
+    An indicator fails on any malformed item or key duplicated within an answer,
+    and rows whose indicator id is missing or not registered never load
+    (``ingest.failed_column``). Of the answers that hold a key, the newest counts.
+
+    Before the first raw partition is replaced, the days are recorded as pending
+    for the mart refresh and the write as unfinished; a run that dies in between
+    keeps its folder, and the next one completes the write first (``finish_write``).
+    The folder is removed after success, and after a failure that had not begun
+    to write, unless ``keep_work``.
     """
     ensure_utc(spark)
+    finished = finish_write(spark, layout)
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
     work = work_folder(spark, "ingest")
+    begun = False
+
+    def before_write(kind: str, days: list[dt.date]) -> None:
+        nonlocal begun
+        add_pending_days(spark, layout, days)
+        at = run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=dt.timezone.utc)
+        marks = spark.createDataFrame([(work, kind, at, d) for d in days], _UNFINISHED)
+        marks.coalesce(1).write.mode("overwrite").parquet(_unfinished_path(layout))
+        begun = True
+
     try:
         staged = stage_batch(spark, items, work)
-        # One row per indicator in the batch, with its row count per UTC day.
-        checks = ingest.indicator_checks(staged, with_days=True).collect()
+        checks = ingest.indicator_checks(staged).withColumn("failed", ingest.failed_column()).collect()  # <= 9 rows
         ok = [r for r in checks if not r.failed]
-        ok_ids = [r.indicator_id for r in ok]
-        day_counts = {(r.indicator_id, d): n for r in ok for d, n in r.day_counts.items()}
-        batch = staged.where(F.col("indicator_id").isin(ok_ids)).select(*RAW_KEYS, "value")
-        counts, changed = upsert_raw(spark, layout.raw, batch, run_ts, work, day_counts)
-        add_pending_days(spark, layout, changed)
-    finally:
-        if not keep_work:
+        batch = ingest.newest(staged.where(F.col("indicator_id").isin([r.indicator_id for r in ok])))
+        batch.write.mode("overwrite").parquet(f"{work}/newest")
+        batch = spark.read.schema(batch.schema).parquet(f"{work}/newest")
+        per_day = tables.with_partition(batch).groupBy("indicator_id", RAW_PARTITION).count().collect()  # <= indicators x days
+        day_counts = {(r.indicator_id, r[RAW_PARTITION]): r["count"] for r in per_day}
+        counts, changed = upsert_raw(spark, layout.raw, batch, run_ts, work, day_counts, before_write)
+    except BaseException:
+        if not (begun or keep_work):
             remove_work(spark, work)
+        raise
+    if begun:
+        remove_work(spark, _unfinished_path(layout))
+    if not keep_work:
+        remove_work(spark, work)
     return RunResult(
         status=1 if len(ok) < len(checks) else 0,
-        checks=[{k: v for k, v in r.asDict().items() if k not in ("day_counts", "failed")} for r in checks],
+        checks=[{k: v for k, v in r.asDict().items() if k != "failed"} for r in checks],
         counts=counts,
-        changed_days=changed,
+        changed_days=sorted({*changed, *finished}),
+        failed=[r.indicator_id for r in checks if r.failed],
     )
 
 
@@ -410,7 +480,3 @@ def checks_report(spark: SparkSession, layout: Layout, as_of: dt.datetime | None
     raw = tables.read_raw(spark, layout.raw)
     stored = {n: spark.read.parquet(layout.mart(n)) for n in MART_NAMES}
     return quality.data_checks(raw, stored), quality.freshness(raw, as_of)
-
-
-def landing_dir_for(root: str, indicator_id: int) -> str:
-    return os.path.join(root, f"indicator_id={indicator_id}")

@@ -23,7 +23,7 @@ from gridmart.schemas import INDICATORS, VALUE_TYPE
 # Fixed run timestamps used by the ingest/upsert fixtures (deterministic audit columns).
 FIRST_LOAD_TS = dt.datetime(2025, 1, 2, 6, 15, 0)
 REVISION_TS = dt.datetime(2025, 1, 3, 6, 15, 0)
-FRESHNESS_AS_OF = dt.datetime(2025, 1, 5, 6, 15, 0)
+FRESHNESS_TIMES = (dt.datetime(2025, 1, 3, 7, 0, 0), dt.datetime(2025, 1, 5, 6, 15, 0), dt.datetime(2025, 1, 10, 6, 15, 0))
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,10 +74,13 @@ def raw_table(events: DataFrame) -> DataFrame:
 #
 # Every observation becomes one payload item. Deterministic variations exercise
 # the normalisation rules: one item in six carries only a naive ``datetime``
-# (empty ``datetime_utc``), one in six an explicit "+00:00" offset, one in nine
-# no geo_id. Three indicators are corrupted so they must be rejected whole:
-# 10004 gets non-numeric values, 2051 unparsable times, 2040 duplicated keys.
+# (empty ``datetime_utc``), one in six an explicit "+00:00" offset, one in six
+# the basic form, one in nine no geo_id. Three indicators are corrupted so they
+# must be rejected whole: 10004 gets values that are no numbers or have seven
+# decimals, 2051 times that are not ISO 8601, 2040 duplicated keys.
 
+BAD_TIMES = ("not-a-date", "12:34", "2024", "T10:00", "2024-01-01T10:00:00 Europe/Madrid", "2024-1-1")
+_ISO_BASIC = "yyyyMMdd'T'HHmmss.SSSSSS'Z'"
 _ISO_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 _ISO_OFFSET = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'"
 _ISO_NAIVE = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -89,11 +92,14 @@ def payload_items(events: DataFrame) -> DataFrame:
     o = observations_with_id(events)
     eid, ind, ts = F.col("event_id"), F.col("indicator_id"), F.col("datetime_utc")
     value = (
-        F.when((ind == 10004) & (eid % 101 == 0), F.lit("n/a")).otherwise(F.col("value").cast("string"))
+        F.when((ind == 10004) & (eid % 101 == 0) & (eid % 3 == 0), F.lit("n/a"))
+        .when((ind == 10004) & (eid % 101 == 0), F.concat(F.col("value").cast("string"), F.lit("1")))  # seven decimals
+        .otherwise(F.col("value").cast("string"))
     )
     dt_utc = (
-        F.when((ind == 2051) & (eid % 103 == 0), F.lit("not-a-date"))
+        F.when((ind == 2051) & (eid % 103 == 0), F.element_at(F.lit(list(BAD_TIMES)), (eid % len(BAD_TIMES)).cast("int") + 1))
         .when(eid % 6 == 0, F.lit(""))
+        .when(eid % 6 == 2, F.date_format(ts, _ISO_BASIC))
         .when(eid % 6 == 1, F.date_format(ts, _ISO_OFFSET))
         .otherwise(F.date_format(ts, _ISO_Z))
     )
@@ -131,6 +137,36 @@ def payload_documents(events: DataFrame) -> DataFrame:
     ).drop("chunk")
 
 
+# --- re-fetch fixture ------------------------------------------------------------
+#
+# Two answers per indicator: the first holds every observation, the second (fetched a
+# day later) a third of them revised, one in eleven to NULL, and new keys. One
+# indicator repeats keys inside its second answer and must be rejected.
+
+
+def refetched_items(events: DataFrame) -> DataFrame:
+    o = observations_with_id(events)
+    eid, ts = F.col("event_id"), F.col("datetime_utc")
+    text = F.col("value").cast("string")
+    revised = F.when(eid % 11 != 0, (F.coalesce("value", F.lit(0).cast(VALUE_TYPE)) + F.lit(1)).cast(VALUE_TYPE).cast("string"))
+
+    def answer(rows, value, at, document, fetched_at):
+        return rows.select(
+            "indicator_id", value.alias("value"), F.lit(None).cast("string").alias("datetime"),
+            F.date_format(at, _ISO_Z).alias("datetime_utc"), "geo_id", F.lit(False).alias("bad_doc"),
+            F.lit(fetched_at).alias("fetched_at"), F.lit(document).alias("document"),
+        )
+
+    later = ("b", "2025-01-03")
+    again = o.where(eid % 3 == 0)
+    return (
+        answer(o, text, ts, "a", "2025-01-02")
+        .unionByName(answer(again, revised, ts, *later))
+        .unionByName(answer(o.where((eid % 3 == 1) & (eid % 5 == 2)), text, ts + F.make_dt_interval(days=F.lit(400)), *later))
+        .unionByName(answer(again.where((F.col("indicator_id") == 2040) & (eid % 29 == 0)), text, ts, *later))
+    )
+
+
 # --- catalogue fixture ---------------------------------------------------------
 
 

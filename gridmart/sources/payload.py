@@ -9,36 +9,52 @@ are read here with an explicit schema — no inference, no driver loop.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from gridmart.schemas import CATALOGUE, PAYLOAD, PAYLOAD_ITEM
 
 
 CORRUPT = "_corrupt_record"
-# Schema of a landed document as read (the indicator id comes from the directory).
+# Schema of a landed document as read
+# (the indicator id, and the day of the fetch where it is part of the path, come from the directory).
 LANDED = T.StructType(
-    PAYLOAD.fields + [T.StructField(CORRUPT, T.StringType()), T.StructField("indicator_id", T.StringType())]
+    PAYLOAD.fields
+    + [
+        T.StructField(CORRUPT, T.StringType()),
+        T.StructField("indicator_id", T.StringType()),
+        T.StructField("fetch_date", T.StringType()),
+    ]
 )
 
 
 def landed_documents(df: DataFrame) -> DataFrame:
-    """Raw read of landed documents -> (indicator_id, indicator, bad_doc)."""
+    """Raw read of landed documents -> (indicator_id, indicator, bad_doc, fetched_at, document).
+
+    ``document`` is the file (one answer per file), ``fetched_at`` the fetch date of its
+    directory and then the time of the file, as text that sorts by time.
+    """
+    at = F.date_format(F.col("_metadata.file_modification_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     return df.select(
         F.col("indicator_id").try_cast("int").alias("indicator_id"),
         "indicator",
         F.col(CORRUPT).isNotNull().alias("bad_doc"),
+        F.concat_ws(" ", F.coalesce("fetch_date", F.lit("")), at).alias("fetched_at"),
+        F.col("_metadata.file_path").alias("document"),
     )
 
 
-def read_payload_files(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Landed payload files under ``path/indicator_id=<id>/`` -> (indicator_id, indicator, bad_doc).
+def read_payload_files(spark: SparkSession, path: str, multiline: bool = True, since: dt.date | None = None) -> DataFrame:
+    """Landed payload files under ``path/indicator_id=<id>/[fetch_date=<day>/]``.
 
     The indicator id comes from partition discovery on the directory name. A
     document that does not parse is kept as a row with ``bad_doc`` set (its
-    indicator must fail), not dropped.
+    indicator must fail), not dropped. ``since`` prunes the directories of
+    earlier fetches (an answer cannot hold what was published after its fetch);
+    files that land without a fetch date are always read.
     """
     df = (
         spark.read.schema(LANDED)
@@ -47,6 +63,8 @@ def read_payload_files(spark: SparkSession, path: str, multiline: bool = True) -
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )
+    if since is not None:
+        df = df.where(F.col("fetch_date").isNull() | (F.col("fetch_date") >= since.isoformat()))
     return landed_documents(df)
 
 
@@ -72,13 +90,15 @@ def explode_payload(df: DataFrame) -> DataFrame:
     bad = F.coalesce(F.col("bad_doc"), F.lit(False)) if "bad_doc" in df.columns else F.lit(False)
     one_empty = F.array(F.lit(None).cast(PAYLOAD_ITEM))
     item = F.explode(F.when(bad, one_empty).otherwise(values)).alias("item")
-    return df.select("indicator_id", item, bad.alias("bad_doc")).select(
+    named = [c for c in ("fetched_at", "document") if c in df.columns]
+    return df.select("indicator_id", item, bad.alias("bad_doc"), *named).select(
         "indicator_id",
         F.col("item.value").alias("value"),
         F.col("item.datetime").alias("datetime"),
         F.col("item.datetime_utc").alias("datetime_utc"),
         F.col("item.geo_id").alias("geo_id"),
         "bad_doc",
+        *named,
     )
 
 

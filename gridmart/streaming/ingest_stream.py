@@ -8,6 +8,11 @@ indicators, upsert into the raw table, refresh the marts of the changed days.
 
 Re-running a micro-batch after a failure is safe: the upsert is idempotent (a
 second application of the same values leaves every row unchanged).
+
+An answer is a file, so the bound on files per micro-batch changes the pace and
+not the result: keys are duplicates within a file and revisions across files.
+Every micro-batch leaves a row in ``_stream_status``; the items of rejected
+indicators are kept in ``_quarantine`` (their files will not be read again).
 Use ``available_now=True`` for the scheduled daily run (process what landed,
 then stop) or a processing-time trigger for a continuous service.
 """
@@ -15,14 +20,19 @@ then stop) or a processing-time trigger for a continuous service.
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import json
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridmart.plans import warehouse
+from gridmart.schemas import INDICATORS
 from gridmart.session import checkpoint_dir, ensure_utc
 from gridmart.sources import payload
 
+
 def read_landing_stream(
     spark: SparkSession, landing_path: str, max_files: int | None = None, multiline: bool = True
 ) -> DataFrame:
@@ -34,15 +44,38 @@ def read_landing_stream(
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", str(max_files))
-    return reader.json(landing_path)
+    return payload.landed_documents(reader.json(landing_path))
+
+
+def checkpoint_of(spark: SparkSession, landing_path: str, root: str) -> str:
+    """The stream's own state: one per landing folder and warehouse root."""
+    name = hashlib.sha256(f"{landing_path.rstrip('/')}|{root.rstrip('/')}".encode()).hexdigest()[:16]
+    return f"{checkpoint_dir(spark)}/gridmart-ingest-stream-{name}"
+
+
+def status_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_stream_status"
+
+
+def quarantine_path(root: str) -> str:
+    return f"{root.rstrip('/')}/_quarantine"
 
 
 def _process(layout: warehouse.Layout, refresh: bool, log: list | None):
     def handle(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        items = payload.explode_payload(payload.landed_documents(batch))
+        items = payload.explode_payload(batch)
         run_ts = dt.datetime.now(dt.timezone.utc)
         result = warehouse.ingest_items(spark, items, layout, run_ts)
+        if result.failed:
+            # The source will not offer these files again: keep the rejected items, as they came.
+            known = [i for i in result.failed if i is not None]
+            other = ~F.coalesce(F.col("indicator_id").isin(list(INDICATORS)), F.lit(False))
+            rejected = items.where(F.col("indicator_id").isin(known) | (other if None in result.failed else F.lit(False)))
+            rejected.write.mode("overwrite").parquet(f"{quarantine_path(layout.root)}/epoch={epoch_id}")
+        status = [(epoch_id, run_ts, result.status, json.dumps(result.checks, default=str))]
+        rows = spark.createDataFrame(status, "epoch long, run_ts timestamp, status int, checks string")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{status_path(layout.root)}/batch={epoch_id}")
         if refresh:
             warehouse.refresh_marts(spark, layout, result.changed_days)
         if log is not None:
@@ -70,7 +103,7 @@ def start(
     """
     ensure_utc(spark)
     layout = warehouse.Layout(root)
-    checkpoint = checkpoint or f"{checkpoint_dir(spark)}/gridmart-ingest-stream"
+    checkpoint = checkpoint or checkpoint_of(spark, landing_path, root)
     writer = (
         read_landing_stream(spark, landing_path, max_files=max_files_per_trigger, multiline=multiline)
         .writeStream.foreachBatch(_process(layout, refresh_marts, log))

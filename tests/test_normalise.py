@@ -1,148 +1,200 @@
-"""Payload normalisation: the five reference unit cases plus malformed-item rules."""
+"""Payload items to observations: the rules as tables of input and expectation."""
 
 import datetime as dt
 from decimal import Decimal
 
-from gridmart.operators import ingest
-from gridmart.schemas import PAYLOAD_ITEM
-
-ITEM_COLS = [f.name for f in PAYLOAD_ITEM.fields]
-
-
-def items(spark, indicator_id, rows):
-    """rows: list of dicts with any of value / datetime / datetime_utc / geo_id."""
-    data = [(indicator_id, *(r.get(c) for c in ITEM_COLS)) for r in rows]
-    schema = "indicator_id int, value string, datetime string, datetime_utc string, geo_id int"
-    return spark.createDataFrame(data, schema)
-
-
-def norm(spark, indicator_id, rows):
-    return ingest.normalise(items(spark, indicator_id, rows)).collect()
-
-
-def test_parses_utc_timestamps(spark):
-    rows = norm(spark, 600, [{"datetime_utc": "2026-01-01T00:00:00Z", "geo_id": 3, "value": "45.2"}])
-    assert len(rows) == 1
-    r = rows[0]
-    assert (r.indicator_id, r.datetime_utc, r.geo_id, r.value) == (600, dt.datetime(2026, 1, 1), 3, Decimal("45.2"))
-    assert not r.bad_time and not r.bad_value
-
-
-def test_defaults_missing_geo_to_zero(spark):
-    rows = norm(spark, 600, [{"datetime_utc": "2026-01-01T00:00:00+00:00", "value": "10.0"}])
-    assert rows[0].geo_id == 0
+import pytest
 
-
-def test_preserves_null_values(spark):
-    rows = norm(spark, 600, [{"datetime_utc": "2026-01-01T00:00:00+00:00", "value": None}])
-    assert rows[0].value is None and not rows[0].bad_value
-
-
-def test_naive_timestamps_are_utc(spark):
-    rows = norm(spark, 600, [{"datetime": "2026-01-01T05:00:00", "value": "1.0"}])
-    assert rows[0].datetime_utc == dt.datetime(2026, 1, 1, 5, 0)
-
-
-def test_empty_payload_gives_no_rows(spark):
-    assert norm(spark, 600, []) == []
-
-
-def test_offsets_are_honoured_and_empty_utc_falls_back(spark):
-    rows = norm(
-        spark,
-        600,
-        [
-            {"datetime_utc": "2026-01-01T01:00:00+01:00", "value": "1"},
-            {"datetime_utc": "", "datetime": "2026-01-01T07:00:00", "value": "2"},
-            {"geo_id": 0, "datetime_utc": "2026-01-01T08:00:00Z", "value": "3"},
-        ],
-    )
-    assert [r.datetime_utc for r in rows] == [
-        dt.datetime(2026, 1, 1, 0, 0),
-        dt.datetime(2026, 1, 1, 7, 0),
-        dt.datetime(2026, 1, 1, 8, 0),
-    ]
-    assert rows[2].geo_id == 0
-
-
-def test_malformed_items_reject_the_whole_indicator(spark):
-    good = items(spark, 600, [{"datetime_utc": "2026-01-01T00:00:00Z", "value": "1"}])
-    bad_value = items(spark, 2038, [{"datetime_utc": "2026-01-01T00:00:00Z", "value": "abc"},
-                                    {"datetime_utc": "2026-01-01T01:00:00Z", "value": "2"}])
-    bad_time = items(spark, 2040, [{"datetime_utc": "yesterday", "value": "1"}])
-    no_time = items(spark, 2041, [{"value": "1"}])
-    overflow = items(spark, 2042, [{"datetime_utc": "2026-01-01T00:00:00Z", "value": "1e15"}])
-    dup = items(spark, 2044, [{"datetime_utc": "2026-01-01T00:00:00Z", "value": "1", "geo_id": 3},
-                              {"datetime_utc": "2026-01-01T00:00:00Z", "value": "2", "geo_id": 3}])
-    allb = good.unionByName(bad_value).unionByName(bad_time).unionByName(no_time)
-    allb = allb.unionByName(overflow).unionByName(dup)
-    normed = ingest.normalise(allb)
-    checks = ingest.indicator_checks(normed)
-    rejected = {r.indicator_id for r in ingest.rejected_indicators(checks).collect()}
-    assert rejected == {2038, 2040, 2041, 2042, 2044}
-    kept = ingest.accepted(normed, ingest.rejected_indicators(checks)).collect()
-    assert [(r.indicator_id, r.value) for r in kept] == [(600, Decimal("1"))]
+from gridmart.operators import ingest
+from gridmart.sources import payload
+
+SCHEMA = "indicator_id int, value string, datetime string, datetime_utc string, geo_id string, fetched_at string, document string"
+
+
+def items(spark, rows):
+    """rows: dicts; ``id`` and ``utc`` stand for indicator_id and datetime_utc."""
+    names = ("value", "datetime", "utc", "geo", "at", "doc")
+    return spark.createDataFrame([(r.get("id", 600), *(r.get(n) for n in names)) for r in rows], SCHEMA)
+
+
+def instant(text):
+    return dt.datetime.fromisoformat(text)
+
+
+TIMES = [
+    # datetime_utc, datetime, expected (None: bad)
+    ("2027-03-04T05:06:07Z", None, "2027-03-04T05:06:07"),
+    ("2027-03-04T05:06:07+02:00", None, "2027-03-04T03:06:07"),
+    ("2027-03-04T05:06:07-0330", None, "2027-03-04T08:36:07"),
+    ("2027-03-04T05:06:07.25", None, "2027-03-04T05:06:07.250000"),
+    ("2027-03-04 05:06", None, "2027-03-04T05:06:00"),
+    ("2027-03-04", None, "2027-03-04T00:00:00"),
+    ("20270304T050607Z", None, "2027-03-04T05:06:07"),
+    ("20270304", None, "2027-03-04T00:00:00"),
+    ("20270304T0506+0100", None, "2027-03-04T04:06:00"),
+    ("", "2027-03-04T09:00:00", "2027-03-04T09:00:00"),
+    (None, "2027-03-04T09:00:00", "2027-03-04T09:00:00"),
+    ("2027-03-04T01:00:00Z", "2027-03-04T09:00:00", "2027-03-04T01:00:00"),
+    ("tomorrow", "2027-03-04T09:00:00", None),
+    ("12:34", None, None),
+    ("T10:00", None, None),
+    ("2027", None, None),
+    ("2027-03", None, None),
+    ("2027-3-4", None, None),
+    ("2027-02-30", None, None),
+    ("2027-03-04T25:00:00", None, None),
+    ("2027-03-04T05:06:07 Europe/Madrid", None, None),
+    ("2027-03-04T05:06:07[UTC]", None, None),
+    (None, None, None),
+    ("", "", None),
+]
+
+VALUES = [
+    # text, expected, bad
+    ("17.125", "17.125", False),
+    ("-3", "-3", False),
+    (" 8 ", "8", False),
+    ("1.1234560000", "1.123456", False),
+    ("2e3", "2000", False),
+    (None, None, False),
+    ("seven", None, True),
+    ("", None, True),
+    ("1e15", None, True),
+    ("1.1234567", "1.123457", True),
+    ("1e-7", "0", True),
+    ("0.0000000000000000000001", "0", True),
+    ("NaN", None, True),
+]
+
+GEOS = [(None, 0, False), ("", 0, False), ("0", 0, False), ("8", 8, False), ("east", 0, True), ("1.5", 0, True)]
+
+
+def test_times(spark):
+    rows = [{"id": i, "utc": utc, "datetime": local, "value": "1"} for i, (utc, local, _) in enumerate(TIMES)]
+    for r in ingest.normalise(items(spark, rows)).collect():
+        want = TIMES[r.indicator_id][2]
+        assert r.datetime_utc == (instant(want) if want else None), TIMES[r.indicator_id]
+        assert r.bad_time == (want is None)
+
+
+def test_values(spark):
+    rows = [{"id": i, "utc": "2027-03-04", "value": v} for i, (v, _, _) in enumerate(VALUES)]
+    for r in ingest.normalise(items(spark, rows)).collect():
+        _, want, bad = VALUES[r.indicator_id]
+        assert r.bad_value == bad, VALUES[r.indicator_id]
+        assert (r.value is None) == (want is None) and (want is None or r.value == Decimal(want)), VALUES[r.indicator_id]
+
+
+def test_geographies(spark):
+    rows = [{"id": i, "utc": "2027-03-04", "geo": g} for i, (g, _, _) in enumerate(GEOS)]
+    got = {r.indicator_id: (r.geo_id, r.bad_geo) for r in ingest.normalise(items(spark, rows)).collect()}
+    assert got == {i: (want, bad) for i, (_, want, bad) in enumerate(GEOS)}
+
+
+def test_no_items(spark):
+    assert ingest.normalise(items(spark, [])).count() == 0
+
+
+DAY = "2027-03-04T00:00:00Z"
+#: Batches by indicator, and the check that must reject them (None: loads).
+BATCHES = {
+    600: ([{"utc": DAY, "value": "1"}], None),
+    2038: ([{"utc": DAY, "value": "n/a"}, {"utc": "2027-03-05", "value": "2"}], "bad_values"),
+    2040: ([{"utc": "later", "value": "1"}], "bad_times"),
+    2041: ([{"value": "1"}], "bad_times"),
+    2042: ([{"utc": DAY, "value": "1", "geo": "north"}], "bad_geos"),
+    2044: ([{"utc": DAY, "value": "1", "geo": "3"}, {"utc": "2027-03-04T01:00:00+01:00", "value": "2", "geo": "3"}], "duplicate_keys"),
+    2051: ([{"utc": DAY, "value": "1", "geo": "3"}, {"utc": DAY, "value": "2", "geo": "8"}], None),
+    77: ([{"utc": DAY, "value": "1"}], "unregistered"),
+}
+
+
+def test_an_indicator_fails_as_a_whole_and_alone(spark):
+    rows = [{**r, "id": i} for i, (batch, _) in BATCHES.items() for r in batch]
+    norm = ingest.normalise(items(spark, rows))
+    checks = ingest.indicator_checks(norm)
+    rejected = {r.indicator_id: r for r in ingest.rejected_indicators(checks).collect()}
+    assert set(rejected) == {i if why != "unregistered" else None for i, (_, why) in BATCHES.items() if why}
+    for i, (batch, why) in BATCHES.items():
+        if why and why != "unregistered":
+            assert rejected[i][why] == 1 and rejected[i].staged_rows == len(batch)
+    kept = ingest.accepted(norm, ingest.rejected_indicators(checks)).collect()
+    assert sorted((r.indicator_id, r.geo_id) for r in kept) == [(600, 0), (2051, 3), (2051, 8)]
     status = {r.indicator_id: r for r in ingest.run_status(spark, checks).collect()}
-    assert status[600].failed is False and status[600].loaded_rows == 1
-    assert status[2038].failed is True and status[2038].loaded_rows == 0 and status[2038].staged_rows == 2
-    assert status[10004].staged_rows == 0 and status[10004].failed is False
-    assert {r.run_status for r in status.values()} == {1}
-
-
-def test_extraction_window_modes():
-    s, e = ingest.extraction_window("2025-01-01", "2025-01-31")
-    assert (s, e) == (dt.datetime(2025, 1, 1), dt.datetime(2025, 2, 1))
-    # only one manual variable -> silently automatic
-    s, e = ingest.extraction_window("2025-01-01", None, today=dt.date(2025, 3, 10))
-    assert (s, e) == (dt.datetime(2025, 3, 8), dt.datetime(2025, 3, 10))
-
-
-def test_window_filter_is_half_open(spark):
-    df = spark.createDataFrame(
-        [(600, dt.datetime(2025, 1, 1, 0, 0), 3, None), (600, dt.datetime(2025, 2, 1, 0, 0), 3, None)],
-        "indicator_id int, datetime_utc timestamp, geo_id int, value decimal(18,6)",
-    )
-    s, e = ingest.extraction_window("2025-01-01", "2025-01-31")
-    assert [r.datetime_utc for r in ingest.window_filter(df, s, e).collect()] == [dt.datetime(2025, 1, 1)]
-
-
-def test_payload_json_round_trip(spark):
-    from gridmart.sources import payload
-
-    docs = spark.createDataFrame(
-        [
-            (600, '{"indicator": {"values": [{"value": 45.2, "datetime_utc": "2026-01-01T00:00:00Z", "geo_id": 3}]}}'),
-            (2038, '{"indicator": {"values": []}}'),
-            (2040, '{"other": 1}'),
-        ],
-        "indicator_id int, payload string",
-    )
-    out = payload.explode_payload(payload.parse_payload(docs)).collect()
-    assert len(out) == 1 and out[0].value == "45.2" and out[0].indicator_id == 600
-
-
-def test_malformed_geo_rejects_indicator_and_empty_geo_is_zero(spark):
-    data = [(600, "1", None, "2026-01-01T00:00:00Z", "three"),
-            (2038, "1", None, "2026-01-01T00:00:00Z", ""), (2038, "1", None, "2026-01-01T01:00:00Z", "0"),
-            (2038, "1", None, "2026-01-01T02:00:00Z", "3")]
-    items = spark.createDataFrame(data, "indicator_id int, value string, datetime string, datetime_utc string, geo_id string")
-    normed = ingest.normalise(items)
-    assert [r.geo_id for r in normed.where("indicator_id = 2038").orderBy("datetime_utc").collect()] == [0, 0, 3]
-    rejected = {r.indicator_id: r.bad_geos for r in ingest.rejected_indicators(ingest.indicator_checks(normed)).collect()}
-    assert rejected == {600: 1}
-
-
-def test_unparseable_document_fails_its_indicator(spark):
-    from gridmart.sources import payload
-
-    docs = spark.createDataFrame(
-        [(600, '{"indicator": {"values": [{"value": 1, "datetime_utc": "2026-01-01T00:00:00Z"'),  # truncated
-         (2038, '{"indicator": {"values": [{"value": 2, "datetime_utc": "2026-01-01T00:00:00Z"}]}}'),
-         (2040, '{"other": 1}'),  # valid object, no values: nothing to load, not an error
-         (2041, '[1, 2]')],  # not an object
-        "indicator_id int, payload string")
-    items = payload.explode_payload(payload.parse_payload(docs))
-    checks = ingest.indicator_checks(ingest.normalise(items))
-    rejected = {r.indicator_id: r.bad_docs for r in ingest.rejected_indicators(checks).collect()}
-    assert rejected == {600: 1, 2041: 1}
-    assert {r.indicator_id for r in checks.collect()} == {600, 2038, 2041}
+    assert len(status) == 8 and {r.run_status for r in status.values()} == {1}
+    for i, r in status.items():
+        batch, why = BATCHES.get(i, ([], None))
+        assert (r.staged_rows, r.failed, r.loaded_rows) == (len(batch), why is not None, 0 if why else len(batch))
+
+
+def test_an_unregistered_id_alone_fails_the_run(spark):
+    checks = ingest.indicator_checks(ingest.normalise(items(spark, [{"id": 77, "utc": DAY, "value": "1"}])))
+    assert {(r.failed, r.run_status) for r in ingest.run_status(spark, checks).collect()} == {(False, 1)}
+    none = ingest.indicator_checks(ingest.normalise(items(spark, [])))
+    assert {(r.failed, r.run_status) for r in ingest.run_status(spark, none).collect()} == {(False, 0)}
+
+
+def test_answers_revise_each_other_and_duplicates_are_judged_within_one(spark):
+    a, b, c = ({"doc": d, "at": t} for d, t in (("a", "2027-03-05"), ("b", "2027-03-06"), ("c", "2027-03-06")))
+    rows = [
+        {"utc": DAY, "value": "1", **a}, {"utc": DAY, "value": "2", **b}, {"utc": "2027-03-05", "value": "3", **b},
+        {"utc": "2027-03-06", "value": "4", **a}, {"utc": "2027-03-06", "value": None, **b},
+        {"utc": "2027-03-07", "value": "5", **c}, {"utc": "2027-03-07", "value": "6", **b},
+        {"id": 2038, "utc": DAY, "value": "1", **a}, {"id": 2038, "utc": DAY, "value": "1", **a},
+    ]
+    norm = ingest.normalise(items(spark, rows))
+    rejected = ingest.rejected_indicators(ingest.indicator_checks(norm))
+    assert [(r.indicator_id, r.duplicate_keys) for r in rejected.collect()] == [(2038, 1)]
+    got = {r.datetime_utc.day: r.value for r in ingest.accepted(norm, rejected).collect()}
+    assert got == {4: Decimal(2), 5: Decimal(3), 6: None, 7: Decimal(5)}
+
+
+def test_checks_read_the_batch_once_and_the_batch_is_not_shuffled_on_ids(spark):
+    norm = ingest.normalise(items(spark, [{"utc": DAY, "value": "1"}]))
+    checks = ingest.indicator_checks(norm)
+    status = ingest.run_status(spark, checks)._jdf.queryExecution().executedPlan().toString()
+    assert status.count("Scan ExistingRDD") == 2  # the batch and the registry
+    load = ingest.accepted(norm, ingest.rejected_indicators(checks))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in load and "SortMergeJoin" not in load
+
+
+@pytest.mark.parametrize(
+    "start,end,today,want",
+    [
+        ("2027-05-01", "2027-05-03", None, ((2027, 5, 1), (2027, 5, 4))),
+        ("2027-05-01", None, (2027, 6, 9), ((2027, 6, 7), (2027, 6, 9))),
+        (None, None, (2027, 3, 1), ((2027, 2, 27), (2027, 3, 1))),
+    ],
+)
+def test_windows(start, end, today, want):
+    got = ingest.extraction_window(start, end, today=dt.date(*today) if today else None)
+    assert got == tuple(dt.datetime(*w) for w in want)
+
+
+def test_the_window_is_half_open(spark):
+    times = ["2027-04-30T23:59:59", "2027-05-01T00:00:00", "2027-05-03T23:59:59", "2027-05-04T00:00:00"]
+    df = spark.createDataFrame([(600, instant(t), 3, None) for t in times], "indicator_id int, datetime_utc timestamp, geo_id int, value decimal(18,6)")
+    got = ingest.window_filter(df, *ingest.extraction_window("2027-05-01", "2027-05-03")).collect()
+    assert sorted(r.datetime_utc for r in got) == [instant(t) for t in times[1:3]]
+
+
+DOCUMENTS = [
+    # JSON text, items, bad document
+    ('{"indicator": {"values": [{"value": 9.75, "datetime_utc": "2027-03-04T00:00:00Z", "geo_id": 8}]}}', 1, 0),
+    ('{"indicator": {"values": []}}', 0, 0),
+    ('{"indicator": {"values": null}}', 0, 0),
+    ('{"indicator": null}', 0, 0),
+    ('{"unrelated": true}', 0, 0),
+    ('{"indicator": {"values": [{"value": 1, "datetime_utc": "2027-03', 1, 1),
+    ("[3, 4]", 1, 1),
+    ("plain", 1, 1),
+]
+
+
+def test_documents(spark):
+    docs = spark.createDataFrame([(i, text) for i, (text, _, _) in enumerate(DOCUMENTS)], "indicator_id int, payload string")
+    found = payload.explode_payload(payload.parse_payload(docs)).collect()
+    for i, (_, n, bad) in enumerate(DOCUMENTS):
+        own = [r for r in found if r.indicator_id == i]
+        assert len(own) == n and sum(r.bad_doc for r in own) == bad, DOCUMENTS[i]
+    assert [(r.value, r.geo_id) for r in found if r.indicator_id == 0] == [("9.75", "8")]

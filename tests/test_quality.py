@@ -27,15 +27,22 @@ def test_freshness_of_empty_table_is_error(spark):
 
 
 def test_unique_counts_duplicated_values_not_rows(spark):
-    df = spark.createDataFrame([(1,), (1,), (1,), (2,), (3,), (3,), (None,), (None,)], "k int")
-    (r,) = quality.unique_failures(df, "m", "k").collect()
-    assert r.failures == 2
+    df = spark.createDataFrame([(1, None), (1, 1), (1, 1), (2, None), (3, 1), (3, 1), (None, 1), (None, 1)], "k int, v int")
+    out = {(r.column_name, r.test_name): r.failures for r in quality.model_checks(df, "m", ["k", "v"], "k").collect()}
+    assert out == {("k", "unique"): 2, ("k", "not_null"): 2, ("v", "not_null"): 2}
 
 
 def test_not_null_counts_in_one_pass(spark):
     df = spark.createDataFrame([(1, None), (None, None), (3, 4)], "a int, b int")
-    out = {r.column_name: r.failures for r in quality.not_null_counts(df, "m", ["a", "b"]).collect()}
+    out = {r.column_name: r.failures for r in quality.model_checks(df, "m", ["a", "b"]).collect()}
     assert out == {"a": 1, "b": 2}
+    plan = quality.model_checks(df, "m", ["a", "b"], "a")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ") == 1
+
+
+def test_empty_tables_have_no_failures(spark):
+    empty = spark.createDataFrame([], "k int")
+    assert [r.failures for r in quality.model_checks(empty, "m", ["k"], "k").collect()] == [0, 0]
 
 
 def test_table_exists(spark, scratch):
