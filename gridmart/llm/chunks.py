@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.common import parts, prepare, stored
 
-CHUNK_BYTES = 6_000_000
+CHUNK_BYTES = 2_500_000
 KEYS_PER_PART = 1_000_000
 CHUNK_SCHEMA = "chunk long, size long, body binary"
 KEY_SCHEMA = "part int, chunk long, keys binary, extra binary"

@@ -19,7 +19,8 @@ WORD_RE = r"[^\x20\x09-\x0D]+"
 #: Rows of text in one Arrow batch: bounds a Python worker's memory when texts are long.
 BATCH_ROWS = 1000
 
-DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: Python workers give freed memory back: large arrays are mapped, not kept in heaps that only grow.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2", "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "1048576"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,9 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Python workers find this package, and read texts in small Arrow batches."""
+    """Python workers find this package, give memory back, and read texts in small Arrow batches."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
+    for name, value in WORKER_MEMORY.items():
+        env.setdefault(name, value)
     known = env.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])

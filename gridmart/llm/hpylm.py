@@ -41,10 +41,10 @@ SWEEPS = 3
 SAMPLES = 2
 STRENGTH = 1.0
 SEED = 97
-CHUNK_BYTES = 8_000_000
-KEYS_PER_PART = 400_000
+CHUNK_BYTES = 3_000_000
+KEYS_PER_PART = 300_000
 #: Words whose key a worker remembers before it starts anew (results do not depend on it).
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 END = b" end "  # no word holds a space
 WORD_SCHEMA = "part int, keys binary, counts binary"
 TOTAL_SCHEMA = "name int, value double"

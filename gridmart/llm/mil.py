@@ -33,7 +33,7 @@ ATTENTION = 8
 EPOCHS = 250
 SEED = 11
 #: Words whose measures a worker remembers before it starts anew (results do not depend on it).
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 
 _STOP = frozenset(w.encode() for w in STOP_WORDS)
 _SYMBOLS = frozenset(b"#*$%&|<>")

@@ -43,7 +43,7 @@ THRESHOLD = 0.8
 ROWS_PER_RANGE = 4000
 MAX_RANGES = 20_000
 #: Words whose hash a worker remembers before it starts anew (results do not depend on it).
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 NO_ID = -(1 << 63)
 NONE = np.uint64(0xFFFFFFFF)
 

@@ -37,7 +37,7 @@ WINDOW = 20
 PERIOD = 13
 COVER = (0, 1, 3, 9)
 #: Words whose hash a worker remembers before it starts anew (results do not depend on it).
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 NO_ID = -(1 << 63)
 _R = 0x9E3779B97F4A7C15
 
