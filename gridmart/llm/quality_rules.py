@@ -131,7 +131,10 @@ def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "t
     """The ``keep`` columns, the measures, ``base_failed``, one boolean per rule (``rule_<name>``) and ``kept``."""
     kept_as = {c: f"_in_{i}" for i, c in enumerate(keep)}
     df = docs.select(*[F.col(c).alias(a) for c, a in kept_as.items()], F.col(text).alias("_text"))
-    df = _measures(df, "_text")
+    # The measures pass through a generator of one row: Catalyst does not push a filter on the verdict below it,
+    # where it would inline the measures into the filter, once for every use.
+    one = F.explode(F.array(F.struct(*MEASURES))).alias("_m")
+    df = _measures(df, "_text").select(*kept_as.values(), one).select(*kept_as.values(), "_m.*")
     m = {name: F.col(name) for name in MEASURES}
     base = (m["n_words"] < 10) | (F.lit(100) * m["n_repeat_words"] > F.lit(20) * m["n_words"])
     checks = {f"rule_{r.name}": r.passes(m) for r in rules}
@@ -152,6 +155,4 @@ def keep_clean(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "te
     names = docs.columns
     inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"), F.col(text).alias("_body"))
     judged = apply_rules(inner, rules, text="_body", keep=("_doc",))
-    # Not a filter: Catalyst would push it below the measures and inline them, once for every use.
-    kept = judged.select(F.explode(F.when(F.col("kept"), F.array("_doc"))).alias("_doc"))
-    return kept.select(*[F.col("_doc").getField(c).alias(c) for c in names])
+    return judged.where("kept").select(*[F.col("_doc").getField(c).alias(c) for c in names])
