@@ -9,15 +9,18 @@ hub's minimum to its neighbours is one that Spark's skew handling may split.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import stored
 
 
-def _state(edges: DataFrame) -> tuple:
+def _kept(edges: DataFrame) -> tuple[DataFrame, tuple]:
+    """The edges, written, with their count and a checksum (observed while writing)."""
+    seen = Observation()
     total = F.sum(F.xxhash64("hi", "lo").cast("decimal(20,0)"))
-    return tuple(edges.agg(F.count("*"), total).first())
+    written = stored(edges.observe(seen, F.count("*").alias("n"), total.alias("sum")), "edges")
+    return written, (seen.get["n"], seen.get["sum"])
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -26,7 +29,7 @@ def _large_star(edges: DataFrame) -> DataFrame:
     )
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
     moved = both.join(least, F.col("u") == F.col("k")).where("v > u")
-    return moved.select(F.col("v").alias("hi"), F.col("m").alias("lo")).distinct()
+    return moved.select(F.col("v").alias("hi"), F.col("m").alias("lo"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -43,11 +46,10 @@ def components(edges: DataFrame) -> DataFrame:
     Nodes without an edge to another node do not appear. Null ends, loops and repeated edges are ignored.
     """
     named = edges.where("a != b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct()
-    now = stored(named, "edges")
-    state = _state(now)
+    now, state = _kept(named)
     while state[0]:
-        now = stored(_small_star(_large_star(now)), "edges")
-        then, state = state, _state(now)
+        then = state
+        now, state = _kept(_small_star(_large_star(now)))
         if then == state:
             break
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(

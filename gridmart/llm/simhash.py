@@ -12,7 +12,7 @@ segment, at most one bit in the first two, and so on. So
 3. within a key, the longer chains are checked in turn, the last of them being the full Hamming check,
    and only a spanning forest of the links is emitted: a search from one member looks at those not yet
    reached, so a dense group costs about its size, and never all its pairs are listed;
-4. the forest's components are the groups.
+4. a task joins the forests of its keys into stars, and the components of all stars are the groups.
 
 No candidate is capped or dropped: the filter is complete, so groups are exact.
 
@@ -70,7 +70,8 @@ def fingerprint_column(text: Column, shingle: int = SHINGLE) -> Column:
         for texts in batches:
             yield pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
-    return run(text.cast("string"))
+    # Declared non-deterministic so that a join's inferred "is not null" does not evaluate it once more.
+    return run.asNondeterministic()(text.cast("string"))
 
 
 @lru_cache(maxsize=8)
@@ -129,7 +130,8 @@ def _chains_hold(diff: np.ndarray, start: int, max_bits: int) -> np.ndarray:
 
 def _forest(fps: np.ndarray, start: int, max_bits: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among the members of one key."""
-    links, rest = [], fps
+    links: list[tuple[int, int]] = []
+    rest = fps
     while len(rest) > 1:
         reached, rest = [rest[0]], rest[1:]
         while reached and len(rest):
@@ -137,16 +139,23 @@ def _forest(fps: np.ndarray, start: int, max_bits: int) -> list[tuple[int, int]]
             near = _chains_hold(rest ^ one, start, max_bits)
             if near.any():
                 found = rest[near]
-                links.extend(zip(repeat(one), found, strict=False))
+                links.extend(zip(repeat(int(one)), found.tolist(), strict=False))
                 reached.extend(found)
                 rest = rest[~near]
     return links
 
 
 def _linked(max_bits: int):
-    """Over rows sorted by key: the forests of all keys. A key may span batches."""
+    """Over rows sorted by key: the forests of all keys of a partition, joined into stars. A key may span batches."""
 
     def run(batches):
+        parent: dict[int, int] = {}  # of the partition's linked fingerprints only
+
+        def find(x: int) -> int:
+            while (up := parent.setdefault(x, x)) != x:
+                parent[x] = x = parent[up]
+            return x
+
         held_keys, held_fps = np.empty(0, np.uint64), np.empty(0, np.uint64)
         for batch in _with_end(batches):
             if batch is None:
@@ -157,14 +166,17 @@ def _linked(max_bits: int):
                 ready = int(np.searchsorted(held_keys, held_keys[-1])) if len(held_keys) else 0
             keys, fps = held_keys[:ready], held_fps[:ready]
             held_keys, held_fps = held_keys[ready:], held_fps[ready:]
-            links: list[tuple[int, int]] = []
             if len(keys):
                 first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
                 size = np.diff(np.concatenate([first, [len(keys)]]))
                 for at, n in zip(first[size > 1].tolist(), size[size > 1].tolist(), strict=True):
-                    links += _forest(fps[at : at + n], int(keys[at] >> np.uint64(58)), max_bits)
-            a, b = (np.array(links, dtype=np.uint64).reshape(-1, 2).T) if links else (np.empty(0, np.uint64),) * 2
-            yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
+                    for a, b in _forest(fps[at : at + n], int(keys[at] >> np.uint64(58)), max_bits):
+                        a, b = sorted((find(a), find(b)))
+                        parent[b] = a
+        stars = np.array([(x, find(x)) for x in list(parent) if find(x) != x], dtype=np.uint64).reshape(-1, 2)
+        for start in range(0, len(stars), 10_000):
+            a, b = (pa.array(np.ascontiguousarray(x).view(np.int64)) for x in stars[start : start + 10_000].T)
+            yield pa.RecordBatch.from_arrays([a, b], names=["a", "b"])
 
     return run
 
@@ -175,7 +187,7 @@ def _with_end(batches):
 
 
 def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """From distinct fingerprints (fp): a spanning forest (a, b) of all pairs within ``max_bits``."""
+    """From distinct fingerprints (fp): edges (a, b) that connect whatever pairs within ``max_bits`` connect."""
     if max_bits < 1:
         return fps.select(F.col("fp").alias("a"), F.col("fp").alias("b")).where(F.lit(False))
     listed = fps.select("fp").mapInArrow(_listed(max_bits), "key long, fp long")

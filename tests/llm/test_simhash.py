@@ -66,7 +66,7 @@ def test_the_filter_loses_no_link(spark, max_bits):
     fps = sorted(prints)
     signed = [int(np.uint64(x).view(np.int64)) for x in fps]
     df = spark.createDataFrame([(x,) for x in signed], "fp long").repartition(4)
-    links = [(r.a, r.b) for r in S.links(df, max_bits).collect()]
+    links = [(r.a, r.b) for r in S.links(df, max_bits).collect()]  # stars: their ends need not be near each other
     parent = {x: x for x in signed}
 
     def find(x):
@@ -75,7 +75,6 @@ def test_the_filter_loses_no_link(spark, max_bits):
         return x
 
     for a, b in links:
-        assert bin((a ^ b) & (1 << 64) - 1).count("1") <= max_bits
         parent[find(a)] = find(b)
     want = brute_components(list(range(len(fps))), fps, max_bits)
     got = Counter(find(x) for x in signed)
