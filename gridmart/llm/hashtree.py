@@ -102,10 +102,15 @@ def place(df: DataFrame, key: Column, leaves: tuple[Leaf, ...], name: str) -> Da
     )
 
 
-def number_slots(df: DataFrame, group: str, order: list[str], rows: int, groups: int, rows_per_bucket: int = 2000) -> DataFrame:
-    """Adds ``slot``: gapless numbers from 0 within each ``group``, without gathering a group in one task."""
-    buckets = parts(rows, rows_per_bucket * max(1, groups))
-    df = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
+def number_slots(df: DataFrame, group: str, order: list[str], totals: dict[int, int], rows_per_bucket: int = 2000) -> DataFrame:
+    """Adds ``slot``: gapless numbers from 0 within each ``group`` (small non-negative integers).
+
+    ``totals`` has the rows of every group: a group is cut into hash buckets of about ``rows_per_bucket``
+    rows, so one that holds a third of all rows is numbered by as many tasks as its size asks for.
+    """
+    buckets = ",".join(str(parts(totals.get(k, 0), rows_per_bucket)) for k in range(max(totals, default=0) + 1))
+    own_buckets = F.get(F.split(F.lit(buckets), ",").cast("array<int>"), F.col(group).cast("int"))
+    df = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), own_buckets).cast("int"))
     sizes = df.groupBy(group, "_bucket").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -129,4 +134,5 @@ def shard(docs: DataFrame, leaves: tuple[Leaf, ...], grown: tuple[Leaf, ...], ke
     )
     slim = place(slim, F.col(key), leaves, "shard")
     slim = stored(place(slim, F.col(key), grown, "grown_shard"), "shards")
-    return number_slots(slim, "shard", [key, "text_crc32", "size"], slim.count(), len(leaves))
+    totals = {r["shard"]: r["count"] for r in slim.groupBy("shard").count().collect()}
+    return number_slots(slim, "shard", [key, "text_crc32", "size"], totals)

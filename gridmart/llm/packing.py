@@ -40,7 +40,7 @@ CAPACITY = 4096
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
 #: Words in one generation of a worker's memory (two are kept; results do not depend on it).
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -216,7 +216,7 @@ def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = runs(pack_histogram(histogram, capacity), capacity)
     order = ["doc_id", "start", "ids_crc32", "doc_tokens"]
-    ranked = number_slots(pieces, "length", order, sum(histogram.values()), len(histogram))
+    ranked = number_slots(pieces, "length", order, histogram)
     ids = ["ids"] if keep_ids else []
     ranked = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", *ids, "slot")
     schema = PIECE_SCHEMA + (", ids binary" if keep_ids else "") + ", sequence_id long, offset long"
