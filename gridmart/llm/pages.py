@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.common import parts, prepare
 
-ROWS_PER_RANGE = 1000
+ROWS_PER_RANGE = 3000
 NO_ID = -(1 << 63)
 MAIN, OTHER = 1, 0
 #: Bits of the alignment table that are kept at once; longer pairs are halved (Hirschberg).
