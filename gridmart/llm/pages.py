@@ -2,13 +2,16 @@
 
 A page is cut into lines (the text of its blocks, white space collapsed, references decoded). Pages of a
 host are ordered by URL path, and each is paired with the neighbour whose path has more in common with
-its own. The lines of both are aligned by their longest common subsequence, and the shared lines are
-deleted: what two neighbouring pages have in common is the template.
+its own. The lines of both are aligned by their longest common subsequence, and of the shared lines those
+are deleted that their place does not speak for: what two neighbouring pages have in common is the template.
 
 Differencing alone cannot give right results: a menu that differs from page to page stays,
 and a sentence of the article that the neighbour also has goes. So lines are also told apart by markup:
 
-* ``main``: inside ``<article>``, ``<main>`` or their ARIA / microdata equivalents: kept, shared or not;
+* ``main``: inside ``<article>``, ``<main>`` or their ARIA / microdata equivalents: kept, shared or not,
+  for sentences of articles recur on neighbouring pages, also as their first or last line;
+* ``links``: in such an element too, but a line of nothing but links: deleted where it is shared with the
+  neighbour (a menu), unless that leaves nothing;
 * ``boiler``: inside menus, headers, footers, sidebars, forms, notices, adverts, comments: dropped;
 * ``other``: everything else. It is dropped where the page has main lines; on a page without any, it is
   the text, after the lines shared with the neighbour were deleted (unless that leaves nothing, as with
@@ -41,7 +44,7 @@ from gridmart.llm.common import parts, prepare
 
 ROWS_PER_RANGE = 3000
 NO_ID = -(1 << 63)
-MAIN, OTHER = 1, 0
+LINKS, MAIN, OTHER = 2, 1, 0
 #: Bits of the alignment table that are kept at once; longer pairs are halved (Hirschberg).
 TABLE_BITS = 1 << 28
 
@@ -51,6 +54,7 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
 _SPACE = re.compile(r"\s+")
+_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 
 RAW = frozenset("script style noscript template svg math iframe object textarea title select option button canvas audio video".split())
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog head fieldset".split())
@@ -92,19 +96,24 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
     held: list[str] = []
     open_main: list[list] = []  # [tag, depth of that tag]
     skip: list | None = None  # [tag, depth of that tag]
+    link = linked = plain = False  # in a link; the line has text in links, and text outside
 
     def flush() -> None:
+        nonlocal link, linked, plain
         text = _SPACE.sub(" ", html_lib.unescape("".join(held))).strip()
         held.clear()
         if text:
             lines.append(text)
-            zones.append(MAIN if open_main else OTHER)
+            zones.append((LINKS if linked and not plain else MAIN) if open_main else OTHER)
+        link = linked = plain = False
 
     page, at = page or "", 0
     while True:
         token = _TOKEN.search(page, at)
         if skip is None:
             held.append(page[at : token.start() if token else len(page)])
+            if not plain and re.search(r"\w", html_lib.unescape(held[-1])):
+                linked, plain = linked or link, not link
         if token is None:
             break
         at = token.end()
@@ -124,6 +133,8 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
             continue
         if tag not in INLINE and skip is None:
             flush()
+        if tag == "a":
+            link = not closing and skip is None and bool(_HREF.search(attributes))
         if empty:
             continue
         if skip is not None:
@@ -268,8 +279,8 @@ def _ranges(pages: DataFrame) -> list[tuple[tuple, tuple]]:
 def _parse(ranges: list[tuple[tuple, tuple]]):
     firsts = [first for first, _ in ranges]
     lasts = [last for _, last in ranges]
-    names = ["part", "host", "path", "url_key", "id", "guest", "page_id", "url", "text", "lines", "hashes"]
-    types = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.string()]
+    names = ["part", "host", "path", "url_key", "id", "guest", "page_id", "url", "zones", "lines", "hashes"]
+    types = [pa.int32(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.bool_(), pa.int64(), pa.string(), pa.binary()]
     types += [pa.list_(pa.string()), pa.list_(pa.int64())]
 
     def run(batches):
@@ -280,10 +291,10 @@ def _parse(ranges: list[tuple[tuple, tuple]]):
             for page_id, url, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
                 key = url_key(url, page_id)
                 lines, zones = page_lines(page.as_py())
-                main = " ".join(x for x, z in zip(lines, zones, strict=True) if z == MAIN)
+                main = [x for x, z in zip(lines, zones, strict=True) if z != OTHER]
                 hashes = [xxhash.xxh64_intdigest(x.encode("utf-8", "replace")) - (1 << 63) for x in lines]
                 part = max(0, bisect.bisect_right(firsts, key) - 1)
-                out.append((part, *key, False, page_id, url, main or None, None if main else lines, hashes))
+                out.append((part, *key, False, page_id, url, bytes(zones), main or lines, hashes))
                 if key == firsts[part] and part:
                     out.append((part - 1, *key, True, page_id, url, None, None, hashes))
                 if key == lasts[part] and part + 1 < len(firsts):
@@ -295,13 +306,13 @@ def _parse(ranges: list[tuple[tuple, tuple]]):
 
 
 def _text(before: tuple | None, own: tuple, after: tuple | None) -> str:
-    """The text of ``own``; rows are (part, key, guest, page_id, url, text, lines, hashes)."""
+    """The text of ``own``; rows are (part, key, guest, page_id, url, zones, lines, hashes),
+    where the lines are those of the main zones, or all on a page without any."""
     side = nearer(before and before[1], own[1], after and after[1])
     pair = {-1: before, 1: after}.get(side)
-    if own[5] is not None:
-        return own[5]
     shared = set(shared_lines(own[7], pair[7])) if pair else set()
-    kept = [x for i, x in enumerate(own[6]) if i not in shared]
+    main = [i for i, zone in enumerate(own[5]) if zone != OTHER]
+    kept = [x for i, x in zip(main or range(len(own[6])), own[6], strict=True) if i not in shared or own[5][i] == MAIN]
     return " ".join(kept or own[6])
 
 
@@ -324,7 +335,7 @@ def _difference(batches):
         else:
             for r in batch.to_pylist():
                 key = (r["host"], r["path"], r["url_key"], r["id"])
-                row = (r["part"], key, r["guest"], r["page_id"], r["url"], r["text"], r["lines"], r["hashes"])
+                row = (r["part"], key, r["guest"], r["page_id"], r["url"], r["zones"], r["lines"], r["hashes"])
                 out += done(row)
                 window = [*window[-1:], row]
         columns = list(zip(*out, strict=True)) or [[]] * 4
@@ -345,7 +356,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     ranges = _ranges(pages)
     slim = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     schema = (
-        "part int, host string, path string, url_key string, id long, guest boolean, page_id long, url string, text string, "
+        "part int, host string, path string, url_key string, id long, guest boolean, page_id long, url string, zones binary, "
         "lines array<string>, hashes array<long>"
     )
     parsed = slim.mapInArrow(_parse(ranges), schema)

@@ -129,3 +129,22 @@ def test_a_very_long_page():
     lines, zones = P.page_lines("<article>" + "<p>line of text</p>" * 20000 + "</article>")
     assert len(lines) == 20000 and set(zones) == {P.MAIN}
     assert len(P.shared_lines(list(range(20000)), list(range(10, 20010)))) == 19990
+
+
+def test_menus_inside_main_go_and_recurring_sentences_stay(make_pages, monkeypatch):
+    menu = "<ul><li><a href='/a'>Start</a> | <a href='/b'>News</a></li><li><a href='/c'>Shop</a></li></ul>"
+    page = lambda i: f"<main>{menu}<p>As ever.</p><p>story {i}, <a href='/x'>more</a></p><p><a href='/{i}'>link {i}</a></p><p>The end.</p></main>"
+    rows = [(i, f"http://h.example/{i:03d}", page(i)) for i in range(30)]
+    rows += [(100 + i, f"http://menu.example/{i}", f"<main>{menu}</main>") for i in range(2)]
+    for size in (4, 1000):
+        monkeypatch.setattr(P, "ROWS_PER_RANGE", size)
+        got = {r.page_id: r.text for r in P.main_text(make_pages(rows)).collect()}
+        assert all(got[i] == f"As ever. story {i}, more link {i} The end." for i in range(30))
+        assert got[100] == got[101] == "Start | News Shop"
+
+
+def test_every_page_is_aligned_with_its_neighbour(monkeypatch):
+    calls = []
+    monkeypatch.setattr(P, "shared_lines", lambda a, b: calls.append((a, b)) or [])
+    row = lambda i, zone: (0, ("h", f"/{i}", "", i), False, i, "", bytes([zone]), ["x"], [7])
+    assert P._text(row(1, P.MAIN), row(2, P.MAIN), None) == "x" and calls == [([7], [7])]
