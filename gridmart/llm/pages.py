@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import bisect
 import html as html_lib
+import itertools
 import re
 from collections.abc import Iterator
 
@@ -52,35 +53,54 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)",
     re.S,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden)\b(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""", re.I)
+#: One attribute: its whole name, and its value if it has one.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
 _SPACE = re.compile(r"\s+")
-_HREF = re.compile(r"(?:^|\s)href\s*=", re.I)
 
-RAW = frozenset("script style noscript template svg math iframe object textarea title select option button canvas audio video".split())
+RAW = frozenset("script style noscript template svg annotation annotation-xml iframe object textarea title select option button canvas audio video".split())
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog head fieldset".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small span strike strong sub sup "
-    "time tt u var wbr".split()
+    "time tt u var wbr math semantics mi mn mo mrow ms mtext msup msub msubsup mfrac msqrt mroot mover munder munderover mtable mtr mtd mstyle "
+    "mpadded mphantom mspace menclose merror mmultiscripts mprescripts".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements that the next block ends when their end tag is missing.
+#: Elements that the next block ends when their end tag is missing (a paragraph in any case).
 LOOSE = frozenset("p li dt dd".split())
 MAIN_TAGS = frozenset(("article", "main"))
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
-#: Words of a class or id (cut at anything but letters) that mark boilerplate.
+#: Words that mark boilerplate: a class or an id made of one or more of them, and of words for places only.
 BOILER_WORDS = frozenset(
     "nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar footer header masthead banner cookie cookies consent gdpr notice ad ads "
     "advert adverts advertisement adsense sponsor sponsored promo promotion social share sharing related recommended newsletter subscribe signup "
     "login popup modal overlay widget toolbar pagination pager comment comments commentlist disqus reply replies".split()
 )
 
+PLACE_WORDS = frozenset(
+    "area bar bottom box block button buttons container content desktop global group inner item items left link links list main mobile outer page panel post "
+    "posts primary row secondary section site slot text title top right unit wrap wrapper".split()
+)
+
+
+def _attributes(text: str) -> dict[str, str]:
+    """Names and values of a tag's attributes, in lower case; the first of a name counts."""
+    found: dict[str, str] = {}
+    for name, value in _ATTRIBUTE.findall(text):
+        found.setdefault(name.lower(), value.strip("\"'").strip().lower())
+    return found
+
+
+def _boiler(name: str) -> bool:
+    words = set(re.split(r"[-_\d]+", name)) - {""}
+    return bool(words & BOILER_WORDS) and words <= BOILER_WORDS | PLACE_WORDS
+
 
 def _kind(tag: str, attributes: str) -> int | None:
     """MAIN, -1 for boilerplate, or None for neither."""
-    found = {k.lower(): (v or "").strip("\"'").lower() for k, v in _ATTRIBUTE.findall(attributes)} if attributes.strip() else {}
-    names = set(re.split(r"[^a-z]+", f"{found.get('class', '')} {found.get('id', '')}")) if found else set()
+    found = _attributes(attributes)
     role = found.get("role", "")
-    if tag in BOILER_TAGS or role in BOILER_ROLES or (tag not in ("html", "body", "main") and names & BOILER_WORDS):
+    names = f"{found.get('class', '')} {found.get('id', '')}".split() if tag not in ("html", "body", "main") else []
+    if tag in BOILER_TAGS or role in BOILER_ROLES or any(map(_boiler, names)):
         return -1
     if "hidden" in found or found.get("aria-hidden") == "true":
         return -1
@@ -89,13 +109,55 @@ def _kind(tag: str, attributes: str) -> int | None:
     return None
 
 
+def _tags(page: str) -> Iterator[tuple[int, int, bool, str | None, str, bool, bool]]:
+    """(start, end, closing, name, attributes, empty, raw) of each tag; a raw element with its content is one, a comment has no name."""
+    at = 0
+    while token := _TOKEN.search(page, at):
+        at = token.end()
+        closing, tag, attributes = (token[1], token[2], token[3]) if token[2] else (token[4], token[5], token[6])
+        tag = tag and tag.lower()
+        empty = tag is not None and (tag in VOID or attributes.rstrip().endswith("/") and tag not in RAW)
+        raw = not closing and tag in RAW and not empty
+        if raw:
+            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            elif tag in ("script", "style", "textarea", "title"):
+                at = len(page)
+        yield token.start(), at, bool(closing), tag, attributes, empty, raw
+
+
+class _Ends:
+    """Tells whether an element's end tag is missing; looks through the page once, when first asked."""
+
+    def __init__(self, page: str):
+        self.page, self.tags = page, None
+
+    def missing(self, tag: str, at: int, around: int) -> bool:
+        """Of the element whose start tag ends at ``at``, inside ``around`` open ones of its name."""
+        if self.tags is None:
+            self.tags = {}
+            for _, end, closing, name, _, empty, raw in _tags(self.page):
+                if name is not None and not empty and not raw:
+                    places, depths = self.tags.setdefault(name, ([], []))
+                    places.append(end)
+                    depths.append((depths[-1] if depths else 0) + (-1 if closing else 1))
+            for _, depths in self.tags.values():
+                least = list(itertools.accumulate(reversed(depths), min))
+                depths[:] = zip(depths, reversed(least), strict=True)
+        places, depths = self.tags[tag]
+        here, least = depths[bisect.bisect_left(places, at)]
+        return least > here - 1 - around
+
+
 def page_lines(page: str | None) -> tuple[list[str], list[int]]:
     """The lines of a page outside boilerplate, in page order, and the zone of each."""
     lines: list[str] = []
     zones: list[int] = []
     held: list[str] = []
     open_main: list[list] = []  # [tag, depth of that tag]
-    skip: list | None = None  # [tag, depth of that tag]
+    skip: list | None = None  # [tag, depth of that tag, end of its start tag]
+    around: dict[str, int] = {}  # open elements of a name, outside what is skipped
     link = linked = plain = False  # in a link; the line has text in links, and text outside
 
     def flush() -> None:
@@ -107,34 +169,28 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
             zones.append((LINKS if linked and not plain else MAIN) if open_main else OTHER)
         link = linked = plain = False
 
+    def hold(text: str) -> None:
+        nonlocal linked, plain
+        held.append(text)
+        if not plain and re.search(r"\w", html_lib.unescape(text)):
+            linked, plain = linked or link, not link
+
     page, at = page or "", 0
-    while True:
-        token = _TOKEN.search(page, at)
+    ends = _Ends(page)
+    for start, end, closing, tag, attributes, empty, raw in _tags(page):
         if skip is None:
-            held.append(page[at : token.start() if token else len(page)])
-            if not plain and re.search(r"\w", html_lib.unescape(held[-1])):
-                linked, plain = linked or link, not link
-        if token is None:
-            break
-        at = token.end()
-        closing, tag, attributes = (token[1], token[2], token[3]) if token[2] else (token[4], token[5], token[6])
+            hold(page[at:start])
+        at = end
         if tag is None:
             continue
-        tag = tag.lower()
-        empty = tag in VOID or attributes.rstrip().endswith("/") and tag not in RAW
-        if not closing and tag in RAW and not empty:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            if end:
-                at = end.end()
-            elif tag in ("script", "style", "textarea", "title"):
-                at = len(page)
+        if raw:
             if skip is None and tag not in INLINE:
                 held.append(" ")
             continue
         if tag not in INLINE and skip is None:
             flush()
         if tag == "a":
-            link = not closing and skip is None and bool(_HREF.search(attributes))
+            link = not closing and skip is None and "href" in _attributes(attributes)
         if empty:
             continue
         if skip is not None:
@@ -145,11 +201,13 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
                         skip = None
                 continue
             loose = skip[0] in LOOSE and tag not in INLINE
-            if not (loose or (tag in MAIN_TAGS and _kind(tag, attributes) == MAIN and not open_main)):
+            again = tag in MAIN_TAGS and not open_main and _kind(tag, attributes) == MAIN
+            if not (loose and skip[0] == "p" or (loose or again) and ends.missing(skip[0], skip[2], around.get(skip[0], 0))):
                 skip[1] += tag == skip[0]
                 continue
             skip = None  # the element was never closed
         if closing:
+            around[tag] = max(0, around.get(tag, 0) - 1)
             for k in range(len(open_main) - 1, -1, -1):
                 if open_main[k][0] == tag:
                     open_main[k][1] -= 1
@@ -160,12 +218,15 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
         kind = _kind(tag, attributes)
         if kind == -1:
             flush()
-            skip = [tag, 1]
-        elif kind == MAIN:
+            skip = [tag, 1, at]
+            continue
+        around[tag] = around.get(tag, 0) + 1
+        if kind == MAIN:
             open_main.append([tag, 1])
         elif open_main and open_main[-1][0] == tag:
             open_main[-1][1] += 1
     if skip is None:
+        hold(page[at:])
         flush()
     return lines, zones
 

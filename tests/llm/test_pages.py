@@ -148,3 +148,30 @@ def test_every_page_is_aligned_with_its_neighbour(monkeypatch):
     monkeypatch.setattr(P, "shared_lines", lambda a, b: calls.append((a, b)) or [])
     row = lambda i, zone: (0, ("h", f"/{i}", "", i), False, i, "", bytes([zone]), ["x"], [7])
     assert P._text(row(1, P.MAIN), row(2, P.MAIN), None) == "x" and calls == [([7], [7])]
+
+
+ORDINARY = [
+    ("<article><p style='overflow:hidden'>a</p><p title='hidden gems'>b</p><a data-id='header' href=x>c</a></article>", "a b c"),
+    ("<article><p class='col ad-free'>a</p><p data-hidden=1 title='class=ad'>b</p><p data-x='1' hidden>c</p><p HIDDEN=''>d</p></article>", "a b"),
+    ("<article>t<div class='x cookie-notice'>c</div><div id=ad_slot-2>s</div><p class=ad class=x>q</p><p class=x class=ad>r</p></article>", "t r"),
+    ("<article>area <math><msup><mi>r</mi><mn>2</mn></msup><mo>=</mo><mn>4</mn><annotation>r^2</annotation></math> holds</article>", "area r2=4 holds"),
+    ("<aside><article>card</article></aside><article>text</article><aside><article>card</article></aside>", "text"),
+    ("<div><div class=related><article>card</article></div><article>text</article></div>", "text"),
+    ("<aside>teaser<article>text</article>", "text"),
+    ("<div><div class=ad>buy<article>text</article></div>", "text"),
+    ("<aside><!-- </aside> --><article>card</article><script>'</aside>'</script><article>card</article></aside><article>text</article>", "text"),
+    ("<article><ul><li class=ad><div>buy</div>now</li><li>text</li></ul></article>", "text"),
+    ("<article><ul><li class=ad>buy<li>text</ul></article>", "text"),
+]
+
+
+@pytest.mark.parametrize(("page", "text"), ORDINARY)
+def test_ordinary_html(page, text):
+    lines, zones = P.page_lines(page)
+    assert " ".join(x for x, z in zip(lines, zones, strict=True) if z != P.OTHER) == text
+
+
+def test_many_open_boilerplate_elements_take_linear_time():
+    n = 20000
+    lines, _ = P.page_lines("<article><ul>" + "<li class=ad><div>buy</div></li><li>text</li>" * n + "</ul></article>")
+    assert lines == ["text"] * n
