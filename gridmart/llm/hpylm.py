@@ -1,10 +1,8 @@
 """Language-model scores: a hierarchical Pitman-Yor model over words.
 
-Tokens are lower-cased (A-Z) words and one end per text. A token's context is the last word of at most
-three bytes before it in its text (such words are frequent and tell languages apart), hashed to one of
-``CONTEXTS`` classes, with a class of its own for none. Each class is a restaurant; all share the
-unigram restaurant as their parent, whose base gives one half to the unknown word and the other half
-evenly to the V training words:
+Tokens are lower-cased (A-Z) words and one end per text. A token's context is the word before it, or the
+start of the text. Each context is a restaurant; all share the unigram restaurant as their parent, whose
+base gives one half to the unknown word and the other half evenly to the V training words:
 
     P1(w)     = (c_w  - d1 t_w  + (h1 + d1 T1) G0(w)) / (h1 + C1)
     P(w | u)  = (c_uw - d2 t_uw + (h2 + d2 T_u) P1(w)) / (h2 + C_u)
@@ -15,10 +13,16 @@ by the Chinese-restaurant rule, given the totals after the sweep before, then th
 customer block of an eighth of those seated is seated against the same counts.) Probabilities are
 averaged over the last ``SAMPLES`` sweeps; discounts are estimated from counts of counts.
 
-Distribution: chunks of coded texts exchange distinct words (``chunks.py``): a part of the key space sees
-a word once per chunk, sums its training counts, holds its seating, and answers each chunk with the counts
-of that chunk's own (context, word) pairs. The word table grows with the corpus and stays distributed;
-the driver sees only totals per context class. Sampling is seeded by part and sweep, so retries agree.
+Distribution: chunks of coded texts (``chunks.py``) send their distinct training pairs (context, word) to
+the part of the pair's hash, which sums the counts and holds the seating: a frequent word's pairs lie in
+all parts. Sums over pairs, by context and by word, are kept by the parts of the key space: a pair part
+sends each of its keys once per sweep, and gets back the context's tables and the word's customers and
+tables. At the end both kinds of parts answer each chunk for its own pairs and words. Restaurants grow with
+the corpus and stay distributed; the driver sees only totals. Sampling is seeded by part and sweep, so
+retries agree. 64-bit hashes stand for words and pairs.
+
+With a number of ``contexts`` the context is instead one of so many classes of the last word of at most three
+bytes, whose totals the driver holds (a smaller model, for comparison).
 
 Defined cases: a null or empty text is the end token alone; a null doc_id counts as ''; without training
 texts every token is unknown with probability 1; repeated rows are scored alike; an empty table gives an
@@ -35,7 +39,6 @@ from pyspark.sql import functions as F
 from gridmart.llm import chunks as C
 from gridmart.llm.common import stored
 
-CONTEXTS = 256
 SHORT = 3
 SWEEPS = 3
 SAMPLES = 2
@@ -43,9 +46,10 @@ STRENGTH = 1.0
 SEED = 97
 CHUNK_BYTES = 3_000_000
 KEYS_PER_PART = 300_000
+PAIRS_PER_KEY = 3
 #: Words whose key a worker remembers before it starts anew (results do not depend on it).
 CACHE_WORDS = 200_000
-END = b" end "  # no word holds a space
+END, START = b" end ", b" start "  # no word holds a space
 WORD_SCHEMA = "part int, keys binary, counts binary"
 TOTAL_SCHEMA = "name int, value double"
 #: Names of totals beside the context classes (from 0 on).
@@ -253,7 +257,7 @@ def _discount(ones: float, twos: float) -> float:
     return min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
 
 
-def fit(words: DataFrame, contexts: int = CONTEXTS, sweeps: int = SWEEPS) -> Model:
+def fit(words: DataFrame, contexts: int, sweeps: int = SWEEPS) -> Model:
     """Totals of the seating at the start and after every sweep; the seating itself stays in the word table."""
     model = Model(contexts)
     for sweep in range(sweeps + 1):
@@ -348,13 +352,260 @@ def held_out(doc_id: Column, folds: int = 7, rest: int = 2) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds == rest
 
 
-def score(docs: DataFrame, contexts: int = CONTEXTS, sweeps: int = SWEEPS, samples: int = SAMPLES) -> DataFrame:
+# ---- the word before as the context --------------------------------------------------------------
+
+ENTRY_SCHEMA = "chunk long, keys binary, extra binary, ones long, twos long"
+SUM_SCHEMA = "part int, chunk long, keys binary, extra binary, tables long, roots long, words long, tokens long, ones long, twos long"
+TABLE = -(1 << 20)  # chunk numbers from here on, plus the sweep, are those of a part's own tables
+
+
+def pair_hash(context: np.ndarray, word: np.ndarray) -> np.ndarray:
+    x = context * np.uint64(0x9E3779B97F4A7C15) + word
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+class Bigrams:
+    """A chunk's distinct keys and (context, word) pairs, in the order of the pairs' hashes."""
+
+    def __init__(self, body: bytes):
+        *numbers, keys = _part(body)
+        self.ids, self.known, self.held, self.sizes, codes = map(C.read_small, numbers)
+        words, start = C.read_keys(keys), np.array([_keys[START]], dtype=np.uint64)
+        self.keys = np.union1d(words, start)
+        self.tokens = np.searchsorted(self.keys, words)[codes]
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        before = np.concatenate([[0], self.tokens[:-1]])
+        before[self.begins] = np.searchsorted(self.keys, start)[0]
+        self.pairs, first, self.place = np.unique(pair_hash(self.keys[before], self.keys[self.tokens]), return_index=True, return_inverse=True)
+        self.context, self.word = before[first], self.tokens[first]
+        self.count = np.bincount(self.place[np.repeat(self.held == 0, self.sizes)], minlength=len(self.pairs))
+
+
+def _key_batch(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [[]] * 4
+    types = [pa.int32(), pa.int64(), pa.binary(), pa.binary()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["part", "chunk", "keys", "extra"])
+
+
+def _training_pairs(parts: int):
+    def run(batches):
+        for batch in batches:
+            for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
+                own = Bigrams(body.as_py())
+                seen = own.count > 0
+                context, word, count, rows = own.context[seen], own.word[seen], own.count[seen], []
+                for part, a, b in C.split_keys(own.pairs[seen], parts):
+                    used, at = np.unique(np.concatenate([context[a:b], word[a:b]]), return_inverse=True)
+                    rows.append((part, chunk, C.key_bytes(own.keys[used]), _join(*map(C.small_bytes, (at[: b - a], at[b - a :], count[a:b])))))
+                yield _key_batch(rows)
+
+    return run
+
+
+def _entries(batches):
+    """The distinct pairs of a part: keys, then context, word (places in the keys) and count of every pair."""
+    for rows in C.runs_of(batches, "part"):
+        found = []
+        for r in rows:
+            keys, (context, word, count) = C.read_keys(r["keys"]), map(C.read_small, _part(r["extra"]))
+            found.append((keys[context], keys[word], count))
+        context, word, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+        _, first, place = np.unique(pair_hash(context, word), return_index=True, return_inverse=True)
+        count = np.bincount(place, weights=counts, minlength=len(first)).astype(np.int64)
+        keys, at = np.unique(np.concatenate([context[first], word[first]]), return_inverse=True)
+        body = _join(*map(C.small_bytes, (at[: len(first)], at[len(first) :], count)))
+        columns = [[rows[0]["part"]], [C.key_bytes(keys)], [body], [int((count == 1).sum())], [int((count == 2).sum())]]
+        types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+        names = ["chunk", "keys", "extra", "ones", "twos"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+
+class Seating:
+    """The pairs of one part, and their tables at the start and after each sweep whose sums were told."""
+
+    def __init__(self, row: dict, model: Model, sweeps: int):
+        self.keys = C.read_keys(row["keys"])
+        self.context, self.word, self.count = map(C.read_small, _part(row["extra"]))
+        self.tables = [np.ones(len(self.count), dtype=np.int64)]
+        for s in range(sweeps):
+            told = [list(map(C.read_small, _part(r["reply"]))) for r in row[f"replies_{s}"]]
+            tables, customers, roots = (np.concatenate(x) for x in zip(*told, strict=True))
+            parent = model.unigram(s, customers, roots)
+            pull = (STRENGTH + model.discount * tables[self.context]) * parent[self.word]
+            self.tables.append(seat(self.count, pull, model.discount, np.random.default_rng([SEED, row["chunk"], s])))
+
+    def sums(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By context and by word."""
+        return tuple(np.bincount(x, weights=values, minlength=len(self.keys)).astype(np.int64) for x in (self.context, self.word))
+
+
+def _partial_sums(model: Model, sweep: int, parts: int):
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = Seating(row, model, sweep)
+                values = [*own.sums(own.tables[-1]), *(own.sums(own.count) if not sweep else ())]
+                yield C.key_rows(row["chunk"], own.keys, parts, lambda a, b, values=values: _join(*(C.small_bytes(x[a:b]) for x in values)))
+
+    return run
+
+
+def _sums(model: Model, sweep: int, pair_parts: int):
+    """Of a part's keys: tables as a context, customers and tables as a word; a row for each asking part, and the part's own."""
+
+    def run(batches):
+        for rows in C.runs_of(batches, "part"):
+            asked = [C.read_keys(r["keys"]) for r in rows]
+            keys = np.unique(np.concatenate(asked))
+            at = [np.searchsorted(keys, x) for x in asked]
+            columns = zip(*(map(C.read_small, _part(r["extra"])) for r in rows), strict=True)
+            place = np.concatenate(at)
+            tables, customers, *counts = (np.bincount(place, weights=np.concatenate(x), minlength=len(keys)).astype(np.int64) for x in columns)
+            roots = np.minimum(customers, 1)
+            if sweep:
+                base = (STRENGTH + model.root_discount * model.root_tables[sweep - 1]) * 0.5 / max(1, model.n_words)
+                rng = np.random.default_rng([SEED, pair_parts + rows[0]["part"], sweep])
+                roots = seat(customers, np.full(len(keys), base), model.root_discount, rng)
+            told = (tables, customers, roots)
+            chunks = [TABLE + sweep, *(r["chunk"] for r in rows)]
+            extra = [_join(*map(C.small_bytes, counts[::-1] if not sweep else told)), *(_join(*(C.small_bytes(x[k]) for x in told)) for k in at)]
+            totals = [tables.sum(), roots.sum(), (customers > 0).sum(), counts[1].sum() if counts else 0, (customers == 1).sum(), (customers == 2).sum()]
+            n = len(chunks)
+            columns = [pa.array([rows[0]["part"]] * n, pa.int32()), pa.array(chunks, pa.int64()), pa.array([C.key_bytes(keys)] + [b""] * (n - 1), pa.binary())]
+            columns += [pa.array(extra, pa.binary()), *(pa.array([int(x)] + [0] * (n - 1), pa.int64()) for x in totals)]
+            names = ["part", "chunk", "keys", "extra", "tables", "roots", "words", "tokens", "ones", "twos"]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return run
+
+
+def _seated(model: Model, sweeps: int, samples: int):
+    """Rows of KEY_SCHEMA: the hashes of a part's pairs, with count and the tables of each sample."""
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = Seating(row, model, sweeps)
+                values = _join(*map(C.small_bytes, (own.count, *own.tables[1 + sweeps - samples :])))
+                hashes = pair_hash(own.keys[own.context], own.keys[own.word])
+                yield _key_batch([(row["chunk"], TABLE, C.key_bytes(hashes), values)])
+
+    return run
+
+
+def _asked(pair_parts: int, parts: int):
+    """Parts of the key space follow those of the pairs."""
+
+    def run(batches):
+        for batch in batches:
+            for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
+                own = Bigrams(body.as_py())
+                yield C.key_rows(chunk, own.pairs, pair_parts)
+                words = C.key_rows(chunk, own.keys, parts)
+                yield words.set_column(0, "part", pa.array([pair_parts + p for p in words.column("part").to_pylist()], pa.int32()))
+
+    return run
+
+
+def _told(pair_parts: int, samples: int):
+    def run(batches):
+        for rows in C.runs_of(batches, "part"):
+            own = [r for r in rows if r["chunk"] < 0]
+            columns = [x for r in own for x in map(C.read_small, _part(r["extra"]))]
+            keys = C.read_keys(own[0]["keys"]) if own else np.empty(0, np.uint64)
+            for r in rows:
+                if r["chunk"] < 0:
+                    continue
+                wanted = C.read_keys(r["keys"])
+                if len(keys):
+                    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+                    found = [np.where(keys[at] == wanted, x[at], 0) for x in columns]
+                else:
+                    found = [np.zeros(len(wanted), np.int64)] * (1 + samples if rows[0]["part"] < pair_parts else 2 + 3 * samples)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([r["chunk"]], pa.int64()), pa.array([r["part"]], pa.int32()), pa.array([_join(*map(C.small_bytes, found))], pa.binary())],
+                    names=["chunk", "part", "reply"],
+                )
+
+    return run
+
+
+def _score_bigrams(model: Model, sweeps: int, samples: int, pair_parts: int):
+    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = Bigrams(row["body"])
+                told = [(r["part"] < pair_parts, list(map(C.read_small, _part(r["reply"])))) for r in row["replies_0"]]
+                count, *tables = (np.concatenate(x) for x in zip(*(c for pairs, c in told if pairs), strict=True))
+                counts, customers, *sums = (np.concatenate(x) for x in zip(*(c for pairs, c in told if not pairs), strict=True))
+                chance = np.zeros(len(own.pairs))
+                for k, s in enumerate(range(1 + sweeps - samples, sweeps + 1)):
+                    in_context, as_word, roots = sums[3 * k : 3 * k + 3]
+                    parent = model.unigram(s, as_word, roots, counts > 0)[own.word]
+                    weight = STRENGTH + model.discount * in_context[own.context]
+                    chance += (count - model.discount * tables[k] + weight * parent) / (STRENGTH + customers[own.context])
+                token_score = np.log10(chance / samples)[own.place]
+                base = np.log10((counts + 1) / (model.n_tokens + model.n_words + 1))[own.tokens]
+                add = lambda x, own=own: np.add.reduceat(x, own.begins)
+                ids = [i if ok else None for i, ok in zip(own.ids.tolist(), own.known.tolist(), strict=True)]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(ids, pa.int64()), pa.array(own.held != 0), pa.array(own.sizes, pa.int64()),
+                        pa.array(add((counts > 0).astype(np.int64)[own.tokens]), pa.int64()),
+                        pa.array(np.full(len(ids), model.n_tokens, np.int64)), pa.array(add(base), pa.float64()), pa.array(add(token_score), pa.float64()),
+                    ],
+                    names=names,
+                )
+
+    return run
+
+
+def _bigram_scores(chunks: DataFrame, sweeps: int, samples: int, schema: str) -> DataFrame:
+    slim = chunks.select("chunk", "body")
+    pair_parts, parts = C.n_parts(chunks, 1 / 12, PAIRS_PER_KEY * KEYS_PER_PART), C.n_parts(chunks, 1 / 24, KEYS_PER_PART)
+    entries = stored(C.by_part(slim.mapInArrow(_training_pairs(pair_parts), C.KEY_SCHEMA), pair_parts).mapInArrow(_entries, ENTRY_SCHEMA), "pairs")
+    model = Model(0)
+    counted = entries.agg(F.sum("ones"), F.sum("twos")).first()
+    model.discount = _discount(counted[0] or 0, counted[1] or 0)
+    own, replies = [], []
+    for sweep in range(sweeps + 1):
+        sent = C.with_replies(entries, *replies).mapInArrow(_partial_sums(model, sweep, parts), C.KEY_SCHEMA)
+        sums = stored(C.by_part(sent, parts).mapInArrow(_sums(model, sweep, pair_parts), SUM_SCHEMA), "sums")
+        names = ("tables", "roots", "words", "tokens", "ones", "twos")
+        total = {n: x or 0 for n, x in sums.agg(*(F.sum(n).alias(n) for n in names)).first().asDict().items()}
+        if not sweep:
+            model.n_words, model.n_tokens = total["words"], total["tokens"]
+            model.root_discount = _discount(total["ones"], total["twos"])
+        model.tables.append(np.array([total["tables"]]))
+        model.root_tables.append(float(total["roots"]))
+        replies.append(sums.where("chunk >= 0").select("chunk", "part", F.col("extra").alias("reply")))
+        if not sweep or sweep > sweeps - samples:
+            own.append(sums.where("chunk < 0").select((F.col("part") + pair_parts).cast("int").alias("part"), "chunk", "keys", "extra"))
+    asked = slim.mapInArrow(_asked(pair_parts, parts), C.KEY_SCHEMA)
+    for table in [C.with_replies(entries, *replies[:sweeps]).mapInArrow(_seated(model, sweeps, samples), C.KEY_SCHEMA), *own]:
+        asked = asked.unionByName(table)
+    told = C.by_part(asked, pair_parts + parts).mapInArrow(_told(pair_parts, samples), C.REPLY_SCHEMA)
+    return C.with_replies(slim, told).mapInArrow(_score_bigrams(model, sweeps, samples, pair_parts), schema)
+
+
+def score(docs: DataFrame, contexts: int | None = None, sweeps: int = SWEEPS, samples: int = SAMPLES) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
-    Learns from the documents outside the held-out fold and scores all of them.
+    Learns from the documents outside the held-out fold and scores all of them. The context of a token is the
+    word before it; a number of ``contexts`` puts so many classes of short words in its place.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     chunks = C.chunk_table(slim, chunk_bytes=CHUNK_BYTES, encode=_code)
+    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    scored = _bigram_scores(chunks, sweeps, samples, schema) if contexts is None else _class_scores(chunks, contexts, sweeps, samples, schema)
+    return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
+
+
+def _class_scores(chunks: DataFrame, contexts: int, sweeps: int, samples: int, schema: str) -> DataFrame:
     parts = C.n_parts(chunks, 1 / 24, KEYS_PER_PART)  # a distinct word of a chunk in about every 24 bytes
     asked = chunks.select("chunk", "body").mapInArrow(_requests(parts, contexts), C.KEY_SCHEMA)
     words = stored(C.by_part(asked, parts).mapInArrow(_merge(contexts + 1), WORD_SCHEMA), "words")
@@ -362,7 +613,4 @@ def score(docs: DataFrame, contexts: int = CONTEXTS, sweeps: int = SWEEPS, sampl
     table = words.select("part", F.lit(None).cast("long").alias("chunk"), "keys", F.col("counts").alias("extra"))
     answers = C.by_part(asked.unionByName(table), parts).mapInArrow(_answer(model, samples), C.REPLY_SCHEMA)
     told = C.with_replies(chunks.select("chunk", "body"), answers)
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    scored = told.mapInArrow(_score(model, samples), schema)
-    return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
-
+    return told.mapInArrow(_score(model, samples), schema)

@@ -146,3 +146,52 @@ def test_chunks_hold_every_row_once(documents, monkeypatch):
     chunks = C.chunk_table(documents.select("doc_id", "text"), chunk_bytes=10_000).collect()
     ids = [i for r in chunks for i in C.unpack_table(bytes(r.body)).column("doc_id").to_pylist()]
     assert len(chunks) > 20 and sorted(ids) == sorted(r.doc_id for r in documents.collect())
+
+
+def test_the_context_is_the_word_before(make_docs, small_chunks):
+    """Long words foretell the next one, and a short word earlier in the text does not hide them."""
+    pairs = [("forward", "motion"), ("kitchen", "garden"), ("winter", "season"), ("silver", "spoons")]
+    docs = [(i, " ".join(["of", *pairs[i % 4], *pairs[(i // 4) % 4]])) for i in range(400)]
+    apart = [(1000 + i, t) for i, t in enumerate(["of forward motion", "of forward garden"] * 200)]
+    fresh = [(i, t) for i, t in apart if held(i)]
+    score = {r.doc_id: r.score for r in H.score(make_docs(docs + fresh)).collect()}
+    likely, unlikely = ([score[i] for i, t in fresh if t.endswith(x)] for x in ("motion", "garden"))
+    assert likely and unlikely and min(likely) > max(unlikely) + 1
+
+
+def training_pairs(docs):
+    count = Counter()
+    for i, t in docs:
+        if not held(i):
+            words = tokens(t)
+            count.update(zip(["<", *words[:-1]], words, strict=True))
+    return count
+
+
+def test_restaurants_are_the_training_pairs(documents, monkeypatch, small_chunks):
+    seen = []
+    whole = H.stored
+    monkeypatch.setattr(H, "stored", lambda df, name: seen.append((name, whole(df, name))) or seen[-1][1])
+    H.score(documents).collect()
+    entries = next(df for name, df in seen if name == "pairs").collect()
+    docs = [(r.doc_id, r.text) for r in documents.collect()]
+    count = training_pairs(docs)
+    key = lambda w: H._keys[H.START if w == "<" else H.END if w is None else w]
+    got = {}
+    for row in entries:
+        keys = C.read_keys(row["keys"]).tolist()
+        for u, w, n in zip(*(C.read_small(x).tolist() for x in H._part(row["extra"])), strict=True):
+            got[keys[u], keys[w]] = n
+    assert len(entries) > 1 and got == {(key(u), key(w)): n for (u, w), n in count.items()}
+    sums = [df.where("chunk < 0").collect() for name, df in seen if name == "sums"]
+    customers = Counter()
+    for (u, _), n in count.items():
+        customers[key(u)] += n
+    found = {}
+    for row in sums[0]:
+        found |= dict(zip(C.read_keys(row["keys"]).tolist(), C.read_small(H._part(row["extra"])[1]).tolist(), strict=True))
+    assert {k: n for k, n in found.items() if n} == customers
+    for rows in sums[1:]:  # a pair has at least one table and at most one a customer; a word's customers are its pairs' tables
+        told = [[C.read_small(x) for x in H._part(r["extra"])] for r in rows]
+        tables, words, roots = (sum(int(x[k].sum()) for x in told) for k in range(3))
+        assert len(count) <= tables == words <= sum(count.values()) and len({w for _, w in count}) <= roots <= words
