@@ -30,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmart.llm.common import parts, prepare, stored
@@ -44,6 +44,8 @@ ROWS_PER_RANGE = 4000
 MAX_RANGES = 20_000
 #: Words whose hash a worker remembers before it starts anew (results do not depend on it).
 CACHE_WORDS = 200_000
+#: Distinct shingle sets that a task compares in one group.
+MAX_GROUP = 1000
 NO_ID = -(1 << 63)
 NONE = np.uint64(0xFFFFFFFF)
 
@@ -225,12 +227,104 @@ def _forest(ids: list[int], sets: list[np.ndarray], threshold: float) -> list[tu
     return links
 
 
+def _alike(a: bytes, b: bytes, threshold: float) -> bool:
+    return bool(_forest([0, 1], [np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")], threshold))
+
+
+def _grouped_links(keyed: DataFrame, names: list[str], threshold: float) -> DataFrame:
+    """Spanning forests (a, b) of groups of bounded size; rows are the key's columns, set_id and grams."""
+
+    def link(rows: pd.DataFrame) -> pd.DataFrame:
+        found = _forest(rows["set_id"].tolist(), [np.frombuffer(g, "<u4") for g in rows["grams"]], threshold)
+        return pd.DataFrame(found, columns=["a", "b"], dtype=object)
+
+    return keyed.groupBy(*names).applyInPandas(link, "a string, b string")
+
+
+def _prefixes(hot: DataFrame, threshold: float) -> DataFrame:
+    """(gram, set_id): the rarest grams of a set, so many that two sets alike enough share one of them."""
+
+    @F.pandas_udf("array<long>")
+    def listed(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for sets in batches:
+            yield pd.Series([np.frombuffer(s, "<u4").astype(np.int64) for s in sets], dtype=object)
+
+    grams = stored(hot.select("set_id", F.explode(listed("grams")).alias("gram")), "hot-grams")
+    often = grams.groupBy("gram").agg(F.count("*").alias("n")).withColumnRenamed("gram", "_gram")
+    size = F.count("*").over(Window.partitionBy("set_id"))
+    place = F.row_number().over(Window.partitionBy("set_id").orderBy("n", "gram"))
+    ranked = grams.join(often, F.col("gram") == F.col("_gram")).select("set_id", "gram", "n", size.alias("size"), place.alias("place"))
+    needed = F.ceil(F.col("size") * F.lit(threshold) - F.lit(1e-9))
+    return ranked.where((F.col("n") > 1) & (F.col("place") <= F.col("size") - needed + 1)).select("gram", "set_id")
+
+
+def _pivot_links(met: DataFrame, threshold: float) -> DataFrame:
+    """Members of a group that resemble its first set, row by row."""
+
+    @F.pandas_udf("boolean")
+    def alike(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([_alike(x, y, threshold) for x, y in zip(a, b, strict=True)], dtype=bool)
+
+    first = met.groupBy("gram").agg(F.min("set_id").alias("pivot"))
+    pivots = first.join(met.select(F.col("gram").alias("_gram"), F.col("set_id").alias("_set"), F.col("grams").alias("_grams")), (F.col("gram") == F.col("_gram")) & (F.col("pivot") == F.col("_set")))
+    pivots = pivots.select("_gram", "pivot", "_grams")
+    pairs = met.join(pivots, F.col("gram") == F.col("_gram")).where("set_id != pivot")
+    return pairs.where(alike("grams", "_grams")).select(F.col("pivot").alias("a"), F.col("set_id").alias("b"))
+
+
+def _cross_links(met: DataFrame, roots: DataFrame, threshold: float) -> DataFrame:
+    """Links between members of a large group that are not connected yet: each two of its blocks meet in a group of their own."""
+    rooted = met.join(roots.select(F.col("node").alias("_node"), "root"), F.col("set_id") == F.col("_node"), "left")
+    rooted = rooted.select("gram", "set_id", "grams", F.coalesce("root", "set_id").alias("root"))
+    apart = rooted.groupBy("gram").agg(F.count("*").alias("n"), F.min("root").alias("_least"), F.max("root").alias("_most")).where("_least != _most")
+    blocks = F.greatest(F.lit(2), F.ceil(F.col("n") * 2 / F.lit(MAX_GROUP)) + 1).cast("int")
+    apart = apart.select(F.col("gram").alias("_gram"), blocks.alias("blocks"))
+    left = rooted.join(apart, F.col("gram") == F.col("_gram")).withColumn("block", F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+    left = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    left = left.select("gram", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "set_id", "grams", "root")
+
+    def link(rows: pd.DataFrame) -> pd.DataFrame:
+        ids, roots, sets = rows["set_id"].tolist(), rows["root"].tolist(), rows["grams"].tolist()
+        found = [(ids[i], ids[j]) for i in range(len(ids)) for j in range(i) if roots[i] != roots[j] and _alike(sets[i], sets[j], threshold)]
+        return pd.DataFrame(found, columns=["a", "b"], dtype=object)
+
+    return left.groupBy("gram", "lo", "hi").applyInPandas(link, "a string, b string")
+
+
+def _links(own: DataFrame, banded: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) that connect whatever sets share a band and resemble each other enough."""
+    sizes = stored(banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1"), "bands")
+    sizes = sizes.select(F.col("band").alias("_band"), F.col("value").alias("_value"), "n")
+    same = (F.col("band") == F.col("_band")) & (F.col("value") == F.col("_value"))
+    links = _grouped_links(banded.join(sizes.where(F.col("n") <= MAX_GROUP), same).select("band", "value", "set_id", "grams"), ["band", "value"], threshold)
+    large = sizes.where(F.col("n") > MAX_GROUP)
+    if large.isEmpty():
+        return links
+    found = banded.join(large, same).select(F.col("set_id").alias("_set")).distinct()
+    hot = stored(own.join(found, F.col("set_id") == F.col("_set")).select("set_id", "grams"), "hot-sets")
+    prefixes = stored(_prefixes(hot, threshold), "prefixes")
+    counts = prefixes.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").withColumnRenamed("gram", "_gram")
+    sets = hot.select(F.col("set_id").alias("_set"), "grams")
+    met = prefixes.join(counts, F.col("gram") == F.col("_gram")).join(sets, F.col("set_id") == F.col("_set")).select("gram", "n", "set_id", "grams")
+    links = links.unionByName(_grouped_links(met.where(F.col("n") <= MAX_GROUP), ["gram"], threshold))
+    wide = met.where(F.col("n") > MAX_GROUP).drop("n")
+    if wide.isEmpty():
+        return links
+    links = stored(links.unionByName(_pivot_links(wide, threshold)), "links")
+    return links.unionByName(_cross_links(wide, components(links), threshold))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Per document: doc_id, class_id (the least doc_id among those reachable by resemblances >= threshold).
 
     Equal shingle sets are one row from the start. Sets that share a band meet in one group, where a
     search from one member verifies the Jaccard resemblance with those not yet reached; a group emits a
     spanning forest, never all its pairs. Every pair that shares a band and passes is connected.
+
+    The sets of a band value with more than ``MAX_GROUP`` of them meet by their rarest grams instead: two that
+    pass share one among the first |A| - ceil(threshold |A|) + 1 of either. Where more than ``MAX_GROUP`` meet
+    even so, each is compared with the first; if that does not connect them all, those of different
+    components are compared block by block.
     """
     prepare(docs.sparkSession)
 
@@ -247,14 +341,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     sets = stored(docs.select(F.col("doc_id").cast("long"), grams(F.col("text").cast("string")).alias("grams")).withColumn("set_id", F.sha2("grams", 256)), "shingles")
     own = stored(sets.groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.first("grams").alias("grams")), "shingle-sets")
     banded = own.select("set_id", "grams", F.explode(_bands(sign("grams"))).alias("b")).select("set_id", "grams", "b.band", "b.value")
-    shared = banded.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1").select(F.col("band").alias("_band"), F.col("value").alias("_value"))
-    met = banded.join(shared, (F.col("band") == F.col("_band")) & (F.col("value") == F.col("_value"))).select("band", "value", "set_id", "grams")
-
-    def link(rows: pd.DataFrame) -> pd.DataFrame:
-        found = _forest(rows["set_id"].tolist(), [np.frombuffer(g, "<u4") for g in rows["grams"]], threshold)
-        return pd.DataFrame(found, columns=["a", "b"], dtype=object)
-
-    roots = components(met.groupBy("band", "value").applyInPandas(link, "a string, b string"))
+    roots = components(_links(own, banded, threshold))
     rooted = own.join(roots, F.col("set_id") == F.col("node"), "left").select("set_id", "rep", F.coalesce("root", "set_id").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("class_id")).withColumnRenamed("root", "_root")
     ids = rooted.join(least, F.col("root") == F.col("_root")).select(F.col("set_id").alias("_set"), "class_id")

@@ -98,3 +98,29 @@ def test_near_duplicates_of_odd_rows(odd_rows, make_docs):
     by = {r.doc_id: r.class_id for r in rows}
     assert len(rows) == len(odd_rows) and by[1] == by[2] == by[3] == 1 and by[5] == by[6] == 5 and by[4] == 4
     assert M.near_duplicates(make_docs([])).count() == 0
+
+
+def test_groups_are_bounded_and_classes_whole(make_docs, monkeypatch):
+    import random
+
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    head, body = [word() for _ in range(40)], [word() for _ in range(100)]
+    docs = [" ".join(head + [word() for _ in range(30)]) for _ in range(120)]  # a template, and tails of their own
+    docs += [" ".join([*body[:-3], *(word() for _ in range(3))]) for _ in range(40)]  # near copies
+    chain = [word() for _ in range(200)]
+    docs += [" ".join(head + chain[3 * k : 3 * k + 60]) for k in range(30)]  # each like the next, the ends unlike
+    rows = list(enumerate(docs))
+    rng.shuffle(rows)
+    limit, whole = 8, M._forest
+
+    def bounded(ids, sets, threshold):
+        assert len(ids) <= limit, len(ids)
+        return whole(ids, sets, threshold)
+
+    monkeypatch.setattr(M, "_forest", bounded)
+    monkeypatch.setattr(M, "MAX_GROUP", limit, raising=False)
+    got = {r.doc_id: r.class_id for r in M.near_duplicates(make_docs(rows)).collect()}
+    monkeypatch.setattr(M, "_forest", whole)
+    assert got == brute_classes(rows)
+    assert len(set(got.values())) == 122 and {got[i] for i in range(120, 160)} == {120} and {got[i] for i in range(160, 190)} == {160}
