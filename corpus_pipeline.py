@@ -33,8 +33,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of a document, with its sequence and offset."""
-    return packing.pack(docs)
+    """One row per piece of a document, with its token ids, its sequence and offset."""
+    return packing.pack(docs, keep_ids=True)
 
 
 STAGES = [

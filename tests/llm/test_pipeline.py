@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -148,3 +149,25 @@ def test_odd_rows_clashing_columns_and_empty_table(spark, make_docs, odd_rows, c
 def test_every_numbered_query_is_registered():
     names = [k for k in entry.queries() if re.match(r"op\d+_", k)]
     assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+
+
+def test_packed_sequences_hold_the_tokens_of_the_mixed_corpus(runs):
+    from gridmart.llm import packing
+
+    before, after = runs["packing"]
+    encode = packing._encoder(packing.VOCABULARY).encode
+    end = np.asarray([packing.END_ID], dtype="<u4").tobytes()
+    want = Counter((r.doc_id, encode(r.text or "") + end) for r in before.collect())
+    pieces = {}
+    for r in after.collect():
+        assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+        pieces.setdefault((r.doc_id, r.start), []).append(bytes(r.ids))
+    got = Counter()
+    for (i, start), copies in pieces.items():
+        if not start:
+            rest = b"".join(pieces[i, at][0] for at in sorted(at for j, at in pieces if j == i and at))
+            got.update((i, one + rest) for one in copies)
+    assert got == want
+    joined = packing.sequences(after).collect()
+    assert sum(r.n_tokens for r in joined) == sum(len(t) // 4 * n for (_, t), n in want.items())
+    assert all(len(r.ids) == 4 * r.n_tokens <= 4 * packing.CAPACITY for r in joined)
