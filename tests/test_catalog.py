@@ -7,7 +7,7 @@ import pytest
 from gridmart.plans import catalog, warehouse
 from gridmart.sources import fixtures
 
-from conftest import SF001
+from data_paths import SF001
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,7 @@ import json
 from gridmart.__main__ import main
 from gridmart.sources import fixtures
 
-from conftest import SF001
+from data_paths import SF001
 
 
 def test_ingest_test_report(spark, scratch, capsys):

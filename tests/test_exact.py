@@ -15,7 +15,7 @@ import pytest
 from gridmart.plans.models import build_models
 from gridmart.sources import fixtures
 
-from conftest import SF01
+from data_paths import SF01
 
 GEN = {2038: "wind_mwh", 2040: "coal_mwh", 2041: "combined_cycle_mwh", 2042: "hydro_mwh",
        2044: "solar_pv_mwh", 2051: "cogen_residues_mwh"}

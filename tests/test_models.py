@@ -196,7 +196,7 @@ def test_fused_market_equals_join_form(spark):
     from gridmart.operators import market
     from gridmart.sources import fixtures
 
-    from conftest import SF01
+    from data_paths import SF01
 
     raw = fixtures.load_observations(spark, SF01)
     joined = market.hourly_market(staging.hourly_price(raw), staging.hourly_generation(raw))

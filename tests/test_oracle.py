@@ -6,7 +6,7 @@ import __spark_entry__ as entry
 from gridmart.plans.queries import QUERIES
 from gridmart.plans.verify import compare_one, duckdb_connection
 
-from conftest import SF001, SF01
+from data_paths import SF001, SF01
 
 SQL = entry.oracle_sql()
 

@@ -13,7 +13,7 @@ from gridmart.plans import warehouse
 from gridmart.sources import fixtures, payload, tables
 from gridmart.streaming import ingest_stream
 
-from conftest import SF001
+from data_paths import SF001
 
 RUN_1, RUN_2 = dt.datetime(2027, 1, 5, 6), dt.datetime(2027, 1, 6, 6)
 

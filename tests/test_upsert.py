@@ -105,7 +105,7 @@ def test_window_read_prunes_partitions(spark, scratch):
 def test_stored_upsert_equals_pure_merge_on_fixture(spark, scratch):
     from gridmart.sources import fixtures
 
-    from conftest import SF001
+    from data_paths import SF001
 
     events = fixtures.read_events(spark, SF001)
     tgt, src = fixtures.upsert_target(events), fixtures.upsert_source(events)

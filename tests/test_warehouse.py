@@ -10,7 +10,7 @@ from gridmart.plans.models import build_models
 from gridmart.sources import fixtures, payload, tables
 from gridmart.streaming import ingest_stream
 
-from conftest import SF001
+from data_paths import SF001
 
 RUN1, RUN2 = dt.datetime(2025, 1, 2, 6, 15), dt.datetime(2025, 1, 3, 6, 15)
 
