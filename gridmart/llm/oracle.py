@@ -68,4 +68,22 @@ SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target,
 FROM drawn
 """
 
-SQL = {"op7_quality_rules": QUALITY, "op8_mixing": MIXING}
+FILL_IN_MIDDLE = """
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, CAST(length(coalesce(text, '')) AS BIGINT) AS n,
+         sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hex FROM documents),
+drawn AS (
+  SELECT *, [CAST('0x' || substr(hex, 8 * k + 1, 8) AS BIGINT) FOR k IN [0, 1, 2, 3]] AS h FROM docs),
+cut AS (
+  SELECT *, least(h[1] % (n + 1), h[2] % (n + 1)) AS a, greatest(h[1] % (n + 1), h[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h[3] % 100 >= 90 THEN 'plain'
+              WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn),
+parted AS (SELECT *, substring(text, 1, a) AS pre, substring(text, a + 1, b - a) AS mid, substring(text, b + 1) AS suf FROM cut)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parted
+"""
+
+SQL = {"op12_fill_in_middle": FILL_IN_MIDDLE, "op7_quality_rules": QUALITY, "op8_mixing": MIXING}

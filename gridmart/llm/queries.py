@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import hashtree, hpylm, mil, minhash, mixing, packing, pages, quality_rules, simhash, substring
+from gridmart.llm import fim, hashtree, hpylm, mil, minhash, mixing, packing, pages, quality_rules, simhash, substring
 from gridmart.llm.common import prepare, table
 
 SHARDS = 40
@@ -63,6 +63,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(prepare(spark), sf_dir, "documents"))
 
 
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fim.transform(table(spark, sf_dir, "documents"))
+    restored = fim.restore(F.col("output"), F.col("form"))
+    digests = [F.sha2("output", 256).alias("output_sha256"), F.sha2(restored, 256).alias("restored_sha256")]
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_attention_mil": op1_attention_mil,
     "op2_simhash": op2_simhash,
@@ -74,4 +81,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,
+    "op12_fill_in_middle": op12_fill_in_middle,
 }

@@ -17,6 +17,9 @@ COLUMNS = {
     "op8": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
     "op9": "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double",
     "op10": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint",
+    "op11": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op12": "doc_id bigint, n bigint, form string, prefix_chars bigint, middle_chars bigint, output_sha256 string, restored_sha256 string",
+    "op13": "item_id bigint, rank int, doc_id bigint, score bigint",
 }
 
 
