@@ -86,4 +86,28 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CA
 FROM parted
 """
 
-SQL = {"op12_fill_in_middle": FILL_IN_MIDDLE, "op7_quality_rules": QUALITY, "op8_mixing": MIXING}
+_TERMS = (
+    r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+SEARCH = f"""
+WITH docs AS (SELECT row_number() OVER () AS k, doc_id, {_TERMS} AS terms FROM documents WHERE text IS NOT NULL),
+sized AS (SELECT k, doc_id, CAST(len(terms) AS BIGINT) AS n FROM docs WHERE len(terms) > 0),
+totals AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM sized),
+scaled AS (SELECT k, doc_id, 100 - 75 + ((75 * n * n_docs) // n_terms) AS m FROM sized, totals),
+items AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS terms FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+asked AS (SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(terms) AS term FROM items) GROUP BY ALL),
+held AS (SELECT k, term, count(*) AS tf FROM (SELECT k, unnest(terms) AS term FROM docs)
+         WHERE term IN (SELECT term FROM asked) GROUP BY ALL),
+weighed AS (SELECT term, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+            FROM held, totals GROUP BY term),
+scores AS (
+  SELECT q, any_value(item_id) AS item_id, k, any_value(doc_id) AS doc_id,
+         CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM asked JOIN held USING (term) JOIN weighed USING (term) JOIN scaled USING (k) GROUP BY q, k),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS r FROM scores WHERE score > 0)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked WHERE r <= 10
+"""
+
+SQL = {"op13_norm_buckets": SEARCH, "op12_fill_in_middle": FILL_IN_MIDDLE, "op7_quality_rules": QUALITY, "op8_mixing": MIXING}

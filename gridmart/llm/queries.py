@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import fim, hashtree, hpylm, mil, minhash, mixing, packing, pages, quality_rules, simhash, substring
+from gridmart.llm import fim, hashtree, hpylm, lexsearch, mil, minhash, mixing, packing, pages, quality_rules, simhash, substring
 from gridmart.llm.common import prepare, table
 
 SHARDS = 40
@@ -70,6 +70,10 @@ def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op13_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexsearch.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_attention_mil": op1_attention_mil,
     "op2_simhash": op2_simhash,
@@ -82,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_norm_buckets": op13_norm_buckets,
 }
