@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.llm import fim, hashtree, hpylm, lexsearch, mil, minhash, mixing, packing, pages, quality_rules, simhash, substring
+from gridmart.llm import fim, hashtree, hpylm, langid, lexsearch, mil, minhash, mixing, packing, pages, quality_rules, simhash, substring
 from gridmart.llm.common import prepare, table
 
 SHARDS = 40
@@ -63,6 +63,12 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(prepare(spark), sf_dir, "documents"))
 
 
+def op11_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = langid.identify(docs, langid.train(docs))
+    return out.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fim.transform(table(spark, sf_dir, "documents"))
     restored = fim.restore(F.col("output"), F.col("form"))
@@ -85,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing": op8_mixing,
     "op9_minhash": op9_minhash,
     "op10_packing": op10_packing,
+    "op11_kneser_ney": op11_kneser_ney,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_norm_buckets": op13_norm_buckets,
 }
