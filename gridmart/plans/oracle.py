@@ -501,5 +501,55 @@ SQL.update({
         + "\n" + "\nUNION ALL ".join(_CHECKS)
     ),
 })
+# --- several answers per indicator ---------------------------------------------------
+
+ANSWERS = """
+given AS (
+  SELECT indicator_id, datetime_utc, geo_id, value, indicator_id = 2051 AND event_id % 31 = 7 AS bad, 'a' AS doc, DATE '2025-01-02' AS day FROM obs_id
+  UNION ALL SELECT indicator_id, datetime_utc, geo_id, value, false, 'a', DATE '2025-01-02' FROM obs_id WHERE indicator_id = 2040 AND event_id % 29 = 2
+  UNION ALL SELECT indicator_id, datetime_utc, geo_id, CASE WHEN event_id % 11 <> 0 THEN coalesce(value, 0) + 1 END, false, 'b', DATE '2025-01-03'
+  FROM obs_id WHERE event_id % 3 = 0
+  UNION ALL SELECT indicator_id, datetime_utc, geo_id, value, false, 'b', DATE '2025-01-03'
+  FROM obs_id WHERE indicator_id = 2041 AND event_id % 3 = 0 AND event_id % 29 = 3
+  UNION ALL SELECT indicator_id, datetime_utc, geo_id, coalesce(value, 0) + 2, false, 'c', DATE '2025-01-04'
+  FROM obs_id WHERE indicator_id = 2040 OR (indicator_id = 2051 AND datetime_utc < TIMESTAMP '2024-07-01 00:00:00')),
+repeated AS (SELECT DISTINCT indicator_id, doc FROM (
+  SELECT indicator_id, doc FROM given GROUP BY indicator_id, doc, datetime_utc, geo_id HAVING count(*) > 1)),
+answers AS (
+  SELECT g.indicator_id, g.doc, any_value(g.day) AS day, CAST(min(datetime_utc) AS DATE) AS first_day, CAST(max(datetime_utc) AS DATE) AS last_day,
+         bool_or(bad) OR any_value(r.doc) IS NOT NULL AS failed
+  FROM given g LEFT JOIN repeated r ON g.indicator_id = r.indicator_id AND g.doc = r.doc GROUP BY g.indicator_id, g.doc),
+uncovered AS (
+  SELECT DISTINCT f.indicator_id, f.doc
+  FROM (SELECT *, unnest(generate_series(first_day, last_day, INTERVAL 1 DAY)) AS d FROM answers WHERE failed) f
+  WHERE NOT EXISTS (SELECT 1 FROM answers n WHERE NOT n.failed AND n.indicator_id = f.indicator_id AND n.day > f.day
+                    AND f.d >= n.first_day AND f.d <= n.last_day))
+"""
+
+VERSIONED = "\nUNION ALL ".join(
+    f"SELECT indicator_id, datetime_utc, geo_id, CASE WHEN event_id % 13 <> {every} THEN value + {more} END AS value, DATE '{day}' AS fetch_day "
+    f"FROM obs_id WHERE event_id % {every} = 0"
+    for day, every, more in (("2025-01-02", 1, 0), ("2025-01-03", 2, 1), ("2025-01-04", 3, 1), ("2025-01-05", 5, 0))
+)
+
+SQL.update({
+    "answer_status": f"""WITH {OBS.strip()},\n{ANSWERS.strip()},\n{REGISTRY.strip()},
+        counted AS (
+          SELECT a.indicator_id, count(*) AS answers, count(*) FILTER (WHERE failed) AS failed_answers,
+                 count(*) FILTER (WHERE failed AND u.doc IS NULL) AS superseded_answers
+          FROM answers a LEFT JOIN uncovered u ON a.indicator_id = u.indicator_id AND a.doc = u.doc GROUP BY a.indicator_id)
+        SELECT r.indicator_id, slug, coalesce(answers, 0) AS answers, coalesce(failed_answers, 0) AS failed_answers,
+               coalesce(superseded_answers, 0) AS superseded_answers, coalesce(failed_answers > superseded_answers, false) AS failed,
+               (SELECT CAST(coalesce(max(CAST(failed_answers > superseded_answers AS INTEGER)), 0) AS INTEGER) FROM counted) AS run_status
+        FROM registry r LEFT JOIN counted c USING (indicator_id)""",
+    "accepted_answers": f"""WITH {OBS.strip()},\n{ANSWERS.strip()}
+        SELECT indicator_id, datetime_utc, geo_id, CAST(value AS DOUBLE) AS value, day AS fetch_day
+        FROM given WHERE (indicator_id, doc) IN (SELECT (indicator_id, doc) FROM answers WHERE NOT failed)
+        QUALIFY row_number() OVER (PARTITION BY indicator_id, datetime_utc, geo_id ORDER BY day DESC) = 1""",
+    "upsert_versioned": f"""WITH {OBS.strip()}, versioned AS ({VERSIONED})
+        SELECT indicator_id, datetime_utc, geo_id, CAST(value AS DOUBLE) AS value, fetch_day FROM versioned
+        QUALIFY row_number() OVER (PARTITION BY indicator_id, datetime_utc, geo_id ORDER BY fetch_day DESC) = 1""",
+})
+
 SQL["upsert_clustered"], SQL["upsert_clustered_counts"] = SQL["upsert"], SQL["upsert_counts"]
 SQL["hourly_market_join"] = SQL["hourly_market"]

@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmart.operators import ingest, market, quality, reports, upsert
+from gridmart.plans import warehouse
 from gridmart.plans.models import Models, build_models
-from gridmart.schemas import RAW_KEYS
+from gridmart.schemas import RAW_KEYS, RAW_PARTITION, RAW_TABLE
 from gridmart.session import ensure_utc
-from gridmart.sources import fixtures, payload
+from gridmart.sources import fixtures, payload, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -169,6 +170,23 @@ def q_refetch_overlap(spark, sf_dir):
     return comparable(ingest.accepted(norm, ingest.rejected_indicators(ingest.indicator_checks(norm))))
 
 
+def _answers(spark, sf_dir):
+    ensure_utc(spark)
+    norm = ingest.normalise(fixtures.answers(fixtures.read_events(spark, sf_dir)))
+    return norm, ingest.answer_checks(norm)
+
+
+def q_answer_status(spark, sf_dir):
+    """Per indicator: answers, failed ones, those that newer good answers cover, and whether it failed."""
+    return ingest.answer_status(spark, ingest.with_superseded(_answers(spark, sf_dir)[1]))
+
+
+def q_accepted_answers(spark, sf_dir):
+    """What loads of several answers per indicator: the good ones' newest value of each key, and its fetch day."""
+    rows = ingest.accepted_answers(*_answers(spark, sf_dir))
+    return comparable(rows.select(*RAW_KEYS, "value", ingest.version_day(F.col("version")).alias("fetch_day")))
+
+
 def q_ingest_rejects(spark, sf_dir):
     return ingest.rejected_indicators(_checks(spark, sf_dir))
 
@@ -216,19 +234,20 @@ def _merge(spark, sf_dir):
     )
 
 
+def _merged_by_slices(spark, target, source, run_ts):
+    """What the stored upsert runs: days cut into key buckets by their row counts, each merged in place."""
+    target, source = tables.with_partition(target), tables.with_partition(source)
+    keys = target.select(RAW_PARTITION).unionByName(source.select(RAW_PARTITION))
+    per_day = {r[RAW_PARTITION]: r["count"] for r in keys.groupBy(RAW_PARTITION).count().collect()}  # one row a day
+    k_by_day, slots = warehouse.slices(per_day, warehouse._shuffle_width(spark))
+    sides = [warehouse._with_bucket(side, k_by_day) for side in (target, source)]
+    return upsert.merge_plan_clustered(*sides, run_ts, warehouse._CLUSTER, slots)
+
+
 def _merge_clustered(spark, sf_dir):
-    """What the stored upsert runs: days with stored rows merged by (day, key bucket), new days inserted."""
     ensure_utc(spark)
     events = fixtures.read_events(spark, sf_dir)
-    day, bucket = F.to_date("datetime_utc"), F.pmod(F.xxhash64(*RAW_KEYS), F.lit(3))
-    target = fixtures.upsert_target(events).withColumns({"_day": day, "_bucket": bucket})
-    source = fixtures.upsert_source(events).withColumns({"_day": day, "_bucket": bucket})
-    days = target.select("_day").distinct()
-    merged = upsert.merge_plan_clustered(
-        target, source.join(days, "_day", "left_semi"), fixtures.REVISION_TS, ["_day", "_bucket"], 8
-    )
-    new = upsert.insert_plan(source.join(days, "_day", "left_anti"), fixtures.REVISION_TS)
-    return merged.select(*new.columns).unionByName(new)
+    return _merged_by_slices(spark, fixtures.upsert_target(events), fixtures.upsert_source(events), fixtures.REVISION_TS)
 
 
 def q_upsert_clustered(spark, sf_dir):
@@ -239,6 +258,18 @@ def q_upsert_clustered_counts(spark, sf_dir):
     return upsert.merge_counts(_merge_clustered(spark, sf_dir))
 
 
+def q_upsert_versioned(spark, sf_dir):
+    """Four answers that arrive in three batches, newer ones first: the newest value of each key and its fetch day."""
+    ensure_utc(spark)
+    events = fixtures.read_events(spark, sf_dir)
+    table = spark.createDataFrame([], RAW_TABLE)
+    for batch in fixtures.ARRIVALS:
+        rows = fixtures.versioned_batch(events, batch).withColumn("version", ingest.version_of(F.col("fetched_at"), F.col("document")))
+        newest = rows.groupBy(*RAW_KEYS).agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version"))
+        table = upsert.merged_table(_merged_by_slices(spark, table, newest, fixtures.REVISION_TS))
+    return comparable(table.select(*RAW_KEYS, "value", ingest.version_day(F.col("version")).alias("fetch_day")))
+
+
 def q_hourly_market_join(spark, sf_dir):
     """The join form of the hourly fact: prices left-joined with generation."""
     m = models(spark, sf_dir)
@@ -296,10 +327,13 @@ QUERIES: dict[str, Query] = {
     "registry_coverage": q_registry_coverage,
     "catalogue_search": q_catalogue_search,
     "refetch_overlap": q_refetch_overlap,
+    "answer_status": q_answer_status,
+    "accepted_answers": q_accepted_answers,
     "upsert": q_upsert,
     "upsert_clustered": q_upsert_clustered,
     "upsert_clustered_counts": q_upsert_clustered_counts,
     "upsert_counts": q_upsert_counts,
+    "upsert_versioned": q_upsert_versioned,
     "hourly_price": q_hourly_price,
     "generation_long": q_generation_long,
     "hourly_generation": q_hourly_generation,

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from gridmart.operators import ingest, marts, quality, upsert
 from gridmart.operators.market import fct_hourly_market, hourly_market_from_raw
-from gridmart.schemas import OBSERVATION, RAW_KEYS, RAW_PARTITION, RAW_TABLE
+from gridmart.schemas import INDICATORS, OBSERVATION, RAW_KEYS, RAW_PARTITION, RAW_TABLE, VERSION_TYPE
 from gridmart.session import checkpoint_dir, ensure_utc
 from gridmart.sources import payload, tables
 
@@ -101,6 +101,16 @@ def _shuffle_width(spark: SparkSession) -> int:
         return spark.sparkContext.defaultParallelism
 
 
+def slices(per_day: dict[dt.date, int], width: int) -> tuple[dict[dt.date, int], int]:
+    """(key buckets by day, tasks): one bucket per about SLICE_ROWS rows of a day, one task per so many rows of all.
+
+    Pairs of (day, bucket) are hashed onto the tasks, at least ``width`` of them and at most one per pair:
+    a task may hold several small days but never a hot day alone.
+    """
+    k_by_day = {d: max(1, -(-n // SLICE_ROWS)) for d, n in per_day.items()}
+    return k_by_day, max(1, min(sum(k_by_day.values()), max(width, -(-sum(per_day.values()) // SLICE_ROWS))))
+
+
 def _with_bucket(df: DataFrame, k_by_day: dict[dt.date, int]) -> DataFrame:
     """Adds the hash bucket of the key within its day; a day with k slices has k buckets.
 
@@ -145,7 +155,7 @@ def _typed(batch: DataFrame) -> tuple[DataFrame, Column]:
             cast = src.try_cast(f.dataType)
             cols.append(cast.alias(f.name))
             lossy = lossy | (src.isNotNull() & ~F.coalesce(cast.try_cast(src_type).eqNullSafe(src), F.lit(False)))
-    return batch.select(*cols, lossy.alias("_lossy")), F.col("_lossy")
+    return batch.select(*cols, "version", lossy.alias("_lossy")), F.col("_lossy")
 
 
 def upsert_raw(
@@ -155,12 +165,13 @@ def upsert_raw(
     run_ts: dt.datetime,
     work: str,
     _day_counts: dict[tuple[int, dt.date], int] | None = None,
-    before_write: Callable[[str, list[dt.date]], None] | None = None,
+    before_write: Callable[[str, list[dt.date], list[dt.date]], None] | None = None,
 ) -> tuple[list[dict], list[dt.date]]:
-    """Merge ``batch`` (indicator_id, datetime_utc, geo_id, value) into the raw table.
+    """Merge ``batch`` (indicator_id, datetime_utc, geo_id, value[, version]) into the raw table.
 
     Returns per-indicator counts (staged / inserted / updated / unchanged) and
-    the days whose partitions were rewritten; an empty batch is a no-op. A
+    the days whose rows changed; an empty batch is a no-op. Days on which only
+    versions moved on are rewritten too, but are not among them. A
     batch with a NULL key or a value that does not fit the table's types is
     refused (ValueError), whatever the session's ANSI setting.
 
@@ -173,13 +184,14 @@ def upsert_raw(
 
     ``_day_counts`` ((indicator, day) -> rows) is passed by ``ingest_items`` for
     a validated batch; other callers omit it and one small aggregation computes
-    and validates it. ``before_write(kind, days)`` is called when the rows of
-    those days are complete in the work folder (kind ``merge``: its merge plan;
-    ``insert``: the batch itself) and before the first partition is touched.
+    and validates it. ``before_write(kind, days, changed)`` is called when the
+    rows of those days are complete in the work folder (kind ``merge``: its merge
+    plan; ``insert``: the batch itself) and before the first partition is touched.
     """
     ensure_utc(spark)
     tables.provision_raw(spark, raw_path)
-    typed, lossy = _typed(batch.select(*RAW_KEYS, "value"))
+    version = F.col("version").cast(VERSION_TYPE) if "version" in batch.columns else F.lit(None).cast(VERSION_TYPE)
+    typed, lossy = _typed(batch.select(*RAW_KEYS, "value", version.alias("version")))
     batch = tables.with_partition(typed)
     if _day_counts is None:
         # A caller's batch is staged once (its lineage is evaluated once, and
@@ -210,13 +222,8 @@ def upsert_raw(
     stored_days = tables.existing_days(spark, raw_path)
     merge_days = [d for d in days if d in stored_days]
 
-    # Slices: every (day, hash bucket of the key) pair is one slice. A day gets
-    # one bucket per ~SLICE_ROWS rows, so a hot day is split and a small day
-    # stays one file. Pairs are hashed onto `slots` tasks: about one task per
-    # SLICE_ROWS rows (at least the shuffle width, at most one per pair), so a
-    # task may write several small days but never a hot day alone. Row counts
-    # are exact: the batch's from the checks, the stored days' from a
-    # footer-level count.
+    # Slices of (day, hash bucket of the key). Row counts are exact: the batch's from
+    # the checks, the stored days' from a footer-level count.
     per_day: dict[dt.date, int] = {}
     for (_, d), n in _day_counts.items():
         per_day[d] = per_day.get(d, 0) + n
@@ -224,10 +231,7 @@ def upsert_raw(
         stored = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(merge_days))
         for r in stored.groupBy(RAW_PARTITION).count().collect():
             per_day[r[RAW_PARTITION]] = per_day.get(r[RAW_PARTITION], 0) + r["count"]
-    k_by_day = {d: max(1, -(-n // SLICE_ROWS)) for d, n in per_day.items()}
-    width = _shuffle_width(spark)
-    total = sum(per_day.values())
-    slots = min(sum(k_by_day.values()), max(width, -(-total // SLICE_ROWS)))
+    k_by_day, slots = slices(per_day, _shuffle_width(spark))
 
     counts: dict[int, dict] = {}
 
@@ -244,7 +248,7 @@ def upsert_raw(
         for (ind, _), n in _day_counts.items():
             add(ind, n, inserted=n)
         if before_write:
-            before_write("insert", days)
+            before_write("insert", days, days)
         inserts = upsert.merged_table(upsert.insert_plan(batch.drop(RAW_PARTITION), run_ts))
         rows = _with_bucket(tables.with_partition(inserts), k_by_day).repartition(slots, *_CLUSTER)
         _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_TABLE.fieldNames(), RAW_PARTITION), raw_path)
@@ -267,17 +271,19 @@ def upsert_raw(
             F.count_if("staged").alias("staged_rows"),
             F.count_if(F.col("op") == upsert.INSERT).alias("inserted"),
             F.count_if(F.col("op") == upsert.UPDATE).alias("updated"),
-            F.count_if(F.col("staged") & (F.col("op") == upsert.KEEP)).alias("unchanged"),
+            F.count_if(F.col("staged") & F.col("op").isin(upsert.KEEP, upsert.TOUCH)).alias("unchanged"),
+            F.count_if(F.col("op") == upsert.TOUCH).alias("touched"),
         )
         .collect()
     )  # <= indicators x days rows
     for r in summary:
         add(r.indicator_id, r.staged_rows, r.inserted, r.updated, r.unchanged)
     changed = sorted({r[RAW_PARTITION] for r in summary if r.inserted or r.updated})
-    if changed:
+    rewritten = sorted({r[RAW_PARTITION] for r in summary if r.inserted or r.updated or r.touched})
+    if rewritten:
         if before_write:
-            before_write("merge", changed)
-        rows = plan.where(F.col(RAW_PARTITION).isin(changed))
+            before_write("merge", rewritten, changed)
+        rows = plan.where(F.col(RAW_PARTITION).isin(rewritten))
         _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_TABLE.fieldNames(), RAW_PARTITION), raw_path)
     return [c for c in counts.values() if c["staged_rows"]], changed
 
@@ -399,18 +405,51 @@ def finish_write(spark: SparkSession, layout: Layout) -> list[dt.date]:
     return []
 
 
+def _answers_path(layout: Layout) -> str:
+    return f"{layout.root.rstrip('/')}/_answers"
+
+
+_ANSWERS = "indicator_id int, version decimal(38,0), document string, fetched_at string, first_day date, last_day date, failed boolean, staged_rows long"
+
+
+def known_answers(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Every answer that was loaded or rejected so far (one row each, not one per item)."""
+    path = _answers_path(layout)
+    if not tables.raw_exists(spark, path):
+        return spark.createDataFrame([], _ANSWERS)
+    return spark.read.schema(_ANSWERS).parquet(path).dropDuplicates(["indicator_id", "version"])
+
+
+def open_failures(spark: SparkSession, layout: Layout) -> DataFrame:
+    """Failed answers whose days no newer good answer covers: the same whatever order they came in."""
+    return ingest.with_superseded(known_answers(spark, layout)).where(F.col("failed") & ~F.col("superseded"))
+
+
+def _log_answers(spark: SparkSession, layout: Layout, checks: DataFrame) -> None:
+    """Adds this run's answers to the known ones (unnamed answers cannot be told apart and are not kept)."""
+    fields = [f.strip().split()[0] for f in _ANSWERS.replace("decimal(38,0)", "decimal").split(",")]
+    named = checks.where(F.col("version").isNotNull()).select(fields)
+    old = known_answers(spark, layout).select(F.col("indicator_id").alias("_id"), F.col("version").alias("_version"))
+    new = named.join(old, F.col("indicator_id").eqNullSafe(F.col("_id")) & (F.col("version") == F.col("_version")), "left_anti")
+    new.coalesce(1).write.mode("append").parquet(_answers_path(layout))
+
+
 def ingest_items(
     spark: SparkSession,
     items: DataFrame,
     layout: Layout,
     run_ts: dt.datetime | None = None,
     keep_work: bool = False,
+    quarantine: str | None = None,
 ) -> RunResult:
-    """Stage, validate and upsert a batch of payload items; indicators fail independently.
+    """Stage, validate and upsert a batch of payload items; answers fail independently.
 
-    An indicator fails on any malformed item or key duplicated within an answer,
-    and rows whose indicator id is missing or not registered never load
-    (``ingest.failed_column``). Of the answers that hold a key, the newest counts.
+    An answer fails on any malformed item or key that it repeats, and so do answers
+    whose indicator id is missing or not registered (``ingest.failed_column``); nothing
+    of it loads. It fails its indicator unless newer good answers, of this batch or of
+    earlier ones, cover its days (``ingest.with_superseded``). Of the good answers that
+    hold a key, the newest counts, over batches too: rows carry the version of their
+    answer. With ``quarantine`` the items of failed answers are kept there as they came.
 
     Before the first raw partition is replaced, the days are recorded as pending
     for the mart refresh and the write as unfinished; a run that dies in between
@@ -424,9 +463,9 @@ def ingest_items(
     work = work_folder(spark, "ingest")
     begun = False
 
-    def before_write(kind: str, days: list[dt.date]) -> None:
+    def before_write(kind: str, days: list[dt.date], changed: list[dt.date]) -> None:
         nonlocal begun
-        add_pending_days(spark, layout, days)
+        add_pending_days(spark, layout, changed)
         at = run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=dt.timezone.utc)
         marks = spark.createDataFrame([(work, kind, at, d) for d in days], _UNFINISHED)
         marks.coalesce(1).write.mode("overwrite").parquet(_unfinished_path(layout))
@@ -434,14 +473,30 @@ def ingest_items(
 
     try:
         staged = stage_batch(spark, items, work)
-        checks = ingest.indicator_checks(staged).withColumn("failed", ingest.failed_column()).collect()  # <= 9 rows
-        ok = [r for r in checks if not r.failed]
-        batch = ingest.newest(staged.where(F.col("indicator_id").isin([r.indicator_id for r in ok])))
+        judged = ingest.answer_checks(staged)
+        judged.write.mode("overwrite").parquet(f"{work}/answers")
+        judged = spark.read.schema(judged.schema).parquet(f"{work}/answers")
+        weighed = ingest.with_superseded(judged, known_answers(spark, layout))
+        known = F.when(F.col("indicator_id").isin(list(INDICATORS)), F.col("indicator_id"))
+        checks = weighed.groupBy(known.alias("indicator_id")).agg(
+            *[F.sum(c).alias(c) for c in ingest.COUNTS],
+            F.count_if("failed").alias("failed_answers"),
+            F.bool_or(F.col("failed") & ~F.col("superseded")).alias("failed"),
+        ).collect()  # <= 9 rows
+        if quarantine and any(r.failed_answers for r in checks):
+            failed = judged.where("failed").select(*[F.col(c).alias(f"_{c}") for c in ("indicator_id", *ingest.DOCUMENT)])
+            answer = [F.col(c) if c in items.columns else F.lit(None).cast("string") for c in ingest.DOCUMENT]
+            same = F.col("indicator_id").try_cast("int").eqNullSafe(F.col("_indicator_id"))
+            for own, other in zip(answer, ingest.DOCUMENT, strict=True):
+                same = same & own.eqNullSafe(F.col(f"_{other}"))
+            items.join(failed, same, "left_semi").write.mode("overwrite").parquet(quarantine)
+        batch = ingest.accepted_answers(staged, judged)
         batch.write.mode("overwrite").parquet(f"{work}/newest")
         batch = spark.read.schema(batch.schema).parquet(f"{work}/newest")
         per_day = tables.with_partition(batch).groupBy("indicator_id", RAW_PARTITION).count().collect()  # <= indicators x days
         day_counts = {(r.indicator_id, r[RAW_PARTITION]): r["count"] for r in per_day}
         counts, changed = upsert_raw(spark, layout.raw, batch, run_ts, work, day_counts, before_write)
+        _log_answers(spark, layout, judged)
     except BaseException:
         if not (begun or keep_work):
             remove_work(spark, work)
@@ -451,7 +506,7 @@ def ingest_items(
     if not keep_work:
         remove_work(spark, work)
     return RunResult(
-        status=1 if len(ok) < len(checks) else 0,
+        status=1 if any(r.failed for r in checks) else 0,
         checks=[{k: v for k, v in r.asDict().items() if k != "failed"} for r in checks],
         counts=counts,
         changed_days=sorted({*changed, *finished}),

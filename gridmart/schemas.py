@@ -84,6 +84,7 @@ REPORT_WINDOW_DAYS = 30
 # ---------------------------------------------------------------------------
 
 VALUE_TYPE = T.DecimalType(18, 6)
+VERSION_TYPE = T.DecimalType(38, 0)
 
 # One item of an indicator payload. ``value`` and ``geo_id`` are read as text on
 # purpose so a malformed number is detectable (a numeric field would silently
@@ -127,6 +128,8 @@ RAW_TABLE = T.StructType(
     + [
         T.StructField("extracted_at", T.TimestampType(), False),
         T.StructField("updated_at", T.TimestampType(), False),
+        # The answer that a row's value comes from (``ingest.version_of``); NULL where it is not known.
+        T.StructField("version", VERSION_TYPE, True),
     ]
 )
 RAW_KEYS = ("indicator_id", "datetime_utc", "geo_id")

@@ -167,6 +167,60 @@ def refetched_items(events: DataFrame) -> DataFrame:
     )
 
 
+# --- answers fixture ---------------------------------------------------------------
+#
+# Three answers per indicator, a to c, fetched a day apart: a holds every observation, b a third of
+# them revised, c (of two indicators only) new values. Bad answers: a of 2040 repeats keys, and c
+# covers all its days; a of 2051 holds a text for a value, and c covers the days before July only;
+# b of 2041 repeats keys, and nothing newer covers it.
+
+
+def _answer(rows: DataFrame, value: Column, document: str, fetched_at: str) -> DataFrame:
+    return rows.select(
+        "indicator_id", value.alias("value"), F.lit(None).cast("string").alias("datetime"),
+        F.date_format("datetime_utc", _ISO_Z).alias("datetime_utc"), "geo_id", F.lit(False).alias("bad_doc"),
+        F.lit(fetched_at).alias("fetched_at"), F.lit(document).alias("document"),
+    )
+
+
+def answers(events: DataFrame) -> DataFrame:
+    """Payload items of several answers per indicator, some of them bad."""
+    o = observations_with_id(events)
+    eid, ind, text = F.col("event_id"), F.col("indicator_id"), F.col("value").cast("string")
+    plus = lambda n: (F.coalesce("value", F.lit(0).cast(VALUE_TYPE)) + F.lit(n)).cast(VALUE_TYPE).cast("string")
+    first, again = ("a", "2025-01-02 2025-01-02T05:00:00.000000"), ("b", "2025-01-03 2025-01-03T05:00:00.000000")
+    last = ("c", "2025-01-04 2025-01-01T05:00:00.000000")  # landed with an earlier file time
+    a_value = F.when((ind == 2051) & (eid % 31 == 7), F.lit("n/a")).otherwise(text)
+    c_rows = o.where((ind == 2040) | ((ind == 2051) & (F.col("datetime_utc") < F.lit(dt.datetime(2024, 7, 1)))))
+    return (
+        _answer(o, a_value, *first)
+        .unionByName(_answer(o.where((ind == 2040) & (eid % 29 == 2)), text, *first))
+        .unionByName(_answer(o.where(eid % 3 == 0), F.when(eid % 11 != 0, plus(1)), *again))
+        .unionByName(_answer(o.where((ind == 2041) & (eid % 3 == 0) & (eid % 29 == 3)), text, *again))
+        .unionByName(_answer(c_rows, plus(2), *last))
+    )
+
+
+#: Versions fixture: (document, fetch day, every how many observations it holds, what it adds to their values).
+VERSIONS = (("a", "2025-01-02", 1, 0), ("b", "2025-01-03", 2, 1), ("c", "2025-01-04", 3, 1), ("d", "2025-01-05", 5, 0))
+#: The order in which they arrive, and in how many batches.
+ARRIVALS = (("c",), ("a", "d"), ("b",))
+
+
+def versioned_batch(events: DataFrame, documents: tuple[str, ...]) -> DataFrame:
+    """Observations of some of the answers, each with its version (not merged)."""
+    o = observations_with_id(events)
+    out = None
+    for document, day, every, more in VERSIONS:
+        if document in documents:
+            value = F.when(F.col("event_id") % 13 != every, F.col("value") + F.lit(more)).cast(VALUE_TYPE)
+            rows = o.where(F.col("event_id") % every == 0).select(
+                "indicator_id", "datetime_utc", "geo_id", value.alias("value"), F.lit(day).alias("fetched_at"), F.lit(document).alias("document")
+            )
+            out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # --- catalogue fixture ---------------------------------------------------------
 
 

@@ -10,9 +10,12 @@ Re-running a micro-batch after a failure is safe: the upsert is idempotent (a
 second application of the same values leaves every row unchanged).
 
 An answer is a file, so the bound on files per micro-batch changes the pace and
-not the result: keys are duplicates within a file and revisions across files.
-Every micro-batch leaves a row in ``_stream_status``; the items of rejected
-indicators are kept in ``_quarantine`` (their files will not be read again).
+not the result: keys are duplicates within a file and revisions across files, and
+the stored rows carry the version of their answer, so that the newest fetch wins
+in whatever order and grouping the files come. Every micro-batch leaves a row in
+``_stream_status`` with what had failed by then; what is left of it in the end,
+whatever the grouping, is ``warehouse.open_failures``. The items of failed
+answers are kept in ``_quarantine`` (their files will not be read again).
 Use ``available_now=True`` for the scheduled daily run (process what landed,
 then stop) or a processing-time trigger for a continuous service.
 """
@@ -24,11 +27,9 @@ import hashlib
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridmart.plans import warehouse
-from gridmart.schemas import INDICATORS
 from gridmart.session import checkpoint_dir, ensure_utc
 from gridmart.sources import payload
 
@@ -66,13 +67,8 @@ def _process(layout: warehouse.Layout, refresh: bool, log: list | None):
         spark = batch.sparkSession
         items = payload.explode_payload(batch)
         run_ts = dt.datetime.now(dt.timezone.utc)
-        result = warehouse.ingest_items(spark, items, layout, run_ts)
-        if result.failed:
-            # The source will not offer these files again: keep the rejected items, as they came.
-            known = [i for i in result.failed if i is not None]
-            other = ~F.coalesce(F.col("indicator_id").isin(list(INDICATORS)), F.lit(False))
-            rejected = items.where(F.col("indicator_id").isin(known) | (other if None in result.failed else F.lit(False)))
-            rejected.write.mode("overwrite").parquet(f"{quarantine_path(layout.root)}/epoch={epoch_id}")
+        # The source will not offer these files again: the items of failed answers are kept, as they came.
+        result = warehouse.ingest_items(spark, items, layout, run_ts, quarantine=f"{quarantine_path(layout.root)}/epoch={epoch_id}")
         status = [(epoch_id, run_ts, result.status, json.dumps(result.checks, default=str))]
         rows = spark.createDataFrame(status, "epoch long, run_ts timestamp, status int, checks string")
         rows.coalesce(1).write.mode("overwrite").parquet(f"{status_path(layout.root)}/batch={epoch_id}")
