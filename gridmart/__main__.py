@@ -3,11 +3,14 @@
     python -m gridmart ingest    --landing DIR --root DIR [--start YYYY-MM-DD --end YYYY-MM-DD]
     python -m gridmart build     --root DIR [--full-refresh]
     python -m gridmart test      --root DIR            # 17 data tests + source freshness
+    python -m gridmart export    --root DIR --out DIR  # serving extracts of the published marts
     python -m gridmart report    NAME --root DIR [--as-of YYYY-MM-DD]
     python -m gridmart catalogue --file PATH [TEXT]    # indicator catalogue search
 
 ``ingest`` exits 1 when any indicator failed (the others still load); ``test``
-exits 1 on a failing data test or a freshness error. The window is manual when
+exits 1 on a failing data test or a freshness error. ``ingest`` and ``build``
+publish the marts when they have changed; ``report`` and ``export`` read the
+published ones. The window is manual when
 both dates are given (end day included), else the automatic two-day overlap.
 """
 
@@ -28,7 +31,7 @@ def _session(args):
 def cmd_ingest(args) -> int:
     from gridmart.functions.calendar import utc_literal
     from gridmart.operators import ingest
-    from gridmart.plans import warehouse
+    from gridmart.plans import catalog, warehouse
     from gridmart.sources import payload
 
     spark = _session(args)
@@ -42,6 +45,7 @@ def cmd_ingest(args) -> int:
     result = warehouse.ingest_items(spark, items, layout)
     if not args.no_build:
         warehouse.refresh_marts(spark, layout, result.changed_days)
+        catalog.ensure_published(spark, layout)
     print(json.dumps({"window": [str(start), str(end)], "status": result.status, "checks": result.checks,
                       "counts": result.counts, "changed_days": [str(d) for d in result.changed_days]},
                      default=str))
@@ -49,9 +53,22 @@ def cmd_ingest(args) -> int:
 
 
 def cmd_build(args) -> int:
-    from gridmart.plans import warehouse
+    from gridmart.plans import catalog, warehouse
+
+    spark, layout = _session(args), warehouse.Layout(args.root)
+    warehouse.refresh_marts(spark, layout, None)
+    catalog.ensure_published(spark, layout)
+    return 0
+
+
+def cmd_export(args) -> int:
+    from gridmart.plans import catalog, warehouse
+    from gridmart.sources import tables
 
-    warehouse.refresh_marts(_session(args), warehouse.Layout(args.root), None)
+    spark, layout = _session(args), warehouse.Layout(args.root)
+    folder = catalog.ensure_published(spark, layout)
+    written = tables.export_marts(spark, {n: f"{folder}/{n}" for n in warehouse.MART_NAMES}, args.out)
+    print(json.dumps(written))
     return 0
 
 
@@ -112,6 +129,9 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--no-build", action="store_true", help="skip the mart refresh")
     b = sub.add_parser("build")
     b.add_argument("--root", required=True)
+    e = sub.add_parser("export")
+    e.add_argument("--root", required=True)
+    e.add_argument("--out", required=True)
     t = sub.add_parser("test")
     t.add_argument("--root", required=True)
     r = sub.add_parser("report")
@@ -127,7 +147,7 @@ def main(argv: list[str] | None = None) -> int:
     c.add_argument("--rows", type=int, help="print only so many rows")
     c.add_argument("--out", help="write the entries as Parquet instead of printing them")
     args = p.parse_args(argv)
-    return {"ingest": cmd_ingest, "build": cmd_build, "test": cmd_test, "report": cmd_report,
+    return {"ingest": cmd_ingest, "build": cmd_build, "test": cmd_test, "export": cmd_export, "report": cmd_report,
             "catalogue": cmd_catalogue}[args.cmd](args)
 
 

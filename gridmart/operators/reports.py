@@ -27,7 +27,12 @@ def _as_of(as_of: AsOf) -> Column:
 
 
 def _recent(daily: DataFrame, as_of: AsOf, days: int) -> DataFrame:
-    return daily.where(F.col("date_utc") >= F.date_sub(_as_of(as_of), days))
+    """The last ``days`` days. The second condition follows from the first: on a mart stored by month it
+    lies on the partition columns, so that only the window's months are read (at run time, too, where
+    ``as_of`` is a subquery)."""
+    first = F.date_sub(_as_of(as_of), days)
+    in_months = F.col("year") * 12 + F.col("month") >= F.year(first) * 12 + F.month(first)
+    return daily.where((F.col("date_utc") >= first) & in_months)
 
 
 def kpis_window(daily: DataFrame, as_of: AsOf = None, days: int = REPORT_WINDOW_DAYS) -> DataFrame:

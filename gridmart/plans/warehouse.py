@@ -15,10 +15,11 @@ Scale notes:
   them and the batch once by (day, key bucket), resolves each key by an
   aggregation (no join) and rewrites only partitions that actually changed, with
   dynamic partition overwrite. Cost is O(batch days), not O(table).
-* The hourly fact depends only on raw rows of the same UTC day, so a run
-  recomputes the fact for the changed days only and keeps the other days; the
-  daily / impact / monthly marts are rebuilt from the (hour-grained, hence
-  small) fact and daily tables.
+* The marts are stored by month. The hourly fact depends only on raw rows of the
+  same UTC day, so a run recomputes it for the changed days, and only the months
+  of those days are rewritten, in this mart and in those above it (``_refresh``).
+* Readers get published copies (``plans.catalog.publish``): a fresh folder, then
+  one switch.
 * Driver collects are limited to provably small results: per-indicator checks
   (at most one row per registry indicator) and the list of touched days.
 """
@@ -32,6 +33,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridmart.operators import ingest, marts, quality, upsert
 from gridmart.operators.market import fct_hourly_market, hourly_market_from_raw
@@ -317,14 +319,24 @@ def _complete(spark: SparkSession, path: str) -> bool:
     return tables.raw_exists(spark, f"{path}/_SUCCESS")
 
 
+def _refreshed_path(layout: Layout) -> str:
+    return f"{layout.root.rstrip('/')}/_refreshed"
+
+
+def last_refresh(spark: SparkSession, layout: Layout) -> str | None:
+    """A name for the content of the marts: another one after every refresh that changed them."""
+    return tables.read_text(spark, _refreshed_path(layout))
+
+
 def refresh_marts(
     spark: SparkSession, layout: Layout, days: list[dt.date] | None = None, work: str | None = None
 ) -> dict[str, DataFrame]:
-    """Rebuild the marts; with ``days``, recompute the hourly fact of those days only.
+    """Rebuild the marts; with ``days``, only the months of those days.
 
-    Days recorded as pending by earlier loads are added to ``days``, and a mart
-    that is missing or was not written to completion is rebuilt in full, so a
-    refresh that failed or was skipped is repaired by the next one.
+    Days recorded as pending by earlier loads are added to ``days`` (and ``days``
+    are recorded as pending until the end), and a mart that is missing or was not
+    written to completion is rebuilt in full, so a refresh that failed or was
+    skipped is repaired by the next one.
     """
     ensure_utc(spark)
     tables.provision_raw(spark, layout.raw)  # a build before any load gives empty marts
@@ -332,43 +344,151 @@ def refresh_marts(
     work = work or work_folder(spark, "marts")
     pending = pending_days(spark, layout)
     if days is not None:
+        if set(days) - set(pending):
+            add_pending_days(spark, layout, days)
         days = sorted(set(days) | set(pending))
     try:
         out = _refresh(spark, layout, days, work)
-        if pending:
+        if days is None or days or last_refresh(spark, layout) is None:
+            tables.replace_text(spark, _refreshed_path(layout), uuid.uuid4().hex)
+        if pending or days:
             _set_pending(spark, layout, [])
         return out
     finally:
-        if own_work:
+        if own_work and not _unfinished_months(spark, layout, work):
             remove_work(spark, work)
 
 
+#: The marts are stored by month: UTC months, the hourly fact by the local month that its own columns hold.
+MONTH = ("year", "month")
+Month = tuple[int, int]
+
+
+def _month_of(day: dt.date) -> Month:
+    return day.year, day.month
+
+
+def _in_months(months: set[Month]) -> Column:
+    """A predicate on the partition columns alone."""
+    return (F.col("year") * 12 + F.col("month")).isin(sorted(12 * y + m for y, m in months))
+
+
+def stored_months(spark: SparkSession, path: str) -> set[Month]:
+    """Months that have a folder (directory names only)."""
+    if not tables.raw_exists(spark, path):
+        return set()
+    fs, jpath = tables.hadoop_fs(spark, path)
+    out = set()
+    for year in fs.listStatus(jpath):
+        if year.isDirectory() and (name := year.getPath().getName()).startswith("year="):
+            for month in fs.listStatus(year.getPath()):
+                if month.getPath().getName().startswith("month="):
+                    out.add((int(name[5:]), int(month.getPath().getName()[6:])))
+    return out
+
+
+def write_months(df: DataFrame, path: str, mode: str) -> None:
+    """One folder and file a month; a mart without rows is one empty file (a readable table still)."""
+    df.repartition(*MONTH).write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*MONTH).parquet(path)
+    if not stored_months(df.sparkSession, path):
+        empty = df.sparkSession.createDataFrame([], df.schema)
+        empty.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+
+
+def put_months(df: DataFrame, path: str, months: set[Month]) -> None:
+    """``df`` holds the whole content of ``months``: their folders are replaced, the others are not touched.
+
+    ``df`` must not read from ``path``. A month that has no rows any more loses its folder.
+    """
+    fs, _ = tables.hadoop_fs(df.sparkSession, path)
+    for year, month in sorted(months & stored_months(df.sparkSession, path)):
+        fs.delete(tables.hadoop_fs(df.sparkSession, f"{path}/year={year}/month={month}")[1], True)
+    write_months(df, path, "append")
+
+
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
+def mart_models(raw: DataFrame) -> dict[str, DataFrame]:
+    """The four marts of a raw table, unordered."""
+    fct = fct_hourly_market(hourly_market_from_raw(raw.select(*RAW_KEYS, "value")))
+    daily = marts.daily_summary(fct)
+    return dict(zip(MART_NAMES, (fct, daily, marts.price_impact(daily), marts.technology_mix(daily, ordered=False)), strict=True))
+
+
+def read_mart(spark: SparkSession, layout: Layout, name: str) -> DataFrame:
+    """A stored mart; predicates on year and month read their folders only."""
+    if not _SCHEMAS:
+        _SCHEMAS.update({n: df.schema for n, df in mart_models(spark.createDataFrame([], RAW_TABLE)).items()})
+    return spark.read.schema(_SCHEMAS[name]).parquet(layout.mart(name)).select(_SCHEMAS[name].fieldNames())
+
+
+def _months_path(layout: Layout) -> str:
+    return f"{layout.root.rstrip('/')}/_unfinished_months"
+
+
+def _unfinished_months(spark: SparkSession, layout: Layout, work: str | None = None) -> list:
+    """Months of the fact that a refresh had begun to replace (rows year, month, work)."""
+    if not _complete(spark, _months_path(layout)):
+        return []
+    rows = spark.read.schema("year int, month int, work string").parquet(_months_path(layout)).collect()  # one a month
+    return [r for r in rows if work is None or r.work == work]
+
+
+def _finish_months(spark: SparkSession, layout: Layout) -> None:
+    """Put the fact's staged months in place: now, or after a run that died while it did."""
+    if rows := _unfinished_months(spark, layout):
+        staged = spark.read.schema(read_mart(spark, layout, MART_NAMES[0]).schema).parquet(f"{rows[0].work}/fct_hourly_market")
+        put_months(staged, layout.mart("fct_hourly_market"), {(r.year, r.month) for r in rows})
+        remove_work(spark, _months_path(layout))
+
+
 def _refresh(spark: SparkSession, layout: Layout, days: list[dt.date] | None, work: str) -> dict[str, DataFrame]:
-    fct_path = layout.mart("fct_hourly_market")
-    fct_ok = _complete(spark, fct_path)
-    downstream_ok = all(_complete(spark, layout.mart(n)) for n in MART_NAMES[1:])
-    if days == [] and fct_ok and downstream_ok:
-        return {n: spark.read.parquet(layout.mart(n)) for n in MART_NAMES}
+    """Hours, then days, then months: each level is the mergeable state of the next, and only changed months move.
+
+    The hourly fact of a UTC day depends on that day's raw partition alone, so only changed days are computed
+    anew; their months are staged with the unchanged days of the stored fact and put in place. Daily and impact
+    rows of a month come from its hours, a row of the monthly mix from its days.
+    """
+    _finish_months(spark, layout)
+    paths = {n: layout.mart(n) for n in MART_NAMES}
+    usable = {n: _complete(spark, p) and bool(stored_months(spark, p)) for n, p in paths.items()}
+    read = lambda n: read_mart(spark, layout, n)
+    if days == [] and all(_complete(spark, p) for p in paths.values()):
+        return {n: read(n) for n in MART_NAMES}
     raw = tables.read_raw(spark, layout.raw)
-    if days is None or not fct_ok:
-        fresh = fct_hourly_market(hourly_market_from_raw(raw.select(*RAW_KEYS, "value")))
-        fresh.write.mode("overwrite").parquet(fct_path)
-    elif days:
-        recent = raw.where(F.col(RAW_PARTITION).isin(days)).select(*RAW_KEYS, "value")
-        fresh = fct_hourly_market(hourly_market_from_raw(recent))
-        # The old fact is read, so the new one is staged first, then copied over.
-        # If the copy fails, the fact has no _SUCCESS and the next refresh rebuilds it.
-        kept = spark.read.parquet(fct_path).where(~F.col("date_utc").isin(days))
-        staged_fct = f"{work}/fct_hourly_market"
-        kept.unionByName(fresh).write.mode("overwrite").parquet(staged_fct)
-        spark.read.parquet(staged_fct).write.mode("overwrite").parquet(fct_path)
-
-    fct = spark.read.parquet(fct_path)
-    tables.write_table(marts.daily_summary(fct), layout.mart("mart_daily_summary"))
-    daily = spark.read.parquet(layout.mart("mart_daily_summary"))
-    tables.write_table(marts.price_impact(daily), layout.mart("mart_renewables_price_impact"))
-    tables.write_table(marts.technology_mix(daily, ordered=False), layout.mart("mart_technology_mix"))
-    return {n: spark.read.parquet(layout.mart(n)) for n in MART_NAMES}
+    fct_name, daily_name, impact_name, mix_name = MART_NAMES
+    months: set[Month] | None = None
+    if days is None or not usable[fct_name]:
+        write_months(mart_models(raw)[fct_name], paths[fct_name], "overwrite")
+    else:
+        months = {_month_of(d) for d in days}
+        if days:
+            # A UTC day's hours lie in its own local month or, at the end of one, in the next.
+            local = months | {_month_of(d + dt.timedelta(days=1)) for d in days}
+            fresh = mart_models(raw.where(F.col(RAW_PARTITION).isin(days)))[fct_name]
+            kept = read(fct_name).where(_in_months(local) & ~F.col("date_utc").isin(days))
+            staged = f"{work}/fct_hourly_market"
+            kept.unionByName(fresh).repartition(*MONTH).write.mode("overwrite").parquet(staged)
+            marks = spark.createDataFrame([(y, m, work) for y, m in sorted(local)], "year int, month int, work string")
+            marks.coalesce(1).write.mode("overwrite").parquet(_months_path(layout))
+            _finish_months(spark, layout)
+
+    following = lambda wanted: wanted | {(y + m // 12, m % 12 + 1) for y, m in wanted}
+
+    def put(name: str, of: str, model: Callable[[DataFrame], DataFrame], source_months: Callable[[set[Month]], set[Month]]) -> None:
+        if months is None or not usable[name]:
+            write_months(model(read(of)), paths[name], "overwrite")
+        elif months:
+            source = read(of).where(_in_months(source_months(months)))
+            own = F.col("date_utc")
+            source = source.where((F.year(own) * 12 + F.month(own)).isin(sorted(12 * y + m for y, m in months)))
+            put_months(model(source), paths[name], months)
+
+    put(daily_name, fct_name, marts.daily_summary, following)
+    put(impact_name, daily_name, marts.price_impact, lambda m: m)
+    put(mix_name, daily_name, lambda daily: marts.technology_mix(daily, ordered=False), lambda m: m)
+    return {n: read(n) for n in MART_NAMES}
 
 
 def _unfinished_path(layout: Layout) -> str:
@@ -533,5 +653,5 @@ def run(
 def checks_report(spark: SparkSession, layout: Layout, as_of: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
     """Declared data tests over the stored tables and the source freshness."""
     raw = tables.read_raw(spark, layout.raw)
-    stored = {n: spark.read.parquet(layout.mart(n)) for n in MART_NAMES}
+    stored = {n: read_mart(spark, layout, n) for n in MART_NAMES}
     return quality.data_checks(raw, stored), quality.freshness(raw, as_of)

@@ -32,6 +32,32 @@ def raw_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(jpath))
 
 
+def replace_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that readers see the old or the new text: written aside, then renamed over it."""
+    jvm = spark.sparkContext._jvm
+    fs, target = hadoop_fs(spark, path)
+    _, aside = hadoop_fs(spark, f"{path}.new")
+    out = fs.create(aside, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(aside, target, options)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, None if there is none."""
+    fs, jpath = hadoop_fs(spark, path)
+    if not fs.exists(jpath):
+        return None
+    stream = fs.open(jpath)
+    try:
+        return bytes(spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)).decode()
+    finally:
+        stream.close()
+
+
 def existing_days(spark: SparkSession, path: str) -> set[dt.date]:
     """Days that already have a raw partition (directory names only, no data read)."""
     if not raw_exists(spark, path):
@@ -96,18 +122,6 @@ def read_technologies(spark: SparkSession, path: str | None = None) -> DataFrame
     return spark.read.schema(TECHNOLOGY).option("header", "true").option("encoding", "UTF-8").csv(path)
 
 
-def write_table(df: DataFrame, path: str, partition_by: str | None = None) -> None:
-    """Full rebuild of a mart (tables are rebuilt in full on every run)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(partition_by)
-    w.parquet(path)
-
-
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
-
-
 def export_marts(spark: SparkSession, mart_paths: dict[str, str], out_dir: str) -> dict[str, str]:
     """Serving extracts: ``select *`` of each mart, written next to each other."""
     written = {}
