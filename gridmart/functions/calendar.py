@@ -26,23 +26,47 @@ def utc_literal(value: dt.datetime) -> Column:
     return F.lit(value).cast("timestamp")
 
 
-#: ISO 8601 in extended and basic form; the zone is an offset or Z (naive is UTC).
+#: ISO 8601 in extended form; the zone is an offset or Z (naive is UTC).
 _ISO_EXTENDED = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
-_ISO_BASIC = r"^(\d{4})(\d{2})(\d{2})(?:[T ](\d{2})(\d{2})?(\d{2})?((?:[.,]\d{1,9})?)(Z|[+-]\d{2}(?::?\d{2})?)?)?$"
+#: Year, week and day (Monday is 1 and may be left out), extended or basic; then the time.
+_ISO_WEEK = r"^(\d{4})(?:-W(\d{2})(?:-(\d))?|W(\d{2})(\d)?)((?:[T ].*)?)$"
+
+
+def week_date(year: Column, week: Column, day: Column) -> Column:
+    """The date of an ISO week date, NULL if there is none (integers; Monday is 1).
+
+    Week 1 is the week of 4 January, and a week belongs to the year of its Thursday: that tells whether a
+    year has a week 53.
+    """
+    first = F.make_date(year, F.lit(1), F.lit(4))
+    monday = F.date_add(F.date_sub(first, F.weekday(first)), (week - 1) * 7)
+    valid = week.between(1, 53) & day.between(1, 7) & (F.year(F.date_add(monday, 3)) == year)
+    return F.when(valid, F.date_add(monday, day - 1))
+
+
+def _calendar_text(text: Column) -> Column:
+    """A text that begins with an ISO week date, with the calendar date instead."""
+    part = lambda *groups: F.coalesce(*[F.nullif(F.regexp_extract(text, _ISO_WEEK, g), F.lit("")) for g in groups])
+    number = lambda c: c.try_cast("int")
+    day = F.coalesce(number(part(3, 5)), F.lit(1))
+    date = week_date(number(part(1)), number(part(2, 4)), day)
+    return F.concat(F.date_format(date, "yyyy-MM-dd"), F.regexp_extract(text, _ISO_WEEK, 6))
 
 
 def iso_timestamp(text: Column) -> Column:
-    """Instant of an ISO 8601 date or date-time; anything else is NULL.
+    """Instant of an ISO 8601 date or date-time (calendar or week date, extended or basic); anything else is NULL.
 
     Spark's own cast is wider: it reads '12:34' as a time of the current day, '2024' as a date,
-    and region names as zones. Those are refused here before the cast. ISO week dates are refused too.
+    and region names as zones. Those are refused here before the cast.
     """
-    digits = F.regexp_replace(text, _ISO_BASIC, "$1-$2-$3T$4:$5:$6$7$8")
-    # Basic forms may end early: fill the missing minutes and seconds, or drop an empty time.
-    basic = F.regexp_replace(F.regexp_replace(F.regexp_replace(digits, "T::$", ""), "::(?=$|[Z+-])", ":00:00"), ":(?=$|[Z+-])", ":00")
-    extended = F.regexp_replace(text, r"^(.{10}[T ]\d{2})(?=$|[Z+-])", "$1:00")
-    chosen = F.when(text.rlike(_ISO_EXTENDED), extended).when(text.rlike(_ISO_BASIC), basic)
-    return F.translate(chosen, ",", ".").try_cast("timestamp")
+    dated = F.when(text.rlike(_ISO_WEEK), _calendar_text(text)).otherwise(
+        F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", "$1-$2-$3")
+    )
+    # A basic time may end after its minutes; the cast wants minutes and seconds.
+    timed = F.regexp_replace(dated, r"^(.{10}[T ]\d{2})(\d{2})(\d{2}(?:[.,]\d{1,9})?)(?=$|[Z+-])", "$1:$2:$3")
+    timed = F.regexp_replace(timed, r"^(.{10}[T ]\d{2})(\d{2})(?=$|[Z+-])", "$1:$2:00")
+    full = F.regexp_replace(timed, r"^(.{10}[T ]\d{2})(?=$|[Z+-])", "$1:00")
+    return F.when(full.rlike(_ISO_EXTENDED), F.translate(full, ",", ".")).try_cast("timestamp")
 
 
 def hour_utc(ts: Column | str) -> Column:
@@ -50,16 +74,6 @@ def hour_utc(ts: Column | str) -> Column:
     return F.date_trunc("hour", F.col(ts) if isinstance(ts, str) else ts)
 
 
-def day_utc(ts: Column | str) -> Column:
-    """UTC midnight of an instant, as a timestamp (day grain)."""
-    return F.date_trunc("day", F.col(ts) if isinstance(ts, str) else ts)
-
-
-def month_start(d: Column | str) -> Column:
-    """First instant of the month (UTC) of a date or timestamp."""
-    return F.date_trunc("month", F.col(d) if isinstance(d, str) else d)
-
-
 def to_local(ts: Column | str, tz: str = LOCAL_TZ) -> Column:
     """UTC instant -> local wall-clock time without zone (TIMESTAMP_NTZ).
 

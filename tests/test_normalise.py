@@ -35,6 +35,22 @@ TIMES = [
     ("", "2027-03-04T09:00:00", "2027-03-04T09:00:00"),
     (None, "2027-03-04T09:00:00", "2027-03-04T09:00:00"),
     ("2027-03-04T01:00:00Z", "2027-03-04T09:00:00", "2027-03-04T01:00:00"),
+    ("2027-W09-4", None, "2027-03-04T00:00:00"),
+    ("2027W094T050607Z", None, "2027-03-04T05:06:07"),
+    ("2027-W09T05:06:07+02:00", None, "2027-03-01T03:06:07"),
+    ("2027W09", None, "2027-03-01T00:00:00"),
+    ("2026-W53-7 23:00", None, "2027-01-03T23:00:00"),
+    ("2026-W01-1", None, "2025-12-29T00:00:00"),
+    ("20270304T05:06:07.5Z", None, "2027-03-04T05:06:07.500000"),
+    ("2027-03-04T0506Z", None, "2027-03-04T05:06:00"),
+    ("2027-W53-1", None, None),
+    ("2027-W00-1", None, None),
+    ("2027-W09-0", None, None),
+    ("2027-W09-8", None, None),
+    ("2027-W9-4", None, None),
+    ("2027-W094", None, None),
+    ("2027W09-4", None, None),
+    ("2027-W09-4T25:00", None, None),
     ("tomorrow", "2027-03-04T09:00:00", None),
     ("12:34", None, None),
     ("T10:00", None, None),
@@ -49,6 +65,14 @@ TIMES = [
     ("", "", None),
 ]
 
+@pytest.mark.parametrize("form", ["%G-W%V-%u", "%GW%V%u"])
+def test_week_dates_of_forty_years(spark, form):
+    days = [dt.date(2000, 1, 1) + dt.timedelta(days=k) for k in range(0, 14700, 3)] + [dt.date(y, m, d) for y in range(2000, 2041) for m, d in ((12, 31), (1, 1))]
+    rows = [{"id": k, "utc": d.strftime(form)} for k, d in enumerate(days)]
+    got = {r.indicator_id: r.datetime_utc.date() for r in ingest.normalise(items(spark, rows)).collect()}
+    assert got == dict(enumerate(days))
+
+
 VALUES = [
     # text, expected, bad
     ("17.125", "17.125", False),
