@@ -36,13 +36,17 @@ def cmd_ingest(args) -> int:
 
     spark = _session(args)
     start, end = ingest.extraction_window(args.start, args.end)
-    items = payload.explode_payload(payload.read_payload_files(spark, args.landing, not args.json_lines, start.date()))
+    work = warehouse.work_folder(spark, "landing")
+    items = payload.read_items(spark, args.landing, not args.json_lines, start.date(), work=work)
     # Items with a valid time outside the run's window are not part of this run;
     # items whose time is unreadable stay, so they still reject their indicator.
     at = ingest.item_time(items)
     items = items.where(at.isNull() | ((at >= utc_literal(start)) & (at < utc_literal(end))))
     layout = warehouse.Layout(args.root)
-    result = warehouse.ingest_items(spark, items, layout)
+    try:
+        result = warehouse.ingest_items(spark, items, layout)
+    finally:
+        warehouse.remove_work(spark, work)
     if not args.no_build:
         warehouse.refresh_marts(spark, layout, result.changed_days)
         catalog.ensure_published(spark, layout)

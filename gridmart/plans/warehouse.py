@@ -644,8 +644,12 @@ def run(
 ) -> RunResult:
     """Daily run: landed payloads -> raw upsert -> marts (incremental unless ``full_refresh``)."""
     layout = Layout(root)
-    items = payload.explode_payload(payload.read_payload_files(spark, landing_path, multiline))
-    result = ingest_items(spark, items, layout, run_ts)
+    work = work_folder(spark, "landing")
+    try:
+        items = payload.read_items(spark, landing_path, multiline, work=work)
+        result = ingest_items(spark, items, layout, run_ts)
+    finally:
+        remove_work(spark, work)
     refresh_marts(spark, layout, None if full_refresh else result.changed_days)
     return result
 
