@@ -8,9 +8,10 @@ that occur more than once come from the same aggregation (NULL keys are ignored
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +28,7 @@ CHECK_SCHEMA = T.StructType(
 )
 
 # Declared tests, in declaration order: raw source not_null; mart unique + not_null.
+SOURCE = "indicator_values"
 SOURCE_NOT_NULL = ("indicator_id", "datetime_utc", "geo_id", "extracted_at")
 MART_TESTS = (
     ("fct_hourly_market", "hour_utc", ("unique", "not_null")),
@@ -69,22 +71,57 @@ def model_checks(df: DataFrame, model: str, not_null: Iterable[str], unique: str
     return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
 
+def _tests_of(model: str) -> tuple[list[str], str | None]:
+    """(columns that must not be NULL, the column that must be unique) of a model."""
+    if model == SOURCE:
+        return list(SOURCE_NOT_NULL), None
+    own = [(column, tests) for m, column, tests in MART_TESTS if m == model]
+    unique = [c for c, tests in own if "unique" in tests]
+    return [c for c, tests in own if "not_null" in tests], unique[0] if unique else None
+
+
+def observed(df: DataFrame, model: str, within: Iterable[str] = ()) -> tuple[DataFrame, Observation]:
+    """``df`` with a model's checks measured by whatever action runs over it: write it, then read the observation.
+
+    A key that must be unique is numbered among its equals. ``within`` names columns that follow from
+    the key and by which ``df`` is partitioned already: the numbering then needs no further exchange.
+    """
+    not_null, unique = _tests_of(model)
+    metrics = [F.count_if(F.col(c).isNull()).alias(f"{c} not_null") for c in not_null]
+    watch = Observation(f"{model}-{uuid.uuid4().hex}")
+    if unique is None:
+        return df.observe(watch, *metrics), watch
+    nth = F.row_number().over(Window.partitionBy(*within, unique).orderBy(unique))
+    # The second of equal keys stands for a value that occurs more than once.
+    metrics.append(F.count_if(F.col(unique).isNotNull() & (F.col("_nth") == 2)).alias(f"{unique} unique"))
+    return df.withColumn("_nth", nth).observe(watch, *metrics).drop("_nth"), watch
+
+
+def check_rows(spark: SparkSession, found: dict[str, dict[str, int]]) -> DataFrame:
+    """Observed failures ({model: {"column test": failures}}) as check rows."""
+    rows = [(model, *name.rsplit(" ", 1), int(n)) for model, metrics in found.items() for name, n in metrics.items()]
+    return spark.createDataFrame(rows, CHECK_SCHEMA)
+
+
 def data_checks(raw: DataFrame, marts: dict[str, DataFrame]) -> DataFrame:
     """All declared tests: 4 source not_null + 4 unique + 9 not_null on the marts = 17 rows; each table read once."""
-    out = model_checks(raw, "indicator_values", SOURCE_NOT_NULL)
+    out = model_checks(raw, SOURCE, *_tests_of(SOURCE))
     for model in dict.fromkeys(m for m, _, _ in MART_TESTS):
-        own = [(column, tests) for m, column, tests in MART_TESTS if m == model]
-        unique = [c for c, tests in own if "unique" in tests]
-        out = out.unionByName(model_checks(marts[model], model, [c for c, t in own if "not_null" in t], unique[0] if unique else None))
+        out = out.unionByName(model_checks(marts[model], model, *_tests_of(model)))
     return out
 
 
-def freshness(raw: DataFrame, as_of: dt.datetime | Column | None = None,
+def freshness(raw: DataFrame, as_of: dt.datetime | Column | list[dt.datetime] | None = None,
               loaded_at: str = "extracted_at") -> DataFrame:
-    """Source freshness on ``loaded_at``: pass / warn (> 36 h) / error (> 72 h), one row."""
-    now = F.current_timestamp() if as_of is None else (
-        as_of if isinstance(as_of, Column) else utc_literal(as_of))
+    """Source freshness on ``loaded_at``: pass / warn (> 36 h) / error (> 72 h); one row a time asked for.
+
+    The source is read once, however many times are asked for.
+    """
     latest = raw.agg(F.max(loaded_at).alias("max_loaded_at"))
+    now = F.current_timestamp() if as_of is None else (
+        as_of if isinstance(as_of, Column) else utc_literal(as_of) if not isinstance(as_of, list) else F.col("_now"))
+    if isinstance(as_of, list):
+        latest = latest.select("max_loaded_at", F.explode(F.array(*map(utc_literal, as_of))).alias("_now"))
     age = F.unix_micros(now) - F.unix_micros(F.col("max_loaded_at"))
     warn_us = FRESHNESS_WARN_HOURS * 3_600_000_000
     err_us = FRESHNESS_ERROR_HOURS * 3_600_000_000

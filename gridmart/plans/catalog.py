@@ -20,7 +20,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmart.operators import reports
+from gridmart.operators import market, reports
 from gridmart.plans.models import build_models
 from gridmart.plans.warehouse import MART_NAMES, Layout, last_refresh, read_mart
 from gridmart.schemas import RAW_KEYS
@@ -104,6 +104,30 @@ def register(spark: SparkSession, layout: Layout, db: str = "analytics_marts") -
         getattr(models, attr).createOrReplaceTempView(view)
 
 
+#: Hours in a bucket of the hourly tables: ten years are about 88,000.
+BUCKET_HOURS = 100_000
+HOURLY = {"hourly_prices_by_hour": "hourly_price", "hourly_generation_by_hour": "hourly_generation"}
+
+
+def store_hourly(spark: SparkSession, layout: Layout, db: str = "analytics_staging", buckets: int | None = None) -> DataFrame:
+    """Hourly prices and generation as tables bucketed and sorted by the hour; returns the market joined from them.
+
+    Equal bucketing places the rows of an hour in the same bucket of both tables: the join (and any other
+    on the hour) reads them bucket by bucket, without an exchange or a sort.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    models = build_models(tables.read_raw(spark, layout.raw).select(*RAW_KEYS, "value"))
+    if buckets is None:
+        days = len(tables.existing_days(spark, layout.raw))  # folder names
+        buckets = max(1, -(-24 * days // BUCKET_HOURS))
+    for name, attr in HOURLY.items():
+        rows = getattr(models, attr).repartition(buckets, "hour_utc")  # one file a bucket
+        writer = rows.write.mode("overwrite").bucketBy(buckets, "hour_utc").sortBy("hour_utc")
+        writer.option("path", f"{layout.root.rstrip('/')}/hourly/{name}").saveAsTable(f"{db}.{name}")
+    prices, generation = (spark.table(f"{db}.{name}") for name in HOURLY)
+    return market.hourly_market(prices, generation)
+
+
 def reports_over(marts: dict[str, DataFrame], as_of: dt.date | None = None) -> dict[str, Callable[[], DataFrame]]:
     """The report queries (``operators.reports``) bound to a set of marts."""
     daily, fct = marts["mart_daily_summary"], marts["fct_hourly_market"]

@@ -27,6 +27,7 @@ Scale notes:
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -387,15 +388,42 @@ def stored_months(spark: SparkSession, path: str) -> set[Month]:
     return out
 
 
-def write_months(df: DataFrame, path: str, mode: str) -> None:
-    """One folder and file a month; a mart without rows is one empty file (a readable table still)."""
-    df.repartition(*MONTH).write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*MONTH).parquet(path)
+def _checks_path(layout: Layout, model: str) -> str:
+    return f"{layout.root.rstrip('/')}/_checks/{model}"
+
+
+def observed_checks(spark: SparkSession, layout: Layout, model: str) -> dict[str, int] | None:
+    """Failures of a model's checks as its writes have measured them; None where they are not known."""
+    text = tables.read_text(spark, _checks_path(layout, model))
+    return json.loads(text) if text else None
+
+
+def _keep_checks(spark: SparkSession, layout: Layout, model: str, found: dict[str, int], whole: bool) -> None:
+    """What a write has measured: of the whole table, or of the parts that it has replaced.
+
+    The failures of replaced parts are not known by themselves. Where the table had none, what the
+    write has found is all there is; where it had some, they are unknown from then on, and the next
+    report counts them (and keeps the counts).
+    """
+    before = {} if whole else observed_checks(spark, layout, model)
+    clean = before is not None and not any(before.values())
+    tables.replace_text(spark, _checks_path(layout, model), json.dumps(found) if clean else "")
+
+
+def write_months(df: DataFrame, path: str, mode: str) -> dict[str, int]:
+    """One folder and file a month; a mart without rows is one empty file (a readable table still).
+
+    Returns the failures of the mart's declared checks among the rows written, measured by the write.
+    """
+    placed, watch = quality.observed(df.repartition(*MONTH), path.rstrip("/").rsplit("/", 1)[1], MONTH)
+    placed.write.mode(mode).option("partitionOverwriteMode", "static").partitionBy(*MONTH).parquet(path)
     if not stored_months(df.sparkSession, path):
         empty = df.sparkSession.createDataFrame([], df.schema)
         empty.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(path)
+    return watch.get
 
 
-def put_months(df: DataFrame, path: str, months: set[Month]) -> None:
+def put_months(df: DataFrame, path: str, months: set[Month]) -> dict[str, int]:
     """``df`` holds the whole content of ``months``: their folders are replaced, the others are not touched.
 
     ``df`` must not read from ``path``. A month that has no rows any more loses its folder.
@@ -403,7 +431,7 @@ def put_months(df: DataFrame, path: str, months: set[Month]) -> None:
     fs, _ = tables.hadoop_fs(df.sparkSession, path)
     for year, month in sorted(months & stored_months(df.sparkSession, path)):
         fs.delete(tables.hadoop_fs(df.sparkSession, f"{path}/year={year}/month={month}")[1], True)
-    write_months(df, path, "append")
+    return write_months(df, path, "append")
 
 
 _SCHEMAS: dict[str, T.StructType] = {}
@@ -439,7 +467,8 @@ def _finish_months(spark: SparkSession, layout: Layout) -> None:
     """Put the fact's staged months in place: now, or after a run that died while it did."""
     if rows := _unfinished_months(spark, layout):
         staged = spark.read.schema(read_mart(spark, layout, MART_NAMES[0]).schema).parquet(f"{rows[0].work}/fct_hourly_market")
-        put_months(staged, layout.mart("fct_hourly_market"), {(r.year, r.month) for r in rows})
+        found = put_months(staged, layout.mart("fct_hourly_market"), {(r.year, r.month) for r in rows})
+        _keep_checks(spark, layout, "fct_hourly_market", found, False)
         remove_work(spark, _months_path(layout))
 
 
@@ -460,7 +489,7 @@ def _refresh(spark: SparkSession, layout: Layout, days: list[dt.date] | None, wo
     fct_name, daily_name, impact_name, mix_name = MART_NAMES
     months: set[Month] | None = None
     if days is None or not usable[fct_name]:
-        write_months(mart_models(raw)[fct_name], paths[fct_name], "overwrite")
+        _keep_checks(spark, layout, fct_name, write_months(mart_models(raw)[fct_name], paths[fct_name], "overwrite"), True)
     else:
         months = {_month_of(d) for d in days}
         if days:
@@ -478,12 +507,12 @@ def _refresh(spark: SparkSession, layout: Layout, days: list[dt.date] | None, wo
 
     def put(name: str, of: str, model: Callable[[DataFrame], DataFrame], source_months: Callable[[set[Month]], set[Month]]) -> None:
         if months is None or not usable[name]:
-            write_months(model(read(of)), paths[name], "overwrite")
+            _keep_checks(spark, layout, name, write_months(model(read(of)), paths[name], "overwrite"), True)
         elif months:
             source = read(of).where(_in_months(source_months(months)))
             own = F.col("date_utc")
             source = source.where((F.year(own) * 12 + F.month(own)).isin(sorted(12 * y + m for y, m in months)))
-            put_months(model(source), paths[name], months)
+            _keep_checks(spark, layout, name, put_months(model(source), paths[name], months), False)
 
     put(daily_name, fct_name, marts.daily_summary, following)
     put(impact_name, daily_name, marts.price_impact, lambda m: m)
@@ -655,7 +684,16 @@ def run(
 
 
 def checks_report(spark: SparkSession, layout: Layout, as_of: dt.datetime | None = None) -> tuple[DataFrame, DataFrame]:
-    """Declared data tests over the stored tables and the source freshness."""
+    """Declared data tests over the stored tables and the source freshness.
+
+    The tests of the marts are those that their writes have measured; a mart whose failures are not known
+    (``_keep_checks``) is read, and the raw table always is, together with its freshness.
+    """
     raw = tables.read_raw(spark, layout.raw)
-    stored = {n: read_mart(spark, layout, n) for n in MART_NAMES}
-    return quality.data_checks(raw, stored), quality.freshness(raw, as_of)
+    known, out = {n: observed_checks(spark, layout, n) for n in MART_NAMES}, quality.model_checks(raw, quality.SOURCE, quality.SOURCE_NOT_NULL)
+    for name in MART_NAMES:
+        if known[name] is None:
+            rows = quality.model_checks(read_mart(spark, layout, name), name, *quality._tests_of(name)).collect()  # one a test
+            known[name] = {f"{r.column_name} {r.test_name}": r.failures for r in rows}
+            tables.replace_text(spark, _checks_path(layout, name), json.dumps(known[name]))
+    return out.unionByName(quality.check_rows(spark, known)), quality.freshness(raw, as_of)

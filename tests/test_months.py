@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridmart.__main__ import main
-from gridmart.operators import reports
+from gridmart.operators import market, quality, reports
 from gridmart.plans import catalog, warehouse
 from gridmart.sources import tables
 from test_recovery import Lost, items_of
@@ -179,6 +179,61 @@ def test_readers_see_the_old_marts_or_the_new_ones(spark, built, monkeypatch):
     assert catalog.published_folder(spark, built).rsplit("/", 1)[1] in folders
 
 
+def as_rows(df):
+    return sorted(map(tuple, df.collect()))
+
+
+def test_writes_measure_the_checks(spark, built, monkeypatch):
+    """Observed while writing: equal to reading the tables, and the marts are not read again."""
+
+    def counted():
+        marts = {n: warehouse.read_mart(spark, built, n) for n in warehouse.MART_NAMES}
+        return as_rows(quality.data_checks(tables.read_raw(spark, built.raw), marts))
+
+    def no_scan(*args):
+        raise AssertionError(args)
+
+    assert len(counted()) == 17 and not any(r[3] for r in counted())
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "read_mart", no_scan)
+        clean_rows = as_rows(warehouse.checks_report(spark, built)[0])
+    assert clean_rows == counted()
+    revise(spark, built, day("2027-02-27", 6, -14.0))  # totals of -14 to 8: some hours have no share
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "read_mart", no_scan)
+        broken = as_rows(warehouse.checks_report(spark, built)[0])
+    assert broken == counted() and {r[1]: r[3] for r in broken if r[0] == "fct_hourly_market" and r[2] == "not_null"}["renewable_pct"] == 8
+    revise(spark, built, day("2027-02-27", 6) + day("2027-01-15", 3, -100.0), "2027-01-07")  # not known from the write alone: read once
+    assert as_rows(warehouse.checks_report(spark, built)[0]) == counted()
+    with monkeypatch.context() as m:
+        m.setattr(warehouse, "read_mart", no_scan)
+        assert as_rows(warehouse.checks_report(spark, built)[0])[0][3] >= 0
+
+
+def test_observed_checks_find_duplicates_and_nulls(spark):
+    rows = [(2027, 1, dt.date(2027, 1, d), v) for d, v in ((1, 1), (1, 2), (1, None), (2, 1), (3, 1), (3, None))] + [(2027, 2, None, 1), (2027, 2, None, 2)]
+    df = spark.createDataFrame(rows, "year int, month int, date_utc date, renewable_pct int")
+    placed, watch = quality.observed(df.repartition(*warehouse.MONTH), "mart_renewables_price_impact", warehouse.MONTH)
+    assert placed._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert placed.count() == 8 and placed.columns == df.columns
+    got = as_rows(quality.check_rows(spark, {"mart_renewables_price_impact": watch.get}))
+    assert got == as_rows(quality.model_checks(df, "mart_renewables_price_impact", ["date_utc", "renewable_pct"], "date_utc"))
+    assert {(r[1], r[2]): r[3] for r in got} == {("date_utc", "not_null"): 2, ("date_utc", "unique"): 2, ("renewable_pct", "not_null"): 2}
+
+
+def test_hourly_tables_join_without_an_exchange(spark, built):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        joined = catalog.store_hourly(spark, built, "gm_hourly", buckets=4)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
+        want = market.hourly_market_from_raw(tables.read_raw(spark, built.raw).select("indicator_id", "datetime_utc", "geo_id", "value"))
+        assert sorted(map(tuple, joined.collect())) == sorted(map(tuple, want.select(joined.columns).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_extracts_from_the_command_line(spark, built, scratch, capsys):
     assert main(["--master", "local[4]", "export", "--root", built.root, "--out", f"{scratch}/out"]) == 0
     written = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
