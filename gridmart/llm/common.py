@@ -52,6 +52,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def remove(table: DataFrame) -> None:
+    """Delete the files of a ``stored`` table that nothing will read again."""
+    spark = table.sparkSession
+    jvm, folders = spark.sparkContext._jvm, {f.rsplit("/", 1)[0] for f in table.inputFiles()}
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def words(text: Column) -> Column:
     """The words of a text as an array (null or blank text: empty array), JVM-side."""
     trimmed = F.btrim(text, F.lit(SPACES))

@@ -13,16 +13,18 @@ by the Chinese-restaurant rule, given the totals after the sweep before, then th
 customer block of an eighth of those seated is seated against the same counts.) Probabilities are
 averaged over the last ``SAMPLES`` sweeps; discounts are estimated from counts of counts.
 
-Distribution: chunks of coded texts (``chunks.py``) send their distinct training pairs (context, word) to
-the part of the pair's hash, which sums the counts and holds the seating: a frequent word's pairs lie in
-all parts. Sums over pairs, by context and by word, are kept by the parts of the key space: a pair part
-sends each of its keys once per sweep, and gets back the context's tables and the word's customers and
-tables. At the end both kinds of parts answer each chunk for its own pairs and words. Restaurants grow with
-the corpus and stay distributed; the driver sees only totals. Sampling is seeded by part and sweep, so
-retries agree. 64-bit hashes stand for words and pairs.
-
-With a number of ``contexts`` the context is instead one of so many classes of the last word of at most three
-bytes, whose totals the driver holds (a smaller model, for comparison).
+Distribution: chunks of coded texts (``chunks.py``) send their distinct training pairs to the part of the
+context's key, which sums the counts and holds the seating of its restaurants, so that all of a context is
+in one place: its customers and tables never travel. The parent's customers are sums over contexts, by word:
+in every sweep a part sends the words of its pairs with their tables to the parts of the words, which seat
+the parent and answer with its customers and tables. What a sweep has seated (the tables of every pair) passes
+through with the sums, so the next one begins there. At the end both kinds of parts answer each chunk for its
+own pairs and words. Restaurants grow with the corpus and stay distributed; the driver sees only totals.
+Sampling is seeded by part and sweep, so retries agree. 64-bit hashes stand for words. A hot context (the
+start of a text, a frequent word) is one part's work: its distinct pairs are at most the distinct words.
+
+Each sweep's result is written to the shared folder, the one before it is removed, and the shuffles behind
+it are given up, so the disk holds one sweep at a time.
 
 Defined cases: a null or empty text is the end token alone; a null doc_id counts as ''; without training
 texts every token is unknown with probability 1; repeated rows are scored alike; an empty table gives an
@@ -31,15 +33,16 @@ empty result; other columns are not read.
 
 from __future__ import annotations
 
+import gc
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm import chunks as C
-from gridmart.llm.common import stored
+from gridmart.llm.common import remove, stored
 
-SHORT = 3
 SWEEPS = 3
 SAMPLES = 2
 STRENGTH = 1.0
@@ -50,19 +53,15 @@ PAIRS_PER_KEY = 3
 #: Words whose key a worker remembers before it starts anew (results do not depend on it).
 CACHE_WORDS = 200_000
 END, START = b" end ", b" start "  # no word holds a space
-WORD_SCHEMA = "part int, keys binary, counts binary"
-TOTAL_SCHEMA = "name int, value double"
-#: Names of totals beside the context classes (from 0 on).
-TABLES, WORDS, TOKENS, ONES, TWOS, ROOT_ONES, ROOT_TWOS = range(-1, -8, -1)
 
 
 class _Keys(dict):
-    """64-bit hash of a word whose lowest bit tells short words."""
+    """64-bit hash of a word."""
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        out = self[word] = xxhash.xxh64_intdigest(word) & ~1 | (len(word) <= SHORT)
+        out = self[word] = xxhash.xxh64_intdigest(word)
         return out
 
 
@@ -102,79 +101,6 @@ def _code(table: pa.Table) -> bytes:
     return _join(*map(C.small_bytes, (numbers, known, held, np.array(sizes), codes)), C.key_bytes(keys))
 
 
-class Texts:
-    """A chunk's tokens with their contexts, and its distinct (word, context) pairs."""
-
-    def __init__(self, body: bytes, contexts: int):
-        *numbers, keys = _part(body)
-        self.ids, self.known, self.held, self.sizes, codes = map(C.read_small, numbers)
-        self.keys = C.read_keys(keys)
-        self.begins = np.cumsum(self.sizes) - self.sizes
-        tokens = self.keys[codes]
-        short = np.where(tokens & np.uint64(1), np.arange(len(tokens)), -1)
-        last = np.concatenate([[-1], np.maximum.accumulate(short)[:-1]]) if len(tokens) else short
-        inside = last >= np.repeat(self.begins, self.sizes)
-        classes = ((tokens[last] >> np.uint64(33)) % np.uint64(contexts)).astype(np.int64)
-        self.base = contexts + 1
-        self.pairs, self.place = np.unique(codes * self.base + np.where(inside, classes, contexts), return_inverse=True)
-        self.word, self.context = self.pairs // self.base, self.pairs % self.base
-        train = np.repeat(self.held == 0, self.sizes)
-        self.count = np.bincount(self.place[train], minlength=len(self.pairs))
-        self.per_word = np.bincount(self.word, minlength=len(self.keys))
-
-
-def _requests(parts: int, contexts: int):
-    def run(batches):
-        for batch in batches:
-            for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
-                own = Texts(body.as_py(), contexts)
-                edge = np.concatenate([[0], np.cumsum(own.per_word)])
-
-                def pairs(a, b, own=own, edge=edge):
-                    span = slice(edge[a], edge[b])
-                    return _join(*map(C.small_bytes, (own.per_word[a:b], own.context[span], own.count[span])))
-
-                yield C.key_rows(chunk, own.keys, parts, pairs)
-
-    return run
-
-
-class Words:
-    """The training words of one part: keys, and their (context, count) entries."""
-
-    def __init__(self, keys: np.ndarray, per_word: np.ndarray, context: np.ndarray, count: np.ndarray):
-        self.keys, self.context, self.count = keys, context, count
-        self.word = np.repeat(np.arange(len(keys)), per_word)
-        self.per_word = per_word
-
-    def total(self, values: np.ndarray) -> np.ndarray:
-        return np.bincount(self.word, weights=values, minlength=len(self.keys)).astype(np.int64)
-
-
-def _merge(base: int):
-    def run(batches):
-        for rows in C.runs_of(batches, "part"):
-            arrays = [C.read_keys(r["keys"]) for r in rows]
-            keys = np.unique(np.concatenate(arrays))
-            pairs, counts = [], []
-            for own, r in zip(arrays, rows, strict=True):
-                per_word, context, count = map(C.read_small, _part(r["extra"]))
-                seen = count > 0
-                pairs.append((np.repeat(np.searchsorted(keys, own), per_word) * base + context)[seen])
-                counts.append(count[seen])
-            entries, place = np.unique(np.concatenate(pairs), return_inverse=True)
-            count = np.bincount(place, weights=np.concatenate(counts), minlength=len(entries)).astype(np.int64)
-            per_word = np.bincount(entries // base, minlength=len(keys))
-            known = per_word > 0
-            data = _join(*map(C.small_bytes, (per_word[known], entries % base, count)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([rows[0]["part"]], pa.int32()), pa.array([C.key_bytes(keys[known])], pa.binary()), pa.array([data], pa.binary())],
-                names=["part", "keys", "counts"],
-            )
-
-    return run
-
-
 def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
     """Tables after seating the customers of every dish: a new table with weight ``strength``, an occupied one
     with weight (seated - discount x tables)."""
@@ -194,180 +120,42 @@ def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.r
 
 
 class Model:
-    """The totals that every part and chunk needs; grows by one set of totals per sweep."""
+    """The totals that every part and chunk needs; one set after each sweep."""
 
-    def __init__(self, contexts: int):
-        self.contexts = contexts
-        self.customers = np.zeros(contexts + 1)
+    def __init__(self):
         self.n_words = self.n_tokens = 0
         self.discount = self.root_discount = 0.5
-        self.tables: list[np.ndarray] = []  # per sweep: tables of every context
-        self.root_tables: list[float] = []
+        self.customers: list[float] = []  # of the parent, per sweep
+        self.tables: list[float] = []
 
     def unigram(self, s: int, customers: np.ndarray, tables: np.ndarray, known=True) -> np.ndarray:
         base = np.where(known, 0.5 / max(1, self.n_words), 0.5 if self.n_words else 1.0)
-        weight = STRENGTH + self.root_discount * self.root_tables[s]
-        return (customers - self.root_discount * tables + weight * base) / (STRENGTH + self.tables[s].sum())
-
-    def sweeps(self, words: Words, part: int, n: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(tables per entry, customers and tables of the parent) at the start and after each of n sweeps."""
-        tables = np.ones(len(words.count), dtype=np.int64)
-        customers = words.per_word.astype(np.int64)
-        states = [(tables, customers, np.ones(len(customers), dtype=np.int64))]
-        for s in range(n):
-            rng = np.random.default_rng([SEED, part, s])
-            _, customers, roots = states[-1]
-            parent = self.unigram(s, customers, roots)
-            pull = (STRENGTH + self.discount * self.tables[s][words.context]) * parent[words.word]
-            tables = seat(words.count, pull, self.discount, rng)
-            customers = words.total(tables)
-            base = (STRENGTH + self.root_discount * self.root_tables[s]) * 0.5 / max(1, self.n_words)
-            states.append((tables, customers, seat(customers, np.full(len(customers), base), self.root_discount, rng)))
-        return states
+        weight = STRENGTH + self.root_discount * self.tables[s]
+        return (customers - self.root_discount * tables + weight * base) / (STRENGTH + self.customers[s])
 
-
-def _read_words(row: dict) -> Words:
-    return Words(C.read_keys(row["keys"]), *map(C.read_small, _part(row["counts"])))
-
-
-def _totals(model: Model, sweep: int):
-    """Totals of the seating after a sweep; after none also the counts that do not change."""
-
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                words = _read_words(row)
-                tables, customers, roots = model.sweeps(words, row["part"], sweep)[-1]
-                size = model.contexts + 1
-                values = {k: v for k, v in enumerate(np.bincount(words.context, weights=tables, minlength=size)) if v}
-                values[TABLES] = roots.sum()
-                if not sweep:
-                    values |= {size + k: v for k, v in enumerate(np.bincount(words.context, weights=words.count, minlength=size)) if v}
-                    values |= {WORDS: len(words.keys), TOKENS: words.count.sum()}
-                    values |= {ONES: (words.count == 1).sum(), TWOS: (words.count == 2).sum()}
-                    values |= {ROOT_ONES: (customers == 1).sum(), ROOT_TWOS: (customers == 2).sum()}
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(values), pa.int32()), pa.array([float(v) for v in values.values()], pa.float64())], names=["name", "value"]
-                )
-
-    return run
+    def root_strength(self, s: int) -> float:
+        """Weight of a new table in the parent for a known word, after sweep ``s``."""
+        return (STRENGTH + self.root_discount * self.tables[s]) * 0.5 / max(1, self.n_words)
 
 
 def _discount(ones: float, twos: float) -> float:
     return min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
 
 
-def fit(words: DataFrame, contexts: int, sweeps: int = SWEEPS) -> Model:
-    """Totals of the seating at the start and after every sweep; the seating itself stays in the word table."""
-    model = Model(contexts)
-    for sweep in range(sweeps + 1):
-        found = words.mapInArrow(_totals(model, sweep), TOTAL_SCHEMA).groupBy("name").agg(F.sum("value").alias("value")).collect()
-        totals = {r["name"]: r["value"] for r in found}
-        if not sweep:
-            model.customers = np.array([totals.get(contexts + 1 + k, 0.0) for k in range(contexts + 1)])
-            model.n_words, model.n_tokens = int(totals.get(WORDS, 0)), int(totals.get(TOKENS, 0))
-            model.discount = _discount(totals.get(ONES, 0.0), totals.get(TWOS, 0.0))
-            model.root_discount = _discount(totals.get(ROOT_ONES, 0.0), totals.get(ROOT_TWOS, 0.0))
-        model.tables.append(np.array([totals.get(k, 0.0) for k in range(contexts + 1)]))
-        model.root_tables.append(totals.get(TABLES, 0.0))
-    return model
-
-
-def _answer(model: Model, samples: int):
-    """Per chunk of a part: for its words the training count and the parent's customers and tables per sample,
-    for its (word, context) pairs the count and tables per sample."""
-    base = model.contexts + 1
-    sweeps = len(model.tables) - 1
-
-    def run(batches):
-        for rows in C.runs_of(batches, "part"):
-            table = next((r for r in rows if r["chunk"] is None), None)
-            asked = [r for r in rows if r["chunk"] is not None]
-            if table is None or not asked:
-                continue
-            words = _read_words({"keys": table["keys"], "counts": table["extra"]})
-            states = model.sweeps(words, table["part"], sweeps)[1 + sweeps - samples :]
-            entries = words.word * base + words.context  # sorted
-            per_word = [words.total(words.count), *(x for s in states for x in s[1:])]
-            per_pair = [words.count, *(s[0] for s in states)]
-            pick = lambda x, at, ok: np.where(ok, x[np.minimum(at, len(x) - 1)], 0) if len(x) else np.zeros(len(at), np.int64)
-            out = []
-            for r in asked:
-                keys = C.read_keys(r["keys"])
-                n_pairs, context, _ = map(C.read_small, _part(r["extra"]))
-                at = np.searchsorted(words.keys, keys)
-                known = pick(words.keys, at, True) == keys if len(words.keys) else np.zeros(len(keys), bool)
-                pair = np.repeat(at, n_pairs) * base + context
-                where = np.searchsorted(entries, pair)
-                hit = np.repeat(known, n_pairs) & (pick(entries, where, True) == pair if len(entries) else False)
-                out.append(_join(*(C.small_bytes(pick(x, at, known)) for x in per_word), *(C.small_bytes(pick(x, where, hit)) for x in per_pair)))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r["chunk"] for r in asked], pa.int64()), pa.array([r["part"] for r in asked], pa.int32()), pa.array(out, pa.binary())],
-                names=["chunk", "part", "reply"],
-            )
-
-    return run
-
-
-def _score(model: Model, samples: int):
-    sweeps = len(model.tables) - 1
-    chosen = range(1 + sweeps - samples, sweeps + 1)
-    names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = Texts(row["body"], model.contexts)
-                answers = [list(map(C.read_small, _part(r["reply"]))) for r in row["replies_0"] or ()]
-                n = 1 + 2 * samples
-                if answers:
-                    columns = [np.concatenate(x) for x in zip(*answers, strict=True)]
-                else:
-                    columns = [np.zeros(len(own.keys), np.int64)] * n + [np.zeros(len(own.pairs), np.int64)] * (1 + samples)
-                counts, word_columns, pair_count, pair_tables = columns[0], columns[1:n], columns[n], columns[n + 1 :]
-                chance = np.zeros(len(own.pairs))
-                for k, s in enumerate(chosen):
-                    parent = model.unigram(s, word_columns[2 * k], word_columns[2 * k + 1], counts > 0)[own.word]
-                    u = own.context
-                    weight = STRENGTH + model.discount * model.tables[s][u]
-                    chance += (pair_count - model.discount * pair_tables[k] + weight * parent) / (STRENGTH + model.customers[u])
-                token_score = np.log10(chance / samples)[own.place]
-                word = own.word[own.place]
-                base = np.log10((counts + 1) / (model.n_tokens + model.n_words + 1))[word]
-                add = lambda x, own=own: np.add.reduceat(x, own.begins)
-                ids = [i if ok else None for i, ok in zip(own.ids.tolist(), own.known.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(ids, pa.int64()), pa.array(own.held != 0), pa.array(own.sizes, pa.int64()),
-                        pa.array(add((counts > 0).astype(np.int64)[word]), pa.int64()),
-                        pa.array(np.full(len(ids), model.n_tokens, np.int64)), pa.array(add(base), pa.float64()), pa.array(add(token_score), pa.float64()),
-                    ],
-                    names=names,
-                )
-
-    return run
-
-
 def held_out(doc_id: Column, folds: int = 7, rest: int = 2) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds == rest
 
 
-# ---- the word before as the context --------------------------------------------------------------
-
-ENTRY_SCHEMA = "chunk long, keys binary, extra binary, ones long, twos long"
-SUM_SCHEMA = "part int, chunk long, keys binary, extra binary, tables long, roots long, words long, tokens long, ones long, twos long"
-TABLE = -(1 << 20)  # chunk numbers from here on, plus the sweep, are those of a part's own tables
-
-
-def pair_hash(context: np.ndarray, word: np.ndarray) -> np.ndarray:
-    x = context * np.uint64(0x9E3779B97F4A7C15) + word
-    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return x ^ x >> np.uint64(31)
+ENTRY_SCHEMA = "owner int, contexts binary, words binary, pairs binary, ones long, twos long"
+SUM_SCHEMA = "part int, chunk long, keys binary, extra binary, customers long, roots long, words long, tokens long, ones long, twos long"
+#: Chunk numbers from here on, plus the sweep, are those of a part's own tables.
+TABLE = -(1 << 20)
+#: Parts of rows that pass the sums by: what a sweep has seated.
+PASSING = -1
 
 
 class Bigrams:
-    """A chunk's distinct keys and (context, word) pairs, in the order of the pairs' hashes."""
+    """A chunk's distinct keys and its distinct (context, word) pairs, by context key and word key."""
 
     def __init__(self, body: bytes):
         *numbers, keys = _part(body)
@@ -378,9 +166,22 @@ class Bigrams:
         self.begins = np.cumsum(self.sizes) - self.sizes
         before = np.concatenate([[0], self.tokens[:-1]])
         before[self.begins] = np.searchsorted(self.keys, start)[0]
-        self.pairs, first, self.place = np.unique(pair_hash(self.keys[before], self.keys[self.tokens]), return_index=True, return_inverse=True)
-        self.context, self.word = before[first], self.tokens[first]
-        self.count = np.bincount(self.place[np.repeat(self.held == 0, self.sizes)], minlength=len(self.pairs))
+        pairs, self.place = np.unique(before * len(self.keys) + self.tokens, return_inverse=True)
+        self.context, self.word = pairs // len(self.keys), pairs % len(self.keys)
+        self.count = np.bincount(self.place[np.repeat(self.held == 0, self.sizes)], minlength=len(pairs))
+
+    def rows(self, chunk: int, parts: int, training: bool) -> pa.RecordBatch:
+        """Rows of KEY_SCHEMA: the contexts of each part, with the words (and training counts) of their pairs."""
+        chosen = self.count > 0 if training else np.ones(len(self.count), bool)
+        context, word, count, out = self.context[chosen], self.word[chosen], self.count[chosen], []
+        for part, a, b in C.split_keys(self.keys, parts):
+            x, y = np.searchsorted(context, [a, b])
+            if x < y:
+                own, n = np.unique(context[x:y], return_counts=True)
+                used, at = np.unique(word[x:y], return_inverse=True)
+                numbers = (n, at, count[x:y]) if training else (n, at)
+                out.append((part, chunk, C.key_bytes(self.keys[own]), _join(C.key_bytes(self.keys[used]), *map(C.small_bytes, numbers))))
+        return _key_batch(out)
 
 
 def _key_batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -393,146 +194,192 @@ def _training_pairs(parts: int):
     def run(batches):
         for batch in batches:
             for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
-                own = Bigrams(body.as_py())
-                seen = own.count > 0
-                context, word, count, rows = own.context[seen], own.word[seen], own.count[seen], []
-                for part, a, b in C.split_keys(own.pairs[seen], parts):
-                    used, at = np.unique(np.concatenate([context[a:b], word[a:b]]), return_inverse=True)
-                    rows.append((part, chunk, C.key_bytes(own.keys[used]), _join(*map(C.small_bytes, (at[: b - a], at[b - a :], count[a:b])))))
-                yield _key_batch(rows)
+                yield Bigrams(body.as_py()).rows(chunk, parts, True)
 
     return run
 
 
+def _read_pairs(row: dict) -> tuple[np.ndarray, ...]:
+    """(context keys, word keys, pairs per context, word of every pair, ...) of a row of KEY_SCHEMA."""
+    words, *numbers = _part(row["extra"])
+    return C.read_keys(row["keys"]), C.read_keys(words), *map(C.read_small, numbers)
+
+
 def _entries(batches):
-    """The distinct pairs of a part: keys, then context, word (places in the keys) and count of every pair."""
+    """The distinct pairs of a part, by context and word: pairs per context, word and count of every pair."""
     for rows in C.runs_of(batches, "part"):
-        found = []
-        for r in rows:
-            keys, (context, word, count) = C.read_keys(r["keys"]), map(C.read_small, _part(r["extra"]))
-            found.append((keys[context], keys[word], count))
-        context, word, counts = (np.concatenate(x) for x in zip(*found, strict=True))
-        _, first, place = np.unique(pair_hash(context, word), return_index=True, return_inverse=True)
-        count = np.bincount(place, weights=counts, minlength=len(first)).astype(np.int64)
-        keys, at = np.unique(np.concatenate([context[first], word[first]]), return_inverse=True)
-        body = _join(*map(C.small_bytes, (at[: len(first)], at[len(first) :], count)))
-        columns = [[rows[0]["part"]], [C.key_bytes(keys)], [body], [int((count == 1).sum())], [int((count == 2).sum())]]
-        types = [pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-        names = ["chunk", "keys", "extra", "ones", "twos"]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
-
-
-class Seating:
-    """The pairs of one part, and their tables at the start and after each sweep whose sums were told."""
-
-    def __init__(self, row: dict, model: Model, sweeps: int):
-        self.keys = C.read_keys(row["keys"])
-        self.context, self.word, self.count = map(C.read_small, _part(row["extra"]))
-        self.tables = [np.ones(len(self.count), dtype=np.int64)]
-        for s in range(sweeps):
-            told = [list(map(C.read_small, _part(r["reply"]))) for r in row[f"replies_{s}"]]
-            tables, customers, roots = (np.concatenate(x) for x in zip(*told, strict=True))
-            parent = model.unigram(s, customers, roots)
-            pull = (STRENGTH + model.discount * tables[self.context]) * parent[self.word]
-            self.tables.append(seat(self.count, pull, model.discount, np.random.default_rng([SEED, row["chunk"], s])))
-
-    def sums(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """By context and by word."""
-        return tuple(np.bincount(x, weights=values, minlength=len(self.keys)).astype(np.int64) for x in (self.context, self.word))
-
-
-def _partial_sums(model: Model, sweep: int, parts: int):
-    def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                own = Seating(row, model, sweep)
-                values = [*own.sums(own.tables[-1]), *(own.sums(own.count) if not sweep else ())]
-                yield C.key_rows(row["chunk"], own.keys, parts, lambda a, b, values=values: _join(*(C.small_bytes(x[a:b]) for x in values)))
+        found = [_read_pairs(r) for r in rows]
+        contexts, words = (np.unique(np.concatenate([f[k] for f in found])) for k in (0, 1))
+        codes = [np.repeat(np.searchsorted(contexts, c), n) * len(words) + np.searchsorted(words, w)[at] for c, w, n, at, _ in found]
+        pairs, place = np.unique(np.concatenate(codes), return_inverse=True)
+        del codes
+        count = np.bincount(place, weights=np.concatenate([f[4] for f in found]), minlength=len(pairs)).astype(np.int64)
+        per_context = np.bincount(pairs // len(words), minlength=len(contexts))
+        body = _join(*map(C.small_bytes, (per_context, pairs % len(words), count)))
+        columns = [[rows[0]["part"]], [C.key_bytes(contexts)], [C.key_bytes(words)], [body], [int((count == 1).sum())], [int((count == 2).sum())]]
+        types = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["owner", "contexts", "words", "pairs", "ones", "twos"])
 
-    return run
 
+class Restaurants:
+    """The contexts of one part, and the customers of their dishes."""
 
-def _sums(model: Model, sweep: int, pair_parts: int):
-    """Of a part's keys: tables as a context, customers and tables as a word; a row for each asking part, and the part's own."""
+    def __init__(self, row: dict):
+        self.contexts, self.words = C.read_keys(row["contexts"]), C.read_keys(row["words"])
+        self.per_context, self.word, self.count = map(C.read_small, _part(row["pairs"]))
+        self.context = np.repeat(np.arange(len(self.contexts)), self.per_context)
 
-    def run(batches):
-        for rows in C.runs_of(batches, "part"):
-            asked = [C.read_keys(r["keys"]) for r in rows]
-            keys = np.unique(np.concatenate(asked))
-            at = [np.searchsorted(keys, x) for x in asked]
-            columns = zip(*(map(C.read_small, _part(r["extra"])) for r in rows), strict=True)
-            place = np.concatenate(at)
-            tables, customers, *counts = (np.bincount(place, weights=np.concatenate(x), minlength=len(keys)).astype(np.int64) for x in columns)
-            roots = np.minimum(customers, 1)
-            if sweep:
-                base = (STRENGTH + model.root_discount * model.root_tables[sweep - 1]) * 0.5 / max(1, model.n_words)
-                rng = np.random.default_rng([SEED, pair_parts + rows[0]["part"], sweep])
-                roots = seat(customers, np.full(len(keys), base), model.root_discount, rng)
-            told = (tables, customers, roots)
-            chunks = [TABLE + sweep, *(r["chunk"] for r in rows)]
-            extra = [_join(*map(C.small_bytes, counts[::-1] if not sweep else told)), *(_join(*(C.small_bytes(x[k]) for x in told)) for k in at)]
-            totals = [tables.sum(), roots.sum(), (customers > 0).sum(), counts[1].sum() if counts else 0, (customers == 1).sum(), (customers == 2).sum()]
-            n = len(chunks)
-            columns = [pa.array([rows[0]["part"]] * n, pa.int32()), pa.array(chunks, pa.int64()), pa.array([C.key_bytes(keys)] + [b""] * (n - 1), pa.binary())]
-            columns += [pa.array(extra, pa.binary()), *(pa.array([int(x)] + [0] * (n - 1), pa.int64()) for x in totals)]
-            names = ["part", "chunk", "keys", "extra", "tables", "roots", "words", "tokens", "ones", "twos"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+    def by_context(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.context, weights=values, minlength=len(self.contexts)).astype(np.int64)
 
-    return run
+    def by_word(self, values: np.ndarray) -> np.ndarray:
+        return np.bincount(self.word, weights=values, minlength=len(self.words)).astype(np.int64)
 
+    def reseat(self, model: Model, s: int, tables: np.ndarray, customers: np.ndarray, roots: np.ndarray, seed: int) -> np.ndarray:
+        """Tables of every pair, given the totals after sweep ``s`` and the parent's customers and tables of the words."""
+        parent = model.unigram(s, customers, roots)
+        pull = (STRENGTH + model.discount * self.by_context(tables)[self.context]) * parent[self.word]
+        return seat(self.count, pull, model.discount, np.random.default_rng([SEED, seed, s]))
 
-def _seated(model: Model, sweeps: int, samples: int):
-    """Rows of KEY_SCHEMA: the hashes of a part's pairs, with count and the tables of each sample."""
+
+def _sweep(model: Model, sweep: int, parts: int):
+    """Seat the restaurants and send the words' tables; the tables of every pair pass by. The first time one table a dish."""
 
     def run(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                own = Seating(row, model, sweeps)
-                values = _join(*map(C.small_bytes, (own.count, *own.tables[1 + sweeps - samples :])))
-                hashes = pair_hash(own.keys[own.context], own.keys[own.word])
-                yield _key_batch([(row["chunk"], TABLE, C.key_bytes(hashes), values)])
+                own = Restaurants(row)
+                values = []
+                if sweep:
+                    told = [list(map(C.read_small, _part(r["reply"]))) for r in row["replies_0"] if r["part"] >= 0]
+                    customers, roots = (np.concatenate(x) for x in zip(*told, strict=True))
+                    before = next(C.read_small(r["reply"]) for r in row["replies_0"] if r["part"] == PASSING)
+                    tables = own.reseat(model, sweep - 1, before, customers, roots, row["owner"])
+                else:
+                    tables = np.ones(len(own.count), dtype=np.int64)
+                    values = [own.by_word(own.count)]
+                values.insert(0, own.by_word(tables))
+                yield C.key_rows(row["owner"], own.words, parts, lambda a, b, values=values: _join(*(C.small_bytes(x[a:b]) for x in values)))
+                yield _key_batch([(PASSING, row["owner"], b"", C.small_bytes(tables))])
+
+    return run
+
+
+def _sums(model: Model, sweep: int, pair_parts: int):
+    """Of a part's words: the parent's customers and tables; a row for each asking part, and the part's own."""
+    names = ["part", "chunk", "keys", "extra", "customers", "roots", "words", "tokens", "ones", "twos"]
+    types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 6]
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
+    def summed(rows):
+        asked = [C.read_keys(r["keys"]) for r in rows]
+        keys = np.unique(np.concatenate(asked))
+        at = [np.searchsorted(keys, x) for x in asked]
+        columns = zip(*(map(C.read_small, _part(r["extra"])) for r in rows), strict=True)
+        place = np.concatenate(at)
+        customers, *counts = (np.bincount(place, weights=np.concatenate(x), minlength=len(keys)).astype(np.int64) for x in columns)
+        roots = np.minimum(customers, 1)
+        if sweep:
+            rng = np.random.default_rng([SEED, pair_parts + rows[0]["part"], sweep])
+            roots = seat(customers, np.full(len(keys), model.root_strength(sweep - 1)), model.root_discount, rng)
+        part, told = rows[0]["part"], (customers, roots)
+        totals = [customers.sum(), roots.sum(), (customers > 0).sum(), counts[0].sum() if counts else 0, (customers == 1).sum(), (customers == 2).sum()]
+        yield batch_of([(part, TABLE + sweep, C.key_bytes(keys), _join(*map(C.small_bytes, told if sweep else counts)), *map(int, totals))])
+        for r, k in zip(rows, at, strict=True):
+            yield batch_of([(part, r["chunk"], b"", _join(*(C.small_bytes(x[k]) for x in told)), 0, 0, 0, 0, 0, 0)])
+
+    def run(batches):
+        for rows in C.runs_of(batches, "part"):
+            if rows[0]["part"] == PASSING:
+                for r in rows:
+                    yield batch_of([(PASSING, r["chunk"], b"", r["extra"], 0, 0, 0, 0, 0, 0)])
+            else:
+                yield from summed(rows)
 
     return run
 
 
 def _asked(pair_parts: int, parts: int):
-    """Parts of the key space follow those of the pairs."""
+    """A chunk's pairs, by the parts of their contexts; and its words, by parts that follow those."""
 
     def run(batches):
         for batch in batches:
             for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
                 own = Bigrams(body.as_py())
-                yield C.key_rows(chunk, own.pairs, pair_parts)
+                yield own.rows(chunk, pair_parts, False)
                 words = C.key_rows(chunk, own.keys, parts)
                 yield words.set_column(0, "part", pa.array([pair_parts + p for p in words.column("part").to_pylist()], pa.int32()))
 
     return run
 
 
+def _seated(batches):
+    """Rows of KEY_SCHEMA: the restaurants of a part, with the tables of each sample."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            tables = [r["reply"] for r in sorted(row["replies_0"], key=lambda r: r["part"])]
+            yield _key_batch([(row["owner"], TABLE, row["contexts"], _join(row["words"], row["pairs"], *tables))])
+
+
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def _pick(values: np.ndarray, at: np.ndarray, found: np.ndarray) -> np.ndarray:
+    return np.where(found, values[at], 0) if len(values) else np.zeros(len(at), np.int64)
+
+
+def _told_pairs(rows: list[dict], samples: int):
+    """Replies for pairs: count and tables of each pair, customers and tables of each context."""
+    none = np.empty(0, np.int64)
+    contexts = words = np.empty(0, np.uint64)
+    codes, per_pair, per_context = none, [none] * (1 + samples), [none] * (1 + samples)
+    if rows[0]["chunk"] < 0:
+        held, pairs, *tables = _part(rows[0]["extra"])
+        own = Restaurants({"contexts": rows[0]["keys"], "words": held, "pairs": pairs})
+        contexts, words = own.contexts, own.words
+        codes = own.context * len(words) + own.word  # sorted
+        per_pair = [own.count, *map(C.read_small, tables)]
+        per_context = [own.by_context(x) for x in per_pair]
+    for r in rows:
+        if r["chunk"] >= 0:
+            own_contexts, own_words, n, at = _read_pairs(r)
+            c, seen = _find(contexts, own_contexts)
+            w, known = _find(words, own_words)
+            pair, hit = _find(codes, np.repeat(c, n) * len(words) + w[at])
+            hit &= np.repeat(seen, n) & known[at]
+            yield r, [*(_pick(x, pair, hit) for x in per_pair), *(_pick(x, c, seen) for x in per_context)]
+
+
+def _told_words(rows: list[dict], samples: int):
+    """Replies for words: training count, then the parent's customers and tables of each sample."""
+    own = [r for r in rows if r["chunk"] < 0]
+    columns = [x for r in own for x in map(C.read_small, _part(r["extra"]))] or [np.empty(0, np.int64)] * (1 + 2 * samples)
+    keys = C.read_keys(own[0]["keys"]) if own else np.empty(0, np.uint64)
+    for r in rows:
+        if r["chunk"] >= 0:
+            at, found = _find(keys, C.read_keys(r["keys"]))
+            yield r, [_pick(x, at, found) for x in columns]
+
+
 def _told(pair_parts: int, samples: int):
     def run(batches):
         for rows in C.runs_of(batches, "part"):
-            own = [r for r in rows if r["chunk"] < 0]
-            columns = [x for r in own for x in map(C.read_small, _part(r["extra"]))]
-            keys = C.read_keys(own[0]["keys"]) if own else np.empty(0, np.uint64)
-            for r in rows:
-                if r["chunk"] < 0:
-                    continue
-                wanted = C.read_keys(r["keys"])
-                if len(keys):
-                    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
-                    found = [np.where(keys[at] == wanted, x[at], 0) for x in columns]
-                else:
-                    found = [np.zeros(len(wanted), np.int64)] * (1 + samples if rows[0]["part"] < pair_parts else 2 + 3 * samples)
+            for r, values in (_told_pairs if rows[0]["part"] < pair_parts else _told_words)(rows, samples):
+                reply = _join(*map(C.small_bytes, values))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["chunk"]], pa.int64()), pa.array([r["part"]], pa.int32()), pa.array([_join(*map(C.small_bytes, found))], pa.binary())],
-                    names=["chunk", "part", "reply"],
+                    [pa.array([r["chunk"]], pa.int64()), pa.array([r["part"]], pa.int32()), pa.array([reply], pa.binary())], names=["chunk", "part", "reply"]
                 )
 
     return run
 
 
-def _score_bigrams(model: Model, sweeps: int, samples: int, pair_parts: int):
+def _score(model: Model, sweeps: int, samples: int, pair_parts: int):
     names = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
     def run(batches):
@@ -540,14 +387,15 @@ def _score_bigrams(model: Model, sweeps: int, samples: int, pair_parts: int):
             for row in batch.to_pylist():
                 own = Bigrams(row["body"])
                 told = [(r["part"] < pair_parts, list(map(C.read_small, _part(r["reply"])))) for r in row["replies_0"]]
-                count, *tables = (np.concatenate(x) for x in zip(*(c for pairs, c in told if pairs), strict=True))
-                counts, customers, *sums = (np.concatenate(x) for x in zip(*(c for pairs, c in told if not pairs), strict=True))
-                chance = np.zeros(len(own.pairs))
+                pairs = [np.concatenate(x) for x in zip(*(c for of_pairs, c in told if of_pairs), strict=True)]
+                counts, *parent = (np.concatenate(x) for x in zip(*(c for of_pairs, c in told if not of_pairs), strict=True))
+                (count, *tables), contexts = pairs[: 1 + samples], pairs[1 + samples :]
+                customers, *in_context = (x[np.unique(own.context, return_inverse=True)[1]] for x in contexts)
+                chance = np.zeros(len(own.word))
                 for k, s in enumerate(range(1 + sweeps - samples, sweeps + 1)):
-                    in_context, as_word, roots = sums[3 * k : 3 * k + 3]
-                    parent = model.unigram(s, as_word, roots, counts > 0)[own.word]
-                    weight = STRENGTH + model.discount * in_context[own.context]
-                    chance += (count - model.discount * tables[k] + weight * parent) / (STRENGTH + customers[own.context])
+                    chance_of_word = model.unigram(s, parent[2 * k], parent[2 * k + 1], counts > 0)[own.word]
+                    weight = STRENGTH + model.discount * in_context[k]
+                    chance += (count - model.discount * tables[k] + weight * chance_of_word) / (STRENGTH + customers)
                 token_score = np.log10(chance / samples)[own.place]
                 base = np.log10((counts + 1) / (model.n_tokens + model.n_words + 1))[own.tokens]
                 add = lambda x, own=own: np.add.reduceat(x, own.begins)
@@ -564,53 +412,65 @@ def _score_bigrams(model: Model, sweeps: int, samples: int, pair_parts: int):
     return run
 
 
-def _bigram_scores(chunks: DataFrame, sweeps: int, samples: int, schema: str) -> DataFrame:
-    slim = chunks.select("chunk", "body")
-    pair_parts, parts = C.n_parts(chunks, 1 / 12, PAIRS_PER_KEY * KEYS_PER_PART), C.n_parts(chunks, 1 / 24, KEYS_PER_PART)
-    entries = stored(C.by_part(slim.mapInArrow(_training_pairs(pair_parts), C.KEY_SCHEMA), pair_parts).mapInArrow(_entries, ENTRY_SCHEMA), "pairs")
-    model = Model(0)
+def _release(spark: SparkSession) -> None:
+    """Spark removes the files of shuffles that nothing refers to any more, when the driver's garbage is collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def fit(chunks: DataFrame, pair_parts: int, parts: int, sweeps: int, samples: int) -> tuple[Model, DataFrame, list[DataFrame]]:
+    """(totals, the restaurants, the sums that the scores need: counts, then those of each sample)."""
+    spark = chunks.sparkSession
+    sent = chunks.select("chunk", "body").mapInArrow(_training_pairs(pair_parts), C.KEY_SCHEMA)
+    entries = stored(C.by_part(sent, pair_parts).mapInArrow(_entries, ENTRY_SCHEMA), "pairs")
+    del sent
+    _release(spark)
+    model, kept, sums = Model(), [], None
     counted = entries.agg(F.sum("ones"), F.sum("twos")).first()
     model.discount = _discount(counted[0] or 0, counted[1] or 0)
-    own, replies = [], []
     for sweep in range(sweeps + 1):
-        sent = C.with_replies(entries, *replies).mapInArrow(_partial_sums(model, sweep, parts), C.KEY_SCHEMA)
-        sums = stored(C.by_part(sent, parts).mapInArrow(_sums(model, sweep, pair_parts), SUM_SCHEMA), "sums")
-        names = ("tables", "roots", "words", "tokens", "ones", "twos")
+        if sums is None:
+            given = entries
+        else:
+            replies = sums.where("chunk >= 0").select("chunk", "part", F.col("extra").alias("reply"))
+            given = C.with_replies(entries.withColumn("chunk", F.col("owner").cast("long")), replies)
+        sent = given.mapInArrow(_sweep(model, sweep, parts), C.KEY_SCHEMA)
+        before, sums = sums, stored(C.by_part(sent, parts + 1).mapInArrow(_sums(model, sweep, pair_parts), SUM_SCHEMA), "sums")
+        names = ("customers", "roots", "words", "tokens", "ones", "twos")
         total = {n: x or 0 for n, x in sums.agg(*(F.sum(n).alias(n) for n in names)).first().asDict().items()}
         if not sweep:
             model.n_words, model.n_tokens = total["words"], total["tokens"]
             model.root_discount = _discount(total["ones"], total["twos"])
-        model.tables.append(np.array([total["tables"]]))
-        model.root_tables.append(float(total["roots"]))
-        replies.append(sums.where("chunk >= 0").select("chunk", "part", F.col("extra").alias("reply")))
+        model.customers.append(float(total["customers"]))
+        model.tables.append(float(total["roots"]))
         if not sweep or sweep > sweeps - samples:
-            own.append(sums.where("chunk < 0").select((F.col("part") + pair_parts).cast("int").alias("part"), "chunk", "keys", "extra"))
-    asked = slim.mapInArrow(_asked(pair_parts, parts), C.KEY_SCHEMA)
-    for table in [C.with_replies(entries, *replies[:sweeps]).mapInArrow(_seated(model, sweeps, samples), C.KEY_SCHEMA), *own]:
-        asked = asked.unionByName(table)
-    told = C.by_part(asked, pair_parts + parts).mapInArrow(_told(pair_parts, samples), C.REPLY_SCHEMA)
-    return C.with_replies(slim, told).mapInArrow(_score_bigrams(model, sweeps, samples, pair_parts), schema)
+            kept.append(sums)
+        if before is not None and before not in kept:
+            remove(before)
+        del sent, given
+        _release(spark)
+    return model, entries, kept
 
 
-def score(docs: DataFrame, contexts: int | None = None, sweeps: int = SWEEPS, samples: int = SAMPLES) -> DataFrame:
+def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> DataFrame:
     """Per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, perplexity.
 
-    Learns from the documents outside the held-out fold and scores all of them. The context of a token is the
-    word before it; a number of ``contexts`` puts so many classes of short words in its place.
+    Learns from the documents outside the held-out fold and scores all of them.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     chunks = C.chunk_table(slim, chunk_bytes=CHUNK_BYTES, encode=_code)
+    pair_parts, parts = C.n_parts(chunks, 1 / 12, PAIRS_PER_KEY * KEYS_PER_PART), C.n_parts(chunks, 1 / 24, KEYS_PER_PART)
+    model, entries, sums = fit(chunks, pair_parts, parts, sweeps, samples)
+    tables = None
+    for sweep, one in enumerate(sums[1:]):
+        passed = one.where(F.col("part") == PASSING).select("chunk", F.lit(sweep).alias("part"), F.col("extra").alias("reply"))
+        tables = passed if tables is None else tables.unionByName(passed)
+    seated = C.with_replies(entries.withColumn("chunk", F.col("owner").cast("long")), tables).mapInArrow(_seated, C.KEY_SCHEMA)
+    asked = chunks.select("chunk", "body").mapInArrow(_asked(pair_parts, parts), C.KEY_SCHEMA).unionByName(seated)
+    for one in sums:
+        own = one.where("chunk < 0").select((F.col("part") + pair_parts).cast("int").alias("part"), "chunk", "keys", "extra")
+        asked = asked.unionByName(own)
+    told = C.by_part(asked, pair_parts + parts).mapInArrow(_told(pair_parts, samples), C.REPLY_SCHEMA)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    scored = _bigram_scores(chunks, sweeps, samples, schema) if contexts is None else _class_scores(chunks, contexts, sweeps, samples, schema)
+    scored = C.with_replies(chunks.select("chunk", "body"), told).mapInArrow(_score(model, sweeps, samples, pair_parts), schema)
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
-
-
-def _class_scores(chunks: DataFrame, contexts: int, sweeps: int, samples: int, schema: str) -> DataFrame:
-    parts = C.n_parts(chunks, 1 / 24, KEYS_PER_PART)  # a distinct word of a chunk in about every 24 bytes
-    asked = chunks.select("chunk", "body").mapInArrow(_requests(parts, contexts), C.KEY_SCHEMA)
-    words = stored(C.by_part(asked, parts).mapInArrow(_merge(contexts + 1), WORD_SCHEMA), "words")
-    model = fit(words, contexts, sweeps)
-    table = words.select("part", F.lit(None).cast("long").alias("chunk"), "keys", F.col("counts").alias("extra"))
-    answers = C.by_part(asked.unionByName(table), parts).mapInArrow(_answer(model, samples), C.REPLY_SCHEMA)
-    told = C.with_replies(chunks.select("chunk", "body"), answers)
-    return told.mapInArrow(_score(model, samples), schema)
