@@ -28,29 +28,22 @@ def utc_literal(value: dt.datetime) -> Column:
 
 #: ISO 8601 in extended form; the zone is an offset or Z (naive is UTC).
 _ISO_EXTENDED = r"^\d{4}-\d{2}-\d{2}([T ]\d{2}(:\d{2}(:\d{2}([.,]\d{1,9})?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
-#: Year, week and day (Monday is 1 and may be left out), extended or basic; then the time.
-_ISO_WEEK = r"^(\d{4})(?:-W(\d{2})(?:-(\d))?|W(\d{2})(\d)?)((?:[T ].*)?)$"
+#: Year, week, day (Monday is 1) and time of an ISO week date; the basic form, and the extended form as it becomes basic.
+_WEEK = r"^(\d{4})W(0[1-9]|[1-4]\d|5[0-3])([1-7])((?:[T ].*)?)$"
+_WEEK_EXTENDED = r"^(\d{4})-W(\d{2})(?:-(\d))?(?=[T ]|$)"
 
 
-def week_date(year: Column, week: Column, day: Column) -> Column:
-    """The date of an ISO week date, NULL if there is none (integers; Monday is 1).
+def _week_text(text: Column) -> Column:
+    """A text that begins with an ISO week date, with the calendar date instead (NULL if there is no such date).
 
-    Week 1 is the week of 4 January, and a week belongs to the year of its Thursday: that tells whether a
-    year has a week 53.
+    The first Monday after 28 December begins week 1 of the next year. A week 53 that a year has not got
+    comes out as week 1 of the next one.
     """
-    first = F.make_date(year, F.lit(1), F.lit(4))
-    monday = F.date_add(F.date_sub(first, F.weekday(first)), (week - 1) * 7)
-    valid = week.between(1, 53) & day.between(1, 7) & (F.year(F.date_add(monday, 3)) == year)
-    return F.when(valid, F.date_add(monday, day - 1))
-
-
-def _calendar_text(text: Column) -> Column:
-    """A text that begins with an ISO week date, with the calendar date instead."""
-    part = lambda *groups: F.coalesce(*[F.nullif(F.regexp_extract(text, _ISO_WEEK, g), F.lit("")) for g in groups])
-    number = lambda c: c.try_cast("int")
-    day = F.coalesce(number(part(3, 5)), F.lit(1))
-    date = week_date(number(part(1)), number(part(2, 4)), day)
-    return F.concat(F.date_format(date, "yyyy-MM-dd"), F.regexp_extract(text, _ISO_WEEK, 6))
+    basic = F.regexp_replace(F.regexp_replace(text, _WEEK_EXTENDED, "$1W$2$3"), r"^(\d{4}W\d{2})(?=[T ]|$)", "$11")
+    part = lambda group: F.regexp_extract(basic, _WEEK, group)
+    monday = F.next_day(F.date_sub(F.concat(part(1), F.lit("-01-04")).try_cast("date"), 7), "Mon")
+    date = F.date_add(monday, part(2).try_cast("int") * 7 + part(3).try_cast("int") - 8)
+    return F.when(F.weekofyear(date) == part(2).try_cast("int"), F.concat(date.cast("string"), part(4)))
 
 
 def iso_timestamp(text: Column) -> Column:
@@ -59,14 +52,14 @@ def iso_timestamp(text: Column) -> Column:
     Spark's own cast is wider: it reads '12:34' as a time of the current day, '2024' as a date,
     and region names as zones. Those are refused here before the cast.
     """
-    dated = F.when(text.rlike(_ISO_WEEK), _calendar_text(text)).otherwise(
+    dated = F.when(text.rlike(r"^\d{4}-?W"), _week_text(text)).otherwise(
         F.regexp_replace(text, r"^(\d{4})(\d{2})(\d{2})(?=[T ]|$)", "$1-$2-$3")
     )
     # A basic time may end after its minutes; the cast wants minutes and seconds.
     timed = F.regexp_replace(dated, r"^(.{10}[T ]\d{2})(\d{2})(\d{2}(?:[.,]\d{1,9})?)(?=$|[Z+-])", "$1:$2:$3")
     timed = F.regexp_replace(timed, r"^(.{10}[T ]\d{2})(\d{2})(?=$|[Z+-])", "$1:$2:00")
     full = F.regexp_replace(timed, r"^(.{10}[T ]\d{2})(?=$|[Z+-])", "$1:00")
-    return F.when(full.rlike(_ISO_EXTENDED), F.translate(full, ",", ".")).try_cast("timestamp")
+    return F.translate(F.regexp_extract(full, _ISO_EXTENDED, 0), ",", ".").try_cast("timestamp")
 
 
 def hour_utc(ts: Column | str) -> Column:
