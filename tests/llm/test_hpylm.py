@@ -54,46 +54,41 @@ def test_held_out_texts_are_likelier_than_under_the_base(spark):
     assert np.mean([r.score > r.base_score for r in rows]) > 0.9
 
 
-def test_contexts_help(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    total = lambda contexts: sum(r.score for r in H.score(docs, contexts=contexts).collect() if r.held_out)
-    assert total(256) > total(1)
-
-
-def random_words(rng, n, contexts):
-    keys = np.arange(n, dtype=np.uint64)
-    per_word = rng.integers(1, 5, n)
-    context = np.concatenate([np.sort(rng.choice(contexts + 1, k, replace=False)) for k in per_word])
-    return H.Words(keys, per_word, context, rng.geometric(0.3, per_word.sum()))
-
-
-def fitted(words, contexts, sweeps):
-    """What fit() gathers, for one part."""
-    model = H.Model(contexts)
-    model.customers = np.bincount(words.context, weights=words.count, minlength=contexts + 1)
-    model.n_words, model.n_tokens = len(words.keys), int(words.count.sum())
-    for s in range(sweeps + 1):
-        tables, _, roots = model.sweeps(words, 0, s)[-1]
-        model.tables.append(np.bincount(words.context, weights=tables, minlength=contexts + 1))
-        model.root_tables.append(float(roots.sum()))
-    return model
+def restaurants(rng, n_contexts, n_words):
+    """Restaurants of one part with random customers."""
+    per_context = rng.integers(1, n_words // 2, n_contexts)
+    word = np.concatenate([np.sort(rng.choice(n_words, k, replace=False)) for k in per_context])
+    pairs = H._join(*map(C.small_bytes, (per_context, word, rng.geometric(0.3, len(word)))))
+    keys = [C.key_bytes(np.arange(n, dtype=np.uint64)) for n in (n_contexts, n_words)]
+    return H.Restaurants({"contexts": keys[0], "words": keys[1], "pairs": pairs})
 
 
 def test_probabilities_sum_to_one_in_every_context():
     rng = np.random.default_rng(6)
-    words = random_words(rng, 300, 12)
-    model = fitted(words, 12, 3)
-    for s, (tables, customers, roots) in enumerate(model.sweeps(words, 0, 3)):
-        assert (tables >= 1).all() and (tables <= words.count).all() and (roots <= customers).all()
+    own = restaurants(rng, 13, 300)
+    model = H.Model()
+    model.n_words, model.n_tokens = 300, int(own.count.sum())
+    tables = np.ones(len(own.count), dtype=np.int64)
+    customers = own.by_word(tables)
+    roots = np.minimum(customers, 1)
+    for s in range(4):
+        if s:
+            tables = own.reseat(model, s - 1, tables, customers, roots, 0)
+            customers = own.by_word(tables)
+            roots = H.seat(customers, np.full(len(customers), model.root_strength(s - 1)), model.root_discount, rng)
+        model.customers.append(float(customers.sum()))
+        model.tables.append(float(roots.sum()))
+        assert (tables >= 1).all() and (tables <= own.count).all() and (roots <= customers).all()
         parent = model.unigram(s, customers, roots)
         unknown = float(model.unigram(s, np.zeros(1), np.zeros(1), np.array([False]))[0])
         assert parent.sum() + unknown == pytest.approx(1)
+        in_context, seated = own.by_context(tables), own.by_context(own.count)
         for u in range(13):
-            own = words.context == u
-            weight = H.STRENGTH + model.discount * model.tables[s][u]
+            mine = own.context == u
+            weight = H.STRENGTH + model.discount * in_context[u]
             chance = weight * parent
-            chance[words.word[own]] += words.count[own] - model.discount * tables[own]
-            assert (chance.sum() + weight * unknown) / (H.STRENGTH + model.customers[u]) == pytest.approx(1)
+            chance[own.word[mine]] += own.count[mine] - model.discount * tables[mine]
+            assert (chance.sum() + weight * unknown) / (H.STRENGTH + seated[u]) == pytest.approx(1)
 
 
 def test_seating_follows_the_restaurant_rule():
@@ -168,30 +163,69 @@ def training_pairs(docs):
     return count
 
 
-def test_restaurants_are_the_training_pairs(documents, monkeypatch, small_chunks):
-    seen = []
+def test_scores_by_hand(documents, monkeypatch, small_chunks):
+    """The stored restaurants are those of the training pairs, every sweep's sums fit them, and every score
+    is the formula of the docstring over them, averaged over the last sweeps."""
+    seen, removed = [], []
     whole = H.stored
     monkeypatch.setattr(H, "stored", lambda df, name: seen.append((name, whole(df, name))) or seen[-1][1])
-    H.score(documents).collect()
-    entries = next(df for name, df in seen if name == "pairs").collect()
+    monkeypatch.setattr(H, "remove", removed.append)
+    scores = {r.doc_id: r.score for r in H.score(documents).collect()}
     docs = [(r.doc_id, r.text) for r in documents.collect()]
     count = training_pairs(docs)
     key = lambda w: H._keys[H.START if w == "<" else H.END if w is None else w]
-    got = {}
+    entries = next(df for name, df in seen if name == "pairs").collect()
+    pairs_of, got = {}, {}
     for row in entries:
-        keys = C.read_keys(row["keys"]).tolist()
-        for u, w, n in zip(*(C.read_small(x).tolist() for x in H._part(row["extra"])), strict=True):
-            got[keys[u], keys[w]] = n
+        own = H.Restaurants(row.asDict())
+        pairs_of[row.owner] = [(own.contexts[u].item(), own.words[w].item()) for u, w in zip(own.context, own.word, strict=True)]
+        got |= dict(zip(pairs_of[row.owner], own.count.tolist(), strict=True))
     assert len(entries) > 1 and got == {(key(u), key(w)): n for (u, w), n in count.items()}
-    sums = [df.where("chunk < 0").collect() for name, df in seen if name == "sums"]
-    customers = Counter()
+    assert len({u for u, _ in got}) == sum(len(C.read_keys(r.contexts)) for r in entries)  # a context lies in one part
+    sums = [df.collect() for name, df in seen if name == "sums"]
+    assert len(sums) == H.SWEEPS + 1 and len(removed) == H.SWEEPS - H.SAMPLES
+    states = []
+    for rows in sums:
+        tables, parent = {}, {}
+        for r in rows:
+            if r.part == H.PASSING:
+                tables |= dict(zip(pairs_of[r.chunk], C.read_small(r.extra).tolist(), strict=True))
+            elif r.chunk < 0:
+                parent |= dict(zip(C.read_keys(r["keys"]).tolist(), zip(*(C.read_small(x).tolist() for x in H._part(r.extra)), strict=True), strict=True))
+        states.append((tables, parent))
+    assert set(states[0][0].values()) == {1}
+    word_counts = Counter()
+    for (_, w), n in count.items():
+        word_counts[key(w)] += n
+    assert {k: n for k, (n,) in states[0][1].items()} == word_counts  # the first sweep's own rows hold the counts
+    ones, twos = ([n for n in count.values()].count(k) for k in (1, 2))
+    d = ones / (ones + 2 * twos)
+    start = Counter(key(w) for _, w in count)  # customers of the parent before the first sweep
+    root_d = H._discount(*([n for n in start.values()].count(k) for k in (1, 2)))
+    customers_of = Counter()
     for (u, _), n in count.items():
-        customers[key(u)] += n
-    found = {}
-    for row in sums[0]:
-        found |= dict(zip(C.read_keys(row["keys"]).tolist(), C.read_small(H._part(row["extra"])[1]).tolist(), strict=True))
-    assert {k: n for k, n in found.items() if n} == customers
-    for rows in sums[1:]:  # a pair has at least one table and at most one a customer; a word's customers are its pairs' tables
-        told = [[C.read_small(x) for x in H._part(r["extra"])] for r in rows]
-        tables, words, roots = (sum(int(x[k].sum()) for x in told) for k in range(3))
-        assert len(count) <= tables == words <= sum(count.values()) and len({w for _, w in count}) <= roots <= words
+        customers_of[key(u)] += n
+    v = len(word_counts)
+    models = []
+    for tables, parent in states[-H.SAMPLES :]:
+        assert set(tables) == set(got) and all(1 <= t <= got[p] for p, t in tables.items())
+        by_word, by_context = Counter(), Counter()
+        for (u, w), t in tables.items():
+            by_word[w] += t
+            by_context[u] += t
+        assert {w: c for w, (c, _) in parent.items()} == by_word and all(1 <= t <= c for c, t in parent.values())
+        models.append((tables, parent, by_context, sum(by_word.values()), sum(t for _, t in parent.values())))
+
+    def chance(u, w):
+        total = 0.0
+        for tables, parent, by_context, c1, t1 in models:
+            base = 0.5 / v if w in word_counts else 0.5
+            c, t = parent.get(w, (0, 0))
+            p1 = (c - root_d * t + (H.STRENGTH + root_d * t1) * base) / (H.STRENGTH + c1)
+            total += (got.get((u, w), 0) - d * tables.get((u, w), 0) + (H.STRENGTH + d * by_context[u]) * p1) / (H.STRENGTH + customers_of[u])
+        return total / len(models)
+
+    for i, t in docs:
+        words = tokens(t)
+        want = sum(math.log10(chance(key(u), key(w))) for u, w in zip(["<", *words[:-1]], words, strict=True))
+        assert scores[i] == pytest.approx(want, rel=1e-9)
