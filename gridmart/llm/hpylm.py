@@ -19,7 +19,7 @@ in one place: its customers and tables never travel. The parent's customers are
 in every sweep a part sends the words of its pairs with their tables to the parts of the words, which seat
 the parent and answer with its customers and tables. What a sweep has seated (the tables of every pair) passes
 through with the sums, so the next one begins there. At the end both kinds of parts answer each chunk for its
-own pairs and words. Restaurants grow with the corpus and stay distributed; the driver sees only totals.
+own pairs and words: for training pairs by their places in the part, which it has kept for each chunk. Restaurants grow with the corpus and stay distributed; the driver sees only totals.
 Sampling is seeded by part and sweep, so retries agree. 64-bit hashes stand for words. A hot context (the
 start of a text, a frequent word) is one part's work: its distinct pairs are at most the distinct words.
 
@@ -146,7 +146,7 @@ def held_out(doc_id: Column, folds: int = 7, rest: int = 2) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds == rest
 
 
-ENTRY_SCHEMA = "owner int, contexts binary, words binary, pairs binary, ones long, twos long"
+ENTRY_SCHEMA = "owner int, chunk long, contexts binary, words binary, pairs binary, ones long, twos long"
 SUM_SCHEMA = "part int, chunk long, keys binary, extra binary, customers long, roots long, words long, tokens long, ones long, twos long"
 #: Chunk numbers from here on, plus the sweep, are those of a part's own tables.
 TABLE = -(1 << 20)
@@ -171,8 +171,9 @@ class Bigrams:
         self.count = np.bincount(self.place[np.repeat(self.held == 0, self.sizes)], minlength=len(pairs))
 
     def rows(self, chunk: int, parts: int, training: bool) -> pa.RecordBatch:
-        """Rows of KEY_SCHEMA: the contexts of each part, with the words (and training counts) of their pairs."""
-        chosen = self.count > 0 if training else np.ones(len(self.count), bool)
+        """Rows of KEY_SCHEMA: the contexts of each part, with the words of their pairs. Training pairs come
+        with their counts, the other ones (of held-out texts alone) ask for replies."""
+        chosen = (self.count > 0) == training
         context, word, count, out = self.context[chosen], self.word[chosen], self.count[chosen], []
         for part, a, b in C.split_keys(self.keys, parts):
             x, y = np.searchsorted(context, [a, b])
@@ -206,7 +207,8 @@ def _read_pairs(row: dict) -> tuple[np.ndarray, ...]:
 
 
 def _entries(batches):
-    """The distinct pairs of a part, by context and word: pairs per context, word and count of every pair."""
+    """The distinct pairs of a part, by context and word: pairs per context, word and count of every pair; and
+    a row for each chunk with the places of its pairs among them, which is all that its replies take later."""
     for rows in C.runs_of(batches, "part"):
         found = [_read_pairs(r) for r in rows]
         contexts, words = (np.unique(np.concatenate([f[k] for f in found])) for k in (0, 1))
@@ -216,9 +218,14 @@ def _entries(batches):
         count = np.bincount(place, weights=np.concatenate([f[4] for f in found]), minlength=len(pairs)).astype(np.int64)
         per_context = np.bincount(pairs // len(words), minlength=len(contexts))
         body = _join(*map(C.small_bytes, (per_context, pairs % len(words), count)))
-        columns = [[rows[0]["part"]], [C.key_bytes(contexts)], [C.key_bytes(words)], [body], [int((count == 1).sum())], [int((count == 2).sum())]]
-        types = [pa.int32(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["owner", "contexts", "words", "pairs", "ones", "twos"])
+        owner, ends = rows[0]["part"], np.cumsum([len(f[4]) for f in found])
+        out = [(owner, None, C.key_bytes(contexts), C.key_bytes(words), body, int((count == 1).sum()), int((count == 2).sum()))]
+        for r, end, n in zip(rows, ends, np.diff(ends, prepend=0), strict=True):
+            steps = np.diff(place[end - n : end], prepend=0)  # ascending, as the chunk's pairs are
+            out.append((owner, r["chunk"], None, None, C.small_bytes(steps), 0, 0))
+        types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+        names = ["owner", "chunk", "contexts", "words", "pairs", "ones", "twos"]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
 
 class Restaurants:
@@ -265,7 +272,7 @@ def _sweep(model: Model, sweep: int, parts: int):
     return run
 
 
-def _sums(model: Model, sweep: int, pair_parts: int):
+def _sums(model: Model, sweep: int, pair_parts: int, last: bool):
     """Of a part's words: the parent's customers and tables; a row for each asking part, and the part's own."""
     names = ["part", "chunk", "keys", "extra", "customers", "roots", "words", "tokens", "ones", "twos"]
     types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), *[pa.int64()] * 6]
@@ -285,9 +292,10 @@ def _sums(model: Model, sweep: int, pair_parts: int):
             rng = np.random.default_rng([SEED, pair_parts + rows[0]["part"], sweep])
             roots = seat(customers, np.full(len(keys), model.root_strength(sweep - 1)), model.root_discount, rng)
         part, told = rows[0]["part"], (customers, roots)
+        # Nothing is seated after the last sweep.
         totals = [customers.sum(), roots.sum(), (customers > 0).sum(), counts[0].sum() if counts else 0, (customers == 1).sum(), (customers == 2).sum()]
         yield batch_of([(part, TABLE + sweep, C.key_bytes(keys), _join(*map(C.small_bytes, told if sweep else counts)), *map(int, totals))])
-        for r, k in zip(rows, at, strict=True):
+        for r, k in zip(rows, at, strict=True) if not last else ():
             yield batch_of([(part, r["chunk"], b"", _join(*(C.small_bytes(x[k]) for x in told)), 0, 0, 0, 0, 0, 0)])
 
     def run(batches):
@@ -302,7 +310,7 @@ def _sums(model: Model, sweep: int, pair_parts: int):
 
 
 def _asked(pair_parts: int, parts: int):
-    """A chunk's pairs, by the parts of their contexts; and its words, by parts that follow those."""
+    """A chunk's pairs that are not in training texts, by the parts of their contexts; and its words, by parts that follow those."""
 
     def run(batches):
         for batch in batches:
@@ -334,8 +342,16 @@ def _pick(values: np.ndarray, at: np.ndarray, found: np.ndarray) -> np.ndarray:
     return np.where(found, values[at], 0) if len(values) else np.zeros(len(at), np.int64)
 
 
+#: Rows of a chunk's training pairs: what is added to its number.
+PLACES = 1 << 61
+
+
 def _told_pairs(rows: list[dict], samples: int):
-    """Replies for pairs: count and tables of each pair, customers and tables of each context."""
+    """Replies for pairs: count and tables of each pair, customers and tables of each context.
+
+    A chunk's training pairs are told by their places, and marked by a number of PLACES and more; the
+    others by context and word.
+    """
     none = np.empty(0, np.int64)
     contexts = words = np.empty(0, np.uint64)
     codes, per_pair, per_context = none, [none] * (1 + samples), [none] * (1 + samples)
@@ -347,7 +363,11 @@ def _told_pairs(rows: list[dict], samples: int):
         per_pair = [own.count, *map(C.read_small, tables)]
         per_context = [own.by_context(x) for x in per_pair]
     for r in rows:
-        if r["chunk"] >= 0:
+        if r["chunk"] >= PLACES:
+            at = np.cumsum(C.read_small(r["extra"]))
+            first = np.append(True, np.diff(own.context[at]) > 0) if len(at) else np.empty(0, bool)
+            yield r, [*(x[at] for x in per_pair), *(x[own.context[at][first]] for x in per_context)]
+        elif r["chunk"] >= 0:
             own_contexts, own_words, n, at = _read_pairs(r)
             c, seen = _find(contexts, own_contexts)
             w, known = _find(words, own_words)
@@ -367,13 +387,19 @@ def _told_words(rows: list[dict], samples: int):
             yield r, [_pick(x, at, found) for x in columns]
 
 
+#: Added to the part of a reply for training pairs.
+TRAINING = 1 << 29
+
+
 def _told(pair_parts: int, samples: int):
     def run(batches):
         for rows in C.runs_of(batches, "part"):
             for r, values in (_told_pairs if rows[0]["part"] < pair_parts else _told_words)(rows, samples):
-                reply = _join(*map(C.small_bytes, values))
+                reply, places = _join(*map(C.small_bytes, values)), r["chunk"] >= PLACES
+                # Replies of training pairs are numbered after all parts.
+                chunk, part = (r["chunk"] - PLACES, TRAINING + r["part"]) if places else (r["chunk"], r["part"])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r["chunk"]], pa.int64()), pa.array([r["part"]], pa.int32()), pa.array([reply], pa.binary())], names=["chunk", "part", "reply"]
+                    [pa.array([chunk], pa.int64()), pa.array([part], pa.int32()), pa.array([reply], pa.binary())], names=["chunk", "part", "reply"]
                 )
 
     return run
@@ -386,11 +412,20 @@ def _score(model: Model, sweeps: int, samples: int, pair_parts: int):
         for batch in batches:
             for row in batch.to_pylist():
                 own = Bigrams(row["body"])
-                told = [(r["part"] < pair_parts, list(map(C.read_small, _part(r["reply"])))) for r in row["replies_0"]]
-                pairs = [np.concatenate(x) for x in zip(*(c for of_pairs, c in told if of_pairs), strict=True)]
-                counts, *parent = (np.concatenate(x) for x in zip(*(c for of_pairs, c in told if not of_pairs), strict=True))
-                (count, *tables), contexts = pairs[: 1 + samples], pairs[1 + samples :]
-                customers, *in_context = (x[np.unique(own.context, return_inverse=True)[1]] for x in contexts)
+                told = [(r["part"], list(map(C.read_small, _part(r["reply"])))) for r in row["replies_0"]]
+                counts, *parent = (np.concatenate(x) for x in zip(*(c for part, c in told if pair_parts <= part < TRAINING), strict=True))
+                per_pair = np.zeros((2 + 2 * samples, len(own.word)), dtype=np.int64)
+                for training in (True, False):
+                    mine = (own.count > 0) == training
+                    found = [c for part, c in told if (part >= TRAINING if training else part < pair_parts)]
+                    if found:
+                        of_pairs, of_contexts = np.split(np.arange(2 + 2 * samples), 2)
+                        columns = [np.concatenate(x) for x in zip(*found, strict=True)]
+                        # A reply has a value for each context of its pairs, in order.
+                        context = np.unique(own.context[mine], return_inverse=True)[1]
+                        per_pair[:, mine] = [*(columns[k] for k in of_pairs), *(columns[k][context] for k in of_contexts)]
+                count, *tables = per_pair[: 1 + samples]
+                customers, *in_context = per_pair[1 + samples :]
                 chance = np.zeros(len(own.word))
                 for k, s in enumerate(range(1 + sweeps - samples, sweeps + 1)):
                     chance_of_word = model.unigram(s, parent[2 * k], parent[2 * k + 1], counts > 0)[own.word]
@@ -419,10 +454,11 @@ def _release(spark: SparkSession) -> None:
 
 
 def fit(chunks: DataFrame, pair_parts: int, parts: int, sweeps: int, samples: int) -> tuple[Model, DataFrame, list[DataFrame]]:
-    """(totals, the restaurants, the sums that the scores need: counts, then those of each sample)."""
+    """(totals, the restaurants and the chunks' places in them, the sums that the scores need: counts, then those of each sample)."""
     spark = chunks.sparkSession
     sent = chunks.select("chunk", "body").mapInArrow(_training_pairs(pair_parts), C.KEY_SCHEMA)
-    entries = stored(C.by_part(sent, pair_parts).mapInArrow(_entries, ENTRY_SCHEMA), "pairs")
+    pairs = stored(C.by_part(sent, pair_parts).mapInArrow(_entries, ENTRY_SCHEMA), "pairs")
+    entries = pairs.where("chunk is null").select("owner", F.col("owner").cast("long").alias("chunk"), "contexts", "words", "pairs", "ones", "twos")
     del sent
     _release(spark)
     model, kept, sums = Model(), [], None
@@ -433,9 +469,9 @@ def fit(chunks: DataFrame, pair_parts: int, parts: int, sweeps: int, samples: in
             given = entries
         else:
             replies = sums.where("chunk >= 0").select("chunk", "part", F.col("extra").alias("reply"))
-            given = C.with_replies(entries.withColumn("chunk", F.col("owner").cast("long")), replies)
+            given = C.with_replies(entries, replies)
         sent = given.mapInArrow(_sweep(model, sweep, parts), C.KEY_SCHEMA)
-        before, sums = sums, stored(C.by_part(sent, parts + 1).mapInArrow(_sums(model, sweep, pair_parts), SUM_SCHEMA), "sums")
+        before, sums = sums, stored(C.by_part(sent, parts + 1).mapInArrow(_sums(model, sweep, pair_parts, sweep == sweeps), SUM_SCHEMA), "sums")
         names = ("customers", "roots", "words", "tokens", "ones", "twos")
         total = {n: x or 0 for n, x in sums.agg(*(F.sum(n).alias(n) for n in names)).first().asDict().items()}
         if not sweep:
@@ -449,7 +485,7 @@ def fit(chunks: DataFrame, pair_parts: int, parts: int, sweeps: int, samples: in
             remove(before)
         del sent, given
         _release(spark)
-    return model, entries, kept
+    return model, pairs, kept
 
 
 def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> DataFrame:
@@ -460,17 +496,22 @@ def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> Data
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
     chunks = C.chunk_table(slim, chunk_bytes=CHUNK_BYTES, encode=_code)
     pair_parts, parts = C.n_parts(chunks, 1 / 12, PAIRS_PER_KEY * KEYS_PER_PART), C.n_parts(chunks, 1 / 24, KEYS_PER_PART)
-    model, entries, sums = fit(chunks, pair_parts, parts, sweeps, samples)
+    model, pairs, sums = fit(chunks, pair_parts, parts, sweeps, samples)
+    entries = pairs.where("chunk is null").withColumn("chunk", F.col("owner").cast("long"))
     tables = None
     for sweep, one in enumerate(sums[1:]):
         passed = one.where(F.col("part") == PASSING).select("chunk", F.lit(sweep).alias("part"), F.col("extra").alias("reply"))
         tables = passed if tables is None else tables.unionByName(passed)
-    seated = C.with_replies(entries.withColumn("chunk", F.col("owner").cast("long")), tables).mapInArrow(_seated, C.KEY_SCHEMA)
-    asked = chunks.select("chunk", "body").mapInArrow(_asked(pair_parts, parts), C.KEY_SCHEMA).unionByName(seated)
+    seated = C.with_replies(entries, tables).mapInArrow(_seated, C.KEY_SCHEMA)
+    numbered = F.col("chunk") + PLACES
+    places = pairs.where("chunk is not null").select(F.col("owner").alias("part"), numbered.alias("chunk"), F.lit(b"").alias("keys"), F.col("pairs").alias("extra"))
+    asked = chunks.select("chunk", "body").mapInArrow(_asked(pair_parts, parts), C.KEY_SCHEMA).unionByName(seated).unionByName(places)
     for one in sums:
         own = one.where("chunk < 0").select((F.col("part") + pair_parts).cast("int").alias("part"), "chunk", "keys", "extra")
         asked = asked.unionByName(own)
-    told = C.by_part(asked, pair_parts + parts).mapInArrow(_told(pair_parts, samples), C.REPLY_SCHEMA)
+    told = stored(C.by_part(asked, pair_parts + parts).mapInArrow(_told(pair_parts, samples), C.REPLY_SCHEMA), "told")
+    del asked, seated, places
+    _release(docs.sparkSession)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     scored = C.with_replies(chunks.select("chunk", "body"), told).mapInArrow(_score(model, sweeps, samples, pair_parts), schema)
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
