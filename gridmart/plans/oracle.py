@@ -172,6 +172,14 @@ def _cols(*items: str) -> str:
     return ",\n       ".join(items)
 
 
+DAILY = (
+    "SELECT "
+    + _cols("date_utc", "year", "month", "day_of_week", d("avg_price_eur_mwh"), d("min_price_eur_mwh"),
+            d("max_price_eur_mwh"), *[d(c) for c in MWH8], d("renewable_pct"), "negative_price_hours",
+            d("price_range_eur_mwh"))
+    + " FROM daily"
+)
+
 SQL: dict[str, str] = {
     "hourly_price": _with(f"SELECT hour_utc, {r6('price_eur_mwh', 'price_eur_mwh')} FROM hourly_price"),
     "generation_long": _with(f"SELECT hour_utc, indicator_id, {d('value_mwh')} FROM generation_long"),
@@ -191,13 +199,7 @@ SQL: dict[str, str] = {
                 d("renewable_pct"))
         + " FROM fct"
     ),
-    "daily_summary": _with(
-        "SELECT "
-        + _cols("date_utc", "year", "month", "day_of_week", d("avg_price_eur_mwh"), d("min_price_eur_mwh"),
-                d("max_price_eur_mwh"), *[d(c) for c in MWH8], d("renewable_pct"), "negative_price_hours",
-                d("price_range_eur_mwh"))
-        + " FROM daily"
-    ),
+    "daily_summary": _with(DAILY),
     "price_impact": _with(
         "SELECT "
         + _cols("date_utc", "year", "month", d("avg_price_eur_mwh"), d("renewable_pct"), d("wind_mwh"),
@@ -532,7 +534,44 @@ VERSIONED = "\nUNION ALL ".join(
     for day, every, more in (("2025-01-02", 1, 0), ("2025-01-03", 2, 1), ("2025-01-04", 3, 1), ("2025-01-05", 5, 0))
 )
 
+LOADED = """
+loaded AS (
+  SELECT indicator_id, datetime_utc, geo_id, value, day AS fetch_day, max(doc = 'c') OVER k AS first_run
+  FROM given WHERE (indicator_id, doc) IN (SELECT (indicator_id, doc) FROM answers WHERE NOT failed)
+  WINDOW k AS (PARTITION BY indicator_id, datetime_utc, geo_id)
+  QUALIFY row_number() OVER (PARTITION BY indicator_id, datetime_utc, geo_id ORDER BY day DESC) = 1)
+"""
+
+
+def _with_loaded(body: str) -> str:
+    """The models over what the answers load."""
+    source = OBS.strip().rsplit("obs AS (", 1)[0]
+    obs = "obs AS (SELECT indicator_id, datetime_utc, geo_id, value FROM loaded)"
+    return f"WITH {source}{ANSWERS.strip()},\n{LOADED.strip()},\n{obs},\n{MODELS.strip()}\n{body.strip()}\n"
+
+
+_STORED_CHECKS = [
+    *(_not_null("indicator_values", "raw_0", c) for c in ("indicator_id", "datetime_utc", "geo_id", "extracted_at")),
+    _unique("fct_hourly_market", "fct", "hour_utc"),
+    *(_not_null("fct_hourly_market", "fct", c) for c in ("hour_utc", "price_eur_mwh", "renewable_pct")),
+    _unique("mart_daily_summary", "daily", "date_utc"),
+    *(_not_null("mart_daily_summary", "daily", c) for c in ("date_utc", "avg_price_eur_mwh", "renewable_pct")),
+    _unique("mart_renewables_price_impact", "impact", "date_utc"),
+    *(_not_null("mart_renewables_price_impact", "impact", c) for c in ("date_utc", "renewable_pct")),
+    _unique("mart_technology_mix", "mix", "month_utc"),
+    _not_null("mart_technology_mix", "mix", "month_utc"),
+]
+
 SQL.update({
+    "stored_window": _with_loaded(
+        """SELECT indicator_id, datetime_utc, geo_id, CAST(value AS DOUBLE) AS value, fetch_day,
+                  CASE WHEN first_run THEN TIMESTAMP '2025-01-02 06:15:00' ELSE TIMESTAMP '2025-01-03 06:15:00' END AS extracted_at
+           FROM loaded WHERE datetime_utc >= TIMESTAMP '2024-03-01 00:00:00' AND datetime_utc < TIMESTAMP '2024-07-01 00:00:00'"""
+    ),
+    "stored_daily": _with_loaded(DAILY),
+    "stored_checks": _with_loaded(
+        ", raw_0 AS (SELECT *, TIMESTAMP '2025-01-02 06:15:00' AS extracted_at FROM obs)\n" + "\nUNION ALL ".join(_STORED_CHECKS)
+    ),
     "answer_status": f"""WITH {OBS.strip()},\n{ANSWERS.strip()},\n{REGISTRY.strip()},
         counted AS (
           SELECT a.indicator_id, count(*) AS answers, count(*) FILTER (WHERE failed) AS failed_answers,

@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmart.operators import ingest, market, quality, reports, upsert
-from gridmart.plans import warehouse
+from gridmart.plans import catalog, warehouse
 from gridmart.plans.models import Models, build_models
-from gridmart.schemas import RAW_KEYS, RAW_PARTITION, RAW_TABLE
+from gridmart.schemas import RAW_KEYS, RAW_PARTITION, RAW_VERSIONED
 from gridmart.session import ensure_utc
 from gridmart.sources import fixtures, payload, tables
 
@@ -187,6 +187,38 @@ def q_accepted_answers(spark, sf_dir):
     return comparable(rows.select(*RAW_KEYS, "value", ingest.version_day(F.col("version")).alias("fetch_day")))
 
 
+def _stored(spark, sf_dir, revise: bool = False):
+    """A warehouse in the shared work folder, loaded with the answers: all at once, or the newest ones first."""
+    ensure_utc(spark)
+    items = fixtures.answers(fixtures.read_events(spark, sf_dir))
+    layout = warehouse.Layout(warehouse.work_folder(spark, "stored"))
+    newest = F.col("document") == "c"
+    for batch, at in ((items.where(newest), fixtures.FIRST_LOAD_TS), (items.where(~newest), fixtures.REVISION_TS)) if revise else ((items, fixtures.FIRST_LOAD_TS),):
+        result = warehouse.ingest_items(spark, batch, layout, at)
+        warehouse.refresh_marts(spark, layout, result.changed_days)
+    return layout
+
+
+def q_stored_window(spark, sf_dir):
+    """A window of the stored raw table after two runs, the newest answers in the first of them."""
+    layout = _stored(spark, sf_dir, revise=True)
+    rows = tables.read_raw(spark, layout.raw, *ingest.extraction_window(*WINDOW), versions=True)
+    out = rows.select(*RAW_KEYS, "value", "extracted_at", ingest.version_day(F.col("version")).alias("fetch_day"))
+    return comparable(out)
+
+
+def q_stored_daily(spark, sf_dir):
+    """The daily mart of the stored warehouse, built month by month in two runs, as the catalogue's table shows it."""
+    layout = _stored(spark, sf_dir, revise=True)
+    catalog.publish(spark, layout, "gridmart_stored")
+    return comparable(spark.table("gridmart_stored.mart_daily_summary"))
+
+
+def q_stored_checks(spark, sf_dir):
+    """The 17 declared checks as the writes of the stored warehouse have measured them."""
+    return warehouse.checks_report(spark, _stored(spark, sf_dir))[0]
+
+
 def q_ingest_rejects(spark, sf_dir):
     return ingest.rejected_indicators(_checks(spark, sf_dir))
 
@@ -262,7 +294,7 @@ def q_upsert_versioned(spark, sf_dir):
     """Four answers that arrive in three batches, newer ones first: the newest value of each key and its fetch day."""
     ensure_utc(spark)
     events = fixtures.read_events(spark, sf_dir)
-    table = spark.createDataFrame([], RAW_TABLE)
+    table = spark.createDataFrame([], RAW_VERSIONED)
     for batch in fixtures.ARRIVALS:
         rows = fixtures.versioned_batch(events, batch).withColumn("version", ingest.version_of(F.col("fetched_at"), F.col("document")))
         newest = rows.groupBy(*RAW_KEYS).agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version"))
@@ -325,6 +357,9 @@ QUERIES: dict[str, Query] = {
     "refetch_overlap": q_refetch_overlap,
     "answer_status": q_answer_status,
     "accepted_answers": q_accepted_answers,
+    "stored_window": q_stored_window,
+    "stored_daily": q_stored_daily,
+    "stored_checks": q_stored_checks,
     "upsert": q_upsert,
     "upsert_clustered": q_upsert_clustered,
     "upsert_clustered_counts": q_upsert_clustered_counts,

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 
 from gridmart.operators import ingest, marts, quality, upsert
 from gridmart.operators.market import fct_hourly_market, hourly_market_from_raw
-from gridmart.schemas import INDICATORS, OBSERVATION, RAW_KEYS, RAW_PARTITION, RAW_TABLE, VERSION_TYPE
+from gridmart.schemas import INDICATORS, OBSERVATION, RAW_KEYS, RAW_PARTITION, RAW_TABLE, RAW_VERSIONED, VERSION_TYPE
 from gridmart.session import checkpoint_dir, ensure_utc
 from gridmart.sources import payload, tables
 
@@ -231,7 +231,7 @@ def upsert_raw(
     for (_, d), n in _day_counts.items():
         per_day[d] = per_day.get(d, 0) + n
     if merge_days:
-        stored = tables.read_raw(spark, raw_path).where(F.col(RAW_PARTITION).isin(merge_days))
+        stored = tables.read_raw(spark, raw_path, versions=True).where(F.col(RAW_PARTITION).isin(merge_days))
         for r in stored.groupBy(RAW_PARTITION).count().collect():
             per_day[r[RAW_PARTITION]] = per_day.get(r[RAW_PARTITION], 0) + r["count"]
     k_by_day, slots = slices(per_day, _shuffle_width(spark))
@@ -254,7 +254,7 @@ def upsert_raw(
             before_write("insert", days, days)
         inserts = upsert.merged_table(upsert.insert_plan(batch.drop(RAW_PARTITION), run_ts))
         rows = _with_bucket(tables.with_partition(inserts), k_by_day).repartition(slots, *_CLUSTER)
-        _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_TABLE.fieldNames(), RAW_PARTITION), raw_path)
+        _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_VERSIONED.fieldNames(), RAW_PARTITION), raw_path)
         return [c for c in counts.values() if c["staged_rows"]], days
 
     # Stored days are merged (new days in the same batch come out as inserts):
@@ -287,7 +287,7 @@ def upsert_raw(
         if before_write:
             before_write("merge", rewritten, changed)
         rows = plan.where(F.col(RAW_PARTITION).isin(rewritten))
-        _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_TABLE.fieldNames(), RAW_PARTITION), raw_path)
+        _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_VERSIONED.fieldNames(), RAW_PARTITION), raw_path)
     return [c for c in counts.values() if c["staged_rows"]], changed
 
 
@@ -546,7 +546,7 @@ def finish_write(spark: SparkSession, layout: Layout) -> list[dt.date]:
             batch = spark.read.parquet(f"{work}/newest")
             inserts = upsert.merged_table(upsert.insert_plan(batch, F.lit(marks[0].run_ts.replace(tzinfo=dt.timezone.utc))))
             rows = tables.with_partition(inserts).where(F.col(RAW_PARTITION).isin(days)).repartition(*_LAYOUT[:2])
-        _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_TABLE.fieldNames(), RAW_PARTITION), layout.raw)
+        _write_raw_days(rows.sortWithinPartitions(*_LAYOUT).select(*RAW_VERSIONED.fieldNames(), RAW_PARTITION), layout.raw)
         remove_work(spark, path)
         remove_work(spark, work)
         return sorted(days)

@@ -128,10 +128,10 @@ RAW_TABLE = T.StructType(
     + [
         T.StructField("extracted_at", T.TimestampType(), False),
         T.StructField("updated_at", T.TimestampType(), False),
-        # The answer that a row's value comes from (``ingest.version_of``); NULL where it is not known.
-        T.StructField("version", VERSION_TYPE, True),
     ]
 )
+# As stored: with the version of the answer that a row's value comes from (``ingest.version_of``), NULL where unknown.
+RAW_VERSIONED = T.StructType(RAW_TABLE.fields + [T.StructField("version", VERSION_TYPE, True)])
 RAW_KEYS = ("indicator_id", "datetime_utc", "geo_id")
 RAW_PARTITION = "obs_date"
 

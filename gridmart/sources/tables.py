@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmart.functions.calendar import utc_literal
-from gridmart.schemas import RAW_PARTITION, RAW_TABLE, TECHNOLOGY, TECHNOLOGY_SEED_CSV
+from gridmart.schemas import RAW_PARTITION, RAW_TABLE, RAW_VERSIONED, TECHNOLOGY, TECHNOLOGY_SEED_CSV
 
 
 def hadoop_fs(spark: SparkSession, path: str):
@@ -76,7 +76,7 @@ def provision_raw(spark: SparkSession, path: str) -> None:
     """Create the raw table (empty, typed, partitioned) if it does not exist yet."""
     if raw_exists(spark, path):
         return
-    empty = spark.createDataFrame([], RAW_TABLE).withColumn(RAW_PARTITION, F.to_date("datetime_utc"))
+    empty = spark.createDataFrame([], RAW_VERSIONED).withColumn(RAW_PARTITION, F.to_date("datetime_utc"))
     empty.write.mode("errorifexists").partitionBy(RAW_PARTITION).parquet(path)
 
 
@@ -90,13 +90,14 @@ def read_raw(
     path: str,
     start: dt.datetime | None = None,
     end: dt.datetime | None = None,
+    versions: bool = False,
 ) -> DataFrame:
-    """Scan the raw table, optionally restricted to ``[start, end)``.
+    """Scan the raw table, optionally restricted to ``[start, end)``; with ``versions`` also each row's version.
 
     The window becomes two predicates: a literal range on ``obs_date``
     (partition pruning) and the exact range on ``datetime_utc`` (row filter).
     """
-    schema = T.StructType(RAW_TABLE.fields + [T.StructField(RAW_PARTITION, T.DateType())])
+    schema = T.StructType((RAW_VERSIONED if versions else RAW_TABLE).fields + [T.StructField(RAW_PARTITION, T.DateType())])
     df = spark.read.schema(schema).parquet(path)
     if start is not None:
         df = df.where(F.col(RAW_PARTITION) >= F.lit(start.date())).where(F.col("datetime_utc") >= utc_literal(start))

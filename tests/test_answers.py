@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from gridmart.operators import ingest, upsert
 from gridmart.plans import warehouse
-from gridmart.schemas import RAW_TABLE
+from gridmart.schemas import RAW_VERSIONED
 from gridmart.sources import payload, tables
 from gridmart.streaming import ingest_stream
 from test_recovery import answer, land, raw_rows
@@ -31,7 +31,7 @@ def items(spark, answers):
 
 def stored(spark, root):
     """Keys, values and versions (audit columns tell when runs happened)."""
-    raw = tables.read_raw(spark, warehouse.Layout(root).raw)
+    raw = tables.read_raw(spark, warehouse.Layout(root).raw, versions=True)
     return sorted((r.indicator_id, r.datetime_utc.day, r.value, r.version) for r in raw.collect())
 
 
@@ -64,7 +64,7 @@ def test_an_older_answer_is_kept_out_and_a_newer_one_moves_the_version_on(spark,
     assert first.changed_days == [dt.date(2027, 1, 1)] and again.changed_days == late.changed_days == []
     assert (again.counts[0]["unchanged"], late.counts[0]["unchanged"], late.counts[0]["updated"]) == (1, 1, 0)
     ((_, _, value, version),) = stored(spark, f"{scratch}/wh")
-    row = tables.read_raw(spark, warehouse.Layout(f"{scratch}/wh").raw).select(ingest.version_day(F.col("version"))).first()
+    row = tables.read_raw(spark, warehouse.Layout(f"{scratch}/wh").raw, versions=True).select(ingest.version_day(F.col("version"))).first()
     assert value == 1 and row[0] == dt.date(2027, 1, 5) and version is not None
 
 
@@ -93,7 +93,7 @@ def test_merges_keep_the_newest_version(spark, rows, cut):
         best.setdefault((key, version), value)
     table = [(600, dt.datetime(2027, 1, 1), k, None if v is None else Decimal(v), Decimal(n)) for (k, n), v in best.items()]
     for form in (0, 1):
-        target = spark.createDataFrame([], RAW_TABLE)
+        target = spark.createDataFrame([], RAW_VERSIONED)
         for start in range(0, len(table), cut):
             batch = spark.createDataFrame(table[start : start + cut], schema)
             newest = batch.groupBy("indicator_id", "datetime_utc", "geo_id").agg(F.max_by("value", "version").alias("value"), F.max("version").alias("version"))
@@ -102,7 +102,7 @@ def test_merges_keep_the_newest_version(spark, rows, cut):
             else:
                 day = F.to_date("datetime_utc")
                 plan = upsert.merge_plan_clustered(target.withColumn("d", day), newest.withColumn("d", day), NOW, ["d"], 2)
-            target = spark.createDataFrame(upsert.merged_table(plan).collect(), RAW_TABLE)
+            target = spark.createDataFrame(upsert.merged_table(plan).collect(), RAW_VERSIONED)
         got = {r.geo_id: (r.version, r.value) for r in target.collect()}
         want = {}
         for (k, n), v in best.items():
