@@ -154,18 +154,22 @@ TABLE = -(1 << 20)
 PASSING = -1
 
 
+def _all_keys(coded: bytes) -> np.ndarray:
+    """The keys of a chunk's words and of the start."""
+    return np.union1d(C.read_keys(coded), np.array([_keys[START]], dtype=np.uint64))
+
+
 class Bigrams:
     """A chunk's distinct keys and its distinct (context, word) pairs, by context key and word key."""
 
     def __init__(self, body: bytes):
         *numbers, keys = _part(body)
         self.ids, self.known, self.held, self.sizes, codes = map(C.read_small, numbers)
-        words, start = C.read_keys(keys), np.array([_keys[START]], dtype=np.uint64)
-        self.keys = np.union1d(words, start)
-        self.tokens = np.searchsorted(self.keys, words)[codes]
+        self.keys = _all_keys(keys)
+        self.tokens = np.searchsorted(self.keys, C.read_keys(keys))[codes]
         self.begins = np.cumsum(self.sizes) - self.sizes
         before = np.concatenate([[0], self.tokens[:-1]])
-        before[self.begins] = np.searchsorted(self.keys, start)[0]
+        before[self.begins] = np.searchsorted(self.keys, np.uint64(_keys[START]))
         pairs, self.place = np.unique(before * len(self.keys) + self.tokens, return_inverse=True)
         self.context, self.word = pairs // len(self.keys), pairs % len(self.keys)
         self.count = np.bincount(self.place[np.repeat(self.held == 0, self.sizes)], minlength=len(pairs))
@@ -309,16 +313,24 @@ def _sums(model: Model, sweep: int, pair_parts: int, last: bool):
     return run
 
 
-def _asked(pair_parts: int, parts: int):
-    """A chunk's pairs that are not in training texts, by the parts of their contexts; and its words, by parts that follow those."""
+def _asked_pairs(pair_parts: int):
+    """A chunk's pairs that are not in training texts, by the parts of their contexts."""
 
     def run(batches):
         for batch in batches:
             for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
-                own = Bigrams(body.as_py())
-                yield own.rows(chunk, pair_parts, False)
-                words = C.key_rows(chunk, own.keys, parts)
-                yield words.set_column(0, "part", pa.array([pair_parts + p for p in words.column("part").to_pylist()], pa.int32()))
+                yield Bigrams(body.as_py()).rows(chunk, pair_parts, False)
+
+    return run
+
+
+def _asked_words(parts: int):
+    """A chunk's words, by their parts."""
+
+    def run(batches):
+        for batch in batches:
+            for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
+                yield C.key_rows(chunk, _all_keys(_part(body.as_py())[-1]), parts)
 
     return run
 
@@ -391,13 +403,15 @@ def _told_words(rows: list[dict], samples: int):
 TRAINING = 1 << 29
 
 
-def _told(pair_parts: int, samples: int):
+def _told(answer, samples: int, first: int = 0):
+    """Replies of all parts, numbered from ``first`` on."""
+
     def run(batches):
         for rows in C.runs_of(batches, "part"):
-            for r, values in (_told_pairs if rows[0]["part"] < pair_parts else _told_words)(rows, samples):
+            for r, values in answer(rows, samples):
                 reply, places = _join(*map(C.small_bytes, values)), r["chunk"] >= PLACES
                 # Replies of training pairs are numbered after all parts.
-                chunk, part = (r["chunk"] - PLACES, TRAINING + r["part"]) if places else (r["chunk"], r["part"])
+                chunk, part = (r["chunk"] - PLACES, TRAINING + r["part"]) if places else (r["chunk"], first + r["part"])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([chunk], pa.int64()), pa.array([part], pa.int32()), pa.array([reply], pa.binary())], names=["chunk", "part", "reply"]
                 )
@@ -481,9 +495,12 @@ def fit(chunks: DataFrame, pair_parts: int, parts: int, sweeps: int, samples: in
         model.tables.append(float(total["roots"]))
         if not sweep or sweep > sweeps - samples:
             kept.append(sums)
-        if before is not None and before not in kept:
+        if before is not None:
+            at = next((k for k, x in enumerate(kept) if x is before), None)
+            if at is not None:  # its replies are not needed any more
+                kept[at] = stored(before.where((F.col("chunk") < 0) | (F.col("part") == PASSING)), "sums-kept")
             remove(before)
-        del sent, given
+        del sent, given, before
         _release(spark)
     return model, pairs, kept
 
@@ -505,13 +522,21 @@ def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> Data
     seated = C.with_replies(entries, tables).mapInArrow(_seated, C.KEY_SCHEMA)
     numbered = F.col("chunk") + PLACES
     places = pairs.where("chunk is not null").select(F.col("owner").alias("part"), numbered.alias("chunk"), F.lit(b"").alias("keys"), F.col("pairs").alias("extra"))
-    asked = chunks.select("chunk", "body").mapInArrow(_asked(pair_parts, parts), C.KEY_SCHEMA).unionByName(seated).unionByName(places)
-    for one in sums:
-        own = one.where("chunk < 0").select((F.col("part") + pair_parts).cast("int").alias("part"), "chunk", "keys", "extra")
-        asked = asked.unionByName(own)
-    told = stored(C.by_part(asked, pair_parts + parts).mapInArrow(_told(pair_parts, samples), C.REPLY_SCHEMA), "told")
+    slim = chunks.select("chunk", "body")
+    asked = slim.mapInArrow(_asked_pairs(pair_parts), C.KEY_SCHEMA).unionByName(seated).unionByName(places)
+    told_pairs = stored(C.by_part(asked, pair_parts).mapInArrow(_told(_told_pairs, samples), C.REPLY_SCHEMA), "told-pairs")
     del asked, seated, places
+    remove(pairs)
+    _release(docs.sparkSession)
+    asked = slim.mapInArrow(_asked_words(parts), C.KEY_SCHEMA)
+    for one in sums:
+        asked = asked.unionByName(one.where("chunk < 0").select("part", "chunk", "keys", "extra"))
+    told_words = stored(C.by_part(asked, parts).mapInArrow(_told(_told_words, samples, pair_parts), C.REPLY_SCHEMA), "told-words")
+    del asked
+    for one in sums:
+        remove(one)
     _release(docs.sparkSession)
+    told = told_pairs.unionByName(told_words)
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     scored = C.with_replies(chunks.select("chunk", "body"), told).mapInArrow(_score(model, sweeps, samples, pair_parts), schema)
     return scored.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
