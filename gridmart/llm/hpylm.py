@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.llm import chunks as C
-from gridmart.llm.common import remove, stored
+from gridmart.llm.common import prepare, remove, stored
 
 SWEEPS = 3
 SAMPLES = 2
@@ -82,7 +82,7 @@ def _part(data: bytes) -> list[bytes]:
 
 
 def _code(table: pa.Table) -> bytes:
-    """A chunk: ids, held-out flags, tokens per text, token codes (places in the sorted distinct keys), keys."""
+    """A chunk: keys, then ids, held-out flags, tokens per text, token codes (places in the keys), places of start and end."""
     tokens: list[bytes] = []
     sizes = []
     for text in table.column("text"):
@@ -93,12 +93,28 @@ def _code(table: pa.Table) -> bytes:
     if len(_keys) > CACHE_WORDS:
         _keys.clear()
     hashes = np.fromiter(map(_keys.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
-    keys, codes = np.unique(hashes, return_inverse=True)
+    marks = np.array([_keys[START], _keys[END]], dtype=np.uint64)
+    keys = np.union1d(hashes, marks)
+    codes = np.searchsorted(keys, hashes)
     ids = table.column("doc_id").to_pylist()
     known = np.array([i is not None for i in ids], dtype=np.int64)
     held = np.array(table.column("held_out").to_pylist(), dtype=np.int64)
     numbers = np.array([i or 0 for i in ids], dtype=np.int64)
-    return _join(*map(C.small_bytes, (numbers, known, held, np.array(sizes), codes)), C.key_bytes(keys))
+    arrays = (numbers, known, held, np.array(sizes), codes, np.array([len(keys), *np.searchsorted(keys, marks)]))
+    return _join(C.key_bytes(keys), *map(C.small_bytes, arrays))
+
+
+def _coded(text_at: int, chunk_bytes: int):
+    """Rows (chunk, size, body, keys): the keys stand by themselves, since the scores take the body alone."""
+    gather = C._gather(text_at, chunk_bytes, _code)
+
+    def run(batches):
+        for batch in gather(batches):
+            keys, *numbers = _part(batch.column("body")[0].as_py())
+            out = batch.set_column(2, "body", pa.array([_join(*numbers)], pa.binary()))
+            yield out.append_column("keys", pa.array([keys], pa.binary()))
+
+    return run
 
 
 def seat(customers: np.ndarray, strength: np.ndarray, discount: float, rng: np.random.Generator) -> np.ndarray:
@@ -154,38 +170,30 @@ TABLE = -(1 << 20)
 PASSING = -1
 
 
-def _all_keys(coded: bytes) -> np.ndarray:
-    """The keys of a chunk's words and of the start."""
-    return np.union1d(C.read_keys(coded), np.array([_keys[START]], dtype=np.uint64))
-
-
 class Bigrams:
-    """A chunk's distinct keys and its distinct (context, word) pairs, by context key and word key."""
+    """A chunk's distinct (context, word) pairs, by context key and word key; words are places in the chunk's keys."""
 
     def __init__(self, body: bytes):
-        *numbers, keys = _part(body)
-        self.ids, self.known, self.held, self.sizes, codes = map(C.read_small, numbers)
-        self.keys = _all_keys(keys)
-        self.tokens = np.searchsorted(self.keys, C.read_keys(keys))[codes]
+        self.ids, self.known, self.held, self.sizes, self.tokens, (size, self.start, self.end) = map(C.read_small, _part(body))
         self.begins = np.cumsum(self.sizes) - self.sizes
         before = np.concatenate([[0], self.tokens[:-1]])
-        before[self.begins] = np.searchsorted(self.keys, np.uint64(_keys[START]))
-        pairs, self.place = np.unique(before * len(self.keys) + self.tokens, return_inverse=True)
-        self.context, self.word = pairs // len(self.keys), pairs % len(self.keys)
+        before[self.begins] = self.start
+        pairs, self.place = np.unique(before * size + self.tokens, return_inverse=True)
+        self.context, self.word = pairs // size, pairs % size
         self.count = np.bincount(self.place[np.repeat(self.held == 0, self.sizes)], minlength=len(pairs))
 
-    def rows(self, chunk: int, parts: int, training: bool) -> pa.RecordBatch:
+    def rows(self, chunk: int, keys: np.ndarray, parts: int, training: bool) -> pa.RecordBatch:
         """Rows of KEY_SCHEMA: the contexts of each part, with the words of their pairs. Training pairs come
         with their counts, the other ones (of held-out texts alone) ask for replies."""
         chosen = (self.count > 0) == training
         context, word, count, out = self.context[chosen], self.word[chosen], self.count[chosen], []
-        for part, a, b in C.split_keys(self.keys, parts):
+        for part, a, b in C.split_keys(keys, parts):
             x, y = np.searchsorted(context, [a, b])
             if x < y:
                 own, n = np.unique(context[x:y], return_counts=True)
                 used, at = np.unique(word[x:y], return_inverse=True)
                 numbers = (n, at, count[x:y]) if training else (n, at)
-                out.append((part, chunk, C.key_bytes(self.keys[own]), _join(C.key_bytes(self.keys[used]), *map(C.small_bytes, numbers))))
+                out.append((part, chunk, C.key_bytes(keys[own]), _join(C.key_bytes(keys[used]), *map(C.small_bytes, numbers))))
         return _key_batch(out)
 
 
@@ -195,11 +203,13 @@ def _key_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["part", "chunk", "keys", "extra"])
 
 
-def _training_pairs(parts: int):
+def _sent_pairs(parts: int, training: bool):
+    """A chunk's pairs, by the parts of their contexts: those of training texts, or the other ones."""
+
     def run(batches):
         for batch in batches:
-            for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
-                yield Bigrams(body.as_py()).rows(chunk, parts, True)
+            for row in batch.to_pylist():
+                yield Bigrams(row["body"]).rows(row["chunk"], C.read_keys(row["keys"]), parts, training)
 
     return run
 
@@ -313,24 +323,13 @@ def _sums(model: Model, sweep: int, pair_parts: int, last: bool):
     return run
 
 
-def _asked_pairs(pair_parts: int):
-    """A chunk's pairs that are not in training texts, by the parts of their contexts."""
-
-    def run(batches):
-        for batch in batches:
-            for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
-                yield Bigrams(body.as_py()).rows(chunk, pair_parts, False)
-
-    return run
-
-
 def _asked_words(parts: int):
     """A chunk's words, by their parts."""
 
     def run(batches):
         for batch in batches:
-            for chunk, body in zip(batch.column("chunk").to_pylist(), batch.column("body"), strict=True):
-                yield C.key_rows(chunk, _all_keys(_part(body.as_py())[-1]), parts)
+            for chunk, keys in zip(batch.column("chunk").to_pylist(), batch.column("keys"), strict=True):
+                yield C.key_rows(chunk, C.read_keys(keys.as_py()), parts)
 
     return run
 
@@ -359,21 +358,21 @@ PLACES = 1 << 61
 
 
 def _told_pairs(rows: list[dict], samples: int):
-    """Replies for pairs: count and tables of each pair, customers and tables of each context.
+    """Replies for pairs: count and tables of each pair, tables of each context (its customers are the word's count).
 
     A chunk's training pairs are told by their places, and marked by a number of PLACES and more; the
     others by context and word.
     """
     none = np.empty(0, np.int64)
     contexts = words = np.empty(0, np.uint64)
-    codes, per_pair, per_context = none, [none] * (1 + samples), [none] * (1 + samples)
+    codes, per_pair, per_context = none, [none] * (1 + samples), [none] * samples
     if rows[0]["chunk"] < 0:
         held, pairs, *tables = _part(rows[0]["extra"])
         own = Restaurants({"contexts": rows[0]["keys"], "words": held, "pairs": pairs})
         contexts, words = own.contexts, own.words
         codes = own.context * len(words) + own.word  # sorted
         per_pair = [own.count, *map(C.read_small, tables)]
-        per_context = [own.by_context(x) for x in per_pair]
+        per_context = [own.by_context(x) for x in per_pair[1:]]
     for r in rows:
         if r["chunk"] >= PLACES:
             at = np.cumsum(C.read_small(r["extra"]))
@@ -428,18 +427,20 @@ def _score(model: Model, sweeps: int, samples: int, pair_parts: int):
                 own = Bigrams(row["body"])
                 told = [(r["part"], list(map(C.read_small, _part(r["reply"])))) for r in row["replies_0"]]
                 counts, *parent = (np.concatenate(x) for x in zip(*(c for part, c in told if pair_parts <= part < TRAINING), strict=True))
-                per_pair = np.zeros((2 + 2 * samples, len(own.word)), dtype=np.int64)
+                per_pair = np.zeros((1 + 2 * samples, len(own.word)), dtype=np.int64)
                 for training in (True, False):
                     mine = (own.count > 0) == training
                     found = [c for part, c in told if (part >= TRAINING if training else part < pair_parts)]
                     if found:
-                        of_pairs, of_contexts = np.split(np.arange(2 + 2 * samples), 2)
+                        of_pairs, of_contexts = range(1 + samples), range(1 + samples, 1 + 2 * samples)
                         columns = [np.concatenate(x) for x in zip(*found, strict=True)]
                         # A reply has a value for each context of its pairs, in order.
                         context = np.unique(own.context[mine], return_inverse=True)[1]
                         per_pair[:, mine] = [*(columns[k] for k in of_pairs), *(columns[k][context] for k in of_contexts)]
                 count, *tables = per_pair[: 1 + samples]
-                customers, *in_context = per_pair[1 + samples :]
+                in_context = per_pair[1 + samples :]
+                # A training word comes before one token each time, the start once before each training text.
+                customers = np.where(own.context == own.start, counts[own.end], counts[own.context])
                 chance = np.zeros(len(own.word))
                 for k, s in enumerate(range(1 + sweeps - samples, sweeps + 1)):
                     chance_of_word = model.unigram(s, parent[2 * k], parent[2 * k + 1], counts > 0)[own.word]
@@ -470,7 +471,7 @@ def _release(spark: SparkSession) -> None:
 def fit(chunks: DataFrame, pair_parts: int, parts: int, sweeps: int, samples: int) -> tuple[Model, DataFrame, list[DataFrame]]:
     """(totals, the restaurants and the chunks' places in them, the sums that the scores need: counts, then those of each sample)."""
     spark = chunks.sparkSession
-    sent = chunks.select("chunk", "body").mapInArrow(_training_pairs(pair_parts), C.KEY_SCHEMA)
+    sent = chunks.select("chunk", "body", "keys").mapInArrow(_sent_pairs(pair_parts, True), C.KEY_SCHEMA)
     pairs = stored(C.by_part(sent, pair_parts).mapInArrow(_entries, ENTRY_SCHEMA), "pairs")
     entries = pairs.where("chunk is null").select("owner", F.col("owner").cast("long").alias("chunk"), "contexts", "words", "pairs", "ones", "twos")
     del sent
@@ -511,7 +512,8 @@ def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> Data
     Learns from the documents outside the held-out fold and scores all of them.
     """
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
-    chunks = C.chunk_table(slim, chunk_bytes=CHUNK_BYTES, encode=_code)
+    prepare(docs.sparkSession)
+    chunks = stored(slim.mapInArrow(_coded(slim.columns.index("text"), CHUNK_BYTES), C.CHUNK_SCHEMA + ", keys binary"), "chunks")
     pair_parts, parts = C.n_parts(chunks, 1 / 12, PAIRS_PER_KEY * KEYS_PER_PART), C.n_parts(chunks, 1 / 24, KEYS_PER_PART)
     model, pairs, sums = fit(chunks, pair_parts, parts, sweeps, samples)
     entries = pairs.where("chunk is null").withColumn("chunk", F.col("owner").cast("long"))
@@ -522,13 +524,12 @@ def score(docs: DataFrame, sweeps: int = SWEEPS, samples: int = SAMPLES) -> Data
     seated = C.with_replies(entries, tables).mapInArrow(_seated, C.KEY_SCHEMA)
     numbered = F.col("chunk") + PLACES
     places = pairs.where("chunk is not null").select(F.col("owner").alias("part"), numbered.alias("chunk"), F.lit(b"").alias("keys"), F.col("pairs").alias("extra"))
-    slim = chunks.select("chunk", "body")
-    asked = slim.mapInArrow(_asked_pairs(pair_parts), C.KEY_SCHEMA).unionByName(seated).unionByName(places)
+    asked = chunks.select("chunk", "body", "keys").mapInArrow(_sent_pairs(pair_parts, False), C.KEY_SCHEMA).unionByName(seated).unionByName(places)
     told_pairs = stored(C.by_part(asked, pair_parts).mapInArrow(_told(_told_pairs, samples), C.REPLY_SCHEMA), "told-pairs")
     del asked, seated, places
     remove(pairs)
     _release(docs.sparkSession)
-    asked = slim.mapInArrow(_asked_words(parts), C.KEY_SCHEMA)
+    asked = chunks.select("chunk", "keys").mapInArrow(_asked_words(parts), C.KEY_SCHEMA)
     for one in sums:
         asked = asked.unionByName(one.where("chunk < 0").select("part", "chunk", "keys", "extra"))
     told_words = stored(C.by_part(asked, parts).mapInArrow(_told(_told_words, samples, pair_parts), C.REPLY_SCHEMA), "told-words")
