@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from gridmart.llm.mixing import MAX_RATE, SEED
+from gridmart.llm.mixing import MAX_RATE, SEED, SEEDS
 from gridmart.llm.quality_rules import STOP_WORDS
 
 _STOP = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
@@ -45,7 +45,9 @@ FROM failed
 
 MIXING = rf"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents),
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    md5(concat_ws('|', coalesce(source, 'null'), coalesce(CAST(doc_id AS VARCHAR), 'null'), md5(coalesce(text, '')),
+      CAST(row_number() OVER (PARTITION BY source, doc_id, coalesce(text, '')) - 1 AS VARCHAR))) AS digest FROM documents),
 per AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY source),
 weighed AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 + 1 AS weight,
             source_size * {MAX_RATE}::DOUBLE AS cap FROM per),
@@ -58,14 +60,18 @@ shared AS (
 level AS (SELECT arg_min(share, nth) AS level FROM shared WHERE cap / weight >= share),
 targets AS (SELECT source, source_size, least(cap, coalesce(level * weight, 0.0::DOUBLE)) AS target FROM shared, level),
 rated AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target, coalesce(t.target / nullif(t.source_size, 0), 0.0::DOUBLE) AS rate
+  SELECT s.doc_id, s.source, s.size, s.digest, t.source_size, t.target,
+    coalesce(t.target / nullif(t.source_size, 0), 0.0::DOUBLE) AS rate
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source),
 drawn AS (
-  SELECT *, (CAST('0x' || substr(md5('{SEED}|' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) + 0.5::DOUBLE)
-            / 4503599627370496.0::DOUBLE AS u FROM rated)
-SELECT doc_id, size, source_size, CAST(target AS DOUBLE) AS target,
-  CAST(size * (floor(rate) + CASE WHEN u < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM drawn
+  SELECT r.*, pick, CAST(size * (floor(rate) + CASE WHEN
+      (CAST('0x' || substr(md5('{SEED}|' || pick || '|' || digest), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE
+      < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+  FROM rated r, range({SEEDS}) AS seeds(pick)),
+tried AS (SELECT source, pick, abs(sum(taken) - any_value(target)) AS miss FROM drawn GROUP BY source, pick),
+best AS (SELECT source, pick FROM tried QUALIFY row_number() OVER (PARTITION BY source ORDER BY miss, pick) = 1)
+SELECT d.doc_id, d.size, d.source_size, CAST(d.target AS DOUBLE) AS target, d.taken
+FROM drawn d JOIN best b ON d.source IS NOT DISTINCT FROM b.source AND d.pick = b.pick
 """
 
 FILL_IN_MIDDLE = """

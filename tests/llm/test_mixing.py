@@ -1,35 +1,11 @@
-import hashlib
 from collections import Counter, defaultdict
 
+from brute_mixing import brute_copies, brute_targets
 from pyspark.sql import functions as F
 
 from gridmart.llm import mixing as M
 
 
-def brute_targets(sizes, max_rate=3.0):
-    """Round by round: share by weight, stop at the cap, share the excess again."""
-    sources = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
-    weight = {s: k % 3 + 1 for k, s in enumerate(sources)}
-    target, free, rest = dict.fromkeys(sources, 0.0), set(sources), float(sum(sizes.values()))
-    while rest > 1e-9 and free:
-        total = sum(weight[s] for s in free)
-        shares = {s: rest * weight[s] / total for s in free}
-        rest = 0.0
-        for s in sorted(free, key=str):
-            new = target[s] + shares[s]
-            cap = max_rate * sizes[s]
-            if new >= cap:
-                rest += new - cap
-                free.discard(s)
-            target[s] = min(new, cap)
-    return target
-
-
-def u(doc_id):
-    key = f"{M.SEED}|{'null' if doc_id is None else doc_id}"
-    return (int(hashlib.md5(key.encode()).hexdigest()[:13], 16) + 0.5) / 16**13
-
-
 def source_rows(sizes):
     return [(k, "w " * n, s) for k, (s, n) in enumerate(sizes.items())]
 
@@ -50,12 +26,50 @@ def test_targets_equal_round_by_round_sharing(make_docs):
 
 
 def test_copies_follow_rate_and_hash(documents):
+    rows = [(r.doc_id, r.text, r.source) for r in documents.collect()]
+    want = Counter()
+    for (source, doc_id, _), n in brute_copies(rows).items():
+        want[source, doc_id] += n
     for r in M.plan(documents).collect():
-        rate = r.target / r.source_size
-        assert r.copies == int(rate) + (u(r.doc_id) < rate - int(rate))
+        assert r.copies == want[r.source, r.doc_id]
         assert r.taken == r["size"] * r.copies <= 3 * r["size"]
 
 
+def hot_rows():
+    """A third of all rows alike and without an id, other rows without ids, and a repeated id."""
+    rows = [(None, "the very same words", "a")] * 400
+    rows += [(None, f"text {k} " * (1 + k % 5), "b") for k in range(300)]
+    rows += [(7, f"repeated id {k}", "c") for k in range(200)] + [(k, "x " * (k % 9), None) for k in range(300)]
+    return rows
+
+
+def test_rows_without_ids_and_repeated_rows_draw_apart(make_docs, monkeypatch):
+    monkeypatch.setattr(M, "BLOCK", 30)  # groups of equal rows are numbered and dealt in blocks
+    rows = hot_rows()
+    docs = make_docs(rows, 7)
+    want = brute_copies(rows)
+    got, taken, target = Counter(), Counter(), {}
+    for r in M.plan(docs).collect():
+        got[r.source, r.doc_id] += r.copies
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    by_id = Counter()
+    for (source, doc_id, _), n in want.items():
+        by_id[source, doc_id] += n
+    assert got == by_id
+    assert all(abs(taken[s] - t) < 0.05 * t for s, t in target.items()), (taken, target)
+    mixed = Counter((r.source, r.doc_id, r.text or "") for r in M.mix(docs).collect())
+    assert mixed == Counter({k: n for k, n in want.items() if n})
+    monkeypatch.setattr(M, "BROADCAST_SOURCES", 0)
+    assert Counter((r.source, r.doc_id, r.text or "") for r in M.mix(docs.repartition(4)).collect()) == mixed
+
+
+def test_small_sources_come_near_their_targets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    per = M.plan(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()
+    assert len(per) == 20 and all(abs(r.taken - r.target) < 0.03 * r.target for r in per)
+
+
 def test_a_large_source_comes_near_its_target(spark):
     rows = spark.range(30000).select(
         F.col("id").alias("doc_id"), F.expr("repeat('w ', cast(1 + id % 9 as int))").alias("text"), F.expr("concat('s', cast(id % 4 as string))").alias("source")

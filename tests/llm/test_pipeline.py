@@ -1,6 +1,5 @@
 """The pipeline: every stage against its own input, and all of it against brute force."""
 
-import hashlib
 import re
 import zlib
 from collections import Counter
@@ -8,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from brute_mixing import brute_copies
 
 import __spark_entry__ as entry
 import corpus_pipeline as cp
@@ -88,26 +88,11 @@ def test_substring_stage(runs):
 
 def test_mixing_stage(runs):
     before, after = runs["mixing"]
-    docs = rows(before)
-    size = {i: len(r.text.encode().split()) for i, r in docs.items()}
-    per = Counter()
-    for i, r in docs.items():
-        per[r.source] += size[i]
-    weight = {s: k % 3 + 1 for k, s in enumerate(sorted(per))}
-    target, free, rest = dict.fromkeys(per, 0.0), set(per), float(sum(per.values()))
-    while rest > 1e-6 and free:
-        total = sum(weight[s] for s in free)
-        give = {s: rest * weight[s] / total for s in free}
-        rest = 0.0
-        for s in sorted(free):
-            rest += max(0.0, target[s] + give[s] - 3 * per[s])
-            target[s] = min(target[s] + give[s], 3.0 * per[s])
-            free -= {s} if target[s] == 3.0 * per[s] else set()
-    got = Counter(r.doc_id for r in after.collect())
-    for i, r in docs.items():
-        rate = target[r.source] / per[r.source]
-        u = (int(hashlib.md5(f"mix-1|{i}".encode()).hexdigest()[:13], 16) + 0.5) / 16**13
-        assert got[i] == int(rate) + (u < rate - int(rate)), i
+    docs = before.collect()
+    want = Counter()
+    for (_, doc_id, _), n in brute_copies([(r.doc_id, r.text, r.source) for r in docs]).items():
+        want[doc_id] += n
+    assert Counter(r.doc_id for r in after.collect()) == Counter({i: n for i, n in want.items() if n})
 
 
 def test_packing_stage(runs):
