@@ -11,8 +11,9 @@ draws in are dealt among all shards of the rack: also confined to it, but not to
 
 Defined cases: a null key is a key like any other; a null text has no bytes; repeated rows land in
 one shard with slots of their own; an empty table gives an empty result; a weight of 0 takes nothing.
-Slots are numbered by (shard, hash bucket) groups of bounded size, whose offsets are summed on a
-small table, so no shard's rows are gathered in one task.
+Slots are numbered by (shard, hash bucket) groups, whose offsets are summed on a small table, so no
+shard's rows are gathered in one task. Buckets that many equal rows have filled (a third of all rows
+with a null key and no text, say) are cut again by the rows' stored positions.
 """
 
 from __future__ import annotations
@@ -27,6 +28,10 @@ from gridmart.llm.common import parts, stored
 
 NULL_KEY = "\x01null"
 
+ROWS_PER_BUCKET = 2000
+CROWDED = 4  # times that many rows, and equal rows are told apart by where they are stored
+BROADCAST_BUCKETS = 50_000
+
 
 @dataclass(frozen=True)
 class Leaf:
@@ -102,25 +107,50 @@ def place(df: DataFrame, key: Column, leaves: tuple[Leaf, ...], name: str) -> Da
     )
 
 
-def number_slots(df: DataFrame, group: str, order: list[str], totals: dict[int, int], rows_per_bucket: int = 2000) -> DataFrame:
-    """Adds ``slot``: gapless numbers from 0 within each ``group`` (small non-negative integers).
+def slot_buckets(
+    df: DataFrame, group: str, order: list[str], totals: dict[int, int], position: str, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> tuple[DataFrame, DataFrame]:
+    """Rows with (``_bucket``, ``_piece``), and the table (group, _bucket, _piece, _n).
 
-    ``totals`` has the rows of every group: a group is cut into hash buckets of about ``rows_per_bucket``
-    rows, so one that holds a third of all rows is numbered by as many tasks as its size asks for.
+    Equal rows share a bucket. A crowded one is cut by ``position``, which must be a stored column: a
+    computed one could differ between the two results.
     """
     buckets = ",".join(str(parts(totals.get(k, 0), rows_per_bucket)) for k in range(max(totals, default=0) + 1))
     own_buckets = F.get(F.split(F.lit(buckets), ",").cast("array<int>"), F.col(group).cast("int"))
-    df = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), own_buckets).cast("int"))
-    sizes = df.groupBy(group, "_bucket").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    rows = df.withColumn("_bucket", F.pmod(F.xxhash64(*order), own_buckets).cast("int"))
+    sizes = stored(rows.groupBy(group, "_bucket").agg(F.count("*").alias("_n")), "slot-sizes")
+    crowded = sizes.where(F.col("_n") > CROWDED * rows_per_bucket)
+    crowded = crowded.select(F.col(group).alias("_group"), F.col("_bucket").alias("_b"), F.ceil(F.col("_n") / rows_per_bucket).alias("_pieces"))
+    n_crowded = crowded.count()
+    if not n_crowded:
+        return rows.withColumn("_piece", F.lit(0).cast("long")), sizes.withColumn("_piece", F.lit(0).cast("long"))
+    crowded = F.broadcast(crowded) if n_crowded <= BROADCAST_BUCKETS else crowded
+    rows = rows.join(crowded, (F.col(group) == F.col("_group")) & (F.col("_bucket") == F.col("_b")), "left")
+    rows = rows.withColumn("_piece", F.pmod(F.xxhash64(position), F.coalesce("_pieces", F.lit(1).cast("long")))).drop("_group", "_b", "_pieces")
+    return rows, rows.groupBy(group, "_bucket", "_piece").agg(F.count("*").alias("_n"))
+
+
+def number_slots(
+    df: DataFrame, group: str, order: list[str], totals: dict[int, int], position: str, rows_per_bucket: int = ROWS_PER_BUCKET
+) -> DataFrame:
+    """Adds ``slot``: gapless numbers from 0 within each ``group`` (small non-negative integers).
+
+    ``totals`` has the rows of every group: a group is cut into hash buckets of about ``rows_per_bucket``
+    rows, so one that holds a third of all rows is numbered by as many tasks as its size asks for. Buckets
+    that equal rows have filled are cut by ``position``. Only equal rows (and their bucket) depend on it.
+    """
+    rows, sizes = slot_buckets(df, group, order, totals, position, rows_per_bucket)
+    before = Window.partitionBy(group).orderBy("_bucket", "_piece").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        F.col(group).alias("_group"), F.col("_bucket").alias("_b"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    own = Window.partitionBy(group, "_bucket").orderBy(*order)
-    ranked = df.withColumn("_rank", F.row_number().over(own) - 1)
-    joined = ranked.join(offsets, (F.col(group) == F.col("_group")) & (F.col("_bucket") == F.col("_b")))
+        F.col(group).alias("_group"), F.col("_bucket").alias("_b"), F.col("_piece").alias("_p"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+    )
+    own = Window.partitionBy(group, "_bucket", "_piece").orderBy(*order, position)
+    ranked = rows.withColumn("_rank", F.row_number().over(own) - 1)
+    same = (F.col(group) == F.col("_group")) & (F.col("_bucket") == F.col("_b")) & (F.col("_piece") == F.col("_p"))
+    joined = ranked.join(offsets, same)
     return joined.withColumn("slot", (F.col("_rank") + F.col("_offset")).cast("long")).drop(
-        "_bucket", "_group", "_b", "_offset", "_rank"
+        "_bucket", "_piece", "_group", "_b", "_p", "_offset", "_rank", position
     )
 
 
@@ -133,6 +163,7 @@ def shard(docs: DataFrame, leaves: tuple[Leaf, ...], grown: tuple[Leaf, ...], ke
         F.crc32(body).cast("long").alias("text_crc32"),
     )
     slim = place(slim, F.col(key), leaves, "shard")
-    slim = stored(place(slim, F.col(key), grown, "grown_shard"), "shards")
+    slim = place(slim, F.col(key), grown, "grown_shard").withColumn("_at", F.monotonically_increasing_id())
+    slim = stored(slim, "shards")
     totals = {r["shard"]: r["count"] for r in slim.groupBy("shard").count().collect()}
-    return number_slots(slim, "shard", [key, "text_crc32", "size"], totals)
+    return number_slots(slim, "shard", [key, "text_crc32", "size"], totals, "_at")

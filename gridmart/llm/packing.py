@@ -212,11 +212,12 @@ def _place(table: dict[str, np.ndarray]):
 
 def pack(docs: DataFrame, vocabulary: str = VOCABULARY, capacity: int = CAPACITY, end_id: int = END_ID, keep_ids: bool = False) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, [ids,] sequence_id, offset."""
-    pieces = stored(cut_pieces(docs, vocabulary, capacity, end_id, keep_ids), "pieces")
+    pieces = cut_pieces(docs, vocabulary, capacity, end_id, keep_ids).withColumn("_at", F.monotonically_increasing_id())
+    pieces = stored(pieces, "pieces")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     table = runs(pack_histogram(histogram, capacity), capacity)
     order = ["doc_id", "start", "ids_crc32", "doc_tokens"]
-    ranked = number_slots(pieces, "length", order, histogram)
+    ranked = number_slots(pieces, "length", order, histogram, "_at")
     ids = ["ids"] if keep_ids else []
     ranked = ranked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", *ids, "slot")
     schema = PIECE_SCHEMA + (", ids binary" if keep_ids else "") + ", sequence_id long, offset long"

@@ -2,10 +2,12 @@ import math
 import zlib
 from collections import Counter
 
+import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from gridmart.llm import hashtree as H
+from gridmart.llm.common import stored
 
 
 def draw(path, weight, key):
@@ -37,14 +39,39 @@ def test_placement_equals_a_walk_down_the_tree(documents):
         assert r["size"] == len(raw) + 16 and r.text_crc32 == zlib.crc32(raw)
 
 
-def test_slots_are_gapless_over_many_buckets(spark):
-    df = spark.range(5000).selectExpr("id", "cast(if(id % 3 = 0, 0, id % 7) as int) as shard")
-    totals = {r["shard"]: r["count"] for r in df.groupBy("shard").count().collect()}
-    rows = H.number_slots(df, "shard", ["id"], totals, rows_per_bucket=40).collect()
+def gapless(rows, group):
     by = {}
     for r in rows:
-        by.setdefault(r.shard, []).append(r.slot)
-    assert all(sorted(v) == list(range(len(v))) for v in by.values()) and len(rows) == 5000
+        by.setdefault(r[group], []).append(r.slot)
+    return all(sorted(v) == list(range(len(v))) for v in by.values())
+
+
+def test_slots_are_gapless_over_many_buckets(spark):
+    df = spark.range(5000).selectExpr("id", "id as at", "cast(if(id % 3 = 0, 0, id % 7) as int) as shard")
+    totals = {r["shard"]: r["count"] for r in df.groupBy("shard").count().collect()}
+    rows = H.number_slots(df, "shard", ["id"], totals, "at", rows_per_bucket=40).collect()
+    assert gapless(rows, "shard") and len(rows) == 5000 and set(rows[0].asDict()) == {"id", "shard", "slot"}
+
+
+@pytest.mark.parametrize("bound", [H.BROADCAST_BUCKETS, 0])
+def test_equal_rows_are_numbered_in_bounded_groups(spark, monkeypatch, bound):
+    monkeypatch.setattr(H, "BROADCAST_BUCKETS", bound)
+    df = spark.range(9000).selectExpr("if(id % 3 = 0, null, id) as id", "id as at", "cast(if(id % 3 = 0, 0, id % 5) as int) as shard")
+    df = stored(df, "test-slots")
+    totals = {r["shard"]: r["count"] for r in df.groupBy("shard").count().collect()}
+    rows, sizes = H.slot_buckets(df, "shard", ["id"], totals, "at", rows_per_bucket=50)
+    want = rows.groupBy("shard", "_bucket", "_piece").count().collect()
+    assert {tuple(r) for r in want} == {tuple(r) for r in sizes.select("shard", "_bucket", "_piece", "_n").collect()}
+    assert max(r["count"] for r in want) <= H.CROWDED * 50
+    numbered = H.number_slots(df, "shard", ["id"], totals, "at", rows_per_bucket=50).collect()
+    assert gapless(numbered, "shard") and len(numbered) == 9000
+
+
+def test_a_third_of_all_rows_without_id_and_text(spark):
+    docs = spark.range(60000).selectExpr("if(id % 3 = 0, null, id) as doc_id", "if(id % 3 = 0, '', 'a text') as text")
+    leaves = H.topology(40)
+    rows = H.shard(docs, leaves, H.grow(leaves)).collect()
+    assert len(rows) == 60000 and gapless(rows, "shard") and len({r.shard for r in rows if r.doc_id is None}) == 1
 
 
 def test_a_new_shard_takes_rows_only_into_itself(spark):
