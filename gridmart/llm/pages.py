@@ -12,9 +12,9 @@ and a sentence of the article that the neighbour also has goes. So lines are als
   for sentences of articles recur on neighbouring pages, also as their first or last line;
 * ``links``: in such an element too, but a line of nothing but links: deleted where it is shared with the
   neighbour (a menu), unless that leaves nothing;
-* ``boiler``: inside menus, headers, footers, sidebars, forms, notices, adverts, comments: dropped;
-* ``other``: everything else. It is dropped where the page has main lines; on a page without any, it is
-  the text, after the lines shared with the neighbour were deleted (unless that leaves nothing, as with
+* ``boiler``: inside menus, headers, footers, sidebars, forms, notices, adverts, comments, or hidden: dropped;
+* ``other``: everything else, with articles outside a ``<main>`` that has lines (teasers). It is dropped
+  where the page has main lines; on a page without any, it is the text, after the lines shared with the neighbour were deleted (unless that leaves nothing, as with
   copies of a page).
 
 Distribution: a first job over ``page_id`` and ``url`` only orders the pages; the first and last row of
@@ -46,6 +46,7 @@ from gridmart.llm.common import parts, prepare
 ROWS_PER_RANGE = 3000
 NO_ID = -(1 << 63)
 LINKS, MAIN, OTHER = 2, 1, 0
+WHOLE = 3  # kind of a <main> element; its lines are MAIN or LINKS
 #: Bits of the alignment table that are kept at once; longer pairs are halved (Hirschberg).
 TABLE_BITS = 1 << 28
 
@@ -56,6 +57,8 @@ _TOKEN = re.compile(
 #: One attribute: its whole name, and its value if it has one.
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*))?""")
 _SPACE = re.compile(r"\s+")
+_HUMP = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
+_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b")
 
 RAW = frozenset("script style noscript template svg annotation annotation-xml iframe object textarea title select option button canvas audio video".split())
 BOILER_TAGS = frozenset("nav header footer aside form menu dialog head fieldset".split())
@@ -73,38 +76,40 @@ BOILER_ROLES = frozenset("navigation banner contentinfo complementary search for
 BOILER_WORDS = frozenset(
     "nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar footer header masthead banner cookie cookies consent gdpr notice ad ads "
     "advert adverts advertisement adsense sponsor sponsored promo promotion social share sharing related recommended newsletter subscribe signup "
-    "login popup modal overlay widget toolbar pagination pager comment comments commentlist disqus reply replies".split()
+    "login popup modal overlay widget toolbar pagination pager comment comments commentlist disqus reply replies response responses onetrust".split()
 )
 
 PLACE_WORDS = frozenset(
     "area bar bottom box block button buttons container content desktop global group inner item items left link links list main mobile outer page panel post "
-    "posts primary row secondary section site slot text title top right unit wrap wrapper".split()
+    "posts primary reader readers row sdk secondary section site slot text title top right unit user users visitor visitors wrap wrapper".split()
 )
 
 
 def _attributes(text: str) -> dict[str, str]:
-    """Names and values of a tag's attributes, in lower case; the first of a name counts."""
+    """Names (in lower case) and values of a tag's attributes; the first of a name counts."""
     found: dict[str, str] = {}
     for name, value in _ATTRIBUTE.findall(text):
-        found.setdefault(name.lower(), value.strip("\"'").strip().lower())
+        found.setdefault(name.lower(), value.strip("\"'").strip())
     return found
 
 
 def _boiler(name: str) -> bool:
-    words = set(re.split(r"[-_\d]+", name)) - {""}
+    words = set(re.split(r"[-_\d]+", _HUMP.sub("-", name).lower())) - {""}
     return bool(words & BOILER_WORDS) and words <= BOILER_WORDS | PLACE_WORDS
 
 
 def _kind(tag: str, attributes: str) -> int | None:
-    """MAIN, -1 for boilerplate, or None for neither."""
+    """WHOLE, MAIN, -1 for boilerplate, or None for neither."""
     found = _attributes(attributes)
-    role = found.get("role", "")
+    role = found.get("role", "").lower()
     names = f"{found.get('class', '')} {found.get('id', '')}".split() if tag not in ("html", "body", "main") else []
     if tag in BOILER_TAGS or role in BOILER_ROLES or any(map(_boiler, names)):
         return -1
-    if "hidden" in found or found.get("aria-hidden") == "true":
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or _HIDDEN.search(found.get("style", "").lower()):
         return -1
-    if tag in MAIN_TAGS or role in ("main", "article") or found.get("itemprop") == "articlebody":
+    if tag == "main" or role == "main":
+        return WHOLE
+    if tag in MAIN_TAGS or role == "article" or found.get("itemprop", "").lower() == "articlebody":
         return MAIN
     return None
 
@@ -155,7 +160,8 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
     lines: list[str] = []
     zones: list[int] = []
     held: list[str] = []
-    open_main: list[list] = []  # [tag, depth of that tag]
+    whole: list[bool] = []  # the line is in a <main>
+    open_main: list[list] = []  # [tag, depth of that tag, is a <main>]
     skip: list | None = None  # [tag, depth of that tag, end of its start tag]
     around: dict[str, int] = {}  # open elements of a name, outside what is skipped
     link = linked = plain = False  # in a link; the line has text in links, and text outside
@@ -167,6 +173,7 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
         if text:
             lines.append(text)
             zones.append((LINKS if linked and not plain else MAIN) if open_main else OTHER)
+            whole.append(any(is_whole for _, _, is_whole in open_main))
         link = linked = plain = False
 
     def hold(text: str) -> None:
@@ -201,7 +208,7 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
                         skip = None
                 continue
             loose = skip[0] in LOOSE and tag not in INLINE
-            again = tag in MAIN_TAGS and not open_main and _kind(tag, attributes) == MAIN
+            again = tag in MAIN_TAGS and not open_main and _kind(tag, attributes) in (MAIN, WHOLE)
             if not (loose and skip[0] == "p" or (loose or again) and ends.missing(skip[0], skip[2], around.get(skip[0], 0))):
                 skip[1] += tag == skip[0]
                 continue
@@ -221,13 +228,15 @@ def page_lines(page: str | None) -> tuple[list[str], list[int]]:
             skip = [tag, 1, at]
             continue
         around[tag] = around.get(tag, 0) + 1
-        if kind == MAIN:
-            open_main.append([tag, 1])
+        if kind in (MAIN, WHOLE):
+            open_main.append([tag, 1, kind == WHOLE])
         elif open_main and open_main[-1][0] == tag:
             open_main[-1][1] += 1
     if skip is None:
         hold(page[at:])
         flush()
+    if any(inside and zone == MAIN for inside, zone in zip(whole, zones, strict=True)):
+        zones = [zone if inside else OTHER for inside, zone in zip(whole, zones, strict=True)]
     return lines, zones
 
 

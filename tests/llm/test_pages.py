@@ -151,6 +151,12 @@ def test_every_page_is_aligned_with_its_neighbour(monkeypatch):
 
 
 ORDINARY = [
+    ("<main><p>text</p><div class='user-comments'><p>reader</p></div><div class='responses'>more</div></main>", "text"),
+    ("<main><div class='adBanner'>buy</div><p>text</p><div class='cookieBanner'>accept</div><div id='onetrust-consent-sdk'>accept</div></main>", "text"),
+    ("<main><p style='color:red; Display : none'>gone</p><p style='display:nonexistent'>text</p><p style='visibility:hidden'>gone</p></main>", "text"),
+    ("<article>before</article><main><article><p>text</p></article></main><article>teaser</article>", "text"),
+    ("<main></main><article>text</article>", "text"),
+    ("<main role='MAIN'><div class='userGuide'>text</div><div class='adaBoost'>more</div></main>", "text more"),
     ("<article><p style='overflow:hidden'>a</p><p title='hidden gems'>b</p><a data-id='header' href=x>c</a></article>", "a b c"),
     ("<article><p class='col ad-free'>a</p><p data-hidden=1 title='class=ad'>b</p><p data-x='1' hidden>c</p><p HIDDEN=''>d</p></article>", "a b"),
     ("<article>t<div class='x cookie-notice'>c</div><div id=ad_slot-2>s</div><p class=ad class=x>q</p><p class=x class=ad>r</p></article>", "t r"),
