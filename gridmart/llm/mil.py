@@ -6,13 +6,15 @@ documents' labels weighs the passages, and the weighted representation is scored
 
     h_k = tanh(W x_k + b),  a = softmax_k(w . (tanh(V h_k) * sigmoid(U h_k))),  score = sigmoid(c . sum a_k h_k + c0)
 
-Fit: a bounded sample of labelled documents (``SAMPLE`` rows, least hash first; the bound is the
-parameter ``sample``) is encoded on the executors and its passage vectors come to the driver, where
-the few hundred weights are fitted. Scoring: one narrow pass over all documents, weights shipped with
-the tasks. Whole texts are read on both sides.
+Fit: a bounded sample of labelled documents (``SAMPLE`` ids, least hash first, and one document of an
+id; parameter ``sample``) is encoded on the executors, and its passage vectors come to the driver, where
+the few hundred weights are fitted: at most ``BAG`` passages a document (parameter ``bag``), evenly
+spaced over a longer one, so at most ``sample * bag`` vectors. Scoring: one narrow pass over all
+documents and all their passages, weights shipped with the tasks. Whole texts are read on both sides.
 
 Defined cases: a null or empty text is one passage of zeros and gets a score too; rows with a null
-label are not learned from, repeated label rows count once; without any label every score is 0.5; a
+label are not learned from, repeated label rows count once (the highest label); of documents with one
+id the one of least text hash is learned from; without any label every score is 0.5; a
 null doc_id is scored and counts as held out; an empty table gives an empty result.
 """
 
@@ -28,6 +30,7 @@ from gridmart.llm.quality_rules import STOP_WORDS
 
 PASSAGE = 64
 SAMPLE = 6000
+BAG = 256
 HIDDEN = 16
 ATTENTION = 8
 EPOCHS = 250
@@ -155,25 +158,37 @@ def fit(x: np.ndarray, starts: np.ndarray, y: np.ndarray, epochs: int = EPOCHS,
     return model
 
 
-def _encode(batches):
-    vocabulary = Vocabulary()
-    for batch in batches:
-        rows = [passages(t.as_py(), vocabulary).astype("<f4").tobytes() for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["label", "passages"])
+def _encode(bag: int):
+    def run(batches):
+        vocabulary = Vocabulary()
+        for batch in batches:
+            rows = []
+            for text in batch.column(1):
+                x = passages(text.as_py(), vocabulary)
+                if len(x) > bag:
+                    x = x[np.arange(bag) * len(x) // bag]
+                rows.append(x.astype("<f4").tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["label", "passages"])
+
+    return run
 
 
 def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit(""))) % folds == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> dict | None:
-    """A model from at most ``sample`` labelled documents outside the held-out fold (None without labels)."""
+def train(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, bag: int = BAG) -> dict | None:
+    """A model from at most ``sample`` labelled documents outside the held-out fold, ``bag`` passages of each (None without labels)."""
     prepare(docs.sparkSession)
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("_label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).select(F.col("doc_id").alias("_id"), "_label")
-    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).select("_label", F.col("text").cast("string"))
-    got = rows.mapInArrow(_encode, "label int, passages binary").collect()
+    named = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = named.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    # One document of an id, kept on the map side: repeated ids send one text a task.
+    rows = rows.groupBy("_id").agg(F.first("_label").alias("_label"), F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("_least"))
+    rows = rows.select("_label", F.col("_least.text").alias("text"))
+    got = rows.mapInArrow(_encode(bag), "label int, passages binary").collect()
     if not got:
         return None
     got.sort(key=lambda r: (r["label"], bytes(r["passages"])))  # rows come in any order

@@ -1,3 +1,5 @@
+import zlib
+
 import numpy as np
 import pytest
 
@@ -90,6 +92,27 @@ def test_held_out_labels_are_never_used(documents, spark, sf001):
     assert all(np.array_equal(a[k], b[k]) for k in a)
 
 
+def test_the_sample_is_a_bound(make_docs, spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(M, "fit", lambda x, starts, y: seen.append((len(x), len(starts), sorted(y))))
+    rows = [(1, f"one of many texts {k}") for k in range(3000)] + [(k, "word " * 64 * 50) for k in range(2, 9)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 9)], "doc_id long, quality int")
+    known = [k for k in range(1, 9) if zlib.crc32(str(k).encode()) % 5]
+    M.train(make_docs(rows, 5), labels, bag=20)
+    n, bags, y = seen[0]
+    assert bags == len(known) and y == sorted(float(k % 2) for k in known)
+    assert n == sum(1 if k == 1 else 20 for k in known)
+    M.train(make_docs(rows, 4), labels, sample=3)
+    assert seen[1][1] == 3
+
+
+def test_which_repeated_row_is_learned_from_is_fixed(make_docs, spark):
+    rows = [(k % 12, f"text {k} " * (1 + k % 40)) for k in range(240)]
+    labels = spark.createDataFrame([(k, k % 2) for k in range(12)], "doc_id long, quality int")
+    a, b = (M.train(make_docs(r, n), labels) for r, n in ((rows, 3), (rows[::-1], 7)))
+    assert all(np.array_equal(a[k], b[k]) for k in a)
+
+
 def test_odd_rows_and_missing_labels(odd_rows, make_docs, clashing, spark):
     docs = clashing(make_docs(odd_rows))
     none = spark.createDataFrame([], "doc_id long, quality int")
