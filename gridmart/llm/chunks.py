@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -105,25 +106,94 @@ def split_keys(keys: np.ndarray, count: int) -> list[tuple[int, int, int]]:
     return [(k, a, b) for k, (a, b) in enumerate(zip(at, at[1:], strict=False)) if a < b]
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """uint64 values byte plane by byte plane, as many planes as the largest one needs (their number in front)."""
+    if not len(values):
+        return b""
+    count = max(1, -(-int(values.max()).bit_length() // 8))
+    out = np.empty((count, len(values)), np.uint8)
+    for k in range(count):
+        out[k] = values >> np.uint64(8 * k)
+    return bytes([count]) + squeeze(out.tobytes())
+
+
+def _read_planes(data: bytes) -> np.ndarray:
+    if not data:
+        return np.empty(0, np.uint64)
+    raw = np.frombuffer(expand(data[1:]), np.uint8).reshape(data[0], -1)
+    out = raw[0].astype(np.uint64)
+    for k in range(1, len(raw)):
+        out |= raw[k].astype(np.uint64) << np.uint64(8 * k)
+    return out
+
+
 def key_bytes(keys: np.ndarray) -> bytes:
     """Sorted uint64 keys as compressed differences."""
-    return squeeze(np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T.tobytes())
+    return _planes(np.diff(keys, prepend=np.uint64(0)))
 
 
 def read_keys(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(expand(data), np.uint8).reshape(8, -1).T
-    return np.cumsum(np.ascontiguousarray(raw).view(np.uint64).ravel(), dtype=np.uint64)
+    return np.cumsum(_read_planes(data), dtype=np.uint64)
 
 
 def small_bytes(values: np.ndarray) -> bytes:
-    """Integers, mostly small, byte plane by byte plane."""
-    wide = np.ascontiguousarray(values, dtype="<i8").view(np.uint8).reshape(-1, 8).T
-    return squeeze(np.ascontiguousarray(wide).tobytes())
+    """Integers, mostly small."""
+    return _planes(np.ascontiguousarray(values, dtype=np.int64).view(np.uint64))
 
 
 def read_small(data: bytes) -> np.ndarray:
-    raw = np.frombuffer(expand(data), np.uint8).reshape(8, -1).T
-    return np.ascontiguousarray(raw).view("<i8").ravel()
+    return _read_planes(data).view(np.int64)
+
+
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, ascending. (NumPy's own ``unique`` hashes them, which takes many times as long.)"""
+    ordered = np.sort(values)
+    return ordered[np.append(True, ordered[1:] != ordered[:-1])] if len(ordered) else ordered
+
+
+def places(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of non-negative integers, ascending, and the place of each value among them."""
+    bits = len(values).bit_length()
+    if not len(values) or int(values.max()).bit_length() + bits > 63:
+        return np.unique(values, return_inverse=True)
+    # Value and position in one number: a plain sort is faster than a sort of positions.
+    ordered = np.sort((values << bits) | np.arange(len(values)))
+    at, ordered = ordered & ((1 << bits) - 1), ordered >> bits
+    new = np.append(True, ordered[1:] != ordered[:-1])
+    place = np.empty(len(values), dtype=np.int64)
+    place[at] = np.cumsum(new) - 1
+    return ordered[new], place
+
+
+def split_words(texts: pa.ChunkedArray, lower: bool = False) -> tuple[np.ndarray, pa.Array]:
+    """The number of words in each text (null: none), and the words of all texts; ``lower``: A-Z lower-cased."""
+    trimmed = pc.ascii_trim_whitespace(pc.fill_null(texts, "")).combine_chunks()
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(trimmed) if lower else trimmed)
+    sizes, words = pc.list_value_length(lists).to_numpy().astype(np.int64), lists.flatten()
+    blank = pc.equal(trimmed, "").to_numpy(zero_copy_only=False)  # split into one empty word
+    if blank.any():
+        sizes[blank] = 0
+        words = words.filter(pc.not_equal(words, ""))
+    return sizes, words
+
+
+def hash_words(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """XXH64 of the distinct words, and the place of each word among them."""
+    import xxhash
+
+    coded = words.dictionary_encode()
+    if not len(words):
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    # Joined and split again: Python objects of Arrow's values one by one take longer.
+    joined = pc.binary_join(pa.ListArray.from_arrays([0, len(coded.dictionary)], coded.dictionary), " ")
+    each = joined[0].as_buffer().to_pybytes().split(b" ")
+    return np.fromiter(map(xxhash.xxh64_intdigest, each), dtype=np.uint64, count=len(each)), coded.indices.to_numpy()
+
+
+def one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch; a large row is a Python object only in its turn."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
 
 
 def key_rows(chunk: int, keys: np.ndarray, count: int, extra: Callable[[int, int], bytes] | None = None) -> pa.RecordBatch:
@@ -149,7 +219,7 @@ def runs_of(batches: Iterator[pa.RecordBatch], name: str) -> Iterator[list[dict]
     """Consecutive rows with the same value of a column (rows of one part, of bounded total size)."""
     held: list[dict] = []
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in one_by_one(batch):
             if held and held[0][name] != row[name]:
                 yield held
                 held = []

@@ -26,6 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,29 +37,10 @@ from gridmart.llm.common import stored
 WINDOW = 20
 PERIOD = 13
 COVER = (0, 1, 3, 9)
-#: Words whose hash a worker remembers before it starts anew (results do not depend on it).
-CACHE_WORDS = 200_000
 NO_ID = -(1 << 63)
 _R = 0x9E3779B97F4A7C15
 
 
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
-
-        out = self[word] = xxhash.xxh64_intdigest(word)
-        return out
-
-
-_hashes = _WordHashes()
-
-
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    if len(_hashes) > CACHE_WORDS:
-        _hashes.clear()
-    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
-
-
 def run_hashes(hashes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
     """Hash of the ``size`` words from each start."""
     out = np.zeros(len(starts), dtype=np.uint64)
@@ -72,12 +54,12 @@ class Chunk:
     """The words of a chunk's texts, and what the exchanges need of them."""
 
     def __init__(self, texts, window: int, period: int, cover: tuple[int, ...]):
-        self.words = [(t.as_py() or "").encode("utf-8", "replace").split() for t in texts]
+        sizes, self.words = C.split_words(texts)
         self.window, self.anchor = window, window - period + 1
-        sizes = np.array([len(w) for w in self.words], dtype=np.int64)
         self.ends = np.cumsum(sizes)
         self.begins = self.ends - sizes
-        self.hashes = np.concatenate([word_hashes(w) for w in self.words] or [np.empty(0, np.uint64)])
+        hashes, code = C.hash_words(self.words)
+        self.hashes = hashes[code]
         place = np.arange(len(self.hashes)) - np.repeat(self.begins, sizes)  # in its own text
         left = np.repeat(self.ends, sizes) - np.arange(len(self.hashes))  # words from here to the text's end
         on_cover = np.isin(np.arange(period), cover)[place % period]
@@ -120,6 +102,12 @@ class Chunk:
         np.add.at(marks, starts + self.window, -1)
         return np.cumsum(marks[:-1]) > 0
 
+    def kept(self, gone: np.ndarray) -> pa.Array:
+        """Each text's other words, joined by one space."""
+        left = np.concatenate([[0], np.cumsum(~gone)])
+        ends = pa.array(np.concatenate([[0], left[self.ends]]), pa.int32())
+        return pc.binary_join(pa.ListArray.from_arrays(ends, self.words.filter(pa.array(~gone))), " ")
+
 
 def _ids(table: pa.Table) -> np.ndarray:
     return np.array([NO_ID if x is None else x for x in table.column("doc_id").to_pylist()], dtype=np.int64)
@@ -150,9 +138,14 @@ def _find_repeated(batches):
     """Per chunk of a part: which of its keys another chunk has too."""
     for rows in C.runs_of(batches, "part"):
         arrays = [C.read_keys(r["keys"]) for r in rows]
-        keys = np.sort(np.concatenate(arrays))
-        twice = np.unique(keys[1:][keys[1:] == keys[:-1]])
-        found = [(r["chunk"], r["part"], np.isin(a, twice, assume_unique=True)) for r, a in zip(rows, arrays, strict=True)]
+        keys = np.concatenate(arrays)
+        order = np.argsort(keys)
+        same = keys[order[1:]] == keys[order[:-1]]
+        twice = np.zeros(len(keys), dtype=bool)
+        twice[order[1:]] = same
+        twice[order[:-1]] |= same
+        bits = np.split(twice, np.cumsum([len(a) for a in arrays])[:-1])
+        found = [(r["chunk"], r["part"], b) for r, b in zip(rows, bits, strict=True)]
         yield _reply([x for x in found if x[2].any()])
 
 
@@ -184,7 +177,7 @@ def _judged(table: pa.Table, replies, count: int, window: int, period: int, cove
 def _send_windows(count: int, window: int, period: int, cover):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in C.one_by_one(batch):
                 _, _, ids, (keys, first, _, _) = _judged(C.unpack_table(row["body"]), row["replies_0"], count, window, period, cover)
                 yield C.key_rows(row["chunk"], keys, count, lambda a, b: C.small_bytes(ids[first[a:b]]))
 
@@ -194,27 +187,21 @@ def _send_windows(count: int, window: int, period: int, cover):
 def _remove(count: int, window: int, period: int, cover, keep: list[str], texts: bool):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in C.one_by_one(batch):
                 table = C.unpack_table(row["body"])
                 own, starts, _, (keys, _, place, is_first) = _judged(table, row["replies_0"], count, window, period, cover)
                 later = C.joined_bits(row["replies_1"], C.split_keys(keys, count), len(keys))
                 gone = own.marked(starts[~is_first | later[place]])
                 before = np.concatenate([[0], np.cumsum(gone)])
                 n_removed = before[own.ends] - before[own.begins]
-                digests, kept_texts = [], []
-                for k, words in enumerate(own.words):
-                    if n_removed[k]:
-                        words = [w for w, x in zip(words, gone[own.begins[k] : own.ends[k]].tolist(), strict=True) if not x]
-                    kept = b" ".join(words)
-                    digests.append(hashlib.sha256(kept).hexdigest())
-                    if texts:
-                        kept_texts.append(kept.decode() if n_removed[k] else None)
+                kept = own.kept(gone)
+                digests = [hashlib.sha256(x.as_buffer()).hexdigest() for x in kept]
                 arrays = [table.column(c).combine_chunks() for c in keep]
                 arrays = [a.chunk(0) if isinstance(a, pa.ChunkedArray) else a for a in arrays]
                 names = [f"in_{i}" for i in range(len(keep))] + ["n_words", "n_removed", "kept_sha256"]
                 arrays += [pa.array(own.ends - own.begins, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string())]
                 if texts:
-                    names, arrays = [*names, "kept_text"], [*arrays, pa.array(kept_texts, pa.string())]
+                    names, arrays = [*names, "kept_text"], [*arrays, pc.if_else(pa.array(n_removed > 0), kept, None)]
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
     return run

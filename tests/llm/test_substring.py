@@ -1,7 +1,9 @@
 import hashlib
 import random
 import re
+import sys
 
+import pyarrow as pa
 import pytest
 
 from gridmart.llm import chunks as C
@@ -110,3 +112,44 @@ def test_key_arrays_round_trip():
     assert (C.read_small(C.small_bytes(numbers)) == numbers).all()
     spans = C.split_keys(keys, 7)
     assert [a for _, a, _ in spans][1:] == [b for _, _, b in spans][:-1] and spans[-1][2] == len(keys)
+
+
+def test_a_chunk_holds_no_object_per_word_and_leaves_none_behind():
+    texts = pa.chunked_array([pa.array([" ".join(f"w{i}x{k}" for k in range(500)) for i in range(100)])])
+    S.Chunk(texts, S.WINDOW, S.PERIOD, S.COVER)  # imports
+    before = sys.getallocatedblocks()
+    chunk = S.Chunk(texts, S.WINDOW, S.PERIOD, S.COVER)
+    assert len(chunk.hashes) == 50_000
+    assert sys.getallocatedblocks() - before < 1_000
+    del chunk
+    assert sys.getallocatedblocks() - before < 1_000
+
+
+def test_words_of_texts_are_those_of_the_pattern():
+    rng = random.Random(3)
+    letters = " \t\n\x0b\x0c\r\x00\x1c\x1f\x85\xa0\u2003AbÜß日"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(500)] + [None, "", " ", "a", " a ", "x" * 9000]
+    for given in (pa.chunked_array([texts]), pa.chunked_array([texts[:200], texts[200:]]), pa.chunked_array([pa.array(["y z", *texts]).slice(1)])):
+        for lower in (False, True):
+            wanted = [re.findall(r"[^\x20\x09-\x0D]+", t or "") for t in texts]
+            wanted = [[re.sub("[A-Z]", lambda m: m[0].lower(), w) if lower else w for w in one] for one in wanted]
+            sizes, words = C.split_words(given, lower)
+            assert sizes.tolist() == [len(w) for w in wanted]
+            assert words.to_pylist() == [w for one in wanted for w in one]
+    import xxhash
+
+    hashes, place = C.hash_words(words)
+    assert hashes[place].tolist() == [xxhash.xxh64_intdigest(w) for w in words.to_pylist()]
+    assert [len(x) for x in C.hash_words(words[:0])] == [0, 0]
+
+
+def test_distinct_values_and_their_places():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    for high in (1, 50, 1 << 40, 1 << 62):
+        for n in (0, 1, 700):
+            values = rng.integers(0, high, n) if high < 1 << 62 else rng.integers(high - 9, high, n)
+            wanted = np.unique(values, return_inverse=True)
+            assert all((a == b).all() and len(a) == len(b) for a, b in zip(C.places(values), wanted, strict=True))
+            assert C.distinct(values.view(np.uint64)).tolist() == wanted[0].tolist()
