@@ -50,8 +50,6 @@ SEED = 97
 CHUNK_BYTES = 3_000_000
 KEYS_PER_PART = 300_000
 PAIRS_PER_KEY = 3
-#: Words whose key a worker remembers before it starts anew (results do not depend on it).
-CACHE_WORDS = 200_000
 END, START = b" end ", b" start "  # no word holds a space
 
 
@@ -83,24 +81,20 @@ def _part(data: bytes) -> list[bytes]:
 
 def _code(table: pa.Table) -> bytes:
     """A chunk: keys, then ids, held-out flags, tokens per text, token codes (places in the keys), places of start and end."""
-    tokens: list[bytes] = []
-    sizes = []
-    for text in table.column("text"):
-        words = (text.as_py() or "").encode("utf-8", "replace").lower().split()
-        tokens += words
-        tokens.append(END)
-        sizes.append(len(words) + 1)
-    if len(_keys) > CACHE_WORDS:
-        _keys.clear()
-    hashes = np.fromiter(map(_keys.__getitem__, tokens), dtype=np.uint64, count=len(tokens))
+    sizes, words = C.split_words(table.column("text"), lower=True)
+    hashes, code = C.hash_words(words)
     marks = np.array([_keys[START], _keys[END]], dtype=np.uint64)
-    keys = np.union1d(hashes, marks)
-    codes = np.searchsorted(keys, hashes)
+    keys, place = np.unique(np.concatenate([hashes, marks]), return_inverse=True)
+    sizes = sizes + 1
+    codes = np.full(sizes.sum(), place[-1])
+    is_word = np.ones(len(codes), dtype=bool)
+    is_word[np.cumsum(sizes) - 1] = False
+    codes[is_word] = place[code]
     ids = table.column("doc_id").to_pylist()
     known = np.array([i is not None for i in ids], dtype=np.int64)
     held = np.array(table.column("held_out").to_pylist(), dtype=np.int64)
     numbers = np.array([i or 0 for i in ids], dtype=np.int64)
-    arrays = (numbers, known, held, np.array(sizes), codes, np.array([len(keys), *np.searchsorted(keys, marks)]))
+    arrays = (numbers, known, held, sizes, codes, np.array([len(keys), *place[-2:]]))
     return _join(C.key_bytes(keys), *map(C.small_bytes, arrays))
 
 
@@ -178,7 +172,7 @@ class Bigrams:
         self.begins = np.cumsum(self.sizes) - self.sizes
         before = np.concatenate([[0], self.tokens[:-1]])
         before[self.begins] = self.start
-        pairs, self.place = np.unique(before * size + self.tokens, return_inverse=True)
+        pairs, self.place = C.places(before * size + self.tokens)
         self.context, self.word = pairs // size, pairs % size
         self.count = np.bincount(self.place[np.repeat(self.held == 0, self.sizes)], minlength=len(pairs))
 
@@ -208,7 +202,7 @@ def _sent_pairs(parts: int, training: bool):
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in C.one_by_one(batch):
                 yield Bigrams(row["body"]).rows(row["chunk"], C.read_keys(row["keys"]), parts, training)
 
     return run
@@ -225,9 +219,9 @@ def _entries(batches):
     a row for each chunk with the places of its pairs among them, which is all that its replies take later."""
     for rows in C.runs_of(batches, "part"):
         found = [_read_pairs(r) for r in rows]
-        contexts, words = (np.unique(np.concatenate([f[k] for f in found])) for k in (0, 1))
+        contexts, words = (C.distinct(np.concatenate([f[k] for f in found])) for k in (0, 1))
         codes = [np.repeat(np.searchsorted(contexts, c), n) * len(words) + np.searchsorted(words, w)[at] for c, w, n, at, _ in found]
-        pairs, place = np.unique(np.concatenate(codes), return_inverse=True)
+        pairs, place = C.places(np.concatenate(codes))
         del codes
         count = np.bincount(place, weights=np.concatenate([f[4] for f in found]), minlength=len(pairs)).astype(np.int64)
         per_context = np.bincount(pairs // len(words), minlength=len(contexts))
@@ -268,7 +262,7 @@ def _sweep(model: Model, sweep: int, parts: int):
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in C.one_by_one(batch):
                 own = Restaurants(row)
                 values = []
                 if sweep:
@@ -296,7 +290,7 @@ def _sums(model: Model, sweep: int, pair_parts: int, last: bool):
 
     def summed(rows):
         asked = [C.read_keys(r["keys"]) for r in rows]
-        keys = np.unique(np.concatenate(asked))
+        keys = C.distinct(np.concatenate(asked))
         at = [np.searchsorted(keys, x) for x in asked]
         columns = zip(*(map(C.read_small, _part(r["extra"])) for r in rows), strict=True)
         place = np.concatenate(at)
@@ -423,7 +417,7 @@ def _score(model: Model, sweeps: int, samples: int, pair_parts: int):
 
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in C.one_by_one(batch):
                 own = Bigrams(row["body"])
                 told = [(r["part"], list(map(C.read_small, _part(r["reply"])))) for r in row["replies_0"]]
                 counts, *parent = (np.concatenate(x) for x in zip(*(c for part, c in told if pair_parts <= part < TRAINING), strict=True))

@@ -1,9 +1,12 @@
 import math
+import sys
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 
 from gridmart.llm import chunks as C
 from gridmart.llm import hpylm as H
@@ -231,3 +234,22 @@ def test_scores_by_hand(documents, monkeypatch, small_chunks):
         words = tokens(t)
         want = sum(math.log10(chance(key(u), key(w))) for u, w in zip(["<", *words[:-1]], words, strict=True))
         assert scores[i] == pytest.approx(want, rel=1e-9)
+
+
+def test_coding_a_chunk_is_exact_and_leaves_no_words_in_the_worker():
+    rows = [(i, i % 7 == 2, " ".join(f"W{i}x{k % 400}\x0bÄb" for k in range(500))) for i in range(50)] + [(None, False, None), (3, True, " \n"), (4, False, "")]
+    table = pa.table(dict(zip(("doc_id", "held_out", "text"), map(list, zip(*rows, strict=True)), strict=True)))
+    H._code(table)  # imports
+    before = sys.getallocatedblocks()
+    body = H._code(table)
+    assert sys.getallocatedblocks() - before < 1_000
+    keys, *numbers = H._part(body)
+    keys, own = C.read_keys(keys), H.Bigrams(H._join(*numbers))
+    tokens = [[w.lower() for w in (t or "").encode().split()] + [H.END] for _, _, t in rows]
+    assert own.sizes.tolist() == [len(t) for t in tokens]
+    assert keys[own.tokens].tolist() == [xxhash.xxh64_intdigest(w) for t in tokens for w in t]
+    assert [keys[own.start], keys[own.end]] == [xxhash.xxh64_intdigest(m) for m in (H.START, H.END)]
+    pairs = [p for t in tokens for p in zip([H.START, *t], t, strict=False)]
+    found = list(zip(keys[own.context[own.place]].tolist(), keys[own.word[own.place]].tolist(), strict=True))
+    assert found == [tuple(map(xxhash.xxh64_intdigest, p)) for p in pairs]
+    assert (keys[1:] > keys[:-1]).all() and len(own.word) == len(set(pairs))
