@@ -133,7 +133,7 @@ def test_odd_rows_clashing_columns_and_empty_table(spark, make_docs, odd_rows, c
 
 def test_every_numbered_query_is_registered():
     names = [k for k in entry.queries() if re.match(r"op\d+_", k)]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
 
 
 def test_packed_sequences_hold_the_tokens_of_the_mixed_corpus(runs):
